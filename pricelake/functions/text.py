@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes all Unicode whitespace; Spark's trim() removes
-# spaces only.  Java-regex class of every character str.isspace() accepts.
-_WS = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Every character Python's str.isspace() accepts, which is what
+# str.strip() removes (Spark's one-argument trim() removes spaces only).
+PY_WHITESPACE = "\u0020\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _c(x) -> Column:
@@ -15,8 +15,12 @@ def _c(x) -> Column:
 
 
 def py_strip(x) -> Column:
-    """Strip leading and trailing whitespace the way ``str.strip()`` does."""
-    return F.regexp_replace(_c(x), rf"^{_WS}+|{_WS}+$", "")
+    """Strip leading and trailing whitespace the way ``str.strip()`` does.
+
+    ``trim(str, chars)`` treats ``chars`` as a set, so this is a plain scan
+    from both ends (no regular expression).
+    """
+    return F.trim(_c(x), F.lit(PY_WHITESPACE))
 
 
 def clean_ticker(x) -> Column:

@@ -54,24 +54,56 @@ def baseline_join(prices: DataFrame, holdings: DataFrame,
     return prices.join(broadcast_if_small(base, max_rows), "ticker_symbol")
 
 
+def previous_close(close: str = "close_price") -> F.Column:
+    return F.lag(F.col(close), 1).over(by_stock())
+
+
+def first_close(close: str = "close_price") -> F.Column:
+    """The running frame gives the same first value as the reference's full
+    frame and lets Spark evaluate it in the same streaming pass as ``lag``."""
+    return F.first(F.col(close)).over(
+        by_stock().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def return_from(close, prev) -> F.Column:
+    """ROUND((p - prev) / NULLIF(prev, 0) * 100, 4)."""
+    close = F.col(close) if isinstance(close, str) else close
+    prev = F.col(prev) if isinstance(prev, str) else prev
+    change = F.try_divide(close - prev, F.nullif(prev, F.lit(0.0)))
+    return round_half_away(change * F.lit(100.0), 4)
+
+
+def value_from(close, first, baseline) -> F.Column:
+    """ROUND(baseline * p / NULLIF(first, 0), 2)."""
+    close = F.col(close) if isinstance(close, str) else close
+    first = F.col(first) if isinstance(first, str) else first
+    baseline = F.col(baseline) if isinstance(baseline, str) else baseline
+    ratio = F.try_divide(close, F.nullif(first, F.lit(0.0)))
+    return round_half_away(baseline * ratio, 2)
+
+
 def daily_return(close: str = "close_price") -> F.Column:
     """ROUND((p - LAG(p)) / NULLIF(LAG(p), 0) * 100, 4) per stock by date."""
-    prev = F.lag(F.col(close), 1).over(by_stock())
-    change = F.try_divide(F.col(close) - prev, F.nullif(prev, F.lit(0.0)))
-    return round_half_away(change * F.lit(100.0), 4)
+    return return_from(close, previous_close(close))
 
 
 def portfolio_value(close: str = "close_price",
                     baseline: str = "baseline_value_usd") -> F.Column:
-    """ROUND(baseline * p / FIRST_VALUE(p), 2) per stock by date.
+    """ROUND(baseline * p / FIRST_VALUE(p), 2) per stock by date."""
+    return value_from(close, first_close(close), baseline)
 
-    The running frame gives the same first value as the reference's full
-    frame and lets Spark evaluate it in the same streaming pass as ``lag``.
-    """
-    first = F.first(F.col(close)).over(
-        by_stock().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ratio = F.try_divide(F.col(close), F.nullif(first, F.lit(0.0)))
-    return round_half_away(F.col(baseline) * ratio, 2)
+
+def with_measures(keyed: DataFrame) -> DataFrame:
+    """Daily return and portfolio value with each window function computed
+    once (one exchange on stock_key, one sort, two window functions)."""
+    w = keyed.select("*", previous_close().alias("__prev"),
+                     first_close().alias("__first"))
+    return w.select(
+        "date_key", "stock_key", "trade_date", "close_price",
+        return_from("close_price", "__prev").alias("daily_return_pct"),
+        value_from("close_price", "__first", "baseline_value_usd")
+        .alias("portfolio_value"),
+        "ingested_at", "processed_at")
 
 
 def price_key(df: DataFrame) -> DataFrame:
@@ -97,12 +129,7 @@ def fact_prices(silver: DataFrame, dim_stock: DataFrame, dim_date: DataFrame,
                 holdings: DataFrame, params: RunParams) -> DataFrame:
     """The whole price fact (8 columns), unordered."""
     keyed = keyed_prices(silver, dim_stock, dim_date, holdings, params)
-    with_measures = keyed.select(
-        "date_key", "stock_key", "trade_date", "close_price",
-        daily_return().alias("daily_return_pct"),
-        portfolio_value().alias("portfolio_value"),
-        "ingested_at", "processed_at")
-    return price_key(with_measures).select(
+    return price_key(with_measures(keyed)).select(
         F.col("price_key").cast("long").alias("price_key"),
         F.col("date_key").cast("int").alias("date_key"),
         F.col("stock_key").cast("int").alias("stock_key"),

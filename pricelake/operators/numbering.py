@@ -16,8 +16,9 @@ when the order is a pair ``(coarse, fine)`` that is unique per row and
 
 The only unpartitioned window runs over the distinct ``coarse`` values; the
 caller picks ``coarse`` with a known bound (for the price fact: trade dates,
-bounded by the calendar).  The cell shuffle is reused for the counts, so the
-rows cross the network once.
+bounded by the calendar).  The counts come from a map-side-combined
+``count`` over the two key columns only, so the full rows cross the network
+once (for the in-cell window).
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
     in_cell = Window.partitionBy("__c", "__b").orderBy("__f")
     numbered = cells.withColumn("__rn", F.row_number().over(in_cell))
 
-    counts = numbered.groupBy("__c", "__b").agg(F.max("__rn").alias("__n"))
+    # Cell sizes from a partial count (combines map-side, tiny shuffle).
+    counts = cells.groupBy("__c", "__b").agg(F.count(F.lit(1)).alias("__n"))
     coarse_tot = counts.groupBy("__c").agg(F.sum("__n").alias("__cn"))
     # One row per distinct coarse value: bounded by the caller's choice.
     coarse_off = coarse_tot.select(

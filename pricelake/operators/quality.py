@@ -65,7 +65,7 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     return wide.unpivot([], df.columns, "column_name", "null_count")
 
 
-def profile_describe(df: DataFrame, approx_above: int | None = None,
+def profile_describe(df: DataFrame, approx_above: int | None = 50_000_000,
                      accuracy: int = 100_000,
                      digits: int | None = None) -> DataFrame:
     """count, mean, std, min, quartiles, max of every numeric column.
@@ -73,8 +73,8 @@ def profile_describe(df: DataFrame, approx_above: int | None = None,
     One aggregate pass.  Quartiles interpolate linearly between order
     statistics (as pandas ``describe``) with the exact ``percentile``
     aggregate.  That aggregate keeps a value -> count map per column in the
-    final task, so with ``approx_above`` set and more rows than that, the
-    bounded-memory ``percentile_approx`` sketch is used instead.
+    final task, so above ``approx_above`` rows (checked with a bounded count)
+    the bounded-memory ``percentile_approx`` sketch is used instead.
 
     ``digits`` rounds the floating statistics (mean, std, quartiles) for
     display; their last bits depend on summation order, which varies with
@@ -84,25 +84,20 @@ def profile_describe(df: DataFrame, approx_above: int | None = None,
             if isinstance(f.dataType, NUMERIC)]
     approx = approx_above is not None and not bounded_rows(df, approx_above)
     qs = [0.25, 0.5, 0.75]
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, qs, accuracy) if approx
-             else F.percentile(x, F.array(*[F.lit(v) for v in qs])))
-        r = (lambda v: round_half_away(v, digits)) if digits is not None \
-            else (lambda v: v)
-        aggs.append(F.struct(
-            F.count(x).cast("double").alias("count"), r(F.avg(x)).alias("mean"),
-            r(F.stddev_samp(x)).alias("std"), F.min(x).alias("min"),
-            r(q[0]).alias("p25"), r(q[1]).alias("p50"), r(q[2]).alias("p75"),
-            F.max(x).alias("max")).alias(c))
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    rows = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"),
-                 *[F.col(f"`{c}`.{s}").alias(s) for s in stats])
-        for c in cols])).alias("r"))
-    return rows.select("r.*")
+    # Long form (column_name, x): each column's final aggregate is its own
+    # group, so the columns finish in parallel tasks.
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+        .unpivot([], cols, "column_name", "x")
+    x = F.col("x")
+    q = (F.percentile_approx(x, qs, accuracy) if approx
+         else F.percentile(x, F.array(*[F.lit(v) for v in qs])))
+    r = (lambda v: round_half_away(v, digits)) if digits is not None \
+        else (lambda v: v)
+    return long.groupBy("column_name").agg(
+        F.count(x).cast("double").alias("count"), r(F.avg(x)).alias("mean"),
+        r(F.stddev_samp(x)).alias("std"), F.min(x).alias("min"),
+        r(q[0]).alias("p25"), r(q[1]).alias("p50"), r(q[2]).alias("p75"),
+        F.max(x).alias("max"))
 
 
 def profile_schema(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -56,10 +56,15 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, df in enumerate(landing_runs(spark, sf_dir))])
 
 
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw layer."""
+    return _stored(spark, sf_dir, "bronze", lambda: bronze(spark, sf_dir))
+
+
 def silver(spark: SparkSession, sf_dir: str,
            reference_order: bool = False) -> DataFrame:
-    """The cleaning transformation, computed from the raw layer."""
-    return sv.clean(bronze(spark, sf_dir), td.holdings(spark, sf_dir),
+    """The cleaning transformation, computed from the stored raw layer."""
+    return sv.clean(bronze_table(spark, sf_dir), td.holdings(spark, sf_dir),
                     td.SILVER_PARAMS, order=SILVER_ORDER,
                     reference_order=reference_order)
 

@@ -73,7 +73,7 @@ def _in(xs) -> str:
 
 
 def _prepared(spark, sf):
-    return sv.prepare(b.bronze(spark, sf), td.holdings(spark, sf))
+    return sv.prepare(b.bronze_table(spark, sf), td.holdings(spark, sf))
 
 
 # == 2.1 sources, sinks, load state ==========================================
@@ -116,7 +116,7 @@ def q_high_water_mark(spark, sf):
 @register("incremental_load",
           f"SELECT * FROM bronze WHERE \"Date\" > TIMESTAMP '{MARK}'")
 def q_incremental_load(spark, sf):
-    return inc.incremental_load(b.bronze(spark, sf), MARK)
+    return inc.incremental_load(b.bronze_table(spark, sf), MARK)
 
 
 # == 2.2 projection, casting, predicates =====================================
@@ -127,17 +127,17 @@ SELECT ticker_symbol, "Date" AS trade_date, "Open" AS open_price,
        "Volume" AS volume, l_orderkey, l_linenumber, l_suppkey, ingested_at,
        source_system, batch_id, ingested_date FROM bronze""")
 def q_rename_columns(spark, sf):
-    return sv.rename_columns(b.bronze(spark, sf))
+    return sv.rename_columns(b.bronze_table(spark, sf))
 
 
 @register("cast_types", "SELECT * FROM cast_rows")
 def q_cast_types(spark, sf):
-    return sv.cast_types(sv.rename_columns(b.bronze(spark, sf)))
+    return sv.cast_types(sv.rename_columns(b.bronze_table(spark, sf)))
 
 
 @register("type_lookup", "SELECT * FROM typed_rows")
 def q_type_lookup(spark, sf):
-    return sv.type_lookup(sv.cast_types(sv.rename_columns(b.bronze(spark, sf))),
+    return sv.type_lookup(sv.cast_types(sv.rename_columns(b.bronze_table(spark, sf))),
                           td.holdings(spark, sf))
 
 
@@ -332,7 +332,7 @@ SELECT ticker_symbol, count(*) AS row_count, min("Date") AS earliest_date,
        max("Date") AS latest_date
 FROM bronze GROUP BY ticker_symbol""")
 def q_bronze_counts(spark, sf):
-    return quality.bronze_counts(b.bronze(spark, sf))
+    return quality.bronze_counts(b.bronze_table(spark, sf))
 
 
 @register("bronze_null_audit", """
@@ -342,7 +342,7 @@ SELECT count(*) AS total_rows,
        count(*) FILTER (WHERE "Date" IS NULL) AS null_date
 FROM bronze""")
 def q_bronze_null_audit(spark, sf):
-    return quality.bronze_null_audit(b.bronze(spark, sf))
+    return quality.bronze_null_audit(b.bronze_table(spark, sf))
 
 
 @register("silver_counts", f"""
@@ -600,7 +600,7 @@ def q_scd2_counts(spark, sf):
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) "
     f"AS null_count FROM bronze" for c in BRONZE_COLS))
 def q_profile_nulls(spark, sf):
-    return quality.profile_nulls(b.bronze(spark, sf))
+    return quality.profile_nulls(b.bronze_table(spark, sf))
 
 
 def _describe_sql() -> str:
@@ -621,7 +621,7 @@ def _describe_sql() -> str:
 
 @register("profile_describe", _describe_sql())
 def q_profile_describe(spark, sf):
-    return quality.profile_describe(b.bronze(spark, sf), digits=6)
+    return quality.profile_describe(b.bronze_table(spark, sf), digits=6)
 
 
 # == 2.5 windows =================================================================
@@ -710,7 +710,7 @@ FROM bronze
 ORDER BY ticker_symbol, "Date", batch_id, l_orderkey, l_linenumber, l_suppkey
 LIMIT 5""")
 def q_sample_rows(spark, sf):
-    return (b.bronze(spark, sf)
+    return (b.bronze_table(spark, sf)
             .orderBy("ticker_symbol", "Date", "batch_id", "l_orderkey",
                      "l_linenumber", "l_suppkey").limit(5)
             .select("ticker_symbol", "Date", "Close", "ingested_at",
