@@ -3,7 +3,7 @@
 One Spark application runs the layers in order and stops at the first
 failure (an exception propagates).  Usable under ``spark-submit``:
 
-    spark-submit -m pricelake.plans.pipeline <lake_root> <holdings.json> \
+    spark-submit pricelake/plans/pipeline.py <lake_root> <holdings.json> \
         <drops_dir> [run_ts]
 
 Each job takes the run parameters explicitly; nothing reads the clock
@@ -103,15 +103,6 @@ def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
     return stats["n"]
 
 
-def build_gold(spark: SparkSession, silver: DataFrame, holdings: DataFrame,
-               prev_dim: DataFrame, params: RunParams) -> dict[str, DataFrame]:
-    """calendar -> SCD2 -> fact, as lazy frames."""
-    cal = dim_date(spark, params.calendar_start, params.calendar_end)
-    dim = scd2_merge(prev_dim, holdings, params)
-    return {"dim_date": cal, "dim_stock": dim,
-            "fact_stock_prices": fact_prices(silver, dim, cal, holdings, params)}
-
-
 def run_gold(spark: SparkSession, holdings: DataFrame, params: RunParams,
              paths: LakePaths) -> dict[str, int]:
     """Dimensions before facts; the new version is published last.

@@ -148,3 +148,49 @@ def test_stream_equals_batch_and_dedups_across_runs(spark, tmp_path):
     assert got == [("NVDA", D(2025, 3, 10), 100.0),
                    ("NVDA", D(2025, 3, 11), 110.0),
                    ("VFIAX", D(2025, 3, 10), 50.0)]
+
+
+def test_incremental_noop(spark):
+    """A load with nothing newer than the mark writes nothing."""
+    from pricelake.operators import incremental as inc
+    from pricelake.schemas import BRONZE
+    bronze = spark.createDataFrame([
+        (dt.datetime(2025, 3, 10), 1.0, 1.0, 1.0, 1.0, 1, "NVDA", "i", "s",
+         "b", "2025-03-10")], BRONZE)
+    silver = spark.createDataFrame([(D(2025, 3, 10),)], "trade_date date")
+    mark = inc.mark_value(silver)
+    assert mark == D(2025, 3, 10)
+    assert not inc.has_rows(inc.incremental_load(bronze, mark))
+    assert inc.has_rows(inc.incremental_load(bronze, None))
+    assert inc.mark_value(None) is None
+
+
+def test_per_ticker_mark_takes_late_ticker(spark):
+    from pricelake.operators import incremental as inc
+    from pricelake.schemas import BRONZE
+    rows = [(dt.datetime(2025, 3, 13), "VFIAX"), (dt.datetime(2025, 3, 14), "NVDA")]
+    bronze = spark.createDataFrame(
+        [(d, 1.0, 1.0, 1.0, 1.0, 1, t, "i", "s", "b", "x") for d, t in rows],
+        BRONZE)
+    silver = spark.createDataFrame(
+        [("VFIAX", D(2025, 3, 12)), ("NVDA", D(2025, 3, 13))],
+        "ticker_symbol string, trade_date date")
+    glob = inc.incremental_load(bronze, inc.mark_value(silver))
+    per = inc.incremental_load_per_ticker(bronze, silver)
+    assert [r.ticker_symbol for r in glob.collect()] == ["NVDA"]
+    assert sorted(r.ticker_symbol for r in per.collect()) == ["NVDA", "VFIAX"]
+
+
+def test_empty_result_guard(spark):
+    from pricelake.operators import marts
+    df = spark.createDataFrame([], "trade_date date, instrument_type string, "
+                                   "sector string, ticker_symbol string")
+    assert marts.is_empty_result(marts.analyst_filter(df))
+
+
+def test_profile_schema(spark):
+    from pricelake.operators.quality import profile_schema
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string")
+    rows = [(r.column_name, r.data_type, r.row_count)
+            for r in profile_schema(spark, df).orderBy("position").collect()]
+    assert rows == [("x", "int", 2), ("y", "string", 2)]
