@@ -36,9 +36,9 @@ def incremental_load(bronze: DataFrame, mark: dt.date | Column | None,
         return bronze
     if isinstance(mark, Column):
         return bronze.where(mark.isNull() | (F.to_date(date_col) > mark))
-    # Rows dated after the mark day: the timestamp is >= the next midnight.
-    nxt = dt.datetime.combine(mark + dt.timedelta(days=1), dt.time())
-    return bronze.where(F.col(date_col) >= F.lit(nxt).cast("timestamp_ntz"))
+    # A date literal: Spark unwraps the cast into a range filter on the raw
+    # timestamp column, which reaches the Parquet scan.
+    return bronze.where(F.to_date(date_col) > F.lit(mark))
 
 
 def incremental_load_per_ticker(bronze: DataFrame, silver: DataFrame,

@@ -32,9 +32,13 @@ PROVIDER_COLS = ["Open", "High", "Low", "Close", "Volume"]
 
 def _date_column(df: DataFrame) -> F.Column:
     dtype = df.schema["Date"].dataType
-    if isinstance(dtype, T.LongType):        # nanoseconds since the epoch
-        micros = F.floor(F.col("Date") / F.lit(1000)).cast("long")
-        return F.timestamp_micros(micros).cast("timestamp_ntz")
+    if isinstance(dtype, T.LongType):
+        # Wall-clock nanoseconds since 1970-01-01 (no zone): epoch + interval
+        # keeps the value independent of the session time zone.
+        secs = (F.floor(F.col("Date") / F.lit(1000)).cast("decimal(20,0)")
+                / F.lit(1_000_000)).cast("decimal(18,6)")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
     return F.col("Date").cast("timestamp_ntz")
 
 
