@@ -1,4 +1,4 @@
-"""Dense sequential numbering without a single-task window.
+"""Dense sequential numbering without a single-task window over the rows.
 
 ``ROW_NUMBER() OVER (ORDER BY a, b)`` with no partition moves every row
 into one task.  ``sequential_ids`` computes the same numbers in parallel
@@ -9,16 +9,16 @@ when the order is a pair ``(coarse, fine)`` that is unique per row and
    most ``block`` rows because ``fine`` is unique within ``coarse``, so the
    ``row_number`` window inside a cell is bounded no matter how skewed the
    data is;
-2. the per-cell row counts give each cell's offset: a running sum over
-   ``coarse`` values (one row per distinct ``coarse``) plus a running sum over
-   the cells of one ``coarse`` value;
+2. cell sizes come from a map-side-combined ``count`` over the two key
+   columns only; a running sum over the cells in (coarse, block) order gives
+   each cell's offset.  That is the only unpartitioned window, and it runs
+   over one row per cell: at most (distinct coarse values) x (key range /
+   block) rows, independent of the number of data rows (for the price fact:
+   calendar days x stock-key blocks);
 3. number = offset + row number inside the cell.
 
-The only unpartitioned window runs over the distinct ``coarse`` values; the
-caller picks ``coarse`` with a known bound (for the price fact: trade dates,
-bounded by the calendar).  The counts come from a map-side-combined
-``count`` over the two key columns only, so the full rows cross the network
-once (for the in-cell window).
+The full rows cross the network once (for the in-cell window); the counts
+branch reads only the key columns.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK = 4096
+DEFAULT_BLOCK = 16384
 
 
 def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
@@ -45,23 +45,15 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
     in_cell = Window.partitionBy("__c", "__b").orderBy("__f")
     numbered = cells.withColumn("__rn", F.row_number().over(in_cell))
 
-    # Cell sizes from a partial count (combines map-side, tiny shuffle).
+    # Cell sizes from a partial count (combines map-side, tiny shuffle),
+    # then one running sum over the cells gives every cell's offset.
     counts = cells.groupBy("__c", "__b").agg(F.count(F.lit(1)).alias("__n"))
-    coarse_tot = counts.groupBy("__c").agg(F.sum("__n").alias("__cn"))
-    # One row per distinct coarse value: bounded by the caller's choice.
-    coarse_off = coarse_tot.select(
-        "__c",
-        F.coalesce(F.sum("__cn").over(
-            Window.orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("__co"))
-    cell_off = counts.select(
+    offsets = counts.select(
         "__c", "__b",
         F.coalesce(F.sum("__n").over(
-            Window.partitionBy("__c").orderBy("__b")
+            Window.orderBy("__c", "__b")
             .rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("__bo"))
-    offsets = cell_off.join(coarse_off, "__c").select(
-        "__c", "__b", (F.col("__co") + F.col("__bo")).alias("__off"))
+            F.lit(0)).alias("__off"))
 
     start_col = start if isinstance(start, Column) else F.lit(start)
     return numbered.join(offsets, ["__c", "__b"]).select(
