@@ -23,6 +23,7 @@ from pricelake.operators.joins import broadcast_if_small
 from pricelake.params import MUTUAL_FUND, RunParams
 from pricelake.schemas import FUND_NULLED, RENAMES, SILVER_COLS, SILVER_KEPT
 
+
 KEY = ["ticker_symbol", "trade_date"]
 DEFAULT_ORDER = ["ingested_at", "batch_id"]
 

@@ -22,6 +22,7 @@ from pricelake.operators.calendar import dim_date
 from pricelake.operators.fact import fact_prices
 from pricelake.operators.marts import star_join
 from pricelake.operators.scd2 import scd2_merge
+from pricelake.schemas import SILVER_COLS
 from pricelake.session import scratch_path
 from pricelake.sources import testdata as td
 from pricelake.sources.landing import bronze_metadata, bronze_union
@@ -74,6 +75,27 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "silver", lambda: silver(spark, sf_dir))
 
 
+def bronze_table_path(spark: SparkSession, sf_dir: str) -> str:
+    bronze_table(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "bronze")
+    return _TABLES[key]
+
+
+def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned layer produced by the streaming load.
+
+    Runs the availableNow stream over the stored raw layer into a fresh
+    folder (with its own checkpoint) and returns a read of the result.
+    """
+    from pricelake.streaming.incremental import run_stream
+    src = bronze_table_path(spark, sf_dir)
+    out = scratch_path(spark, "silver-stream")
+    run_stream(spark, src, f"{out}/table", f"{out}/_checkpoint",
+               td.holdings(spark, sf_dir), td.SILVER_PARAMS,
+               schema=spark.read.parquet(src).schema, order=SILVER_ORDER)
+    return spark.read.parquet(f"{out}/table").select(*SILVER_COLS)
+
+
 def calendar(spark: SparkSession) -> DataFrame:
     p = td.GOLD_PARAMS
     return dim_date(spark, p.calendar_start, p.calendar_end)

@@ -197,6 +197,11 @@ def q_dedup_first(spark, sf):
                           b.SILVER_ORDER)
 
 
+@register("incremental_stream", "SELECT * FROM silver")
+def q_incremental_stream(spark, sf):
+    return b.silver_stream(spark, sf)
+
+
 @register("silver_metadata", "SELECT * FROM silver")
 def q_silver_metadata(spark, sf):
     return b.silver(spark, sf)

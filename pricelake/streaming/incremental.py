@@ -20,9 +20,12 @@ newest cleaned date) when their key is new.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from pricelake.operators import silver as sv
 from pricelake.params import RunParams
@@ -31,10 +34,11 @@ from pricelake.sources import sinks
 
 
 def clean_new_keys(batch: DataFrame, holdings: DataFrame, params: RunParams,
-                   silver_path: str) -> DataFrame:
+                   silver_path: str,
+                   order: Sequence[str] = tuple(sv.DEFAULT_ORDER)) -> DataFrame:
     """Cleaned rows of one micro-batch whose key is not yet in silver."""
     spark = batch.sparkSession
-    cleaned = sv.clean(batch, holdings, params)
+    cleaned = sv.clean(batch, holdings, params, order=order)
     existing = sinks.read_if_exists(spark, silver_path, SILVER)
     if existing is None:
         return cleaned
@@ -49,12 +53,18 @@ def clean_new_keys(batch: DataFrame, holdings: DataFrame, params: RunParams,
 
 def incremental_stream(spark: SparkSession, bronze_path: str, silver_path: str,
                        checkpoint: str, holdings: DataFrame,
-                       params: RunParams) -> StreamingQuery:
+                       params: RunParams, schema: StructType = BRONZE,
+                       order: Sequence[str] = tuple(sv.DEFAULT_ORDER),
+                       max_files_per_trigger: int | None = None
+                       ) -> StreamingQuery:
     """Start the availableNow load; returns the (finishing) query."""
-    source = spark.readStream.schema(BRONZE).parquet(bronze_path)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    source = reader.parquet(bronze_path)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        out = clean_new_keys(batch, holdings, params, silver_path)
+        out = clean_new_keys(batch, holdings, params, silver_path, order)
         sinks.silver_write(out.select(*SILVER_COLS), silver_path,
                            params.run_date_iso, f"stream-{batch_id:06d}")
 
@@ -64,9 +74,10 @@ def incremental_stream(spark: SparkSession, bronze_path: str, silver_path: str,
 
 
 def run_stream(spark: SparkSession, bronze_path: str, silver_path: str,
-               checkpoint: str, holdings: DataFrame, params: RunParams) -> None:
+               checkpoint: str, holdings: DataFrame, params: RunParams,
+               **options) -> None:
     q = incremental_stream(spark, bronze_path, silver_path, checkpoint,
-                           holdings, params)
+                           holdings, params, **options)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
