@@ -56,7 +56,9 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
             F.lit(0)).alias("__off"))
 
     start_col = start if isinstance(start, Column) else F.lit(start)
-    return numbered.join(offsets, ["__c", "__b"]).select(
+    # Every cell has exactly one offset row, so a left join equals the inner
+    # join; it lets the optimizer drop the numbering when the id is unused.
+    return numbered.join(offsets, ["__c", "__b"], "left").select(
         *cols,
         (start_col.cast("long") + F.col("__off").cast("long")
          + F.col("__rn").cast("long")).alias(name))
