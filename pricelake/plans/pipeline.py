@@ -121,7 +121,8 @@ def run_gold(spark: SparkSession, holdings: DataFrame, params: RunParams,
     dim = spark.read.parquet(dim_path)
     fact = fact_prices(silver, dim, cal, holdings, params)
     counts = sinks.gold_write({"dim_date": cal, "fact_stock_prices": fact},
-                              paths.gold, version, params.run_iso)
+                              paths.gold, version, params.run_iso,
+                              partition_by={"fact_stock_prices": ["date_key"]})
     counts["dim_stock"] = sinks.write_verify(spark, dim_path)
     return counts
 

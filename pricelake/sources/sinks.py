@@ -122,15 +122,26 @@ def gold_path(gold_root: str, version: str, table: str) -> str:
 
 
 def gold_write(tables: dict[str, DataFrame], gold_root: str, version: str,
-               published_at: str) -> dict[str, int]:
+               published_at: str,
+               partition_by: dict[str, list[str]] | None = None
+               ) -> dict[str, int]:
     """Write every table to a fresh version directory, verify the counts,
-    then publish the version.  Returns the verified row counts."""
+    then publish the version.  Returns the verified row counts.
+
+    ``partition_by`` names partition columns per table (the fact by
+    ``date_key``: date filters of the marts then prune directories, and star
+    joins with a filtered calendar get dynamic partition pruning).
+    """
     counts = {}
     spark = None
     for name, df in tables.items():
         spark = df.sparkSession
         path = gold_path(gold_root, version, name)
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write.mode("overwrite")
+        cols = (partition_by or {}).get(name)
+        if cols:
+            writer = writer.partitionBy(*cols)
+        writer.parquet(path)
         counts[name] = write_verify(spark, path)
     spark.createDataFrame([(version, published_at)], PUBLISHED).coalesce(1) \
         .write.mode("append").parquet(f"{gold_root.rstrip('/')}/_published")

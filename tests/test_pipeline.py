@@ -194,3 +194,18 @@ def test_profile_schema(spark):
     rows = [(r.column_name, r.data_type, r.row_count)
             for r in profile_schema(spark, df).orderBy("position").collect()]
     assert rows == [("x", "int", 2), ("y", "string", 2)]
+
+
+def test_gold_fact_is_partitioned_by_date(spark, drops, lake):
+    paths = pl.LakePaths(lake)
+    hold = holdings_table(spark, HOLD)
+    p1 = RunParams(run_ts=dt.datetime(2025, 3, 14, 18, 0, 0),
+                   calendar_start=D(2025, 3, 9))
+    pl.run_bronze(spark, drops, p1, paths)
+    pl.run_silver(spark, hold, p1, paths)
+    pl.run_gold(spark, hold, p1, paths)
+    fact = sinks.gold_table(spark, paths.gold, "fact_stock_prices")
+    one_day = fact.where(F.col("date_key") == 20250311)
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_key" in plan
+    assert [r.close_price for r in one_day.collect()] == [110.0]
