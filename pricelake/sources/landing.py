@@ -27,9 +27,6 @@ from pricelake.schemas import LANDING
 
 log = logging.getLogger(__name__)
 
-PROVIDER_COLS = ["Open", "High", "Low", "Close", "Volume"]
-
-
 def _date_column(df: DataFrame) -> F.Column:
     dtype = df.schema["Date"].dataType
     if isinstance(dtype, T.LongType):

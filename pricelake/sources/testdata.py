@@ -5,8 +5,8 @@ The test tables hold no prices, so the model is bound to them as views:
 * ``part``      -> holdings (instrument = part)
 * ``lineitem``  -> raw daily prices (instrument = part, day = ship date,
   close = extended price / quantity); the three return flags are three
-  landing runs of the raw layer
-* ``events``    -> a landing stream (instrument = user, daily bar from ts/value)
+  landing runs of the raw layer (the streaming load reads the stored raw
+  layer as its file source)
 
 The run parameters below stand in for the clock: the test tables end in
 2001, so "today" is 2001-12-31.
@@ -130,16 +130,3 @@ def holdings_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next holdings configuration: every 10th ticker removed."""
     return holdings(spark, sf_dir).where(F.col("ordinal") % 10 != 7)
 
-
-def events_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a landing feed of daily bars per user.
-
-    Each event is one tick; the landing reader rolls ticks up to a daily bar.
-    """
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        ticker_of(F.col("user_id")).alias("ticker_symbol"),
-        F.col("ts").cast("timestamp_ntz").alias("ts"),
-        F.col("value").cast("double").alias("price"),
-        F.col("event_id"),
-    )
