@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,11 +70,13 @@ def profile_describe(df: DataFrame, approx_above: int | None = 50_000_000,
                      digits: int | None = None) -> DataFrame:
     """count, mean, std, min, quartiles, max of every numeric column.
 
-    One aggregate pass.  Quartiles interpolate linearly between order
-    statistics (as pandas ``describe``) with the exact ``percentile``
-    aggregate.  That aggregate keeps a value -> count map per column in the
-    final task, so above ``approx_above`` rows (checked with a bounded count)
-    the bounded-memory ``percentile_approx`` sketch is used instead.
+    The moments come from one partial aggregate over a long
+    (column_name, x) frame.  Quartiles interpolate linearly between order
+    statistics, as pandas ``describe`` does: values are ranked per column by
+    a sort (which spills to disk), only the few ranks needed are kept, and
+    the interpolation is an aggregate over those.  A column's ranking runs
+    in one task, so above ``approx_above`` rows (checked with a bounded
+    count) the bounded-memory ``percentile_approx`` sketch is used instead.
 
     ``digits`` rounds the floating statistics (mean, std, quartiles) for
     display; their last bits depend on summation order, which varies with
@@ -84,20 +86,50 @@ def profile_describe(df: DataFrame, approx_above: int | None = 50_000_000,
             if isinstance(f.dataType, NUMERIC)]
     approx = approx_above is not None and not bounded_rows(df, approx_above)
     qs = [0.25, 0.5, 0.75]
-    # Long form (column_name, x): each column's final aggregate is its own
-    # group, so the columns finish in parallel tasks.
+    names = ["p25", "p50", "p75"]
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], cols, "column_name", "x")
     x = F.col("x")
-    q = (F.percentile_approx(x, qs, accuracy) if approx
-         else F.percentile(x, F.array(*[F.lit(v) for v in qs])))
     r = (lambda v: round_half_away(v, digits)) if digits is not None \
         else (lambda v: v)
-    return long.groupBy("column_name").agg(
+    moments = long.groupBy("column_name").agg(
         F.count(x).cast("double").alias("count"), r(F.avg(x)).alias("mean"),
         r(F.stddev_samp(x)).alias("std"), F.min(x).alias("min"),
-        r(q[0]).alias("p25"), r(q[1]).alias("p50"), r(q[2]).alias("p75"),
-        F.max(x).alias("max"))
+        F.max(x).alias("max"),
+        *([r(F.percentile_approx(x, qs, accuracy)[i]).alias(nm)
+           for i, nm in enumerate(names)] if approx else []))
+    if not approx:
+        quart = _exact_quartiles(long, qs, names)
+        moments = moments.join(quart.select(
+            "column_name", *[r(F.col(nm)).alias(nm) for nm in names]),
+            "column_name", "left")
+    return moments.select("column_name", "count", "mean", "std", "min",
+                          *names, "max")
+
+
+def _exact_quartiles(long: DataFrame, qs: list[float],
+                     names: list[str]) -> DataFrame:
+    """Linear-interpolation quantiles per column from ranked values."""
+    vals = long.where(F.col("x").isNotNull())
+    by_col = Window.partitionBy("column_name")
+    ranked = vals.select(
+        "column_name", "x",
+        (F.row_number().over(by_col.orderBy("x")) - 1).alias("rk"),
+        F.count(F.lit(1)).over(by_col).alias("n"))
+    pos = {nm: (F.col("n") - 1).cast("double") * F.lit(q)
+           for q, nm in zip(qs, names)}
+    needed = F.lit(False)
+    for nm in names:
+        needed = needed | (F.col("rk") == F.floor(pos[nm])) \
+            | (F.col("rk") == F.ceil(pos[nm]))
+    picked = ranked.where(needed)
+    aggs = []
+    for nm in names:
+        lo = F.max(F.when(F.col("rk") == F.floor(pos[nm]), F.col("x")))
+        hi = F.max(F.when(F.col("rk") == F.ceil(pos[nm]), F.col("x")))
+        frac = F.max(pos[nm] - F.floor(pos[nm]))
+        aggs.append((lo + (hi - lo) * frac).alias(nm))
+    return picked.groupBy("column_name").agg(*aggs)
 
 
 def profile_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
