@@ -639,7 +639,7 @@ def _keyed(spark, sf):
 
 @register("daily_return", """
 SELECT r.stock_key, r.trade_date, r.close_price, r.daily_return_pct
-FROM with_returns r JOIN holdings_next h ON r.ticker_symbol = h.ticker_symbol""")
+FROM return_rows r JOIN holdings_next h ON r.ticker_symbol = h.ticker_symbol""")
 def q_daily_return(spark, sf):
     return _keyed(spark, sf).select(
         "stock_key", "trade_date", "close_price",
