@@ -116,8 +116,10 @@ def validate_counts(df: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
-                order: Sequence[str] = tuple(DEFAULT_ORDER)) -> DataFrame:
-    """One row per key: the first by ``order`` (nulls first), ties by payload.
+                order: Sequence[str] = tuple(DEFAULT_ORDER),
+                keep: str = "first") -> DataFrame:
+    """One row per key: the first by ``order`` (nulls first), ties by payload;
+    ``keep="last"`` keeps the last instead (restated prices: newest wins).
 
     Written as ``min(struct(order..., payload...))`` per key rather than a
     ``row_number`` window: ``min`` combines map-side, so a key with millions
@@ -128,7 +130,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
     order_fields = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]
-    first = F.min(F.struct(*order_fields, *[F.col(c) for c in payload]))
+    pick = F.max if keep == "last" else F.min
+    first = pick(F.struct(*order_fields, *[F.col(c) for c in payload]))
     out = df.groupBy(*keys).agg(first.alias("__first"))
     return out.select(*[F.col(k) for k in keys],
                       *[F.col(f"__first.{c}").alias(c) for c in payload]
@@ -152,11 +155,15 @@ def prepare(bronze: DataFrame, holdings: DataFrame,
 
 def clean(bronze: DataFrame, holdings: DataFrame, params: RunParams,
           order: Sequence[str] = tuple(DEFAULT_ORDER),
-          reference_order: bool = False) -> DataFrame:
-    """The full raw -> cleaned transformation (no I/O)."""
+          reference_order: bool = False, keep: str = "first") -> DataFrame:
+    """The full raw -> cleaned transformation (no I/O).
+
+    ``keep="last"`` keeps the newest copy of a (ticker, date) instead of the
+    first: the restate mode, for sources that restate adjusted prices.
+    """
     df = prepare(bronze, holdings, params.broadcast_max_rows)
     if reference_order:
-        df = validate(dedup_first(df, KEY, order), params.today)
+        df = validate(dedup_first(df, KEY, order, keep), params.today)
     else:
-        df = dedup_first(validate(df, params.today), KEY, order)
+        df = dedup_first(validate(df, params.today), KEY, order, keep)
     return silver_metadata(project_contract(df), params).select(*SILVER_COLS)

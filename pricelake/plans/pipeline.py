@@ -73,14 +73,26 @@ def run_bronze(spark: SparkSession, drops: dict[str, str], params: RunParams,
 
 def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
                paths: LakePaths, per_ticker_mark: bool = False,
-               reference_order: bool = False) -> int:
+               reference_order: bool = False, restate: bool = False) -> int:
     """mark -> incremental load -> clean -> write -> audit.
 
     Returns the rows written (0 when there was nothing new: no write).
+    ``restate`` rebuilds the layer from every raw row with the newest copy
+    of each (ticker, date) winning, so restated adjusted prices replace old
+    ones (no mark; the whole layer is replaced in one commit).
     """
     bronze = read_bronze(spark, paths)
     if bronze is None:
         raise FileNotFoundError(f"no raw layer at {paths.bronze}")
+    if restate:
+        cleaned = sv.clean(bronze, holdings, params, keep="last")
+        sinks.silver_write(cleaned, paths.silver, params.run_date_iso,
+                           params.batch_id, replace_all=True)
+        n = spark.read.schema(SILVER).parquet(paths.silver).count()
+        sinks.watermark_commit(spark, paths.audit, params.batch_id,
+                               "silver-restate", None, bronze.count(), n,
+                               params.run_iso)
+        return n
     silver = read_silver(spark, paths)
     if per_ticker_mark and silver is not None:
         mark = None

@@ -83,12 +83,14 @@ def bronze_append(df: DataFrame, bronze_path: str, ingested_date: str) -> bool:
 # -- cleaned layer --------------------------------------------------------------
 
 def silver_write(df: DataFrame, silver_path: str, processed_date: str,
-                 run_id: str) -> None:
-    """Write the run under (processed_date, run_id), replacing only that run."""
+                 run_id: str, replace_all: bool = False) -> None:
+    """Write the run under (processed_date, run_id), replacing only that run;
+    ``replace_all`` replaces the whole layer (restate mode)."""
     (df.withColumn("processed_date", F.lit(processed_date))
        .withColumn("run_id", F.lit(run_id))
        .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode",
+               "static" if replace_all else "dynamic")
        .partitionBy("processed_date", "run_id")
        .parquet(silver_path))
 

@@ -209,3 +209,27 @@ def test_gold_fact_is_partitioned_by_date(spark, drops, lake):
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_key" in plan
     assert [r.close_price for r in one_day.collect()] == [110.0]
+
+
+def test_restate_newest_price_wins(spark, lake):
+    """D9: a restated (split-adjusted) price replaces the old one."""
+    from pricelake.schemas import BRONZE
+    paths = pl.LakePaths(lake)
+    hold = holdings_table(spark, HOLD)
+
+    def land(close, day):
+        df = spark.createDataFrame([
+            (dt.datetime(2025, 3, 10), close, close, close, close, 10, "NVDA",
+             f"{day}T18:00:00", "yfinance", f"{day}_180000", day)], BRONZE)
+        sinks.bronze_append(df.drop("ingested_date"), paths.bronze, day)
+
+    land(100.0, "2025-03-10")
+    land(10.0, "2025-03-11")      # restated after a 10:1 split
+    p = RunParams(run_ts=dt.datetime(2025, 3, 11, 19, 0, 0))
+    assert pl.run_silver(spark, hold, p, paths, restate=True) == 1
+    got = [r.close_price for r in pl.read_silver(spark, paths).collect()]
+    assert got == [10.0]
+    # the default keeps the first copy
+    first = spark.createDataFrame(pl.read_bronze(spark, paths).collect(), BRONZE)
+    from pricelake.operators import silver as sv
+    assert [r.close_price for r in sv.clean(first, hold, p).collect()] == [100.0]
