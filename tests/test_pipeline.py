@@ -233,3 +233,24 @@ def test_restate_newest_price_wins(spark, lake):
     first = spark.createDataFrame(pl.read_bronze(spark, paths).collect(), BRONZE)
     from pricelake.operators import silver as sv
     assert [r.close_price for r in sv.clean(first, hold, p).collect()] == [100.0]
+
+
+def test_run_all_in_order(spark, drops, lake):
+    paths = pl.LakePaths(lake)
+    hold = holdings_table(spark, HOLD)
+    p = RunParams(run_ts=dt.datetime(2025, 3, 14, 18, 0, 0),
+                  calendar_start=D(2025, 3, 9))
+    out = pl.run_all(spark, drops, hold, p, paths, D(2025, 3, 1))
+    assert out["bronze_written"] is True
+    assert out["silver_rows"] == 4
+    assert out["gold"]["fact_stock_prices"] == 4
+    assert out["gold"]["dim_date"] == (D(2035, 12, 31) - D(2025, 3, 9)).days + 1
+
+
+def test_run_all_stops_at_first_failure(spark, tmp_path, lake):
+    paths = pl.LakePaths(lake)
+    hold = holdings_table(spark, HOLD)
+    p = RunParams(run_ts=dt.datetime(2025, 3, 14, 18, 0, 0))
+    with pytest.raises(ValueError):
+        pl.run_all(spark, {"X": str(tmp_path / "none.parquet")}, hold, p, paths)
+    assert pl.read_silver(spark, paths) is None
