@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import licenses, mixing, pii, topk_search, url_filter, warc
+from pricelake.llm import (decontamination, licenses, mixing, pii, topk_search,
+                           url_filter, warc)
 from pricelake.llm.common import table
 
 
@@ -14,6 +15,12 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(index, F.col("vec_id") % 100 == 0)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontamination.build_index(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+    return decontamination.contamination(index)
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = url_filter.train(url_filter.labelled_table(spark))
     return url_filter.url_filter(table(spark, sf_dir, "pages"), weights)
@@ -37,7 +44,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_topk_search, op4_url_filter, op6_source_mix, op7_license_scan, op8_pii,
+    op1_topk_search, op2_decontamination, op4_url_filter, op6_source_mix, op7_license_scan, op8_pii,
     op10_warc)}
 
 OP1_SQL = """
@@ -58,4 +65,5 @@ ranked AS (
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
-ORACLE = {"op1_topk_search": OP1_SQL, "op6_source_mix": mixing.sql()}
+ORACLE = {"op1_topk_search": OP1_SQL, "op2_decontamination": decontamination.SQL,
+          "op6_source_mix": mixing.sql()}
