@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import (decontamination, licenses, mixing, pii, topk_search,
-                           url_filter, warc)
+                           toxicity, url_filter, warc)
 from pricelake.llm.common import table
 
 
@@ -38,6 +38,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(docs, model)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = warc.write_warc(table(spark, sf_dir, "pages"))
     return warc.read_warc(folder, manifest).drop("url")
@@ -45,7 +51,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_topk_search, op2_decontamination, op4_url_filter, op6_source_mix, op7_license_scan, op8_pii,
-    op10_warc)}
+    op9_toxicity, op10_warc)}
 
 OP1_SQL = """
 WITH vecs AS (
