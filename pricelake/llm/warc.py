@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pricelake.llm.common import stored
 from pricelake.session import scratch_path
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 SHARD_BYTES = 64 << 20
 ROLL_BYTES = 8 << 20
 WARC_DATE = "2000-01-01T00:00:00Z"
@@ -195,10 +195,12 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         .withColumn("n", F.length("payload"))
 
     keys = stored(rows.select("page_id", "sha", "n"), "warc-keys")
-    same = (keys.where(F.col("n") >= min_bytes).groupBy("sha", "n")
-            .agg(F.max("page_id").alias("response"),
-                 F.count("*").alias("copies"))
-            .where("copies > 1").drop("copies"))
+    # stored, so that its size is known: payloads stay where they are unless
+    # the repeated ones are too many to broadcast
+    same = stored(keys.where(F.col("n") >= min_bytes).groupBy("sha", "n")
+                  .agg(F.max("page_id").alias("response"),
+                       F.count("*").alias("copies"))
+                  .where("copies > 1").drop("copies"), "warc-same")
 
     span = keys.agg(F.min("page_id"), F.max("page_id"), F.count("*"),
                     F.sum("n")).first()
