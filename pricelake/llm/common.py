@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +44,22 @@ def n_space_words(text: Column) -> Column:
     tail = F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1) \
         .otherwise(0)
     return (F.size(parts) - head - tail).cast("bigint")
+
+
+def hashed_set(names: DataFrame, bits: int) -> np.ndarray:
+    """A bit table of fixed size (``bits``, a power of two up to 2**32) of a
+    one-column table of longs: bit ``name mod bits`` (as unsigned) is set for
+    every name.  At most bits / 32768 rows of 4 kB reach the driver."""
+    slot = F.col(names.columns[0]).bitwiseAND(F.lit(bits - 1)) + 1
+    blocks = names.groupBy(F.bitmap_bucket_number(slot).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("m"))
+    table = np.zeros((max(1, bits >> 15), 4096), np.uint8)
+    for b, m in blocks.toLocalIterator():
+        table[b - 1] = np.frombuffer(m, np.uint8)
+    return table.ravel()
+
+
+def is_in(table: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which of the names may be in a ``hashed_set``."""
+    slot = names.view(np.int64) & np.int64(8 * len(table) - 1)
+    return (table[slot >> 3] >> (slot & 7) & 1).astype(bool)

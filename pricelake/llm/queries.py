@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import (decontamination, licenses, mixing, pii, topk_search,
-                           toxicity, url_filter, warc)
+from pricelake.llm import (decontamination, licenses, mixing, ngram_join, pii,
+                           suffix_dedup, topk_search, toxicity, url_filter, warc)
 from pricelake.llm.common import table
 
 
@@ -21,11 +21,19 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(index)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = url_filter.train(url_filter.labelled_table(spark))
     return url_filter.url_filter(table(spark, sf_dir, "pages"), weights)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -50,7 +58,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_topk_search, op2_decontamination, op4_url_filter, op6_source_mix, op7_license_scan, op8_pii,
+    op1_topk_search, op2_decontamination, op3_suffix_dedup, op4_url_filter, op5_ngram_jaccard,
+    op6_source_mix, op7_license_scan, op8_pii,
     op9_toxicity, op10_warc)}
 
 OP1_SQL = """
@@ -72,4 +81,4 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 ORACLE = {"op1_topk_search": OP1_SQL, "op2_decontamination": decontamination.SQL,
-          "op6_source_mix": mixing.sql()}
+          "op5_ngram_jaccard": ngram_join.SQL, "op6_source_mix": mixing.sql()}
