@@ -63,3 +63,29 @@ def is_in(table: np.ndarray, names: np.ndarray) -> np.ndarray:
     """Which of the names may be in a ``hashed_set``."""
     slot = names.view(np.int64) & np.int64(8 * len(table) - 1)
     return (table[slot >> 3] >> (slot & 7) & 1).astype(bool)
+
+
+def without(docs: DataFrame, gone: DataFrame, key: dict[str, Column],
+            slots: int = 1 << 17) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` (name -> expression) is not in the
+    one-column table ``gone``.
+
+    A hashed table of fixed size, with one byte per slot, lets rows pass that
+    cannot be meant; only the others are shuffled for the exact anti join.
+    Null keys stay.  Built-in functions only.
+    """
+    (name, expr), = key.items()
+
+    def slot(col):
+        return F.pmod(F.xxhash64(col), F.lit(slots)).cast("int")
+    marks = bytearray(slots)
+    for (at,) in gone.select(slot(F.col(name))).distinct().toLocalIterator():
+        marks[at] = 1                       # at most ``slots`` rows
+    own = docs.columns
+    keyed = docs.withColumn("_gone_key", expr)
+    mark = F.substring(F.lit(marks), slot(F.col("_gone_key")) + 1, F.lit(1))
+    free = F.col("_gone_key").isNull() | (mark == F.lit(bytearray(1)))
+    rest = keyed.where(~free).join(
+        gone.select(F.col(name).alias("_gone_name")),
+        F.col("_gone_key") == F.col("_gone_name"), "left_anti")
+    return keyed.where(free).select(*own).unionByName(rest.select(*own))
