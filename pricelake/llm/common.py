@@ -22,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared scratch area and read it
-    back: cuts the lineage, and survives lost executors."""
+    back: cuts the lineage, and survives lost executors.  zstd frees its native
+    buffers at the end of each file; Parquet's snappy keeps direct buffers
+    until a full collection, which adds up over many small files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
