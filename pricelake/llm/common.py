@@ -16,19 +16,49 @@ ALNUM_SEP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACE_SEP = r"[\x20\x09-\x0D]+"
 
 
+# While a scratch table is written: shuffle files go when the query ends, and
+# Arrow batches, of which each task holds several, stay small.
+WRITE_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh folder of the shared scratch area and read it
-    back: cuts the lineage, and survives lost executors.  zstd frees its native
-    buffers at the end of each file; Parquet's snappy keeps direct buffers
-    until a full collection, which adds up over many small files."""
+    back: cuts the lineage, and survives lost executors.  Also returns the
+    folder, for ``discard``.
+
+    The shuffle files of the write are dropped with it, as the frame is not
+    run again.  zstd frees its native buffers at the end of each file;
+    Parquet's snappy keeps direct buffers until a full collection, which adds
+    up over many small files.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    old = {name: spark.conf.get(name) for name in WRITE_SETTINGS}
+    for name, value in WRITE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return stored_at(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ascii_lower(col: Column) -> Column:

@@ -43,7 +43,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm import textkernel as tk
-from pricelake.llm.common import hashed_set, is_in, stored
+from pricelake.llm.common import (discard, hashed_set, is_in, stored,
+                                  stored_at)
 from pricelake.llm.graph import components
 from pricelake.llm.streaming_groups import SharedGroups
 
@@ -53,6 +54,7 @@ HOT = 32              # documents from which on a shingle counts as frequent
 HOT_ROWS = 1 << 20    # most frequent shingles that are kept
 SALT = 64
 FRAGMENTS = 8
+MEMBERS = 4096        # sets that one copy of a centre is held against
 PARITY_BITS = 512
 NEED_BITS = 1 << 23   # size of the hashed set of documents read again
 
@@ -287,38 +289,62 @@ def _needed(docs: DataFrame, id_col: str, text_col: str, tags: DataFrame,
         run, "node long, fragment int, part binary")
 
 
+def _roles(pairs: DataFrame) -> DataFrame:
+    """Where a node's set goes: to each centre it is paired with (kind 1), and
+    as a centre to its own place (kind 0).  A centre with many members is
+    dealt over several places."""
+    members = pairs.groupBy("b").agg(
+        F.ceil(F.count("*") / MEMBERS).cast("int").alias("places"))
+    own = members.select(
+        F.col("b").alias("node"), F.col("b").alias("centre"),
+        F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"),
+        F.lit(0).alias("kind"), F.lit(0).cast("long").alias("need"))
+    return own.unionByName(pairs.join(members, "b").select(
+        F.col("a").alias("node"), F.col("b").alias("centre"),
+        F.pmod("a", F.col("places")).cast("int").alias("place"),
+        F.lit(1).alias("kind"), "need"))
+
+
 def _links(docs, id_col, text_col, pairs: DataFrame, nodes: DataFrame,
            ) -> DataFrame:
     """The pairs (a, b) that link: overlaps per fragment, summed per pair."""
     pairs = stored(_bounded(pairs, nodes), "ngram-pairs")
-    used = pairs.select(F.col("a").alias("node")).unionByName(
-        pairs.select(F.col("b").alias("node"))).distinct()
-    tags = nodes.join(used, "node", "left_semi").select("tag")
-    parts = stored(_needed(docs, id_col, text_col, tags)
-                   .join(used, "node", "left_semi")
-                   .dropDuplicates(["node", "fragment"]), "ngram-parts")
-    a = parts.select(F.col("node").alias("a"), "fragment",
-                     F.col("part").alias("pa"))
-    b = parts.select(F.col("node").alias("b"), "fragment",
-                     F.col("part").alias("pb"))
+    roles = stored(_roles(pairs), "ngram-roles")
+    tags = nodes.join(roles.select("node").distinct(), "node",
+                      "left_semi").select("tag")
     kinds = {"a": pa.int64(), "b": pa.int64(), "need": pa.int64(),
              "both": pa.int64()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, centre, last = None, None, None
         for batch in batches:
-            both = []
-            for x, y in zip(batch.column(3), batch.column(4)):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both.append(int((y[at] == x).sum()))
-            yield _rows(kinds, [*batch.columns[:3], both])
-
-    met = pairs.join(a, "a").join(b, ["b", "fragment"]) \
-        .select("a", "b", "need", "pa", "pb") \
-        .mapInArrow(count, "a long, b long, need long, both long")
+            out = ([], [], [], [])
+            small = [c.to_pylist() for c in batch.columns[:6]]
+            for i, (c, place, f, kind, node, need) in enumerate(zip(*small)):
+                if at != (c, place, f):
+                    at, centre, last = (c, place, f), None, None
+                if (kind, node) == last:        # repeated rows of a document
+                    continue
+                last = kind, node
+                x = np.frombuffer(batch.column(6)[i].as_buffer(), np.uint64)
+                if not kind:
+                    centre = x.copy()
+                elif centre is not None:
+                    y = centre
+                    if len(x) > len(y):
+                        x, y = y, x
+                    j = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                    for col, v in zip(out, (node, c, need,
+                                            int((y[j] == x).sum()))):
+                        col.append(v)
+            if out[0]:
+                yield _rows(kinds, out)
+
+    key = ["centre", "place", "fragment"]
+    met = (_needed(docs, id_col, text_col, tags).join(roles, "node")
+           .select(*key, "kind", "node", "need", "part")
+           .repartition(*key).sortWithinPartitions(*key, "kind", "node")
+           .mapInArrow(count, "a long, b long, need long, both long"))
     return stored(met.groupBy("a", "b", "need").agg(F.sum("both").alias("both"))
                   .where("both >= need").select("a", "b"), "ngram-links")
 
@@ -337,14 +363,18 @@ def _possible(x: str, y: str) -> Column:
 def ngram_components(docs: DataFrame, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document."""
-    sets = stored(set_table(docs, id_col, text_col), "ngram-sets")
+    spark = docs.sparkSession
+    low, low_path = stored_at(set_table(docs, id_col, text_col), "ngram-low")
+    hot = frequent(low)
+    sets = stored(low.drop("low"), "ngram-sets")
+    discard(spark, low_path)
     nodes = stored(
         sets.where("n > 0").groupBy("node").agg(
             F.min_by("tag", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
             .alias("tag"), F.max("n").alias("n"), F.max("bits").alias("bits")),
         "ngram-nodes")
-    rows = stored(shared_rows(prefix_rows(docs, id_col, text_col,
-                                          frequent(sets))), "ngram-prefix")
+    rows, rows_path = stored_at(shared_rows(prefix_rows(
+        docs, id_col, text_col, hot)), "ngram-prefix")
 
     best = (rows.where("node <> leader")
             .groupBy("node", "leader").count().groupBy("node")
@@ -356,6 +386,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id",
     known = rows.join(label, "node", "left").select(
         "k", "node", "n", "pos", F.coalesce("component", "node").alias("c"))
     known = stored(known, "ngram-known")
+    discard(spark, rows_path)
     mixed = known.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")) \
         .where("x <> y").select("k")
     known = known.join(mixed, "k", "left_semi")

@@ -18,11 +18,13 @@ of its shuffles, so the sort is cut by content first, without losing a match:
    so a passage that a third of all documents share sends one row per batch.
    A seed with only one distinct piece is done.
 3. *Suffix sort.*  The earliest copies of the distinct pieces that share a
-   seed are fetched in a second pass and sorted together, in bounded batches,
-   by the difference-cover (DC3) algorithm: sort the sampled triples, recurse
-   on their names, sort and merge the remaining suffixes; then the
-   ``LENGTH``-byte prefixes of adjacent suffixes are compared, and of equal
-   ones all but the earliest start are covered.
+   seed are fetched in a second pass.  Those that agree with no other in the
+   bytes around the seed which any common window must hold are alone; the rest
+   are sorted together, in bounded batches, by the difference-cover (DC3)
+   algorithm: sort the sampled triples, recurse on their names, sort and merge
+   the remaining suffixes; then the ``LENGTH``-byte prefixes of adjacent
+   suffixes are compared, and of equal ones all but the earliest start are
+   covered.
    Seeds with more than ``GROUP`` distinct pieces are dealt by whole windows
    instead (each window its own piece, as in 2), so no group is unbounded.
 4. Covered intervals meet their text, sorted by document, and stream through.
@@ -46,7 +48,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm import textkernel as tk
-from pricelake.llm.common import hashed_set, is_in, stored
+from pricelake.llm.common import (discard, hashed_set, is_in, stored,
+                                  stored_at)
 from pricelake.llm.streaming_groups import SharedGroups
 
 LENGTH = 100
@@ -67,13 +70,14 @@ SCHEMA = "seed long, name long, rid long, start long, n short"
 
 def _segment_pieces(data, lo, hi):
     """Pieces of the windows of texts [lo, hi) laid out in ``data`` (at most
-    2**20 bytes): text index, start in ``data``, windows, seed, name."""
+    2**20 bytes): text index, start in ``data``, windows, seed, name, and where
+    the seed lies in the piece."""
     n = len(data)
     windows = np.maximum(hi - lo - LENGTH + 1, 0)
     total = int(windows.sum())
     if not total:
         z = np.zeros(0, np.int64)
-        return z, z, z, z.view(np.uint64), z.view(np.uint64)
+        return z, z, z, z.view(np.uint64), z.view(np.uint64), z
     p, inv = tk.powers(n + 1)
     s = np.zeros(n + 1, np.uint64)
     np.cumsum(tk.EXACT[data] * p[:n], out=s[1:])
@@ -96,11 +100,12 @@ def _segment_pieces(data, lo, hi):
     a = start[b]
     e = a + count - 1 + LENGTH
     name = tk.mix((s[e] - s[a]) * inv[a] + count.astype(np.uint64) * tk.BASE)
-    return text[b], a, count, h[place[b]], name
+    return text[b], a, count, h[place[b]], name, place[b] - a
 
 
 def pieces(data, off):
-    """(document index, start, windows, seed, name) of a batch of texts."""
+    """(document index, start, windows, seed, name, seed's place) of the pieces
+    of a batch of texts."""
     out = []
     a, n = 0, len(off) - 1
     step = SEGMENT - LENGTH + 1
@@ -113,17 +118,18 @@ def pieces(data, off):
                 # a long text: segments that overlap by LENGTH - 1 bytes
                 for x in range(int(off[a]), int(off[b]) - LENGTH + 1, step):
                     y = min(int(off[b]), x + SEGMENT)
-                    t, s, c, seed, name = _segment_pieces(
+                    t, s, c, *more = _segment_pieces(
                         data[x:y], np.array([0]), np.array([y - x]))
-                    out.append((t + a, s + x - off[a], c, seed, name))
+                    out.append((t + a, s + x - off[a], c, *more))
             else:
                 x = off[a]
-                t, s, c, seed, name = _segment_pieces(
+                t, s, c, *more = _segment_pieces(
                     data[x:off[b]], off[a:b] - x, off[a + 1:b + 1] - x)
-                out.append((t + a, s - (off[a:b] - x)[t], c, seed, name))
+                out.append((t + a, s - (off[a:b] - x)[t], c, *more))
             a = b
     return [np.concatenate(c) for c in zip(*out)] if out else \
-        [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
+        [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2 \
+        + [np.zeros(0, np.int64)]
 
 
 def _batch(cols, kinds=None) -> pa.RecordBatch:
@@ -156,7 +162,7 @@ def piece_rows(rows: DataFrame) -> DataFrame:
             data, off = tk.buffers(batch.column(1))
             # at most about 8 MB of text are settled together
             for a, b in tk.doc_chunks(off, 1 << 23):
-                doc, start, n, seed, name = pieces(
+                doc, start, n, seed, name, _ = pieces(
                     data[off[a]:off[b]], off[a:b + 1] - off[a])
                 if len(doc):
                     with np.errstate(over="ignore"):
@@ -192,19 +198,21 @@ def first_copies(found: DataFrame) -> DataFrame:
 
 
 def piece_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """seed, rid, start, body of the pieces whose hashed place is wanted (a
-    few others may come along; they are copies or have a seed of their own)."""
+    """seed, rid, start, at (the seed's place), body of the pieces whose hashed
+    place is wanted (a few others may come along; they are copies or have a
+    seed of their own)."""
     bits = hashed_set(wanted.select(_place_column().alias("p")), BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"seed": pa.int64(), "rid": pa.int64(), "start": pa.int64(),
-                 "body": pa.binary()}
+                 "at": pa.int16(), "body": pa.binary()}
         for batch in batches:
             rid = np.asarray(batch.column(0)).astype(np.int64)
             data, off = tk.buffers(batch.column(1))
             for a, b in tk.doc_chunks(off, 1 << 22):
                 part = data[off[a]:off[b]]
-                doc, start, n, seed, _ = pieces(part, off[a:b + 1] - off[a])
+                doc, start, n, seed, _, at = pieces(
+                    part, off[a:b + 1] - off[a])
                 own = rid[a:b][doc]
                 hit = np.flatnonzero(is_in(bits, _place(own, start, seed)))
                 if not len(hit):
@@ -212,9 +220,9 @@ def piece_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 x = off[a:b][doc[hit]] - off[a] + start[hit]
                 y = x + n[hit] - 1 + LENGTH
                 yield _batch((seed[hit].view(np.int64), own[hit], start[hit],
-                              [part[i:j].tobytes() for i, j in zip(x, y)]), kinds)
+                              at[hit], [part[i:j].tobytes() for i, j in zip(x, y)]), kinds)
     return rows.select("rid", "text").mapInArrow(
-        run, "seed long, rid long, start long, body binary")
+        run, "seed long, rid long, start long, at short, body binary")
 
 
 def _place(rid, start, seed):
@@ -330,30 +338,66 @@ def _runs(rid, start):
 SPAN_KINDS = {"rid": pa.int64(), "s": pa.int64(), "e": pa.int64()}
 
 
+def _alike(group, at, data, off) -> np.ndarray:
+    """Pieces that may share a window with another piece of their group.
+
+    A shared window reaches ``left`` bytes before the seed and
+    LENGTH - SEED - left behind it.  Whatever ``left`` is, the two pieces agree
+    in one of four stretches around the seed; pieces that agree in none with
+    any other are alone.
+    """
+    keep = np.zeros(len(at), bool)
+    cuts = np.linspace(0, LENGTH - SEED, 5).astype(np.int64)
+    size = np.diff(off)
+    with np.errstate(over="ignore"):
+        salt = tk.mix(group.astype(np.uint64))
+        for before, after in zip(cuts[:-1], cuts[1:]):
+            a, b = at - before, at + LENGTH - after
+            own = np.flatnonzero((a >= 0) & (b <= size))
+            h = salt[own] ^ tk.string_hashes(data, (off[:-1] + a)[own],
+                                             (off[:-1] + b)[own], tk.EXACT)
+            o = np.argsort(h)
+            same = h[o[1:]] == h[o[:-1]]
+            keep[own[o[1:]][same]] = True
+            keep[own[o[:-1]][same]] = True
+    return keep
+
+
 def sorted_spans(texts: DataFrame) -> DataFrame:
     """rid, s, e of the covered windows among pieces that meet by seed."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bodies, rids, starts, held, seed = [], [], [], 0, None
-
-        def settle():
-            if len(bodies) < 2:
-                return None
-            d, p = covered_windows(bodies, np.array(rids), np.array(starts))
-            return _batch(_runs(d, p), SPAN_KINDS) if len(d) else None
+    def settle(rows):
+        seed, rid, start, at = (np.asarray(rows.column(i)) for i in range(4))
+        data, off = tk.buffers(rows.column(4))
+        group = np.cumsum(np.append(False, seed[1:] != seed[:-1]))
+        own = np.flatnonzero(_alike(group, at.astype(np.int64), data, off))
+        if not len(own):
+            return
+        # whole groups, about SORT_BYTES at a time
+        load = np.cumsum(off[own + 1] - off[own]) // SORT_BYTES
+        first = np.flatnonzero(np.append(True, group[own[1:]] != group[own[:-1]]))
+        part = np.repeat(load[first], np.diff(np.append(first, len(own))))
+        for x in np.split(own, np.flatnonzero(np.diff(part)) + 1):
+            d, p = covered_windows(
+                [data[i:j].tobytes() for i, j in zip(off[x], off[x + 1])],
+                rid[x], start[x])
+            if len(d):
+                yield _batch(_runs(d, p), SPAN_KINDS)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
         for batch in batches:
-            for k, r, p, body in zip(*(c.to_pylist() for c in batch.columns)):
-                if k != seed and held >= SORT_BYTES:
-                    if (out := settle()) is not None:
-                        yield out
-                    bodies, rids, starts, held = [], [], [], 0
-                seed = k
-                bodies.append(body)
-                rids.append(r)
-                starts.append(p)
-                held += len(body)
-        if (out := settle()) is not None:
-            yield out
+            if not batch.num_rows:
+                continue
+            rows = batch if rest is None else pa.concat_batches([rest, batch])
+            seed = np.asarray(rows.column(0))
+            cut = len(seed) - int(np.argmax(seed[::-1] != seed[-1])) \
+                if seed[0] != seed[-1] else 0
+            rest = rows.slice(cut)
+            if cut:
+                yield from settle(rows.slice(0, cut))
+        if rest is not None:
+            yield from settle(rest)
+
     return (texts.repartition("seed").sortWithinPartitions("seed")
             .mapInArrow(run, "rid long, s long, e long"))
 
@@ -365,7 +409,7 @@ def window_rows(texts: DataFrame) -> DataFrame:
             # a few thousand pieces at a time
             for x in range(0, batch.num_rows, 2000):
                 part = batch.slice(x, 2000)
-                data, off = tk.buffers(part.column(3))
+                data, off = tk.buffers(part.column(4))
                 count = np.diff(off) - LENGTH + 1
                 i = np.repeat(np.arange(len(count)), count)
                 inside = np.arange(len(i)) - np.repeat(
@@ -397,19 +441,23 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str):
 
 def covered_spans(rows: DataFrame) -> DataFrame:
     """rid, s, e (may overlap): every covered byte of rows (rid, text)."""
-    found = stored(first_copies(piece_rows(rows)), "suffix-pieces")
+    found, found_path = stored_at(first_copies(piece_rows(rows)),
+                                  "suffix-pieces")
     whole = lambda df: df.where("n < 0").select(
         "rid", F.col("start").alias("s"),
         (F.col("start") - F.col("n") - 1 + LENGTH).alias("e"))
     mixed = found.where("n > 0")
-    texts = stored(piece_texts(rows, mixed), "suffix-texts")
+    texts, texts_path = stored_at(piece_texts(rows, mixed), "suffix-texts")
     large = stored(mixed.groupBy("seed").count().where(F.col("count") > GROUP)
                    .select("seed"), "suffix-large")
     few = sorted_spans(texts.join(large, "seed", "left_anti"))
     many = first_copies(window_rows(texts.join(large, "seed", "left_semi")
-                                    .select("seed", "rid", "start", "body")))
-    return stored(whole(found).unionByName(few).unionByName(whole(many)),
-                  "suffix-spans")
+                                    .select("seed", "rid", "start", "at", "body")))
+    spans = stored(whole(found).unionByName(few).unionByName(whole(many)),
+                   "suffix-spans")
+    discard(rows.sparkSession, found_path)
+    discard(rows.sparkSession, texts_path)
+    return spans
 
 
 DIGEST = {"rid": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(),

@@ -53,7 +53,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def buffers(col) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string or binary column; null counts as empty."""
+    """(bytes, offsets) of a string or binary column; null counts as empty.
+
+    Called once per batch, so it also returns what earlier batches left in
+    Arrow's pool to the system."""
+    pa.default_memory_pool().release_unused()
     arr = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
     if pa.types.is_string(arr.type):
         arr = arr.cast(pa.binary())
@@ -72,7 +76,7 @@ def buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def doc_chunks(off: np.ndarray, limit: int = 1 << 22):
+def doc_chunks(off: np.ndarray, limit: int = 1 << 20):
     """Ranges [a, b) of documents of about ``limit`` bytes each."""
     a, n = 0, len(off) - 1
     while a < n:
