@@ -70,6 +70,11 @@ def exact_sum(x, scale: int) -> Column:
     return F.sum(_c(x).cast(f"decimal(28,{scale})")).cast("double")
 
 
+def exact_sum_over(x, scale: int, window) -> Column:
+    """``exact_sum`` as a window function."""
+    return F.sum(_c(x).cast(f"decimal(28,{scale})")).over(window).cast("double")
+
+
 def exact_avg(x, scale: int) -> Column:
     """Order-independent mean of values carrying ``scale`` decimals."""
     x = _c(x)

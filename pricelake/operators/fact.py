@@ -1,8 +1,9 @@
 """Price fact: surrogate keys, daily return, portfolio value, price key.
 
 Plan shape (see ``.explain``): the cleaned prices are joined to the current
-dimension rows, the calendar and the baseline values -- three broadcast hash
-joins after size checks, so the price rows are not shuffled for them.  One
+dimension rows, the calendar and the baseline values -- broadcast hash joins
+while Spark finds those sides below its size limit, so the price rows are not
+shuffled for them.  One
 exchange on ``stock_key`` feeds both ``lag`` and ``first`` (same window
 spec, one sort).  The price key is numbered by ``sequential_ids`` over
 (trade date, stock key) instead of a global ``ROW_NUMBER``.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pricelake.functions.numeric import round_half_away
 from pricelake.operators.calendar import dim_date_rows
-from pricelake.operators.joins import broadcast_if_small
+from pricelake.operators.joins import broadcast_known
 from pricelake.operators.numbering import sequential_ids
 from pricelake.operators.scd2 import current_versions
 from pricelake.params import RunParams
@@ -31,27 +32,24 @@ def by_stock():
     return Window.partitionBy("stock_key").orderBy("trade_date")
 
 
-def surrogate_stock(prices: DataFrame, dim_stock: DataFrame,
-                    max_rows: int = 2_000_000) -> DataFrame:
+def surrogate_stock(prices: DataFrame, dim_stock: DataFrame) -> DataFrame:
     """Ticker -> ``stock_key`` of the current dimension version (inner)."""
     cur = current_versions(dim_stock).select("ticker_symbol", "stock_key")
-    return prices.join(broadcast_if_small(cur, max_rows), "ticker_symbol")
+    return prices.join(cur, "ticker_symbol")
 
 
 def surrogate_date(prices: DataFrame, dim_date: DataFrame,
-                   known_rows: int | None = None,
-                   max_rows: int = 2_000_000) -> DataFrame:
+                   known_rows: int | None = None) -> DataFrame:
     """``CAST(trade_date AS DATE) = full_date`` -> ``date_key`` (inner)."""
     cal = dim_date.select("full_date", "date_key")
-    cal = broadcast_if_small(cal, max_rows, known_rows)
+    cal = broadcast_known(cal, known_rows)
     return prices.join(cal, F.to_date(F.col("trade_date")) == F.col("full_date")
                        ).drop("full_date")
 
 
-def baseline_join(prices: DataFrame, holdings: DataFrame,
-                  max_rows: int = 2_000_000) -> DataFrame:
+def baseline_join(prices: DataFrame, holdings: DataFrame) -> DataFrame:
     base = holdings.select("ticker_symbol", "baseline_value_usd")
-    return prices.join(broadcast_if_small(base, max_rows), "ticker_symbol")
+    return prices.join(base, "ticker_symbol")
 
 
 def previous_close(close: str = "close_price") -> F.Column:
@@ -115,14 +113,12 @@ def price_key(df: DataFrame) -> DataFrame:
 def keyed_prices(silver: DataFrame, dim_stock: DataFrame, dim_date: DataFrame,
                  holdings: DataFrame, params: RunParams) -> DataFrame:
     """Cleaned prices with both surrogate keys and the baseline value."""
-    n = params.broadcast_max_rows
     s = silver.select("trade_date", "ticker_symbol", "close_price",
                       "ingested_at", "processed_at")
-    s = surrogate_stock(s, dim_stock, n)
+    s = surrogate_stock(s, dim_stock)
     s = surrogate_date(s, dim_date,
-                       dim_date_rows(params.calendar_start, params.calendar_end),
-                       n)
-    return baseline_join(s, holdings, n)
+                       dim_date_rows(params.calendar_start, params.calendar_end))
+    return baseline_join(s, holdings)
 
 
 def fact_prices(silver: DataFrame, dim_stock: DataFrame, dim_date: DataFrame,

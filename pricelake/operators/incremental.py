@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.operators.joins import broadcast_if_small
+from pricelake.functions.text import clean_ticker
 
 
 def high_water_mark(silver: DataFrame) -> DataFrame:
@@ -42,18 +42,31 @@ def incremental_load(bronze: DataFrame, mark: dt.date | Column | None,
 
 
 def incremental_load_per_ticker(bronze: DataFrame, silver: DataFrame,
-                                date_col: str = "Date",
-                                max_rows: int = 2_000_000) -> DataFrame:
+                                date_col: str = "Date") -> DataFrame:
     """Per-instrument marks: a ticker that missed a day is not skipped for good.
 
-    The marks are one row per ticker (a grouped max) joined back; broadcast
-    when proven small.
+    The marks are one row per cleaned ticker (a grouped max).  Raw tickers may
+    carry blanks or lower case, so they are cleaned for the join; else their
+    whole history would come in again on every run.
     """
-    marks = silver.groupBy("ticker_symbol").agg(
+    marks = silver.groupBy(F.col("ticker_symbol").alias("__ticker")).agg(
         F.max("trade_date").alias("__mark"))
-    j = bronze.join(broadcast_if_small(marks, max_rows), "ticker_symbol", "left")
+    j = bronze.join(marks, clean_ticker("ticker_symbol") == F.col("__ticker"),
+                    "left")
     return j.where(F.col("__mark").isNull()
-                   | (F.to_date(date_col) > F.col("__mark"))).drop("__mark")
+                   | (F.to_date(date_col) > F.col("__mark"))) \
+        .drop("__ticker", "__mark")
+
+
+def new_keys(cleaned: DataFrame, raw: DataFrame, silver: DataFrame,
+             keys: list[str], date_col: str = "Date") -> DataFrame:
+    """Cleaned rows whose key the cleaned layer does not hold yet.  The layer
+    is read only within the date range of the ``raw`` rows (scalar subqueries
+    over one raw column; the cleaning itself is not repeated)."""
+    day = F.to_date(date_col)
+    known = silver.where(F.col("trade_date").between(
+        raw.agg(F.min(day)).scalar(), raw.agg(F.max(day)).scalar()))
+    return cleaned.join(known.select(*keys), keys, "left_anti")
 
 
 def has_rows(df: DataFrame) -> bool:

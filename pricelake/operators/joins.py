@@ -1,54 +1,22 @@
-"""Join helpers: broadcast only behind a size check.
+"""Join helpers.
 
-A dimension is broadcast only when its row count is proven small: either
-by construction (the calendar has exactly ``days_between(start, end)`` rows,
-known from the parameters without touching data) or by a bounded count
-(``limit(n + 1).count()``, which stops reading after ``n + 1`` rows).  Above
-the bound the join is left to the planner (sort-merge; AQE may still switch
-to a broadcast at runtime from real sizes).
-
-A checked decision is remembered for the application, keyed by the frame's
-semantic plan hash and its input files.  Written files get unique names, so
-new or replaced input data gives a new key and is checked again; a frame
-without input files (generated from parameters) has its content fixed by
-its plan.
+Which side of a join is broadcast is left to Spark: the optimizer's size
+estimate against ``spark.sql.autoBroadcastJoinThreshold``, and AQE with the
+sizes it measures.  No job is started to find out, and a hint (which would
+override those limits) is given only to a frame whose row count follows from
+parameters alone, such as the calendar, after projection to its key columns.
 """
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_LOCK = threading.Lock()
-_DECISIONS: dict[tuple, bool] = {}
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _key(df: DataFrame, max_rows: int) -> tuple:
-    return (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-            tuple(sorted(df.inputFiles())), max_rows)
-
-
-def proven_small(df: DataFrame, max_rows: int) -> bool:
-    key = _key(df, max_rows)
-    with _LOCK:
-        known = _DECISIONS.get(key)
-    if known is None:
-        known = bounded_rows(df, max_rows)
-        with _LOCK:
-            _DECISIONS[key] = known
-    return known
+# Rows up to which a frame of known length is hinted.
+MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int,
-                       known_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast when the side is proven to hold at most ``max_rows``."""
-    small = (known_rows <= max_rows) if known_rows is not None \
-        else proven_small(df, max_rows)
+def broadcast_known(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df`` with a broadcast hint if it is known to hold few rows."""
+    small = rows is not None and rows <= MAX_BROADCAST_ROWS
     return F.broadcast(df) if small else df

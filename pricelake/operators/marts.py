@@ -18,11 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.functions.numeric import (exact_avg, exact_sum, pct_change,
+from pricelake.functions.numeric import (exact_avg, exact_sum, exact_sum_over,
+                                         pct_change,
                                          pct_change_or_zero, round_half_away,
                                          round_half_even)
 from pricelake.functions.text import first_chars, title_label
-from pricelake.operators.joins import broadcast_if_small
 from pricelake.params import MUTUAL_FUND, STOCK
 from pricelake.schemas import STAR_COLS
 
@@ -36,27 +36,45 @@ HISTOGRAM_BINS = 30
 
 # -- joins ------------------------------------------------------------------
 
-def star_join(fact: DataFrame, dim_date: DataFrame, dim_stock: DataFrame,
-              max_rows: int = 2_000_000) -> DataFrame:
+def star_join(fact: DataFrame, dim_date: DataFrame,
+              dim_stock: DataFrame) -> DataFrame:
     """fact x date x current stock version, the 13 analyst columns."""
     d = dim_date.select(F.col("date_key"), F.col("full_date").alias("trade_date"),
                         "year", "quarter", "month_name", "is_weekend")
     s = dim_stock.where(F.col("is_current")).select(
         "stock_key", "ticker_symbol", "fund_name", "sector", "instrument_type")
-    return (fact.join(broadcast_if_small(d, max_rows), "date_key")
-            .join(broadcast_if_small(s, max_rows), "stock_key")
-            .select(*STAR_COLS))
+    return fact.join(d, "date_key").join(s, "stock_key").select(*STAR_COLS)
 
 
-def fact_date_join(fact: DataFrame, dim_date: DataFrame,
-                   max_rows: int = 2_000_000) -> DataFrame:
-    return fact.join(broadcast_if_small(dim_date, max_rows), "date_key")
+def fact_between(fact: DataFrame, start: dt.date | None = None,
+                 end: dt.date | None = None) -> DataFrame:
+    """Fact rows of a date range, as ``month_key`` and ``date_key`` bounds on
+    the fact itself: they prune its partitions and row groups, which a
+    condition on the calendar's date cannot do at planning time."""
+    for bound, after in ((start, True), (end, False)):
+        if bound is not None:
+            for name, key in (("month_key", bound.year * 100 + bound.month),
+                              ("date_key", bound.year * 10000
+                               + bound.month * 100 + bound.day)):
+                if name in fact.columns:
+                    fact = fact.where(F.col(name) >= key if after
+                                      else F.col(name) <= key)
+    return fact
 
 
-def fact_stock_join(fact: DataFrame, dim_stock: DataFrame,
-                    max_rows: int = 2_000_000) -> DataFrame:
+def latest_fact(fact: DataFrame) -> DataFrame:
+    """Fact rows of the newest date (one column decides it)."""
+    return fact.where(F.col("date_key")
+                      == fact.agg(F.max("date_key")).scalar())
+
+
+def fact_date_join(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return fact.join(dim_date, "date_key")
+
+
+def fact_stock_join(fact: DataFrame, dim_stock: DataFrame) -> DataFrame:
     """fact x every dimension version on ``stock_key``."""
-    return fact.join(broadcast_if_small(dim_stock, max_rows), "stock_key")
+    return fact.join(dim_stock, "stock_key")
 
 
 # -- filters ----------------------------------------------------------------
@@ -98,7 +116,8 @@ def latest_date(star: DataFrame) -> F.Column:
 
 
 def latest_slice(star: DataFrame) -> DataFrame:
-    """Rows on the newest date of the selection."""
+    """Rows on the newest date of the selection.  For the whole star, joining
+    ``latest_fact`` reads the star once."""
     return star.where(F.col("trade_date") == latest_date(star))
 
 
@@ -133,20 +152,19 @@ def value_by_ticker_date(star: DataFrame) -> DataFrame:
         exact_sum("portfolio_value", 2).alias("portfolio_value"))
 
 
-def sector_allocation(star: DataFrame) -> DataFrame:
-    """Value per sector on the latest date; null sectors dropped."""
-    return (latest_slice(star).where(F.col("sector").isNotNull())
-            .groupBy("sector")
+def sector_allocation(latest: DataFrame) -> DataFrame:
+    """Value per sector of the latest date's rows; null sectors dropped."""
+    return (latest.where(F.col("sector").isNotNull()).groupBy("sector")
             .agg(exact_sum("portfolio_value", 2).alias("value")))
 
 
-def sector_share(star: DataFrame) -> DataFrame:
-    """Sector value and its percent of the latest-date total."""
-    alloc = sector_allocation(star)
-    total = alloc.agg(exact_sum("value", 2)).scalar()
-    return alloc.select("sector", "value",
-                        (F.try_divide(F.col("value"), total) * F.lit(100.0)
-                         ).alias("share_pct"))
+def sector_share(latest: DataFrame) -> DataFrame:
+    """Sector value and its percent of the latest-date total (a window over
+    the few sector rows)."""
+    total = exact_sum_over("value", 2, Window.partitionBy())
+    return sector_allocation(latest).select(
+        "sector", "value",
+        (F.try_divide(F.col("value"), total) * F.lit(100.0)).alias("share_pct"))
 
 
 def return_sign(x) -> F.Column:
@@ -206,30 +224,26 @@ def kpi_avg_return(star: DataFrame) -> DataFrame:
     return star.agg(exact_avg("daily_return_pct", 4).alias("avg_daily_return"))
 
 
-def kpi_instruments(star: DataFrame, approx_above: int | None = None) -> DataFrame:
-    """Distinct tickers, by type, and the row count.
-
-    Exact distinct counts by default; with ``approx_above`` set and the input
-    larger than that, HyperLogLog++ estimates are used instead.
-    """
-    t = F.col("ticker_symbol")
-    typ = F.col("instrument_type")
-    use_approx = (approx_above is not None
-                  and not star.limit(approx_above + 1).count() <= approx_above)
-    cd = (lambda c: F.approx_count_distinct(c)) if use_approx else \
-        (lambda c: F.count_distinct(c))
-    return star.agg(
-        cd(t).alias("n_tickers"),
-        cd(F.when(typ == MUTUAL_FUND, t)).alias("n_funds"),
-        cd(F.when(typ == STOCK, t)).alias("n_stocks"),
-        F.count(F.lit(1)).alias("n_rows"))
-
-
-def freshness(fact: DataFrame, dim_date: DataFrame,
-              max_rows: int = 2_000_000) -> DataFrame:
+def kpi_instruments(star: DataFrame) -> DataFrame:
+    """Distinct tickers, by type, and the row count, all exact: rows are
+    counted per (ticker, type) first, so no row is expanded per distinct."""
+    t, typ = F.col("ticker_symbol"), F.col("instrument_type")
+    per = star.groupBy(t, typ).agg(F.count(F.lit(1)).alias("n"))
+    per = per.groupBy(t).agg(
+        F.sum("n").alias("n"),
+        F.max(F.when(typ == MUTUAL_FUND, 1)).alias("fund"),
+        F.max(F.when(typ == STOCK, 1)).alias("stock"))
+    has = t.isNotNull()
+    return per.agg(
+        F.count_if(has).alias("n_tickers"),
+        F.count_if(has & (F.col("fund") == 1)).alias("n_funds"),
+        F.count_if(has & (F.col("stock") == 1)).alias("n_stocks"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+
+
+def freshness(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Latest trade date and last processed time of the fact."""
-    j = fact.join(broadcast_if_small(dim_date.select("date_key", "full_date"),
-                                     max_rows), "date_key")
+    j = fact.join(dim_date.select("date_key", "full_date"), "date_key")
     return j.agg(F.max("full_date").alias("latest_trade"),
                  F.max("processed_at").alias("last_processed")
                  ).withColumn("last_processed_display",
@@ -246,45 +260,46 @@ def staleness_class(fresh: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def filter_domains(star: DataFrame) -> DataFrame:
-    """Choice lists of the filters: (domain, value), sorted, plus date bounds."""
-    parts = []
-    for col in ("instrument_type", "sector", "ticker_symbol"):
-        parts.append(star.where(F.col(col).isNotNull()).select(
-            F.lit(col).alias("domain"), F.col(col).alias("value")).distinct())
-    bounds = star.agg(F.min("trade_date").alias("min_date"),
-                      F.max("trade_date").alias("max_date"))
-    parts.append(bounds.select(F.lit("min_date").alias("domain"),
-                               F.col("min_date").cast("string").alias("value")))
-    parts.append(bounds.select(F.lit("max_date").alias("domain"),
-                               F.col("max_date").cast("string").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("domain", "value")
-
-
-def return_histogram(star: DataFrame, bins: int = HISTOGRAM_BINS,
-                     max_rows: int = 2_000_000) -> DataFrame:
+    """Choice lists of the filters: (domain, value), sorted, plus date bounds.
+
+    One pass over the star: its distinct (type, sector, ticker) with their
+    date range, from which every list follows."""
+    names = ("instrument_type", "sector", "ticker_symbol")
+    per = star.groupBy(*names).agg(F.min("trade_date").cast("string").alias("lo"),
+                                   F.max("trade_date").cast("string").alias("hi"))
+    # (domain, value, what sets its rows apart); a date bound is one row
+    entry = lambda d, v, k: F.struct(F.lit(d).alias("domain"),
+                                     v.alias("value"), k.alias("k"))
+    rows = per.select(F.explode(F.array(
+        *[entry(c, F.col(c), F.col(c)) for c in names],
+        entry("min_date", F.col("lo"), F.lit("")),
+        entry("max_date", F.col("hi"), F.lit("")))).alias("r")).select("r.*")
+    value = F.when(F.col("domain") == "min_date", F.min("value")) \
+        .otherwise(F.max("value"))
+    return (rows.where("k is not null").groupBy("domain", "k")
+            .agg(value.alias("value")).select("domain", "value")
+            .orderBy("domain", "value"))
+
+
+def return_histogram(star: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram of daily returns per ticker (nulls dropped).
 
     ``bins`` bins on [min, max] of each ticker's returns; the maximum lands
-    in the last bin; a ticker whose returns are all equal gets one bin.
-    Per-ticker bounds are a small aggregate joined back (broadcast when
-    proven small); counting is a partial aggregate, so no ticker's rows are
-    gathered in one task.
+    in the last bin; a ticker whose returns are all equal gets one bin.  One
+    exchange by ticker serves bounds and counts; a ticker has at most one row
+    per calendar day.
     """
-    r = drop_null_returns(star).select("ticker_symbol", "daily_return_pct")
-    bounds = r.groupBy("ticker_symbol").agg(
-        F.min("daily_return_pct").alias("lo"),
-        F.max("daily_return_pct").alias("hi"))
+    w = Window.partitionBy("ticker_symbol")
     x = F.col("daily_return_pct")
+    r = drop_null_returns(star).select(
+        "ticker_symbol", x, F.min(x).over(w).alias("lo"),
+        F.max(x).over(w).alias("hi"))
     width = F.col("hi") - F.col("lo")
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(
         F.floor((x - F.col("lo")) / width * F.lit(float(bins))).cast("int"),
         F.lit(bins - 1)))
-    counted = (r.join(broadcast_if_small(bounds, max_rows), "ticker_symbol")
-               .groupBy("ticker_symbol", b.alias("bin"), "lo", "hi")
-               .agg(F.count(F.lit(1)).alias("days")))
+    counted = r.groupBy("ticker_symbol", b.alias("bin"), "lo", "hi") \
+        .agg(F.count(F.lit(1)).alias("days"))
     step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return counted.select(
         "ticker_symbol", "bin",
@@ -313,11 +328,11 @@ def ticker_summary(star: DataFrame) -> DataFrame:
 
 # -- validation-script reports (rounded as SQL ROUND) ------------------------
 
-def daily_summary(fact: DataFrame, dim_date: DataFrame, n: int = 10,
-                  max_rows: int = 2_000_000) -> DataFrame:
+def daily_summary(fact: DataFrame, dim_date: DataFrame,
+                  n: int = 10) -> DataFrame:
     """Per date and quarter: total value (2 dp) and mean return (4 dp),
     the newest ``n`` dates."""
-    j = fact_date_join(fact, dim_date, max_rows)
+    j = fact_date_join(fact, dim_date)
     g = j.groupBy("full_date", "quarter").agg(
         round_half_away(exact_sum("portfolio_value", 2), 2)
         .alias("total_portfolio_value"),
@@ -326,10 +341,9 @@ def daily_summary(fact: DataFrame, dim_date: DataFrame, n: int = 10,
     return g.orderBy(F.desc("full_date")).limit(n)
 
 
-def fund_ranking(fact: DataFrame, dim_stock: DataFrame,
-                 max_rows: int = 2_000_000) -> DataFrame:
+def fund_ranking(fact: DataFrame, dim_stock: DataFrame) -> DataFrame:
     """Per fund: mean return (4 dp), max and min price (2 dp), best first."""
-    j = fact_stock_join(fact, dim_stock, max_rows)
+    j = fact_stock_join(fact, dim_stock)
     g = j.groupBy("ticker_symbol", "fund_name", "sector").agg(
         round_half_away(exact_avg("daily_return_pct", 4), 4)
         .alias("avg_daily_return"),
@@ -339,11 +353,10 @@ def fund_ranking(fact: DataFrame, dim_stock: DataFrame,
 
 
 def star_sample(fact: DataFrame, dim_date: DataFrame, dim_stock: DataFrame,
-                since: dt.date, n: int = 20,
-                max_rows: int = 2_000_000) -> DataFrame:
+                since: dt.date, n: int = 20) -> DataFrame:
     """First ``n`` fact rows from ``since`` on, by date and ticker."""
-    j = fact_stock_join(fact_date_join(fact, dim_date, max_rows), dim_stock,
-                        max_rows)
+    j = fact_stock_join(fact_date_join(fact_between(fact, since), dim_date),
+                        dim_stock)
     return (j.where(F.col("full_date") >= F.lit(since))
             .select("price_key", "full_date", "ticker_symbol", "close_price",
                     "daily_return_pct", "portfolio_value")

@@ -8,19 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.functions.numeric import round_half_away
-from pricelake.operators.joins import bounded_rows
+from pricelake.functions.numeric import exact_avg, round_half_away
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
 
 
 def bronze_counts(bronze: DataFrame) -> DataFrame:
-    """Rows and date range per ticker."""
+    """Rows and date range per ticker, by ticker."""
     return bronze.groupBy("ticker_symbol").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.min("Date").alias("earliest_date"),
-        F.max("Date").alias("latest_date"))
+        F.max("Date").alias("latest_date")).orderBy("ticker_symbol")
 
 
 def bronze_null_audit(bronze: DataFrame) -> DataFrame:
@@ -32,12 +31,16 @@ def bronze_null_audit(bronze: DataFrame) -> DataFrame:
 
 
 def silver_counts(silver: DataFrame) -> DataFrame:
-    """Rows, date range and mean price (2 dp) per ticker and type."""
+    """Rows, date range and mean price (2 dp) per ticker and type, by ticker.
+
+    Prices are summed as decimals of 8 places, so the mean does not depend on
+    the order of the rows."""
     return silver.groupBy("ticker_symbol", "instrument_type").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.min("trade_date").alias("earliest_date"),
         F.max("trade_date").alias("latest_date"),
-        round_half_away(F.avg("close_price"), 2).alias("avg_price"))
+        round_half_away(exact_avg("close_price", 8), 2)
+        .alias("avg_price")).orderBy("ticker_symbol", "instrument_type")
 
 
 def silver_null_audit(silver: DataFrame) -> DataFrame:
@@ -65,71 +68,113 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     return wide.unpivot([], df.columns, "column_name", "null_count")
 
 
-def profile_describe(df: DataFrame, approx_above: int | None = 50_000_000,
-                     accuracy: int = 100_000,
-                     digits: int | None = None) -> DataFrame:
+# Quartiles: accuracy of the first estimate, half width of the bracket around
+# it (several times the error bound), rows up to which all values are ranked,
+# and cells a bracket is cut into.
+ACCURACY = 10_000
+BRACKET = 0.0005
+FEW_ROWS = 10_000
+CELLS = 4096
+QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+
+
+def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
     """count, mean, std, min, quartiles, max of every numeric column.
 
-    The moments come from one partial aggregate over a long
-    (column_name, x) frame.  Quartiles interpolate linearly between order
-    statistics, as pandas ``describe`` does: values are ranked per column by
-    a sort (which spills to disk), only the few ranks needed are kept, and
-    the interpolation is an aggregate over those.  A column's ranking runs
-    in one task, so above ``approx_above`` rows (checked with a bounded
-    count) the bounded-memory ``percentile_approx`` sketch is used instead.
-
-    ``digits`` rounds the floating statistics (mean, std, quartiles) for
-    display; their last bits depend on summation order, which varies with
-    partitioning.
+    Exact at every size, with one method (nulls and NaN do not count):
+
+    1. One wide aggregate gives the moments and, per quartile, a bracket of two
+       values that is certain to hold its ranks: approximate percentiles a
+       little below and above, further apart than their error bound.
+    2. A second pass counts the rows below each bracket and, per distinct
+       value, the few rows inside it (a partial aggregate, so a value that
+       fills a third of the table is one row per task).
+    3. A bracket is cut into cells; the prefix sums of the cell counts name
+       the cell of each rank, and only that cell's values are ranked.
+
+    Quartiles interpolate linearly between neighbours, as pandas ``describe``
+    does.  ``digits`` rounds mean, std and quartiles, whose last bits depend
+    on the order of summation.
     """
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, NUMERIC)]
-    approx = approx_above is not None and not bounded_rows(df, approx_above)
-    qs = [0.25, 0.5, 0.75]
-    names = ["p25", "p50", "p75"]
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot([], cols, "column_name", "x")
-    x = F.col("x")
     r = (lambda v: round_half_away(v, digits)) if digits is not None \
         else (lambda v: v)
-    moments = long.groupBy("column_name").agg(
-        F.count(x).cast("double").alias("count"), r(F.avg(x)).alias("mean"),
-        r(F.stddev_samp(x)).alias("std"), F.min(x).alias("min"),
-        F.max(x).alias("max"),
-        *([r(F.percentile_approx(x, qs, accuracy)[i]).alias(nm)
-           for i, nm in enumerate(names)] if approx else []))
-    if not approx:
-        quart = _exact_quartiles(long, qs, names)
-        moments = moments.join(quart.select(
-            "column_name", *[r(F.col(nm)).alias(nm) for nm in names]),
-            "column_name", "left")
-    return moments.select("column_name", "count", "mean", "std", "min",
-                          *names, "max")
-
-
-def _exact_quartiles(long: DataFrame, qs: list[float],
-                     names: list[str]) -> DataFrame:
-    """Linear-interpolation quantiles per column from ranked values."""
-    vals = long.where(F.col("x").isNotNull())
-    by_col = Window.partitionBy("column_name")
-    ranked = vals.select(
-        "column_name", "x",
-        (F.row_number().over(by_col.orderBy("x")) - 1).alias("rk"),
-        F.count(F.lit(1)).over(by_col).alias("n"))
-    pos = {nm: (F.col("n") - 1).cast("double") * F.lit(q)
-           for q, nm in zip(qs, names)}
-    needed = F.lit(False)
-    for nm in names:
-        needed = needed | (F.col("rk") == F.floor(pos[nm])) \
-            | (F.col("rk") == F.ceil(pos[nm]))
-    picked = ranked.where(needed)
-    aggs = []
-    for nm in names:
-        lo = F.max(F.when(F.col("rk") == F.floor(pos[nm]), F.col("x")))
-        hi = F.max(F.when(F.col("rk") == F.ceil(pos[nm]), F.col("x")))
-        frac = F.max(pos[nm] - F.floor(pos[nm]))
-        aggs.append((lo + (hi - lo) * frac).alias(nm))
-    return picked.groupBy("column_name").agg(*aggs)
+
+    def x(c):
+        v = F.col(c).cast("double")
+        return F.when(~F.isnan(v), v)
+    marks = [q + d for _, q in QUARTILES for d in (-BRACKET, BRACKET)]
+    wide = df.agg(*[F.struct(
+        F.lit(c).alias("column_name"), F.count(x(c)).alias("n"),
+        F.avg(x(c)).alias("mean"), F.stddev_samp(x(c)).alias("std"),
+        F.min(x(c)).alias("min"), F.max(x(c)).alias("max"),
+        F.percentile_approx(x(c), marks, ACCURACY).alias("marks")).alias(f"c{i}")
+        for i, c in enumerate(cols)])
+    facts = wide.select(F.struct(*wide.columns).alias("facts")).scalar()
+
+    brackets = []
+    for i, c in enumerate(cols):
+        own = facts[f"c{i}"]
+        few = own["n"] <= FEW_ROWS
+        for j, (name, q) in enumerate(QUARTILES):
+            brackets.append((c, name, q, own["n"],
+                             F.when(few, own["min"]).otherwise(own["marks"][2 * j]),
+                             F.when(few, own["max"])
+                             .otherwise(own["marks"][2 * j + 1])))
+    inside = F.array(*[F.when((x(c) >= lo) & (x(c) <= hi), F.struct(
+        F.lit(c).alias("column_name"), F.lit(name).alias("q"), x(c).alias("x")))
+        for c, name, _, _, lo, hi in brackets])
+    values = (df.select(F.explode(F.array_compact(inside)).alias("v"))
+              .select("v.*").groupBy("column_name", "q", "x")
+              .agg(F.count(F.lit(1)).alias("c")))
+    # one row per column and quartile
+    spots = df.agg(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(name).alias("q"),
+        F.count_if(x(c) < lo).alias("below"), F.max(n - 1).alias("last"),
+        F.lit(q).alias("at"), F.max(lo).alias("lo"), F.max(hi).alias("hi"))
+        for c, name, q, n, lo, hi in brackets]).alias("s"))
+    spots = spots.select(F.explode("s").alias("s")).select("s.*")
+    pos = F.col("last") * F.col("at")
+    spots = spots.select(
+        "column_name", "q", "below", "lo", "hi",
+        (F.floor(pos) + 1).alias("r1"), (F.ceil(pos) + 1).alias("r2"),
+        (pos - F.floor(pos)).alias("part"))
+    spots = F.broadcast(spots)
+    width = F.col("hi") - F.col("lo")
+    cell = F.when(width > 0, F.least(F.lit(CELLS - 1), F.floor(
+        (F.col("x") - F.col("lo")) / width * CELLS))).otherwise(0)
+    key = ["column_name", "q", "cell"]
+    placed = values.join(spots, ["column_name", "q"]).withColumn("cell", cell)
+
+    def upto(window):
+        return F.sum("c").over(window.rowsBetween(Window.unboundedPreceding, 0))
+    cells = placed.groupBy(*key, "below", "r1", "r2").agg(F.sum("c").alias("c"))
+    by_cell = Window.partitionBy("column_name", "q").orderBy("cell")
+    cells = cells.withColumn("end", F.col("below") + upto(by_cell)) \
+        .withColumn("before", F.col("end") - F.col("c")) \
+        .where("before < r2 and end >= r1").select(*key, "before")
+    by_value = Window.partitionBy(*key).orderBy("x")
+    ranked = placed.join(F.broadcast(cells), key) \
+        .withColumn("end", F.col("before") + upto(by_value)) \
+        .withColumn("start", F.col("end") - F.col("c"))
+
+    def value(rank):
+        return F.max(F.when((F.col("start") < F.col(rank))
+                            & (F.col("end") >= F.col(rank)), F.col("x")))
+    quartiles = (ranked.groupBy("column_name", "q")
+                 .agg(value("r1").alias("a"), value("r2").alias("b"),
+                      F.max("part").alias("part"))
+                 .groupBy("column_name").agg(*[
+                     F.max(F.when(F.col("q") == name, F.col("a")
+                                  + (F.col("b") - F.col("a")) * F.col("part")))
+                     .alias(name) for name, _ in QUARTILES]))
+    rows = wide.select(F.explode(F.array(*wide.columns)).alias("m")).select("m.*")
+    names = [name for name, _ in QUARTILES]
+    return rows.join(F.broadcast(quartiles), "column_name", "left").select(
+        "column_name", F.col("n").cast("double").alias("count"),
+        r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"), "min",
+        *[r(F.col(n)).alias(n) for n in names], "max")
 
 
 def profile_schema(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """SCD Type 2 instrument dimension.
 
 ``scd2_merge`` compares the current rows of the previous dimension with the
-incoming holdings in one full-outer join on ticker:
+incoming holdings in one full-outer join on ticker; a match puts out none, one
+or two rows (an exploded array), so the join is not repeated per outcome:
 
 * history rows (not current) pass through unchanged;
 * unchanged (all tracked fields equal, null-safe): the current row is kept;
@@ -9,7 +10,7 @@ incoming holdings in one full-outer join on ticker:
   a new version is inserted (``valid_from`` = today, sentinel ``valid_to``);
 * new ticker: a version is inserted;
 * removed ticker (current row, no incoming row): policy ``on_removed`` --
-  ``keep`` (default), ``close`` or ``drop`` (the reference's behaviour).
+  ``close`` (default), ``keep`` or ``drop`` (the reference's behaviour).
 
 New versions get keys ``max(existing key, 0) + 1 ...`` in configuration
 order (``ordinal``), numbered in parallel by ``sequential_ids``.
@@ -19,18 +20,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pricelake.operators.joins import broadcast_if_small
 from pricelake.operators.numbering import sequential_ids
 from pricelake.params import DEFAULT_SECTOR, SENTINEL_VALID_TO, RunParams
 from pricelake.schemas import DIM_STOCK, DIM_STOCK_COLS, TRACKED_FIELDS
 
 
-def _typed(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                       for f in DIM_STOCK.fields])
-
-
 def incoming_rows(holdings: DataFrame) -> DataFrame:
     return holdings.select(
         "ticker_symbol", "fund_name",
@@ -58,50 +54,66 @@ def scd2_parts(prev: DataFrame, holdings: DataFrame, params: RunParams,
     today = F.lit(params.today)
     is_cur = F.coalesce(F.col("is_current"), F.lit(False))
 
-    history = prev.where(~is_cur).select(*DIM_STOCK_COLS)
     inc = incoming_rows(holdings).select(
         "ticker_symbol", "ordinal",
         *[F.col(c).alias(f"n_{c}") for c in TRACKED_FIELDS])
-    j = prev.where(is_cur).select(*DIM_STOCK_COLS).join(
+    # history rows take part under a null ticker, so they match nothing
+    j = prev.select(*[c for c in DIM_STOCK_COLS if c != "ticker_symbol"],
+                    F.col("ticker_symbol").alias("p_ticker"),
+                    F.when(is_cur, F.col("ticker_symbol"))
+                    .alias("ticker_symbol"), is_cur.alias("cur")).join(
         inc, "ticker_symbol", "full_outer")
 
     same = F.lit(True)
     for c in TRACKED_FIELDS:
         same = same & F.col(c).eqNullSafe(F.col(f"n_{c}"))
-    status = (F.when(F.col("stock_key").isNull(), F.lit("new"))
-              .when(F.col("ordinal").isNull(), F.lit("removed"))
-              .when(same, F.lit("unchanged"))
-              .otherwise(F.lit("changed")))
-    j = j.withColumn("__status", status)
-
-    keep_states = ["unchanged"] + (["removed"] if policy == "keep" else [])
-    close_states = ["changed"] + (["removed"] if policy == "close" else [])
-    kept = j.where(F.col("__status").isin(keep_states)).select(*DIM_STOCK_COLS)
-    closed = j.where(F.col("__status").isin(close_states)).select(
-        *[c for c in DIM_STOCK_COLS if c not in ("valid_to", "is_current")],
-        today.alias("valid_to"), F.lit(False).alias("is_current"))
+    is_new = F.col("stock_key").isNull()
+    gone = F.col("ordinal").isNull()
 
     max_key = prev.agg(F.max("stock_key").alias("k")).scalar()
     first_from = F.lit(params.initial_valid_from or params.today)
     valid_from = F.when(max_key.isNull(), first_from).otherwise(today)
-    inserted = j.where(F.col("__status").isin("new", "changed")).select(
-        "ticker_symbol", "ordinal",
-        *[F.col(f"n_{c}").alias(c) for c in TRACKED_FIELDS])
-    inserted = sequential_ids(inserted, F.lit(0), F.col("ordinal"),
-                              "stock_key", start=F.coalesce(max_key, F.lit(0)))
-    inserted = inserted.select(
-        "stock_key", "ticker_symbol", *TRACKED_FIELDS,
-        valid_from.alias("valid_from"),
-        F.lit(SENTINEL_VALID_TO).alias("valid_to"),
-        F.lit(True).alias("is_current"))
-
-    labelled = [_typed(p).withColumn("part", F.lit(label)) for p, label in
-                ((history, "history"), (kept, "kept"), (closed, "closed"),
-                 (inserted, "inserted"))]
-    out = labelled[0]
-    for p in labelled[1:]:
-        out = out.unionByName(p)
-    return out.select("part", *DIM_STOCK_COLS)
+
+    def row(part, key, ticker, prefix, since, until, current):
+        return F.struct(
+            F.lit(part).alias("part"), key.cast("int").alias("stock_key"),
+            ticker.alias("ticker_symbol"),
+            *[F.col(f"{prefix}{c}").alias(c) for c in TRACKED_FIELDS],
+            since.alias("valid_from"), until.alias("valid_to"),
+            current.alias("is_current"), F.col("ordinal"))
+
+    def before(part, until=F.col("valid_to"), current=F.col("is_current")):
+        return row(part, F.col("stock_key"), F.col("p_ticker"), "",
+                   F.col("valid_from"), until, current)
+    closed = before("closed", today, F.lit(False))
+    inserted = row("inserted", F.lit(None), F.col("ticker_symbol"), "n_",
+                   valid_from, F.lit(SENTINEL_VALID_TO), F.lit(True))
+    removed = {"keep": F.array(before("kept")), "close": F.array(closed),
+               "drop": F.lit(None)}[policy].cast(_row_type())
+    out = (F.when(is_new, F.array(inserted))
+           .when(~F.col("cur"), F.array(before("history")))
+           .when(gone, removed)
+           .when(same, F.array(before("kept")))
+           .otherwise(F.array(closed, inserted)))
+    rows = j.select(F.explode(out.cast(_row_type())).alias("r")).select("r.*")
+    # the inserted rows come first in this numbering, in holdings order
+    is_in = F.col("part") == "inserted"
+    rows = sequential_ids(rows, F.when(is_in, 0).otherwise(1),
+                          F.when(is_in, F.col("ordinal"))
+                          .otherwise(F.col("stock_key")), "position",
+                          start=F.coalesce(max_key, F.lit(0)))
+    return rows.withColumn("stock_key", F.when(is_in, F.col("position"))
+                           .otherwise(F.col("stock_key")).cast("int")) \
+        .select("part", *[F.col(f.name).cast(f.dataType).alias(f.name)
+                          for f in DIM_STOCK.fields])
+
+
+def _row_type() -> T.ArrayType:
+    """Rows that one match of the merge puts out."""
+    return T.ArrayType(T.StructType(
+        [T.StructField("part", T.StringType()),
+         *[T.StructField(f.name, f.dataType) for f in DIM_STOCK.fields],
+         T.StructField("ordinal", T.LongType())]))
 
 
 def first_dimension(spark, holdings: DataFrame, params: RunParams) -> DataFrame:
@@ -110,15 +122,15 @@ def first_dimension(spark, holdings: DataFrame, params: RunParams) -> DataFrame:
     return scd2_merge(empty, holdings, params)
 
 
-def scd2_asof(facts: DataFrame, dim: DataFrame, date_col: str = "trade_date",
-              max_rows: int = 2_000_000) -> DataFrame:
+def scd2_asof(facts: DataFrame, dim: DataFrame,
+              date_col: str = "trade_date") -> DataFrame:
     """Attach the dimension version valid on each fact's date.
 
     Equi-join on ticker with the half-open range ``[valid_from, valid_to)`` as
-    residual condition: a broadcast hash join when the dimension is proven
-    small, otherwise a shuffle join on ticker (AQE splits a hot ticker).
+    residual condition; Spark broadcasts a dimension below its size limit,
+    otherwise it is a shuffle join on ticker (AQE splits a hot ticker).
     """
-    d = broadcast_if_small(dim.select(*DIM_STOCK_COLS), max_rows)
+    d = dim.select(*DIM_STOCK_COLS)
     f = facts.alias("f")
     cond = ((F.col("f.ticker_symbol") == F.col("d.ticker_symbol"))
             & (F.col(f"f.{date_col}") >= F.col("d.valid_from"))

@@ -15,11 +15,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pricelake.functions.text import clean_ticker
-from pricelake.operators.joins import broadcast_if_small
 from pricelake.params import MUTUAL_FUND, RunParams
 from pricelake.schemas import FUND_NULLED, RENAMES, SILVER_COLS, SILVER_KEPT
 
@@ -34,11 +33,10 @@ def rename_columns(df: DataFrame) -> DataFrame:
                                   if k in df.columns})
 
 
-def type_lookup(df: DataFrame, holdings: DataFrame,
-                max_rows: int = 2_000_000) -> DataFrame:
+def type_lookup(df: DataFrame, holdings: DataFrame) -> DataFrame:
     """Left join of the instrument type on ticker; unknown tickers get null."""
     types = holdings.select("ticker_symbol", "instrument_type")
-    return df.join(broadcast_if_small(types, max_rows), "ticker_symbol", "left")
+    return df.join(types, "ticker_symbol", "left")
 
 
 def null_out_by_type(df: DataFrame) -> DataFrame:
@@ -101,18 +99,22 @@ def validate_counts(df: DataFrame, as_of: dt.date) -> DataFrame:
 
     ``df`` is the cast frame before validation.  One row.
     """
+    counts, ok = _rule_counts(as_of)
+    return df.agg(
+        *counts, F.count_distinct(F.when(ok, F.struct(*KEY))).alias("rows_out"),
+    ).withColumn("duplicates", F.col("rows_valid") - F.col("rows_out"))
+
+
+def _rule_counts(as_of: dt.date) -> tuple[list[Column], Column]:
     ok_price = F.coalesce(valid_price(), F.lit(False))
     ok_date = F.coalesce(not_future(as_of), F.lit(False))
     ok_ticker = valid_ticker()
     ok = ok_price & ok_date & ok_ticker
-    return df.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(~ok_price).alias("invalid_price"),
-        F.count_if(~ok_date).alias("future_date"),
-        F.count_if(~ok_ticker).alias("invalid_ticker"),
-        F.count_if(ok).alias("rows_valid"),
-        F.count_distinct(F.when(ok, F.struct(*KEY))).alias("rows_out"),
-    ).withColumn("duplicates", F.col("rows_valid") - F.col("rows_out"))
+    return [F.count(F.lit(1)).alias("rows_in"),
+            F.count_if(~ok_price).alias("invalid_price"),
+            F.count_if(~ok_date).alias("future_date"),
+            F.count_if(~ok_ticker).alias("invalid_ticker"),
+            F.count_if(ok).alias("rows_valid")], ok
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
@@ -145,23 +147,28 @@ def silver_metadata(df: DataFrame, params: RunParams) -> DataFrame:
     })
 
 
-def prepare(bronze: DataFrame, holdings: DataFrame,
-            max_rows: int = 2_000_000) -> DataFrame:
+def prepare(bronze: DataFrame, holdings: DataFrame) -> DataFrame:
     """Rename, cast, type lookup and null-out: the row-local part of cleaning."""
     df = cast_types(rename_columns(bronze))
-    df = type_lookup(df, holdings, max_rows)
+    df = type_lookup(df, holdings)
     return null_out_by_type(df)
 
 
 def clean(bronze: DataFrame, holdings: DataFrame, params: RunParams,
           order: Sequence[str] = tuple(DEFAULT_ORDER),
-          reference_order: bool = False, keep: str = "first") -> DataFrame:
+          reference_order: bool = False, keep: str = "first",
+          seen: Observation | None = None) -> DataFrame:
     """The full raw -> cleaned transformation (no I/O).
 
+    ``seen`` gets the row counts of ``validate_counts`` (but the distinct
+    keys) while the result is written, without a pass of its own.
+
     ``keep="last"`` keeps the newest copy of a (ticker, date) instead of the
     first: the restate mode, for sources that restate adjusted prices.
     """
-    df = prepare(bronze, holdings, params.broadcast_max_rows)
+    df = prepare(bronze, holdings)
+    if seen is not None:
+        df = df.observe(seen, *_rule_counts(params.today)[0])
     if reference_order:
         df = validate(dedup_first(df, KEY, order, keep), params.today)
     else:

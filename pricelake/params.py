@@ -29,12 +29,12 @@ class RunParams:
     source_system: str = SOURCE_SYSTEM
     calendar_start: dt.date = dt.date(2025, 3, 9)
     calendar_end: dt.date = CALENDAR_END
-    # SCD2 policy for tickers that left the holdings: keep / close / drop
-    on_removed: str = "keep"
+    # SCD2 policy for tickers that left the holdings: close / keep / drop.
+    # A removed ticker has no baseline value, so the fact prices current
+    # holdings only; closing its dimension row says the same.
+    on_removed: str = "close"
     # valid_from for rows inserted when the dimension is empty
     initial_valid_from: dt.date | None = None
-    # largest side (rows) that may be broadcast after a size check
-    broadcast_max_rows: int = 2_000_000
     extra: dict = field(default_factory=dict)
 
     @property

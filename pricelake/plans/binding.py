@@ -13,19 +13,22 @@ upstream layers.  The transformation queries themselves (``silver``,
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelake.operators import silver as sv
 from pricelake.operators.calendar import dim_date
 from pricelake.operators.fact import fact_prices
-from pricelake.operators.marts import star_join
+from pricelake.operators.marts import fact_between, latest_fact, star_join
 from pricelake.operators.scd2 import scd2_merge
+from pricelake.plans.pipeline import LakePaths, fact_layout, run_all
 from pricelake.schemas import SILVER_COLS
 from pricelake.session import scratch_path
 from pricelake.sources import testdata as td
-from pricelake.sources.landing import bronze_metadata, bronze_union
+from pricelake.streaming.incremental import run_stream
 
 SILVER_ORDER = list(sv.DEFAULT_ORDER) + td.TIE_BREAK + ["close_price"]
 
@@ -33,16 +36,21 @@ _LOCK = threading.RLock()
 _TABLES: dict[tuple, str] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write ``build()`` once per application and sf_dir; read it back."""
+def _path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """``write(path)`` once per application and sf_dir; where it wrote."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
         path = _TABLES.get(key)
         if path is None:
             path = scratch_path(spark, name)
-            build().write.mode("overwrite").parquet(path)
+            write(path)
             _TABLES[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    return spark.read.parquet(_path(
+        spark, sf_dir, name, lambda path: build().write.parquet(path)))
 
 
 def landing_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -50,11 +58,19 @@ def landing_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             for flag in td.LANDING_FLAGS]
 
 
+def drops(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The landing zone: one drop per landing run, as files."""
+    def write(path):
+        for flag, df in zip(td.LANDING_FLAGS, landing_runs(spark, sf_dir)):
+            df.write.parquet(f"{path}/{flag}")
+    root = _path(spark, sf_dir, "landing", write)
+    return {flag: f"{root}/{flag}" for flag in td.LANDING_FLAGS}
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw layer: three landing runs, each stamped with its run metadata."""
-    return bronze_union([
-        bronze_metadata(df, td.landing_params(i))
-        for i, df in enumerate(landing_runs(spark, sf_dir))])
+    """Raw layer: the rows of all landing runs, stamped with the metadata of
+    their run (one scan)."""
+    return td.stamped(spark, sf_dir)
 
 
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,24 +91,22 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "silver", lambda: silver(spark, sf_dir))
 
 
-def bronze_table_path(spark: SparkSession, sf_dir: str) -> str:
-    bronze_table(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "bronze")
-    return _TABLES[key]
-
-
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned layer produced by the streaming load.
-
-    Runs the availableNow stream over the stored raw layer into a fresh
-    folder (with its own checkpoint) and returns a read of the result.
-    """
-    from pricelake.streaming.incremental import run_stream
-    src = bronze_table_path(spark, sf_dir)
+    """The cleaned layer produced by the streaming load: each landing run
+    arrives, is loaded by the next batch of one query, and at the end a query
+    with a new checkpoint reads everything again and must add nothing."""
+    raw = bronze_table(spark, sf_dir)
     out = scratch_path(spark, "silver-stream")
-    run_stream(spark, src, f"{out}/table", f"{out}/_checkpoint",
-               td.holdings(spark, sf_dir), td.SILVER_PARAMS,
-               schema=spark.read.parquet(src).schema, order=SILVER_ORDER)
+
+    def load(checkpoint):
+        run_stream(spark, f"{out}/raw", f"{out}/table", f"{out}/{checkpoint}",
+                   td.holdings(spark, sf_dir), td.SILVER_PARAMS,
+                   schema=raw.schema, order=SILVER_ORDER)
+    for i in range(len(td.LANDING_FLAGS)):
+        raw.where(F.col("batch_id") == td.landing_params(i).batch_id) \
+            .write.mode("append").parquet(f"{out}/raw")
+        load("_checkpoint1")
+    load("_checkpoint2")
     return spark.read.parquet(f"{out}/table").select(*SILVER_COLS)
 
 
@@ -115,15 +129,39 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact transformation over the stored cleaned layer and dimensions."""
     return fact_prices(silver_table(spark, sf_dir),
                        dim_stock_table(spark, sf_dir), calendar(spark),
-                       td.holdings_next(spark, sf_dir), td.GOLD_PARAMS)
+                       td.holdings(spark, sf_dir), td.GOLD_PARAMS)
 
 
-def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "fact", lambda: fact(spark, sf_dir))
+def fact_table(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
+               end: dt.date | None = None) -> DataFrame:
+    """The stored fact, in the layout of the gold job, from ``start`` to
+    ``end``."""
+    stored = spark.read.parquet(_path(
+        spark, sf_dir, "fact", lambda path: fact_layout(fact(spark, sf_dir))
+        .write.partitionBy("month_key").parquet(path)))
+    return fact_between(stored, start, end).drop("month_key")
 
 
-def star(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
+         end: dt.date | None = None) -> DataFrame:
     """The analyst dataset over the stored gold tables."""
-    return star_join(fact_table(spark, sf_dir), calendar(spark),
-                     dim_stock_table(spark, sf_dir),
-                     td.GOLD_PARAMS.broadcast_max_rows)
+    return star_join(fact_table(spark, sf_dir, start, end), calendar(spark),
+                     dim_stock_table(spark, sf_dir))
+
+
+def latest_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analyst dataset of the newest date."""
+    return star_join(latest_fact(fact_table(spark, sf_dir)), calendar(spark),
+                     dim_stock_table(spark, sf_dir))
+
+
+# -- the jobs, over the drops of the test tables ---------------------------------
+
+def lake(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """All three jobs run once over the stored drops into a fresh lake, whose
+    holdings come through ``holdings_table``."""
+    def write(path):
+        paths = LakePaths(path)
+        run_all(spark, drops(spark, sf_dir), td.holdings_config(spark, sf_dir),
+                td.GOLD_PARAMS, paths)
+    return LakePaths(_path(spark, sf_dir, "lake", write))

@@ -18,18 +18,20 @@ import os
 import sys
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators import incremental as inc
+from pricelake.operators import marts
 from pricelake.operators import silver as sv
 from pricelake.operators.calendar import dim_date
 from pricelake.operators.fact import fact_prices
 from pricelake.operators.scd2 import scd2_merge
 from pricelake.params import RunParams
-from pricelake.schemas import BRONZE, SILVER, SILVER_COLS
+from pricelake.schemas import BRONZE, DIM_STOCK, SILVER, SILVER_COLS
 from pricelake.sources import sinks
-from pricelake.sources.landing import bronze_metadata, landing_read
+from pricelake.sources.landing import (NANOS_SETTING, bronze_metadata,
+                                       landing_read)
 from pricelake.sources.tables import holdings_table
 
 
@@ -59,86 +61,180 @@ def read_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
 
 
 def read_silver(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
-    df = sinks.read_if_exists(spark, paths.silver, SILVER)
+    df = sinks.read_if_exists(spark, sinks.layer_path(spark, paths.silver),
+                              SILVER)
     return None if df is None else df.select(*SILVER_COLS)
 
 
 def run_bronze(spark: SparkSession, drops: dict[str, str], params: RunParams,
                paths: LakePaths, start_date: dt.date | None = None) -> bool:
-    """landing -> metadata -> append-once.  Returns whether rows were written."""
-    df = bronze_metadata(landing_read(spark, drops, start_date), params)
-    return sinks.bronze_append(df.drop("ingested_date"), paths.bronze,
-                               params.run_date_iso)
+    """landing -> metadata -> append-once -> audit.  Returns whether rows were
+    written; the audit row names the instruments that were skipped."""
+    skipped: list[tuple[str, str]] = []
+    df = bronze_metadata(landing_read(spark, drops, start_date, skipped), params)
+    seen = Observation()
+    rows = df.drop("ingested_date").observe(seen, F.count(F.lit(1)).alias("n"))
+    wrote = sinks.bronze_append(rows, paths.bronze, params.run_date_iso)
+    n = seen.get["n"] if wrote else 0
+    sinks.watermark_commit(
+        spark, paths.audit, params.batch_id, "bronze", None, n, n,
+        params.run_iso, note="; ".join(f"{t}: {why}" for t, why in skipped) or None)
+    return wrote
+
+
+def _cleaned(new: DataFrame, holdings: DataFrame, params: RunParams,
+             **options) -> tuple[DataFrame, Observation]:
+    """Cleaned rows, and what the write will see: rows in, rows dropped."""
+    seen = Observation()
+    return sv.clean(new, holdings, params, seen=seen, **options), seen
+
+
+def _dropped(seen: Observation, rows_out: int) -> tuple[int, dict[str, int]]:
+    got = seen.get
+    return got["rows_in"], {
+        **{k: got[k] for k in ("invalid_price", "future_date",
+                               "invalid_ticker")},
+        "duplicates": got["rows_valid"] - rows_out}
 
 
 def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
                paths: LakePaths, per_ticker_mark: bool = False,
-               reference_order: bool = False, restate: bool = False) -> int:
+               reference_order: bool = False, restate: bool = False,
+               reprocess_from: dt.date | None = None) -> int:
     """mark -> incremental load -> clean -> write -> audit.
 
     Returns the rows written (0 when there was nothing new: no write).
     ``restate`` rebuilds the layer from every raw row with the newest copy
     of each (ticker, date) winning, so restated adjusted prices replace old
-    ones (no mark; the whole layer is replaced in one commit).
+    ones.  ``reprocess_from`` does so for the days from that date on and keeps
+    the earlier rows as they are.  Both publish a new version of the layer.
     """
     bronze = read_bronze(spark, paths)
     if bronze is None:
         raise FileNotFoundError(f"no raw layer at {paths.bronze}")
-    if restate:
-        cleaned = sv.clean(bronze, holdings, params, keep="last")
-        sinks.silver_write(cleaned, paths.silver, params.run_date_iso,
-                           params.batch_id, replace_all=True)
-        n = spark.read.schema(SILVER).parquet(paths.silver).count()
-        sinks.watermark_commit(spark, paths.audit, params.batch_id,
-                               "silver-restate", None, bronze.count(), n,
-                               params.run_iso)
-        return n
+    if restate or reprocess_from is not None:
+        return _rebuild_silver(spark, bronze, holdings, params, paths,
+                               None if restate else reprocess_from)
     silver = read_silver(spark, paths)
     if per_ticker_mark and silver is not None:
-        mark = None
         new = inc.incremental_load_per_ticker(bronze, silver)
     else:
-        mark = inc.mark_value(silver)
-        new = inc.incremental_load(bronze, mark)
+        new = inc.incremental_load(bronze, inc.mark_value(silver))
     if not inc.has_rows(new):
         return 0
-    cleaned = sv.clean(new, holdings, params, reference_order=reference_order)
+    cleaned, seen = _cleaned(new, holdings, params,
+                             reference_order=reference_order)
+    if per_ticker_mark and silver is not None:
+        cleaned = inc.new_keys(cleaned, new, silver, sv.KEY)
     sinks.silver_write(cleaned, paths.silver, params.run_date_iso,
                        params.batch_id)
-    written = spark.read.schema(SILVER).parquet(paths.silver).where(
+    written = read_silver(spark, paths).where(
         F.col("silver_batch_id") == params.batch_id)
     stats = written.agg(F.count(F.lit(1)).alias("n"),
                         F.max("trade_date").alias("m")).first()
-    rows_in = new.count()
+    rows_in, dropped = _dropped(seen, stats["n"])
     sinks.watermark_commit(spark, paths.audit, params.batch_id, "silver",
-                           stats["m"], rows_in, stats["n"], params.run_iso)
+                           stats["m"], rows_in, stats["n"], params.run_iso,
+                           dropped)
+    return stats["n"]
+
+
+def _rebuild_silver(spark, bronze: DataFrame, holdings: DataFrame,
+                    params: RunParams, paths: LakePaths,
+                    since: dt.date | None) -> int:
+    """A new version of the layer with the days from ``since`` on (all, if
+    None) cleaned again.  Returns the rows cleaned."""
+    kept, layer = None, "silver-restate"
+    if since is not None:
+        layer = "silver-reprocess"
+        bronze = bronze.where(F.to_date("Date") >= F.lit(since))
+        old = sinks.read_if_exists(
+            spark, sinks.layer_path(spark, paths.silver))
+        if old is not None:
+            kept = old.where(F.col("trade_date") < F.lit(since)) \
+                .withColumn("processed_date", F.col("processed_date").cast("string"))
+    cleaned, seen = _cleaned(bronze, holdings, params, keep="last")
+    sinks.silver_replace(cleaned, paths.silver, params.run_ts,
+                         params.run_date_iso, params.batch_id, kept)
+    stats = read_silver(spark, paths).where(
+        F.col("silver_batch_id") == params.batch_id).agg(
+        F.count(F.lit(1)).alias("n"), F.max("trade_date").alias("m")).first()
+    rows_in, dropped = _dropped(seen, stats["n"])
+    sinks.watermark_commit(spark, paths.audit, params.batch_id, layer,
+                           stats["m"], rows_in, stats["n"], params.run_iso,
+                           dropped)
     return stats["n"]
 
 
+def fact_layout(fact: DataFrame) -> DataFrame:
+    """The stored form of the fact: a month partition column, rows clustered
+    by (date_key, stock_key) within it."""
+    return (fact.withColumn("month_key", F.floor(F.col("date_key") / 100)
+                            .cast("int"))
+            .repartitionByRange("date_key", "stock_key")
+            .sortWithinPartitions("date_key", "stock_key"))
+
+
 def run_gold(spark: SparkSession, holdings: DataFrame, params: RunParams,
              paths: LakePaths) -> dict[str, int]:
-    """Dimensions before facts; the new version is published last.
+    """Dimensions before facts; every table is checked against the rows that
+    were written, and the new version is published last.
 
     The dimension is written first and the fact is built from the stored
-    dimension, so the fact's keys are exactly the published keys.
+    dimension, so the fact's keys are exactly the published keys.  A run
+    dated before the published one is refused: it would write history that
+    ends before it begins.
     """
     silver = read_silver(spark, paths)
     if silver is None:
         raise FileNotFoundError(f"no cleaned layer at {paths.silver}")
-    version = params.run_ts.strftime("%Y%m%d%H%M%S")
+    last = sinks.published(spark, paths.gold)
+    if last is not None and params.run_iso < last["run_ts"]:
+        raise ValueError(f"run of {params.run_iso} is older than the published "
+                         f"one of {last['run_ts']}")
+    version = sinks.new_version(params.run_ts)
     prev = sinks.dim_snapshot_read(spark, paths.gold)
     cal = dim_date(spark, params.calendar_start, params.calendar_end)
-    dim_path = sinks.gold_path(paths.gold, version, "dim_stock")
-    scd2_merge(prev, holdings, params).write.mode("overwrite").parquet(dim_path)
-    dim = spark.read.parquet(dim_path)
-    fact = fact_prices(silver, dim, cal, holdings, params)
-    counts = sinks.gold_write({"dim_date": cal, "fact_stock_prices": fact},
-                              paths.gold, version, params.run_iso,
-                              partition_by={"fact_stock_prices": ["date_key"]})
-    counts["dim_stock"] = sinks.write_verify(spark, dim_path)
+    counts = sinks.gold_write({"dim_stock": scd2_merge(prev, holdings, params),
+                               "dim_date": cal}, paths.gold, version)
+    dim = spark.read.schema(DIM_STOCK).parquet(
+        sinks.gold_path(paths.gold, version, "dim_stock"))
+    fact = fact_layout(fact_prices(silver, dim, cal, holdings, params))
+    counts |= sinks.gold_write(
+        {"fact_stock_prices": fact}, paths.gold, version,
+        {"fact_stock_prices": ["month_key"]})
+    sinks.publish(spark, paths.gold, version, params.run_iso)
+    sinks.watermark_commit(spark, paths.audit, params.batch_id, "gold", None,
+                           None, counts["fact_stock_prices"], params.run_iso,
+                           note=version)
     return counts
 
 
+def load_star(spark: SparkSession, paths: LakePaths,
+              start: dt.date | None = None,
+              end: dt.date | None = None) -> DataFrame:
+    """The analyst dataset over the published gold tables, from ``start`` to
+    ``end``: the input of every mart.  Unsorted; ``sorted_star`` is the form
+    to show."""
+    table = lambda name: sinks.gold_table(spark, paths.gold, name)
+    return marts.star_join(
+        marts.fact_between(table("fact_stock_prices"), start, end),
+        table("dim_date"), table("dim_stock"))
+
+
+def sorted_star(star: DataFrame) -> DataFrame:
+    return star.orderBy("trade_date", "ticker_symbol")
+
+
+def load_freshness(spark: SparkSession, paths: LakePaths,
+                   as_of: dt.date) -> DataFrame:
+    """How old the published gold layer is."""
+    fresh = marts.freshness(
+        sinks.gold_table(spark, paths.gold, "fact_stock_prices"),
+        sinks.gold_table(spark, paths.gold, "dim_date"))
+    return marts.staleness_class(fresh, as_of)
+
+
 def run_all(spark: SparkSession, drops: dict[str, str], holdings: DataFrame,
             params: RunParams, paths: LakePaths,
             start_date: dt.date | None = None) -> dict:
@@ -153,7 +249,8 @@ def main(argv: list[str]) -> int:
     root, holdings_json, drops_dir = argv[1], argv[2], argv[3]
     run_ts = (dt.datetime.fromisoformat(argv[4]) if len(argv) > 4
               else dt.datetime.now())
-    spark = SparkSession.builder.appName("pricelake").getOrCreate()
+    spark = SparkSession.builder.appName("pricelake") \
+        .config(NANOS_SETTING, "true").getOrCreate()
     with open(holdings_json) as fh:
         cfg = json.load(fh)
     holdings = holdings_table(spark, cfg["holdings"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Raw layer: provider columns plus four metadata columns.
+# The provider's columns.
 LANDING = T.StructType([
     T.StructField("Date", T.TimestampNTZType()),
     T.StructField("Open", T.DoubleType()),
@@ -15,6 +15,7 @@ LANDING = T.StructType([
     T.StructField("ticker_symbol", T.StringType()),
 ])
 
+# The raw layer's metadata columns.
 BRONZE_META = ["ingested_at", "source_system", "batch_id", "ingested_date"]
 
 BRONZE = T.StructType(LANDING.fields + [
@@ -34,7 +35,7 @@ RENAMES = {
     "Volume": "volume",
 }
 
-# Columns meaningless for mutual funds, nulled in the cleaned layer.
+# Columns meaningless for mutual funds, nulled in the cleaned layer.
 FUND_NULLED = ["high_price", "low_price", "open_price", "volume"]
 
 # The cleaned-layer contract, in the reference's order (fixed values).
@@ -62,17 +63,7 @@ SILVER = T.StructType([
     T.StructField("silver_batch_id", T.StringType()),
 ])
 
-# Holdings configuration as a relation.  ``ordinal`` is the config order.
-HOLDINGS = T.StructType([
-    T.StructField("ticker_symbol", T.StringType(), False),
-    T.StructField("fund_name", T.StringType()),
-    T.StructField("baseline_value_usd", T.DoubleType()),
-    T.StructField("allocation_pct", T.DoubleType()),
-    T.StructField("instrument_type", T.StringType()),
-    T.StructField("sector", T.StringType()),
-    T.StructField("ordinal", T.LongType(), False),
-])
-
+# Columns of the calendar dimension.
 DIM_DATE_COLS = [
     "full_date", "date_key", "year", "quarter", "month", "month_name",
     "day_of_week", "is_weekend", "is_market_holiday",
@@ -80,6 +71,7 @@ DIM_DATE_COLS = [
 
 TRACKED_FIELDS = ["fund_name", "sector", "instrument_type"]
 
+# Columns of the instrument dimension.
 DIM_STOCK = T.StructType([
     T.StructField("stock_key", T.IntegerType(), False),
     T.StructField("ticker_symbol", T.StringType()),
@@ -92,12 +84,13 @@ DIM_STOCK = T.StructType([
 ])
 DIM_STOCK_COLS = [f.name for f in DIM_STOCK.fields]
 
+# Columns of the price fact.
 FACT_COLS = [
     "price_key", "date_key", "stock_key", "close_price", "daily_return_pct",
     "portfolio_value", "ingested_at", "processed_at",
 ]
 
-# The analyst dataset (fact joined to both dimensions), in output order.
+# The analyst dataset (fact joined to both dimensions).
 STAR_COLS = [
     "close_price", "daily_return_pct", "portfolio_value", "processed_at",
     "trade_date", "year", "quarter", "month_name", "is_weekend",

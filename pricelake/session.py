@@ -38,12 +38,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir``; sets a fresh local one only
-    when it is unset (local tests), never overriding a cluster setting.
+    when it is unset and the master is local (tests).  On a cluster each
+    machine would write to its own disk, so there it is an error.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver "
+                             "and executors share")
         path = tempfile.mkdtemp(prefix="pricelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import logging
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +31,10 @@ def _date_column(df: DataFrame) -> F.Column:
     if isinstance(dtype, T.LongType):
         # Wall-clock nanoseconds since 1970-01-01 (no zone): epoch + interval
         # keeps the value independent of the session time zone.
-        secs = (F.floor(F.col("Date") / F.lit(1000)).cast("decimal(20,0)")
-                / F.lit(1_000_000)).cast("decimal(18,6)")
+        # Integer arithmetic: a double holds nanoseconds only to about 200.
+        micros = F.expr("(Date - pmod(Date, 1000)) div 1000") \
+            .cast("decimal(20,0)")
+        secs = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
         epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
         return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
     return F.col("Date").cast("timestamp_ntz")
@@ -62,28 +63,42 @@ def normalize_drop(df: DataFrame, ticker: str | None = None) -> DataFrame:
     return df.select(*cols)
 
 
+NANOS_SETTING = "spark.sql.legacy.parquet.nanosAsLong"
+
+
 def landing_read(spark: SparkSession, drops: dict[str, str],
-                 start_date: dt.date | str | None = None) -> DataFrame:
+                 start_date: dt.date | str | None = None,
+                 skipped: list[tuple[str, str]] | None = None) -> DataFrame:
     """Read per-instrument drops ``{ticker: path}`` into one landing frame.
 
-    Missing or unreadable drops are skipped with a warning (one failing
-    instrument does not stop the run); if no drop could be read at all, or
-    the union is empty, a ``ValueError`` is raised.
+    Spark resolves the paths.  Missing or unreadable drops are skipped with a
+    warning (one failing instrument does not stop the run) and added to
+    ``skipped`` as (ticker, reason); if no drop could be read at all, or the
+    union is empty, a ``ValueError`` is raised.
+
+    Files written by pandas carry nanosecond timestamps, which Spark reads
+    only with ``spark.sql.legacy.parquet.nanosAsLong=true``.  The setting must
+    hold while the result is computed, so the session has to bring it; such a
+    drop is an error without it, not a skip.
     """
-    # Files written by pandas carry nanosecond timestamps.
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     frames = []
+
+    def skip(ticker, reason):
+        log.warning("drop for %s skipped: %s", ticker, reason)
+        if skipped is not None:
+            skipped.append((ticker, reason))
     for ticker, path in drops.items():
-        if not os.path.exists(path) and "://" not in path:
-            log.warning("no drop for %s at %s; skipping", ticker, path)
-            continue
         try:
             raw = spark.read.parquet(path)
         except AnalysisException as exc:
-            log.warning("drop for %s unreadable (%s); skipping", ticker, exc)
+            if "NANOS" in str(exc):
+                raise ValueError(
+                    f"the drop for {ticker} holds nanosecond timestamps: set "
+                    f"{NANOS_SETTING}=true in the session") from exc
+            skip(ticker, (exc.getCondition() or str(exc))[:200])
             continue
         if "Date" not in raw.columns:
-            log.warning("drop for %s has no Date column; skipping", ticker)
+            skip(ticker, "no Date column")
             continue
         frames.append(normalize_drop(raw, ticker))
     if not frames:

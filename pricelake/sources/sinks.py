@@ -2,11 +2,20 @@
 
 * raw layer: append-only, one partition per ingest date, written at most once;
 * cleaned layer: partitioned by ``processed_date`` and ``run_id`` with dynamic
-  partition overwrite, so a rerun of one run replaces only itself;
-* gold layer: every run writes a fresh versioned snapshot directory and then
-  publishes the version in a small log table; readers take the newest
-  published version, so no path is ever overwritten while it is read;
-* an audit table records each load (run id, mark, rows in and out).
+  partition overwrite, so a rerun of one run replaces only itself.  Replacing
+  more than that (restating, reprocessing) writes a new version of the layer
+  beside it and publishes that;
+* gold layer: every run writes a fresh version directory, checks it, and then
+  publishes it.
+
+A version name is unique to its attempt and its directory is never
+overwritten, so what readers see stays whole whatever fails.  Publishing
+appends one row to a small log; the row with the highest sequence number is
+current, whatever its run time.  One writer per layer is assumed, as with the
+single scheduled job of the lake.
+
+An audit table records each load (run id, mark, rows in and out, rows dropped
+and why, instruments skipped).
 
 All writes go through Spark's file commit protocol: a failed task is retried
 and a failed job leaves no committed partial output.
@@ -15,9 +24,9 @@ and a failed job leaves no committed partial output.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,35 +38,37 @@ AUDIT = T.StructType([
     T.StructField("high_water_mark", T.DateType()),
     T.StructField("rows_in", T.LongType()),
     T.StructField("rows_out", T.LongType()),
+    T.StructField("invalid_price", T.LongType()),
+    T.StructField("future_date", T.LongType()),
+    T.StructField("invalid_ticker", T.LongType()),
+    T.StructField("duplicates", T.LongType()),
+    T.StructField("note", T.StringType()),
     T.StructField("recorded_at", T.StringType()),
 ])
 
 PUBLISHED = T.StructType([
+    T.StructField("sequence", T.LongType()),
     T.StructField("version", T.StringType()),
+    T.StructField("run_ts", T.StringType()),
     T.StructField("published_at", T.StringType()),
 ])
 
 
-def _missing(exc: AnalysisException) -> bool:
-    cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass")
-    return (cond() or "") == "PATH_NOT_FOUND" or "Path does not exist" in str(exc)
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def read_if_exists(spark: SparkSession, path: str,
                    schema: T.StructType | None = None) -> DataFrame | None:
     """The Parquet table at ``path``, or ``None`` when the path is absent.
 
-    Only "not found" yields ``None``; any other read error propagates.
+    Only "not found" yields ``None``; any read error propagates.
     """
-    try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        df = reader.parquet(path)
-        df.schema  # resolve now so a missing path fails here
-        return df
-    except AnalysisException as exc:
-        if _missing(exc):
-            return None
-        raise
+    if not _exists(spark, path):
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def has_rows(spark: SparkSession, path: str) -> bool:
@@ -65,6 +76,49 @@ def has_rows(spark: SparkSession, path: str) -> bool:
     return df is not None and not df.isEmpty()
 
 
+# -- versions --------------------------------------------------------------------
+
+def new_version(run_ts: dt.datetime) -> str:
+    """A version name of its own for every attempt."""
+    return f"{run_ts:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:12]}"
+
+
+def published(spark: SparkSession, root: str) -> Row | None:
+    """The newest row of the publish log of ``root``, or ``None``."""
+    log = read_if_exists(spark, f"{root.rstrip('/')}/_published", PUBLISHED)
+    if log is None:
+        return None
+    return log.orderBy(F.desc("sequence"), F.desc("version")).limit(1).first()
+
+
+def publish(spark: SparkSession, root: str, version: str, run_ts: str,
+            published_at: str | None = None) -> None:
+    """Make ``version`` the current one of ``root``."""
+    last = published(spark, root)
+    spark.createDataFrame(
+        [((last["sequence"] if last else 0) + 1, version, run_ts,
+          published_at or run_ts)], PUBLISHED).coalesce(1) \
+        .write.mode("append").parquet(f"{root.rstrip('/')}/_published")
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    row = published(spark, root)
+    return None if row is None else row["version"]
+
+
+def write_checked(df: DataFrame, path: str, partition_by: list[str] = (),
+                  ) -> int:
+    """Write ``df`` to a new ``path`` and hold the stored row count against
+    the rows that the writing plan produced.  Returns the count."""
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")) \
+        .write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return write_verify(df.sparkSession, path, seen.get["n"])
+
+
 # -- raw layer -----------------------------------------------------------------
 
 def bronze_append(df: DataFrame, bronze_path: str, ingested_date: str) -> bool:
@@ -82,72 +136,74 @@ def bronze_append(df: DataFrame, bronze_path: str, ingested_date: str) -> bool:
 
 # -- cleaned layer --------------------------------------------------------------
 
+def layer_path(spark: SparkSession, root: str) -> str:
+    """Where the cleaned layer of ``root`` lives now: its newest published
+    version, or ``root`` itself while nothing was replaced."""
+    versions = f"{root.rstrip('/')}_versions"
+    version = current_version(spark, versions)
+    return root if version is None else f"{versions}/v={version}"
+
+
+def _stamped(df: DataFrame, processed_date: str, run_id: str) -> DataFrame:
+    return df.withColumn("processed_date", F.lit(processed_date)) \
+        .withColumn("run_id", F.lit(run_id))
+
+
 def silver_write(df: DataFrame, silver_path: str, processed_date: str,
-                 run_id: str, replace_all: bool = False) -> None:
-    """Write the run under (processed_date, run_id), replacing only that run;
-    ``replace_all`` replaces the whole layer (restate mode)."""
-    (df.withColumn("processed_date", F.lit(processed_date))
-       .withColumn("run_id", F.lit(run_id))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode",
-               "static" if replace_all else "dynamic")
-       .partitionBy("processed_date", "run_id")
-       .parquet(silver_path))
+                 run_id: str) -> None:
+    """Write the run under (processed_date, run_id) of the current layer,
+    replacing only that run."""
+    path = layer_path(df.sparkSession, silver_path)
+    (_stamped(df, processed_date, run_id).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("processed_date", "run_id").parquet(path))
+
+
+def silver_replace(new: DataFrame, silver_path: str, run_ts: dt.datetime,
+                   processed_date: str, run_id: str,
+                   kept: DataFrame | None = None) -> int:
+    """Publish a new version of the layer: ``kept`` (rows of the present one,
+    with their partition columns) and the ``new`` rows of this run.  Until it
+    is published, and if anything fails, readers see the present version."""
+    spark = new.sparkSession
+    rows = _stamped(new, processed_date, run_id)
+    if kept is not None:
+        rows = kept.select(*rows.columns).unionByName(rows)
+    versions = f"{silver_path.rstrip('/')}_versions"
+    version = new_version(run_ts)
+    n = write_checked(rows, f"{versions}/v={version}",
+                      ["processed_date", "run_id"])
+    publish(spark, versions, version, run_ts.isoformat())
+    return n
 
 
 def watermark_commit(spark: SparkSession, audit_path: str, run_id: str,
-                     layer: str, mark: dt.date | None, rows_in: int,
-                     rows_out: int, recorded_at: str) -> None:
+                     layer: str, mark: dt.date | None, rows_in: int | None,
+                     rows_out: int, recorded_at: str,
+                     dropped: dict[str, int] | None = None,
+                     note: str | None = None) -> None:
     """Append one audit row after a successful write."""
+    names = ("invalid_price", "future_date", "invalid_ticker", "duplicates")
     spark.createDataFrame(
-        [(run_id, layer, mark, int(rows_in), int(rows_out), recorded_at)],
+        [(run_id, layer, mark, rows_in, int(rows_out),
+          *[(dropped or {}).get(n) for n in names], note, recorded_at)],
         AUDIT).coalesce(1).write.mode("append").parquet(audit_path)
 
 
 # -- gold layer -----------------------------------------------------------------
 
-def _published(spark: SparkSession, gold_root: str) -> DataFrame | None:
-    return read_if_exists(spark, f"{gold_root.rstrip('/')}/_published",
-                          PUBLISHED)
-
-
-def current_version(spark: SparkSession, gold_root: str) -> str | None:
-    pub = _published(spark, gold_root)
-    if pub is None:
-        return None
-    row = pub.agg(F.max("version").alias("v")).first()
-    return None if row is None else row["v"]
-
-
 def gold_path(gold_root: str, version: str, table: str) -> str:
     return f"{gold_root.rstrip('/')}/v={version}/{table}"
 
 
 def gold_write(tables: dict[str, DataFrame], gold_root: str, version: str,
-               published_at: str,
-               partition_by: dict[str, list[str]] | None = None
+               partition_by: dict[str, list[str]] | None = None,
                ) -> dict[str, int]:
-    """Write every table to a fresh version directory, verify the counts,
-    then publish the version.  Returns the verified row counts.
-
-    ``partition_by`` names partition columns per table (the fact by
-    ``date_key``: date filters of the marts then prune directories, and star
-    joins with a filtered calendar get dynamic partition pruning).
-    """
-    counts = {}
-    spark = None
-    for name, df in tables.items():
-        spark = df.sparkSession
-        path = gold_path(gold_root, version, name)
-        writer = df.write.mode("overwrite")
-        cols = (partition_by or {}).get(name)
-        if cols:
-            writer = writer.partitionBy(*cols)
-        writer.parquet(path)
-        counts[name] = write_verify(spark, path)
-    spark.createDataFrame([(version, published_at)], PUBLISHED).coalesce(1) \
-        .write.mode("append").parquet(f"{gold_root.rstrip('/')}/_published")
-    return counts
+    """Write every table to its fresh place in ``version`` and check the
+    counts, which are returned.  Nothing is published here."""
+    return {name: write_checked(df, gold_path(gold_root, version, name),
+                                (partition_by or {}).get(name, ()))
+            for name, df in tables.items()}
 
 
 def write_verify(spark: SparkSession, path: str,

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.params import RunParams
+from pricelake.sources.tables import holdings_table
 
 # Fixed values of the test binding.
 TEST_AS_OF = dt.date(2001, 12, 31)
@@ -42,7 +43,7 @@ SILVER_PARAMS = RunParams(run_ts=dt.datetime(2002, 1, 4, 19, 0, 0),
 GOLD_PARAMS = RunParams(run_ts=dt.datetime(2002, 1, 4, 20, 0, 0),
                         as_of_date=TEST_AS_OF, source_system=TEST_SOURCE,
                         calendar_start=TEST_CALENDAR_START,
-                        calendar_end=TEST_AS_OF,
+                        calendar_end=TEST_AS_OF, on_removed="keep",
                         initial_valid_from=TEST_CALENDAR_START)
 
 # Explicit schema of the lineitem test table (never inferred).
@@ -96,6 +97,24 @@ def landing_batch(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
             .drop("landing_flag", "l_partkey"))
 
 
+def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landing rows with the metadata of their run, by one scan."""
+    def stamp(field):
+        out = None
+        for i, flag in enumerate(LANDING_FLAGS):
+            hit, value = F.col("landing_flag") == flag, F.lit(
+                getattr(landing_params(i), field))
+            out = F.when(hit, value) if out is None else out.when(hit, value)
+        return out
+    return (prices_raw(spark, sf_dir)
+            .where(F.col("landing_flag").isin(LANDING_FLAGS))
+            .withColumns({"ingested_at": stamp("run_iso"),
+                          "source_system": F.lit(TEST_SOURCE),
+                          "batch_id": stamp("batch_id"),
+                          "ingested_date": stamp("run_date_iso")})
+            .drop("landing_flag", "l_partkey"))
+
+
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Holdings configuration as a relation, ``ordinal`` = config order."""
     p = table(spark, sf_dir, "part")
@@ -111,6 +130,19 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def holdings_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same holdings through a configuration table: a row per instrument
+    with the keys of a configuration entry, as ``holdings_table`` takes it."""
+    rows = holdings(spark, sf_dir).select(
+        "ticker_symbol", F.struct(
+            F.col("fund_name").alias("name"),
+            F.col("baseline_value_usd").alias("value_usd"),
+            F.col("allocation_pct"),
+            F.col("instrument_type").alias("type"), "sector").alias("entry"),
+        "ordinal")
+    return holdings_table(spark, rows)
+
+
 def dim_stock_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A previous dimension state: every 10th sector differs, every 10th row absent."""
     h = holdings(spark, sf_dir)

@@ -11,8 +11,10 @@ Each micro-batch (``foreachBatch``):
 2. drops keys already in the cleaned layer by a left-anti join restricted to
    the batch's own date range, so no state grows with the number of keys
    (a streaming ``dropDuplicates`` would keep every key forever);
-3. writes under ``run_id = stream-<batch id>`` with dynamic partition
-   overwrite, so a batch replayed after a crash overwrites its own output.
+3. writes under ``run_id = stream-<query id>-<batch id>`` with dynamic
+   partition overwrite, so a batch replayed after a crash overwrites its own
+   output, and a stream with a new checkpoint (hence a new query id, counting
+   its batches from 0 again) never that of an earlier one.
 
 Unlike the high-water mark, this also loads late rows (dated before the
 newest cleaned date) when their key is new.
@@ -20,13 +22,14 @@ newest cleaned date) when their key is new.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from pricelake.operators import incremental as inc
 from pricelake.operators import silver as sv
 from pricelake.params import RunParams
 from pricelake.schemas import BRONZE, SILVER, SILVER_COLS
@@ -39,16 +42,17 @@ def clean_new_keys(batch: DataFrame, holdings: DataFrame, params: RunParams,
     """Cleaned rows of one micro-batch whose key is not yet in silver."""
     spark = batch.sparkSession
     cleaned = sv.clean(batch, holdings, params, order=order)
-    existing = sinks.read_if_exists(spark, silver_path, SILVER)
+    existing = sinks.read_if_exists(
+        spark, sinks.layer_path(spark, silver_path), SILVER)
     if existing is None:
         return cleaned
-    span = cleaned.agg(F.min("trade_date").alias("lo"),
-                       F.max("trade_date").alias("hi")).first()
-    if span is None or span["lo"] is None:
-        return cleaned
-    keys = (existing.where(F.col("trade_date").between(span["lo"], span["hi"]))
-            .select(*sv.KEY).distinct())
-    return cleaned.join(keys, sv.KEY, "left_anti")
+    return inc.new_keys(cleaned, batch, existing, sv.KEY)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of this checkpoint."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(line)["id"]
 
 
 def incremental_stream(spark: SparkSession, bronze_path: str, silver_path: str,
@@ -65,8 +69,9 @@ def incremental_stream(spark: SparkSession, bronze_path: str, silver_path: str,
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = clean_new_keys(batch, holdings, params, silver_path, order)
+        run = f"stream-{query_id(batch.sparkSession, checkpoint)}-{batch_id:06d}"
         sinks.silver_write(out.select(*SILVER_COLS), silver_path,
-                           params.run_date_iso, f"stream-{batch_id:06d}")
+                           params.run_date_iso, run)
 
     return (source.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint)

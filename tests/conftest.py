@@ -18,6 +18,9 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.driver.memory", "6g")
+         .config("spark.sql.legacy.parquet.nanosAsLong", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):

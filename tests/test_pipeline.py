@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from pricelake.operators.marts import fact_between
 from pricelake.params import RunParams
 from pricelake.plans import pipeline as pl
 from pricelake.sources import sinks
@@ -82,7 +83,7 @@ def test_layers_end_to_end(spark, drops, lake):
     counts = pl.run_gold(spark, hold, p1, paths)
     assert counts["fact_stock_prices"] == 4
     assert counts["dim_stock"] == 2
-    audit = spark.read.parquet(paths.audit).collect()
+    audit = spark.read.parquet(paths.audit).where("layer = 'silver'").collect()
     assert [(a.layer, a.high_water_mark, a.rows_out) for a in audit] == \
         [("silver", D(2025, 3, 12), 4)]
     fact = sinks.gold_table(spark, paths.gold, "fact_stock_prices")
@@ -196,7 +197,7 @@ def test_profile_schema(spark):
     assert rows == [("x", "int", 2), ("y", "string", 2)]
 
 
-def test_gold_fact_is_partitioned_by_date(spark, drops, lake):
+def test_gold_fact_is_pruned_by_date(spark, drops, lake):
     paths = pl.LakePaths(lake)
     hold = holdings_table(spark, HOLD)
     p1 = RunParams(run_ts=dt.datetime(2025, 3, 14, 18, 0, 0),
@@ -205,9 +206,10 @@ def test_gold_fact_is_partitioned_by_date(spark, drops, lake):
     pl.run_silver(spark, hold, p1, paths)
     pl.run_gold(spark, hold, p1, paths)
     fact = sinks.gold_table(spark, paths.gold, "fact_stock_prices")
-    one_day = fact.where(F.col("date_key") == 20250311)
+    one_day = fact_between(fact, D(2025, 3, 11), D(2025, 3, 11))
     plan = one_day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date_key" in plan
+    assert "PartitionFilters: [isnotnull(month_key" in plan
+    assert "GreaterThanOrEqual(date_key,20250311)" in plan
     assert [r.close_price for r in one_day.collect()] == [110.0]
 
 

@@ -48,3 +48,74 @@ def test_marts_read_only_needed_columns(spark):
     for s in fact_scans:
         schema = s.split("ReadSchema: ")[1]
         assert "close_price" not in schema and "ingested_at" not in schema
+
+
+def scans(df, table):
+    return [line for line in plan(df).splitlines()
+            if "FileScan parquet" in line and f"/{table}-" in line]
+
+
+@pytest.mark.parametrize("name", ["analyst_filter", "date_window", "star_sample"])
+def test_date_range_prunes_the_fact(spark, name):
+    from pricelake.plans.catalog import QUERIES
+    for s in scans(QUERIES[name](spark, SF), "fact"):
+        assert "month_key" in s.split("PartitionFilters: [")[1].split("]")[0], s
+        assert "date_key" in s.split("PushedFilters: [")[1], s
+
+
+@pytest.mark.parametrize("name", ["filter_domains", "return_histogram",
+                                  "portfolio_by_date", "kpi_instruments"])
+def test_marts_scan_the_fact_once(spark, name):
+    from pricelake.plans.catalog import QUERIES
+    assert len(scans(QUERIES[name](spark, SF), "fact")) == 1
+
+
+@pytest.mark.parametrize("name", ["latest_slice", "sector_allocation",
+                                  "sector_share"])
+def test_latest_marts_read_one_more_column(spark, name):
+    """The fact's rows once; the newest date comes from its date_key alone
+    (one subquery, which a plan may mention several times)."""
+    from pricelake.plans.catalog import QUERIES
+    got = [s.split("ReadSchema: ")[1] for s in scans(QUERIES[name](spark, SF),
+                                                     "fact")]
+    assert sum("portfolio_value" in s for s in got) == 1
+    assert all(s.startswith("struct<date_key:int>") for s in got
+               if "portfolio_value" not in s), got
+
+
+def test_scd2_merge_joins_once_per_use(spark):
+    """Rows and their count per cell for the numbering: two uses, one join
+    each."""
+    p = plan(b.dim_stock(spark, SF))
+    assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin)"
+                          r".*FullOuter", p)) <= 2
+
+
+def test_describe_has_no_window_over_a_whole_column(spark):
+    from pricelake.plans.catalog import QUERIES
+    p = plan(QUERIES["profile_describe"](spark, SF))
+    for line in p.splitlines():
+        if "Window [" in line:
+            # cells of a bracket, or values inside one cell
+            assert "cell#" in line, line
+
+
+def test_building_queries_takes_no_action(spark, monkeypatch):
+    """Once the layers are stored, a query is only a plan (but for the reads
+    of drops, of the incremental mark, and the stream)."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from pricelake.plans.catalog import QUERIES
+    lazy = [n for n in QUERIES if n not in (
+        "landing_read", "incremental_load", "incremental_stream")]
+    for name in lazy:
+        QUERIES[name](spark, SF)
+    for action in ("count", "collect", "first", "head", "take", "isEmpty",
+                   "toPandas", "toLocalIterator"):
+        def refuse(self, *a, _name=action, **kw):
+            raise AssertionError(f"{_name} while a query is built")
+        monkeypatch.setattr(DataFrame, action, refuse)
+    for name in lazy:
+        if name not in ("bronze_append", "silver_write", "dim_snapshot_read",
+                        "gold_write", "run_all", "watermark_commit"):
+            QUERIES[name](spark, SF)

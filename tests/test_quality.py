@@ -1,4 +1,4 @@
-"""Profiling equals pandas describe; the approximate path kicks in above a size."""
+"""Profiling equals pandas describe."""
 
 import pandas as pd
 import pytest
@@ -21,11 +21,30 @@ def test_describe_matches_pandas(spark):
             assert got[c][key] == pytest.approx(want[c][stat]), (c, stat)
 
 
-def test_describe_approx_path(spark):
-    df = spark.range(1000).selectExpr("cast(id as double) as v")
-    r = profile_describe(df, approx_above=10).first()
-    assert r["count"] == 1000 and r["min"] == 0 and r["max"] == 999
-    assert abs(r.p50 - 499.5) <= 2
+@pytest.mark.parametrize("few,cells", [(10_000, 4096), (20, 8), (20, 1)])
+def test_describe_is_exact_at_every_size(spark, monkeypatch, few, cells):
+    """Brackets and cells give what ranking all values gives."""
+    from pricelake.operators import quality
+    monkeypatch.setattr(quality, "FEW_ROWS", few)
+    monkeypatch.setattr(quality, "CELLS", cells)
+    n = 20_011
+    df = spark.range(n).selectExpr(
+        "cast((id * 7919) % 20011 as double) as spread",
+        "cast(id % 8 as int) as hot",
+        "case when id % 3 = 0 then 5 else pow(1.001, id % 9000) end as skewed",
+        "case when id % 2 = 0 then null when id % 5 = 0 then double('nan') "
+        "else -id / 7 end as holes",
+        "cast(null as double) as none")
+    want = df.toPandas().describe()
+    got = {r.column_name: r for r in profile_describe(df).collect()}
+    for c in df.columns:
+        for stat, key in [("count", "count"), ("25%", "p25"), ("50%", "p50"),
+                          ("75%", "p75"), ("max", "max"), ("min", "min")]:
+            if c == "none":
+                assert got[c].count in (0, 0.0) or got[c]["count"] == 0
+                assert got[c][key] is None or key == "count"
+            else:
+                assert got[c][key] == pytest.approx(want[c][stat]), (c, stat)
 
 
 def test_profile_nulls(spark):

@@ -45,7 +45,7 @@ def rows(df):
 
 
 def test_merge_keep(prev, incoming):
-    out = scd2_merge(prev, incoming, PARAMS)
+    out = scd2_merge(prev, incoming, PARAMS, on_removed="keep")
     assert rows(out) == [
         (1, "VFIAX", D(2025, 3, 9), SENT, True),
         (2, "NVDA", D(2025, 3, 9), D(2025, 6, 1), False),
