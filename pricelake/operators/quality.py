@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -85,7 +88,9 @@ def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
 
     1. One wide aggregate gives the moments and, per quartile, a bracket of two
        values that is certain to hold its ranks: approximate percentiles a
-       little below and above, further apart than their error bound.
+       little below and above, further apart than their error bound.  These few
+       numbers per column are read when the query is built, so that the next
+       pass compares with constants.
     2. A second pass counts the rows below each bracket and, per distinct
        value, the few rows inside it (a partial aggregate, so a value that
        fills a third of the table is one row per task).
@@ -105,41 +110,54 @@ def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
         v = F.col(c).cast("double")
         return F.when(~F.isnan(v), v)
     marks = [q + d for _, q in QUARTILES for d in (-BRACKET, BRACKET)]
-    wide = df.agg(*[F.struct(
-        F.lit(c).alias("column_name"), F.count(x(c)).alias("n"),
-        F.avg(x(c)).alias("mean"), F.stddev_samp(x(c)).alias("std"),
-        F.min(x(c)).alias("min"), F.max(x(c)).alias("max"),
-        F.percentile_approx(x(c), marks, ACCURACY).alias("marks")).alias(f"c{i}")
-        for i, c in enumerate(cols)])
-    facts = wide.select(F.struct(*wide.columns).alias("facts")).scalar()
-
+    stats = ("n", "mean", "std", "min", "max", "marks")
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [f(x(c)).alias(f"{name}{i}") for name, f in zip(stats, (
+            F.count, F.avg, F.stddev_samp, F.min, F.max,
+            lambda v: F.percentile_approx(v, marks, ACCURACY)))]
+    # one row of a few numbers per column
+    facts = df.agg(*aggs).first()
     brackets = []
     for i, c in enumerate(cols):
-        own = facts[f"c{i}"]
-        few = own["n"] <= FEW_ROWS
+        n, low, high = (facts[f"{name}{i}"] for name in ("n", "min", "max"))
         for j, (name, q) in enumerate(QUARTILES):
-            brackets.append((c, name, q, own["n"],
-                             F.when(few, own["min"]).otherwise(own["marks"][2 * j]),
-                             F.when(few, own["max"])
-                             .otherwise(own["marks"][2 * j + 1])))
+            if n:
+                lo, hi = (low, high) if n <= FEW_ROWS else \
+                    facts[f"marks{i}"][2 * j:2 * j + 2]
+                brackets.append((c, name, q, n, float(lo), float(hi)))
+    rows = df.sparkSession.createDataFrame(
+        [(c, float(facts[f"n{i}"]), *[facts[f"{s}{i}"] for s in stats[1:5]])
+         for i, c in enumerate(cols)],
+        "column_name string, n double, mean double, std double, min double, "
+        "max double")
     inside = F.array(*[F.when((x(c) >= lo) & (x(c) <= hi), F.struct(
         F.lit(c).alias("column_name"), F.lit(name).alias("q"), x(c).alias("x")))
-        for c, name, _, _, lo, hi in brackets])
-    values = (df.select(F.explode(F.array_compact(inside)).alias("v"))
+        for c, name, _, _, lo, hi in brackets]) if brackets else F.array(
+        F.struct(F.lit("").alias("column_name"), F.lit("").alias("q"),
+                 F.lit(None).cast("double").alias("x")))
+    # most rows are in no bracket and drop out before the arrays are made
+    some = functools.reduce(operator.or_, [
+        (x(c) >= lo) & (x(c) <= hi) for c, _, _, _, lo, hi in brackets],
+        F.lit(False))
+    values = (df.where(some)
+              .select(F.explode(F.array_compact(inside)).alias("v"))
               .select("v.*").groupBy("column_name", "q", "x")
               .agg(F.count(F.lit(1)).alias("c")))
-    # one row per column and quartile
-    spots = df.agg(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), F.lit(name).alias("q"),
-        F.count_if(x(c) < lo).alias("below"), F.max(n - 1).alias("last"),
-        F.lit(q).alias("at"), F.max(lo).alias("lo"), F.max(hi).alias("hi"))
-        for c, name, q, n, lo, hi in brackets]).alias("s"))
-    spots = spots.select(F.explode("s").alias("s")).select("s.*")
-    pos = F.col("last") * F.col("at")
-    spots = spots.select(
-        "column_name", "q", "below", "lo", "hi",
-        (F.floor(pos) + 1).alias("r1"), (F.ceil(pos) + 1).alias("r2"),
-        (pos - F.floor(pos)).alias("part"))
+    # one row per column and quartile: rows below the bracket, wanted ranks
+    below = [F.count_if(x(c) < lo).alias(f"b{i}")
+             for i, (c, _, _, _, lo, _) in enumerate(brackets)]
+    spots = df.agg(*below, F.lit(0).alias("none")).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("q"),
+                 F.col(f"b{i}").alias("below"), F.lit(lo).alias("lo"),
+                 F.lit(hi).alias("hi"),
+                 F.lit(math.floor((n - 1) * q) + 1).alias("r1"),
+                 F.lit(math.ceil((n - 1) * q) + 1).alias("r2"),
+                 F.lit((n - 1) * q - math.floor((n - 1) * q)).alias("part"))
+        for i, (c, name, q, n, lo, hi) in enumerate(brackets)])).alias("s")) \
+        .select("s.*") if brackets else df.sparkSession.createDataFrame(
+            [], "column_name string, q string, below long, lo double, "
+            "hi double, r1 int, r2 int, part double")
     spots = F.broadcast(spots)
     width = F.col("hi") - F.col("lo")
     cell = F.when(width > 0, F.least(F.lit(CELLS - 1), F.floor(
@@ -169,10 +187,9 @@ def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
                      F.max(F.when(F.col("q") == name, F.col("a")
                                   + (F.col("b") - F.col("a")) * F.col("part")))
                      .alias(name) for name, _ in QUARTILES]))
-    rows = wide.select(F.explode(F.array(*wide.columns)).alias("m")).select("m.*")
     names = [name for name, _ in QUARTILES]
     return rows.join(F.broadcast(quartiles), "column_name", "left").select(
-        "column_name", F.col("n").cast("double").alias("count"),
+        "column_name", F.col("n").alias("count"),
         r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"), "min",
         *[r(F.col(n)).alias(n) for n in names], "max")
 
