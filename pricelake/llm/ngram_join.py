@@ -8,21 +8,31 @@ Sets are 64-bit shingle hashes in one global order: rare shingles by hash,
 then the frequent ones by frequency.  Equal sets are one *node*, named by the
 hash of the set, so copies never meet as pairs.
 
-1. One pass stores each document's set size, node, parity bitmap and the low
-   end of its set; the frequent shingles are counted from these ends.  The
-   table of frequent ones has at most ``HOT_ROWS`` entries by construction.
-2. A second pass emits each set's prefix: sets that link share a shingle in
-   the first ``n - ceil(0.85 n) + 1`` of the global order.  Prefix rows meet
-   by shingle; a frequent shingle's rows are dealt over ``SALT`` tasks.
-3. Each node is first held against one leader (the one with most common
-   prefix shingles); links found are contracted to components.  Then all
-   pairs with a common prefix shingle *in different components* are held
-   against each other, so no link that could join components is missed and a
-   group of near copies costs one comparison per member, not all pairs.
-4. Pairs pass exact bounds first (sizes, positions in the order, parity
-   bitmaps: bits that differ need differing shingles).  For the rest the order
-   is cut into ``FRAGMENTS`` ranges; the overlap of each range is counted by
-   itself and summed per pair.
+1. One pass stores each document's set size, node and parity bitmap, and
+   counts the shingles that repeat within a batch of documents; those counts
+   add up to the table of frequent shingles, of at most ``HOT_ROWS`` entries by
+   construction.  (Any fixed order is right; this one keeps prefixes rare.)
+2. A second pass emits each set's prefix: sets that link share at least m
+   shingles in the first ``n - ceil(0.85 n) + m`` of the global order, for m of
+   5 % of the set (1 at least).  Prefix rows meet by shingle; a frequent
+   shingle's rows are dealt over ``SALT`` tasks.
+3. Each node is held against one centre, the least node it meets most often.
+   The order is cut into ``FRAGMENTS`` ranges; overlaps are counted range by
+   range and summed per pair.  Links found are contracted to components; for
+   members with ``NEAR`` % or more in common with their centre the symmetric
+   difference to it is kept.
+4. Pairs in different components are left.  Members of one centre cannot link
+   unless their *differences* have so many shingles in common that the rarest
+   few of the smaller one meet the rarest of the larger (a prefix filter on
+   the differences).  So a large group of near copies that are too far apart
+   makes few pairs, though its members share almost every shingle.  All other
+   pairs come from common prefix shingles: m of them, bounded by sizes and
+   positions.
+   What is left is counted as in 3.
+
+No link that could join components is missed, and copies and near copies are
+not expanded into all pairs.  Before sets travel, parity bitmaps rule pairs out
+(bits that differ need differing shingles).
 
 The node name is a 64-bit hash: among 10^9 different sets the chance that any
 two get one name is about 3 %; nothing else is approximate.
@@ -39,7 +49,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm import textkernel as tk
@@ -53,7 +63,9 @@ PERCENT = 85
 HOT = 32              # documents from which on a shingle counts as frequent
 HOT_ROWS = 1 << 20    # most frequent shingles that are kept
 SALT = 64
+SHARE = 20            # one shingle in so many of a set must meet in the prefix
 FRAGMENTS = 8
+NEAR = 60             # per cent: members whose difference to the centre is kept
 MEMBERS = 4096        # sets that one copy of a centre is held against
 PARITY_BITS = 512
 NEED_BITS = 1 << 23   # size of the hashed set of documents read again
@@ -68,6 +80,16 @@ def least_overlap(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+def least_met(n):
+    """Prefix shingles that a set of n shares with any set it links to, if the
+    other set's number is not less."""
+    return max(1, n // SHARE)
+
+
+def _least_met(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.floor(n / SHARE))
+
+
 def doc_sets(data, off) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every document of a chunk."""
     starts, ends, doc = tk.words(data, off, tk.NONSPACE)
@@ -126,40 +148,51 @@ def _rows(kinds: dict, cols) -> pa.RecordBatch:
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n, node, tag, bits, low (the low end of the set)."""
+    """doc_id, n, node, tag, bits; and, with the first row of a batch, the
+    shingles that repeat within the batch (common) and how often (times)."""
     kinds = {"n": pa.int64(), "node": pa.int64(), "tag": pa.int64(),
-             "bits": pa.binary(), "low": pa.list_(pa.int64())}
+             "bits": pa.binary(), "common": pa.list_(pa.int64()),
+             "times": pa.list_(pa.int32())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, nodes, bits, low = [], [], [], []
+            n, nodes, bits, every = [], [], [], []
             for _, x in _sets(batch):
                 n.append(len(x))
                 nodes.append(_node(x))
                 odd = np.bincount((x & _U(PARITY_BITS - 1)).astype(np.int64),
                                   minlength=PARITY_BITS) & 1
                 bits.append(np.packbits(odd.astype(np.uint8)).tobytes())
-                p = len(x) - least_overlap(len(x)) + 1 if len(x) else 0
-                low.append(x[:p + p // 2].view(np.int64))
+                every.append(x)
+            if not n:
+                continue
+            keys, times = np.unique(np.concatenate(every), return_counts=True)
+            many = times > 1
+            none = [None] * (len(n) - 1)
             nodes = np.array(nodes, np.uint64)
             tags = _tag(_ids(batch), nodes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), *_rows(
                     kinds, (n, nodes.view(np.int64), tags.view(np.int64), bits,
-                            low)).columns], names=["doc_id", *kinds])
+                            [keys[many].view(np.int64), *none],
+                            [times[many].astype(np.int32), *none])).columns],
+                names=["doc_id", *kinds])
     return docs.select(id_col, text_col).mapInArrow(
         run, "doc_id long, n long, node long, tag long, bits binary, "
-        "low array<long>")
+        "common array<long>, times array<int>")
 
 
 def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The frequent shingles (sorted hashes) and their rank by frequency.
 
     Their bound rises with the input, so at most ``HOT_ROWS`` reach it."""
-    total = sets.agg(F.sum(F.size("low"))).first()[0] or 0
+    total = sets.agg(F.sum(F.size("common"))).first()[0] or 0
     bound = max(HOT, -(-total // HOT_ROWS))
-    found = (sets.select(F.explode("low").alias("k")).groupBy("k").count()
-             .where(F.col("count") >= bound).toArrow())
+    found = (sets.where("common is not null")
+             .select(F.explode(F.arrays_zip("common", "times")).alias("r"))
+             .groupBy(F.col("r.common").alias("k"))
+             .agg(F.sum("r.times").alias("c"))
+             .where(F.col("c") >= bound).toArrow())
     keys = np.asarray(found.column(0)).view(np.uint64) if len(found) \
         else np.zeros(0, np.uint64)
     count = np.asarray(found.column(1)) if len(found) else np.zeros(0)
@@ -184,7 +217,7 @@ def prefix_rows(docs: DataFrame, id_col: str, text_col: str,
                 n = len(x)
                 if not n:
                     continue
-                p = n - least_overlap(n) + 1
+                p = n - least_overlap(n) + least_met(n)
                 at = np.searchsorted(keys, x) if len(keys) else None
                 is_hot = np.zeros(n, bool) if at is None else \
                     keys[np.minimum(at, len(keys) - 1)] == x
@@ -198,6 +231,7 @@ def prefix_rows(docs: DataFrame, id_col: str, text_col: str,
                 salt = int(node % _U(SALT)) + 1
                 cols[0].append(np.concatenate([first, more]).view(np.int64))
                 cols[1].append(np.repeat([0, salt], [len(first), len(more)]))
+                p = len(first) + len(more)
                 cols[2].append(np.full(p, node).view(np.int64))
                 cols[3].append(np.full(p, n))
                 cols[4].append(np.arange(p))
@@ -236,15 +270,20 @@ def shared_rows(rows: DataFrame) -> DataFrame:
                         "leader long"))
 
 
-def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that sizes and parity bitmaps do not rule out, with
-    ``need``, the overlap that makes them a link."""
+def _need(total: Column, percent: int) -> Column:
+    """Overlap of two sets of ``total`` elements that reaches ``percent``."""
+    return F.ceil(total * percent / (100 + percent)).cast("long")
+
+
+def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes and parity bitmaps do not rule out, and their
+    set sizes (na, nb)."""
     side = lambda s: nodes.select(F.col("node").alias(s),
                                   F.col("n").alias(f"n{s}"),
                                   F.col("bits").alias(f"bits{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     total = F.col("na") + F.col("nb")
-    need = F.ceil(total * PERCENT / (100 + PERCENT)).cast("long")
+    need = _need(total, percent)
     words = PARITY_BITS // 64
 
     def word(col, i):
@@ -256,7 +295,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return (both.withColumn("need", need)
             .where(F.least("na", "nb") >= F.col("need"))
             .where(differ <= total - 2 * F.col("need"))
-            .select("a", "b", "need"))
+            .select("a", "b", "na", "nb"))
 
 
 def _needed(docs: DataFrame, id_col: str, text_col: str, tags: DataFrame,
@@ -279,10 +318,9 @@ def _needed(docs: DataFrame, id_col: str, text_col: str, tags: DataFrame,
                     continue
                 cut = np.searchsorted(x >> width, np.arange(FRAGMENTS + 1))
                 for f in range(FRAGMENTS):
-                    if cut[f] < cut[f + 1]:
-                        out[0].append(int(node.view(np.int64)[0]))
-                        out[1].append(f)
-                        out[2].append(x[cut[f]:cut[f + 1]].tobytes())
+                    out[0].append(int(node.view(np.int64)[0]))
+                    out[1].append(f)
+                    out[2].append(x[cut[f]:cut[f + 1]].tobytes())
             if out[0]:
                 yield _rows(kinds, out)
     return docs.select(id_col, text_col).mapInArrow(
@@ -298,55 +336,134 @@ def _roles(pairs: DataFrame) -> DataFrame:
     own = members.select(
         F.col("b").alias("node"), F.col("b").alias("centre"),
         F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"),
-        F.lit(0).alias("kind"), F.lit(0).cast("long").alias("need"))
+        F.lit(0).alias("kind"))
     return own.unionByName(pairs.join(members, "b").select(
         F.col("a").alias("node"), F.col("b").alias("centre"),
         F.pmod("a", F.col("places")).cast("int").alias("place"),
-        F.lit(1).alias("kind"), "need"))
+        F.lit(1).alias("kind")))
 
 
-def _links(docs, id_col, text_col, pairs: DataFrame, nodes: DataFrame,
-           ) -> DataFrame:
-    """The pairs (a, b) that link: overlaps per fragment, summed per pair."""
-    pairs = stored(_bounded(pairs, nodes), "ngram-pairs")
-    roles = stored(_roles(pairs), "ngram-roles")
+def _overlaps(docs, id_col, text_col, pairs: DataFrame, nodes: DataFrame,
+              percent: int, differences: bool = False) -> DataFrame:
+    """a, b, na, nb, both of the pairs (a, b) that reach ``percent``, and (on
+    demand) diff, their symmetric difference."""
+    roles = stored(_roles(stored(_bounded(pairs, nodes, percent),
+                                 "ngram-pairs")), "ngram-roles")
     tags = nodes.join(roles.select("node").distinct(), "node",
                       "left_semi").select("tag")
-    kinds = {"a": pa.int64(), "b": pa.int64(), "need": pa.int64(),
-             "both": pa.int64()}
+    kinds = {"a": pa.int64(), "b": pa.int64(), "na": pa.int64(),
+             "nb": pa.int64(), "both": pa.int64(),
+             "diff": pa.list_(pa.int64())}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, centre, last = None, None, None
+        # a centre's fragments come first, then member after member
+        at, centre = None, {}
+        member, partial, sizes, delta = None, {}, 0, []
+
+        def summed():
+            both, n = sum(partial.values()), sum(map(len, centre.values()))
+            if member is None or both * (100 + percent) < (sizes + n) * percent:
+                return None
+            return (member, at[0], sizes, n, both,
+                    np.concatenate(delta).view(np.int64) if differences else None)
+
         for batch in batches:
-            out = ([], [], [], [])
-            small = [c.to_pylist() for c in batch.columns[:6]]
-            for i, (c, place, f, kind, node, need) in enumerate(zip(*small)):
-                if at != (c, place, f):
-                    at, centre, last = (c, place, f), None, None
-                if (kind, node) == last:        # repeated rows of a document
-                    continue
-                last = kind, node
-                x = np.frombuffer(batch.column(6)[i].as_buffer(), np.uint64)
+            out = []
+            small = [c.to_pylist() for c in batch.columns[:5]]
+            for i, (c, place, kind, node, f) in enumerate(zip(*small)):
+                if (at, member) != ((c, place), node if kind else None):
+                    if (row := summed()) is not None:
+                        out.append(row)
+                    if at != (c, place):
+                        at, centre = (c, place), {}
+                    member = node if kind else None
+                    partial, sizes, delta = {}, 0, []
+                x = np.frombuffer(batch.column(5)[i].as_buffer(), np.uint64)
                 if not kind:
-                    centre = x.copy()
-                elif centre is not None:
-                    y = centre
-                    if len(x) > len(y):
-                        x, y = y, x
-                    j = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    for col, v in zip(out, (node, c, need,
-                                            int((y[j] == x).sum()))):
-                        col.append(v)
-            if out[0]:
-                yield _rows(kinds, out)
-
-    key = ["centre", "place", "fragment"]
-    met = (_needed(docs, id_col, text_col, tags).join(roles, "node")
-           .select(*key, "kind", "node", "need", "part")
-           .repartition(*key).sortWithinPartitions(*key, "kind", "node")
-           .mapInArrow(count, "a long, b long, need long, both long"))
-    return stored(met.groupBy("a", "b", "need").agg(F.sum("both").alias("both"))
-                  .where("both >= need").select("a", "b"), "ngram-links")
+                    centre[f] = x.copy()
+                elif f not in partial:      # else a repeated row of a document
+                    y = centre.get(f, x[:0])
+                    if differences:
+                        d = np.setxor1d(x, y, assume_unique=True)
+                        partial[f] = (len(x) + len(y) - len(d)) // 2
+                        delta.append(d)
+                    elif len(x) and len(y):
+                        j = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                        partial[f] = int((y[j] == x).sum())
+                    else:
+                        partial[f] = 0
+                    sizes += len(x)
+            if out:
+                yield _rows(kinds, list(zip(*out)))
+        if (row := summed()) is not None:
+            yield _rows(kinds, list(zip(*[row])))
+
+    key = ["centre", "place"]
+    return stored(
+        _needed(docs, id_col, text_col, tags).join(roles, "node")
+        .select(*key, "kind", "node", "fragment", "part")
+        .repartition(*key)
+        .sortWithinPartitions(*key, "kind", "node", "fragment")
+        .mapInArrow(count, "a long, b long, na long, nb long, both long, "
+                    "diff array<long>"), "ngram-overlaps")
+
+
+def _linked(met: DataFrame) -> Column:
+    return F.col("both") >= _need(F.col("na") + F.col("nb"), PERCENT)
+
+
+def _difference_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one centre, not both linked to it, whose
+    differences to it may have enough in common.
+
+    With differences of dx <= dy elements, a link needs
+    ``t = (dx + dy - H) / 2`` common ones, H being the most that linked sets
+    differ in; t >= 1 unless both are linked to the centre.  So the first
+    ``dx - t + 1`` elements of the smaller one must meet the first
+    ``dy - t + 1`` of the larger one, in any common order; rare ones are
+    first.  Partners are at most n / 0.85 large, which bounds H.
+    """
+    members = met.select(F.col("b").alias("c"), F.col("a").alias("node"),
+                         F.col("na").alias("n"), F.size("diff").alias("d"),
+                         _linked(met).alias("linked"), "diff")
+    open_ = members.groupBy("c").agg(F.min("linked").alias("all")) \
+        .where(~F.col("all")).select("c")
+    rows = stored(members.join(open_, "c", "left_semi").select(
+        "c", "node", "n", "d", "linked", F.explode("diff").alias("e")),
+        "ngram-differences")
+    often = rows.groupBy("c", "e").agg(F.count("*").alias("f"))
+    by_rarity = Window.partitionBy("c", "node").orderBy("f", "e")
+    most = F.floor((100 - PERCENT) * (F.col("n") + F.floor(F.col("n") * 100
+                                                          / PERCENT))
+                   / (100 + PERCENT))
+    rows = rows.join(often, ["c", "e"]) \
+        .withColumn("pos", F.row_number().over(by_rarity)) \
+        .withColumn("most", most).where(F.col("pos") <= F.col("most") + 1)
+    rows = stored(rows.select("c", "e", "node", "n", "d", "linked", "pos", "most"),
+                  "ngram-differing")
+    # against a member that is not linked, a linked one needs about half of
+    # its difference (sizes differ by d at most)
+    half = F.least(F.floor(F.col("most") / 2) + 1, F.when(
+        F.col("linked"), F.floor((F.col("d") * 1.09 + 1) / 2) + 1)
+        .otherwise(F.col("most")))
+    x = rows.where(F.col("pos") <= F.greatest(half, F.lit(1))).alias("x")
+    y = rows.alias("y")
+    col = lambda s, c: F.col(f"{s}.{c}")
+    total = col("x", "n") + col("y", "n")
+    differ = total - 2 * _need(total, PERCENT)
+    common = F.least(col("x", "pos"), col("y", "pos")) + F.least(
+        col("x", "d") - col("x", "pos"), col("y", "d") - col("y", "pos"))
+    twice = col("x", "d") + col("y", "d") - differ        # 2 t
+    # d - t + 1 >= pos: the element is in the pair's own prefixes
+    ahead = lambda s: col(s, "d") - col(s, "pos") + 1
+    ordered = (col("x", "d") < col("y", "d")) | (
+        (col("x", "d") == col("y", "d")) & (col("x", "node") < col("y", "node")))
+    return x.join(y, (col("x", "c") == col("y", "c"))
+                  & (col("x", "e") == col("y", "e")) & ordered
+                  & ~(col("x", "linked") & col("y", "linked"))
+                  & (2 * common >= twice) & (2 * ahead("x") >= twice)
+                  & (2 * ahead("y") >= twice)) \
+        .select(col("x", "node").alias("a"), col("y", "node").alias("b"))
 
 
 def _possible(x: str, y: str) -> Column:
@@ -364,10 +481,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document."""
     spark = docs.sparkSession
-    low, low_path = stored_at(set_table(docs, id_col, text_col), "ngram-low")
-    hot = frequent(low)
-    sets = stored(low.drop("low"), "ngram-sets")
-    discard(spark, low_path)
+    counted, path = stored_at(set_table(docs, id_col, text_col), "ngram-counted")
+    hot = frequent(counted)
+    sets = stored(counted.drop("common", "times"), "ngram-sets")
+    discard(spark, path)
     nodes = stored(
         sets.where("n > 0").groupBy("node").agg(
             F.min_by("tag", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
@@ -376,26 +493,44 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id",
     rows, rows_path = stored_at(shared_rows(prefix_rows(
         docs, id_col, text_col, hot)), "ngram-prefix")
 
-    best = (rows.where("node <> leader")
-            .groupBy("node", "leader").count().groupBy("node")
+    # the places that a frequent shingle's rows are dealt over share one leader
+    common = rows.where("salt > 0").groupBy("k").agg(F.min("leader").alias("least"))
+    led = rows.join(common, "k", "left").withColumn(
+        "leader", F.coalesce("least", "leader"))
+    best = (led.where("node <> leader")
+            .groupBy("node", "leader", "n").count()
+            .where(F.col("count") >= _least_met(F.col("n"))).groupBy("node")
             .agg(F.max_by("leader", F.struct("count", "leader")).alias("b"))
             .select(F.col("node").alias("a"), "b"))
-    near = _links(docs, id_col, text_col, best, nodes)
+    met = _overlaps(docs, id_col, text_col, best, nodes, NEAR, differences=True)
+    near = met.where(_linked(met)).select("a", "b")
     label = stored(components(near), "ngram-labels")
+    centre = met.select(F.col("a").alias("node"), F.col("b").alias("centre"))
 
-    known = rows.join(label, "node", "left").select(
-        "k", "node", "n", "pos", F.coalesce("component", "node").alias("c"))
+    known = rows.join(label, "node", "left").join(centre, "node", "left").select(
+        "k", "node", "n", "pos", F.coalesce("component", "node").alias("c"),
+        F.coalesce("centre", "node").alias("centre"))
     known = stored(known, "ngram-known")
     discard(spark, rows_path)
-    mixed = known.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y")) \
-        .where("x <> y").select("k")
+    mixed = known.groupBy("k").agg(
+        F.min("c").alias("c1"), F.max("c").alias("c2"),
+        F.min("centre").alias("m1"), F.max("centre").alias("m2")) \
+        .where("c1 <> c2 and m1 <> m2").select("k")
     known = known.join(mixed, "k", "left_semi")
     x, y = known.alias("x"), known.alias("y")
-    cross = (x.join(y, (F.col("x.k") == F.col("y.k"))
-                    & (F.col("x.c") < F.col("y.c")) & _possible("x", "y"))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-             .distinct())
-    far = _links(docs, id_col, text_col, cross, nodes)
+    cross = x.join(y, (F.col("x.k") == F.col("y.k"))
+                   & (F.col("x.c") < F.col("y.c"))
+                   & (F.col("x.centre") != F.col("y.centre"))
+                   & (F.col("x.centre") != F.col("y.node"))
+                   & (F.col("x.node") != F.col("y.centre"))
+                   & _possible("x", "y")) \
+        .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")) \
+        .agg(F.count("*").alias("met"), F.min(F.least("x.n", "y.n")).alias("n")) \
+        .where(F.col("met") >= _least_met(F.col("n"))).select("a", "b")
+    inner = _difference_pairs(met)
+    far = _overlaps(docs, id_col, text_col,
+                    stored(cross.unionByName(inner).distinct(), "ngram-cross"),
+                    nodes, PERCENT).select("a", "b")
     label = stored(components(near.unionByName(far)), "ngram-labels")
 
     named = sets.select("doc_id", "n", "node").join(label, "node", "left")

@@ -403,3 +403,29 @@ def test_warc_min_bytes_and_empty(spark):
     got = warc.read_warc(*warc.write_warc(df, min_bytes=4))
     assert rows(got, "page_id", "refers_to") == [(1, None), (2, None), (3, 4), (4, None)]
     assert warc.read_warc(*warc.write_warc(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("seed,hot", [(1, 32), (2, 2), (3, 32)])
+def test_ngram_group_of_distant_copies(spark, seed, hot, monkeypatch):
+    """Copies of one text, many of them too far apart to link: components
+    inside the group come from the differences to its centre."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    monkeypatch.setattr(ngram_join, "MEMBERS", 7)
+    rng = random.Random(seed)
+    base = [f"w{rng.randint(0, 500)}" for _ in range(150)]
+    docs, edits = [], []
+    for i in range(150):
+        w = list(base)
+        if i and rng.random() < .4:              # some share earlier edits
+            for j, v in rng.choice(edits):
+                w[j] = v
+        own = [(rng.randrange(150), f"x{rng.randint(0, 60)}")
+               for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 11]))]
+        for j, v in own:
+            w[j] = v
+        edits.append(own)
+        docs.append((i, " ".join(w[rng.randint(0, 4):150 - rng.randint(0, 6)])))
+    want = brute.ngram_components(docs)
+    assert len({c for _, _, c in want}) > 20
+    got = ngram_join.ngram_components(doc_frame(spark, docs))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == want
