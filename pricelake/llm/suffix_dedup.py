@@ -18,7 +18,8 @@ of its shuffles, so the sort is cut by content first, without losing a match:
    so a passage that a third of all documents share sends one row per batch.
    A seed with only one distinct piece is done.
 3. *Suffix sort.*  The earliest copies of the distinct pieces that share a
-   seed are fetched in a second pass.  Those that agree with no other in the
+   seed are fetched in a second pass: a hashed bit table keeps most others
+   back, an exact join on the piece's place the rest.  Those that agree with no other in the
    bytes around the seed which any common window must hold are alone; the rest
    are sorted together, in bounded batches, by the difference-cover (DC3)
    algorithm: sort the sampled triples, recurse on their names, sort and merge
@@ -57,7 +58,9 @@ SEED = 24
 GROUP = 4096          # distinct pieces of a seed that are sorted together
 SEGMENT = 1 << 17     # bytes hashed at once
 SORT_BYTES = 1 << 20  # bytes sorted at once
-BITS = 1 << 24
+BITS = 1 << 24        # bits of a hashed table
+MOST_BITS = 1 << 29   # of the table of wanted pieces, which grows up to this
+PIECE_BITS = 8        # bits per wanted piece
 
 _U = np.uint64
 _POS = _U((1 << 20) - 1)
@@ -198,10 +201,14 @@ def first_copies(found: DataFrame) -> DataFrame:
 
 
 def piece_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """seed, rid, start, at (the seed's place), body of the pieces whose hashed
-    place is wanted (a few others may come along; they are copies or have a
-    seed of their own)."""
-    bits = hashed_set(wanted.select(_place_column().alias("p")), BITS)
+    """seed, rid, start, at (the seed's place), body of the wanted pieces.
+
+    The bit table only saves shuffling; pieces that pass it by chance (copies,
+    or pieces with a seed of their own) end at the join, which deals by place,
+    so that the copies of a common passage spread."""
+    n = max(BITS, min(MOST_BITS, PIECE_BITS * wanted.count()))
+    bits = hashed_set(wanted.select(_place_column().alias("p")),
+                      1 << (n - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"seed": pa.int64(), "rid": pa.int64(), "start": pa.int64(),
@@ -222,7 +229,9 @@ def piece_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield _batch((seed[hit].view(np.int64), own[hit], start[hit],
                               at[hit], [part[i:j].tobytes() for i, j in zip(x, y)]), kinds)
     return rows.select("rid", "text").mapInArrow(
-        run, "seed long, rid long, start long, at short, body binary")
+        run, "seed long, rid long, start long, at short, body binary").join(
+        wanted.select("seed", "rid", "start"), ["seed", "rid", "start"],
+        "left_semi")
 
 
 def _place(rid, start, seed):
@@ -238,8 +247,18 @@ def _place_column():
 
 # ---------------------------------------------------------- suffix sort
 
+def _pairs(a, b, k, third):
+    """Codes in the order of the pairs (a, b) of values below ``k``; ranks where
+    the code times ``third`` would not fit 64 bits."""
+    code = a * k + b
+    if k * k * third >= 1 << 63:
+        code = np.unique(code, return_inverse=True)[1].astype(np.int64)
+    return code
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Difference cover modulo 3, vectorised; values of ``s`` are >= 1."""
+    """Difference cover modulo 3, vectorised; values of ``s`` are >= 1 and
+    below 2**31."""
     n = len(s)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
@@ -249,7 +268,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     one = np.arange(1, n + (n % 3 == 1), 3)
     two = np.arange(2, n, 3)
     sample = np.concatenate([one, two])
-    triple = (t[sample] * k + t[sample + 1]) * k + t[sample + 2]
+    triple = _pairs(t[sample], t[sample + 1], k, k) * k + t[sample + 2]
     order = np.argsort(triple, kind="stable")
     change = np.diff(triple[order]) != 0
     name = np.empty(len(sample), np.int64)
@@ -268,8 +287,10 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     zero, key0 = zero[o], key0[o]
     ones, twos = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
     key1 = t[ones] * r + rank[ones + 1]
-    key2 = (t[twos] * k + t[twos + 1]) * r + rank[twos + 2]
-    key02 = (t[zero] * k + t[zero + 1]) * r + rank[zero + 2]
+    pair = np.concatenate([twos, zero])     # ranked together
+    pair = _pairs(t[pair], t[pair + 1], k, r)
+    key2 = pair[:len(twos)] * r + rank[twos + 2]
+    key02 = pair[len(twos):] * r + rank[zero + 2]
     at = np.arange(len(zero)) + np.searchsorted(key1, key0) \
         + np.searchsorted(key2, key02)
     out = np.empty(n, np.int64)

@@ -118,6 +118,41 @@ def test_suffix_array():
             sorted(range(len(a)), key=lambda i: a[i:].tolist())
 
 
+def test_suffix_array_large_values():
+    """Values whose triples do not fit 64 bits."""
+    rng = random.Random(4)
+    top = (1 << 31) - 1
+    for n in (*range(1, 40), 400):
+        a = np.array([rng.choice([1, 2, top // 2, top - 1, top])
+                      for _ in range(n)])
+        assert suffix_dedup.suffix_array(a).tolist() == \
+            sorted(range(n), key=lambda i: a[i:].tolist())
+
+
+def test_suffix_dedup_full_bit_table(spark, monkeypatch):
+    """Only first copies are sorted, also when every piece passes the table."""
+    rng = random.Random(12)
+    common = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    docs = [(i, "".join(rng.choice("xyz") for _ in range(40)) + common[i % 7:]
+             + "".join(rng.choice("xyz") for _ in range(40))) for i in range(120)]
+    seen = []
+
+    def spy(texts, inner=suffix_dedup.sorted_spans):
+        seen.append([tuple(r) for r in texts.select("seed", "body").collect()])
+        return inner(texts)
+    monkeypatch.setattr(suffix_dedup, "sorted_spans", spy)
+    monkeypatch.setattr(suffix_dedup, "hashed_set",
+                        lambda names, bits: np.full(bits >> 3, 255, np.uint8))
+    got = suffix_dedup.suffix_dedup(doc_frame(spark, docs))
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == \
+        brute.substring_dedup(docs)
+    # no piece twice, and none alone with its seed
+    (pairs,) = seen
+    assert pairs and len(set(pairs)) == len(pairs)
+    seeds = [s for s, _ in pairs]
+    assert all(seeds.count(s) > 1 for s in set(seeds))
+
+
 @pytest.mark.parametrize("group", [4096, 2])
 def test_suffix_dedup(spark, arrow_rows, texts, group, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
