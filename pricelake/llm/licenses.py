@@ -8,7 +8,8 @@ split into e + 1 seeds; by the pigeonhole principle every occurrence with at
 most e edits holds one seed unchanged.  One Aho-Corasick pass finds the seeds,
 each seed gives a window where its notice could lie, and the bounded-error
 matching of the ``regex`` library verifies the window and reports span and
-edits.  ``score`` is 1 for a base phrase, else 1 - edits / length of the best
+edits; the rest of the window, on both sides of its best match, is searched
+again.  ``score`` is 1 for a base phrase, else 1 - edits / length of the best
 fuzzy match, else 0.
 
 Null and empty texts have no words, no labels and score 0.  One map over the
@@ -50,6 +51,18 @@ CHARS_PER_EDIT = 10
 _SEARCH = None
 
 
+def _matches(pattern, low: str, lo: int, hi: int, least: int):
+    """Matches in low[lo:hi], of at least ``least`` characters: the best one,
+    then those on either side of it."""
+    todo = [(lo, hi)]
+    while todo:
+        lo, hi = todo.pop()
+        m = pattern.search(low, lo, hi) if hi - lo >= least else None
+        if m is not None and m.end() > m.start():
+            yield m
+            todo += [(m.end(), hi), (lo, m.start())]
+
+
 class NoticeSearch:
     """Compiled seeds and patterns of a list of (notice, label)."""
 
@@ -91,9 +104,7 @@ class NoticeSearch:
         for k in sorted(windows):
             notice, label, edits, pattern = self.items[k]
             for lo, hi in windows[k]:
-                if hi - lo < len(notice) - edits:
-                    continue
-                for m in pattern.finditer(low, lo, hi):
+                for m in _matches(pattern, low, lo, hi, len(notice) - edits):
                     found.append((label, m.start(), m.end(),
                                   sum(m.fuzzy_counts)))
         kept: list[tuple[str, int, int, int]] = []

@@ -327,6 +327,16 @@ def test_notice_edits():
             assert found, (notice, "".join(s))
 
 
+def test_notices_beside_a_better_copy():
+    """An edited notice is found on either side of a better copy."""
+    search = licenses.NoticeSearch()
+    assert search.find("all rihts reserved. all rights reserved. all rights resrved") == [
+        ("all-rights-reserved", 0, 18, 1), ("all-rights-reserved", 20, 39, 0),
+        ("all-rights-reserved", 41, 59, 1)]
+    text = ("al rights reserved\n" * 3 + "all rights reserved\n") * 5
+    assert [x[3] for x in search.find(text)] == [1, 1, 1, 0] * 5
+
+
 # ---------------------------------------------------------------- op 8
 
 def test_pii_base():
