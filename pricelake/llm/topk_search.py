@@ -22,8 +22,10 @@ gets the sample, the pivots and one row per ring, all of bounded size.
 
 Defined cases: null ids, null vectors and vectors with a null or non-finite
 component take no part; vectors of different length are compared on their
-common components; a repeated vec_id counts once, with its smallest vector;
-fewer than k candidates give fewer rows; ties go to the smaller vec_id.
+common components; different vectors under one vec_id are rows of their own,
+as queries (ranked together, by query_id) and as candidates of other ids; a row
+repeated with id and vector counts once; fewer than k candidates give fewer
+rows; ties go to the smaller vec_id.
 Scores are 64-bit integers; larger inner products are not supported.
 """
 
@@ -51,16 +53,28 @@ SLACK = 1e-6         # relative; covers the rounding of distances
 
 def scaled(vectors: DataFrame, id_col: str = "vec_id",
            vec_col: str = "embedding") -> DataFrame:
-    """vec_id, v (array of bigint): valid rows, once per id."""
+    """vec_id, v (array of bigint): valid rows, once per id and vector."""
     x = F.transform(F.col(vec_col), lambda c: c.cast("double"))
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c)
                     & (F.abs(c) < F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()
                          & F.coalesce(fine, F.lit(False)))
     return (rows.select(F.col(id_col).cast("bigint").alias("vec_id"),
-                        F.transform(x, lambda c: F.floor(c * SCALE)
-                                    .cast("bigint")).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+                        x.alias("x")).distinct()
+            .select("vec_id", F.transform("x", lambda c: F.floor(c * SCALE)
+                                          .cast("bigint")).alias("v")))
+
+
+def _numbered(vectors: DataFrame) -> DataFrame:
+    """rid (unique, in the order of vec_id; the vec_id where that is unique),
+    vec_id, v."""
+    base = stored(vectors, "topk-vectors")
+    if base.groupBy("vec_id").count().where("count > 1").isEmpty():
+        return base.select(F.col("vec_id").alias("rid"), "vec_id", "v")
+    # rows in global order get increasing numbers
+    return stored(base.sort("vec_id", F.xxhash64("v"))
+                  .select(F.monotonically_increasing_id().alias("rid"),
+                          "vec_id", "v"), "topk-numbered")
 
 
 def _matrix(col, dim: int) -> np.ndarray:
@@ -110,7 +124,7 @@ def fit_pivots(sample: np.ndarray, n: int, rounds: int = 5) -> np.ndarray:
 class Index:
     """The stored index and its small facts.
 
-    ``rows``: cell, pivot, dist, vec_id, v.  ``rings``: (pivot, ring) ->
+    ``rows``: cell, pivot, dist, rid, vec_id, v.  ``rings``: (pivot, ring) ->
     (smallest, largest distance, first cell, cells).
     """
 
@@ -121,12 +135,12 @@ class Index:
 
 def build_index(vectors: DataFrame, id_col: str = "vec_id",
                 vec_col: str = "embedding", pivots: int = PIVOTS) -> Index:
-    base = stored(scaled(vectors, id_col, vec_col), "topk-vectors")
+    base = _numbered(scaled(vectors, id_col, vec_col))
     norm = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double")
                        * c.cast("double"))
     facts = base.agg(F.max(norm), F.max(F.size("v")), F.count("*")).first()
     most, dim, n = float(facts[0] or 0.0), int(facts[1] or 0), facts[2]
-    sample = (base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    sample = (base.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE)
               .select("v").toArrow())
     lifted = _lifted(_matrix(sample.column(0), dim), most)
     centres = fit_pivots(lifted, pivots)
@@ -136,16 +150,18 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id",
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = _distances(_lifted(_matrix(batch.column(1), dim), most), centres)
+            d = _distances(_lifted(_matrix(batch.column(2), dim), most), centres)
             p = d.argmin(1)
             dist = d[np.arange(len(d)), p]
             ring = np.minimum(dist // width, 2 * rings).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(p.astype(np.int32)), pa.array(ring), pa.array(dist),
-                 *batch.columns], names=["pivot", "ring", "dist", "vec_id", "v"])
+                 *batch.columns],
+                names=["pivot", "ring", "dist", "rid", "vec_id", "v"])
 
     rows = stored(base.mapInArrow(key, "pivot int, ring int, dist double, "
-                                  "vec_id bigint, v array<bigint>"), "topk-keyed")
+                                  "rid bigint, vec_id bigint, v array<bigint>"),
+                  "topk-keyed")
     found, first = {}, 0
     for r in rows.groupBy("pivot", "ring").agg(
             F.min("dist"), F.max("dist"), F.count("*")) \
@@ -158,8 +174,8 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id",
         [(p, r, v[2], v[3]) for (p, r), v in found.items()],
         "pivot int, ring int, first int, cells int")
     rows = rows.join(F.broadcast(facts), ["pivot", "ring"]).select(
-        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("cells"))
-         .cast("int")).alias("cell"), "pivot", "ring", "dist", "vec_id", "v")
+        (F.col("first") + F.pmod(F.xxhash64("rid"), F.col("cells"))
+         .cast("int")).alias("cell"), "pivot", "ring", "dist", "rid", "vec_id", "v")
     return Index(rows, centres, most, dim, width, found)
 
 
@@ -171,22 +187,22 @@ def _reach(qq: float, most: float, score: float) -> float:
 
 
 def _chunks(queries: DataFrame, index: Index, own_cell: bool) -> DataFrame:
-    """Query rows (cell, vec_id, v, kth) -> chunk rows sent to cells: to their
+    """Query rows (cell, rid, vec_id, v, kth) -> chunk rows sent to cells: to their
     own, or to all that the triangle inequality leaves."""
     dim, most, pivots, rings = index.dim, index.most, index.pivots, index.rings
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell = np.asarray(batch.column(0))
-            ids = np.asarray(batch.column(1))
-            q = _matrix(batch.column(2), dim)
-            kth = batch.column(3).to_pylist()
+            ids = np.stack([np.asarray(batch.column(i)) for i in (1, 2)])
+            q = _matrix(batch.column(3), dim)
+            kth = batch.column(4).to_pylist()
             cut = [0]
-            for i in range(1, len(ids)):
+            for i in range(1, len(cell)):
                 if i - cut[-1] >= CHUNK or own_cell and cell[i] != cell[i - 1]:
                     cut.append(i)
             out = []
-            for a, b in zip(cut, [*cut[1:], len(ids)]):
+            for a, b in zip(cut, [*cut[1:], len(cell)]):
                 if a == b:
                     continue
                 qq = (q[a:b] * q[a:b]).sum(1)
@@ -202,7 +218,7 @@ def _chunks(queries: DataFrame, index: Index, own_cell: bool) -> DataFrame:
                           if (np.maximum(d[:, p] - hi, lo - d[:, p])
                               <= reach).any()
                           for c in range(first, first + n)]
-                vals = (int(ids[a]), ids[a:b].tobytes(),
+                vals = (int(ids[0, a]), ids[:, a:b].tobytes(),
                         q[a:b].astype(np.int64).tobytes(), reach.tobytes())
                 out += [(c, *vals) for c in to]
                 if len(out) >= 2000:
@@ -211,7 +227,7 @@ def _chunks(queries: DataFrame, index: Index, own_cell: bool) -> DataFrame:
             if out:
                 yield _chunk_batch(out)
 
-    return queries.select("cell", "vec_id", "v", "kth").mapInArrow(
+    return queries.select("cell", "rid", "vec_id", "v", "kth").mapInArrow(
         send, "cell int, chunk bigint, ids binary, qs binary, reach binary")
 
 
@@ -226,17 +242,16 @@ class _Chunk:
     """The queries of a chunk with their best scores in this task."""
 
     def __init__(self, ids, qs, reach, dim, most, pivots):
-        self.ids = np.frombuffer(ids, np.int64)
+        self.rids, self.ids = np.frombuffer(ids, np.int64).reshape(2, -1)
         self.q = np.frombuffer(qs, np.int64).reshape(len(self.ids), dim)
         self.reach = np.frombuffer(reach).copy()
         x = self.q.astype(np.float64)
         self.qq = (x * x).sum(1)
         self.d = _distances(np.hstack([x, np.zeros((len(x), 1))]), pivots)
-        none = np.zeros(0, np.int64)
-        self.score = [none] * len(x)
-        self.name = [none] * len(x)
+        self.score = [np.zeros(0, np.int64)] * len(x)
+        self.name = [np.zeros((2, 0), np.int64)] * len(x)    # rid, vec_id
 
-    def search(self, pivot, lo, hi, ids, x, xf, most, k):
+    def search(self, pivot, lo, hi, names, x, xf, most, k):
         live = np.flatnonzero(np.maximum(self.d[:, pivot] - hi,
                                          lo - self.d[:, pivot]) <= self.reach)
         if not len(live):
@@ -245,26 +260,27 @@ class _Chunk:
         s = self.q[live] @ x.T if xf is None else \
             (self.q[live].astype(np.float64) @ xf.T).astype(np.int64)
         for row, i in zip(s, live):
-            sel = ids != self.ids[i]
+            sel = names[1] != self.ids[i]
             if len(self.score[i]) >= k:
                 sel &= row >= self.score[i][-1]
-            row, own = row[sel], ids[sel]
+            row, own = row[sel], names[:, sel]
             if len(row) > 4 * k:
                 least = np.partition(row, len(row) - k)[len(row) - k]
-                row, own = row[row >= least], own[row >= least]
+                row, own = row[row >= least], own[:, row >= least]
             if not len(row):
                 continue
             row = np.concatenate([self.score[i], row])
-            own = np.concatenate([self.name[i], own])
-            top = np.lexsort((own, -row))[:k]
-            self.score[i], self.name[i] = row[top], own[top]
+            own = np.concatenate([self.name[i], own], axis=1)
+            top = np.lexsort((own[0], -row))[:k]
+            self.score[i], self.name[i] = row[top], own[:, top]
             if len(top) == k:
                 self.reach[i] = min(self.reach[i],
                                     _reach(self.qq[i], most, row[top[-1]]))
 
 
 def _search(index: Index, chunks: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score: the best k of each query and task."""
+    """query, query_id, rid, vec_id, score: the best k of each query row and
+    task; query and rid are row numbers."""
     dim, most, pivots = index.dim, index.most, index.pivots
     exact = most < 2.0 ** 52
 
@@ -273,17 +289,19 @@ def _search(index: Index, chunks: DataFrame, k: int) -> DataFrame:
         cell, parts, block = None, [], None
 
         def results():
-            cols = ([], [], [])
+            cols = ([], [], [], [], [])
             for c in held.values():
-                for i, q in enumerate(c.ids):
-                    cols[0].append(np.full(len(c.name[i]), q))
-                    cols[1].append(c.name[i])
-                    cols[2].append(c.score[i])
+                for i, score in enumerate(c.score):
+                    cols[0].append(np.full(len(score), c.rids[i]))
+                    cols[1].append(np.full(len(score), c.ids[i]))
+                    cols[2].append(c.name[i][0])
+                    cols[3].append(c.name[i][1])
+                    cols[4].append(score)
             held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([np.zeros(0, np.int64), *c])
                           .astype(np.int64)) for c in cols],
-                names=["query_id", "vec_id", "score"])
+                names=["query", "query_id", "rid", "vec_id", "score"])
 
         for batch in batches:
             cells = np.asarray(batch.column(0))
@@ -300,8 +318,9 @@ def _search(index: Index, chunks: DataFrame, k: int) -> DataFrame:
                     own = batch.slice(a, b - a)
                     parts.append((int(own.column(2)[0].as_py()),
                                   np.asarray(own.column(3)),
-                                  np.asarray(own.column(4)),
-                                  _matrix(own.column(5), dim)))
+                                  np.stack([np.asarray(own.column(i))
+                                            for i in (4, 5)]),
+                                  _matrix(own.column(6), dim)))
                     continue
                 if not parts:
                     continue
@@ -309,32 +328,33 @@ def _search(index: Index, chunks: DataFrame, k: int) -> DataFrame:
                     dist = np.concatenate([p[1] for p in parts])
                     xf = np.concatenate([p[3] for p in parts])
                     block = (parts[0][0], dist.min(), dist.max(),
-                             np.concatenate([p[2] for p in parts]),
+                             np.concatenate([p[2] for p in parts], axis=1),
                              xf.astype(np.int64), xf if exact else None)
                 for j in range(a, b):
-                    name = batch.column(6)[j].as_py()
+                    name = batch.column(7)[j].as_py()
                     if name not in held:
                         if len(held) >= HELD_CHUNKS:
                             yield results()
                         held[name] = _Chunk(
-                            batch.column(7)[j].as_py(), batch.column(8)[j].as_py(),
-                            batch.column(9)[j].as_py(), dim, most, pivots)
+                            batch.column(8)[j].as_py(), batch.column(9)[j].as_py(),
+                            batch.column(10)[j].as_py(), dim, most, pivots)
                     held[name].search(*block, most, k)
         yield results()
 
     rows = index.rows.select(
-        "cell", F.lit(0).alias("kind"), "pivot", "dist", "vec_id", "v",
+        "cell", F.lit(0).alias("kind"), "pivot", "dist", "rid", "vec_id", "v",
         F.lit(None).cast("bigint").alias("chunk"),
         *[F.lit(None).cast("binary").alias(c) for c in ("ids", "qs", "reach")])
     sent = chunks.select(
         "cell", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("pivot"),
         F.lit(None).cast("double").alias("dist"),
-        F.lit(None).cast("bigint").alias("vec_id"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("rid", "vec_id")],
         F.lit(None).cast("array<bigint>").alias("v"), "chunk", "ids", "qs",
         "reach")
     return (rows.unionByName(sent).repartition("cell")
             .sortWithinPartitions("cell", "kind")
-            .mapInArrow(run, "query_id bigint, vec_id bigint, score bigint"))
+            .mapInArrow(run, "query bigint, query_id bigint, rid bigint, "
+                             "vec_id bigint, score bigint"))
 
 
 def top_k(index: Index, is_query, k: int = K) -> DataFrame:
@@ -343,20 +363,19 @@ def top_k(index: Index, is_query, k: int = K) -> DataFrame:
     none = F.lit(None).cast("bigint").alias("kth")
     # unsorted rows would only make smaller chunks
     near = _chunks(queries.repartition("cell").sortWithinPartitions("cell")
-                   .select("cell", "vec_id", "v", none), index, True)
+                   .select("cell", "rid", "vec_id", "v", none), index, True)
     near = stored(_search(index, near, k), "topk-near")
-    by_score = Window.partitionBy("query_id").orderBy(
-        F.col("score").desc(), "vec_id")
 
-    def ranked(found):
-        once = found.groupBy("query_id", "vec_id").agg(
+    def ranked(found, by):
+        by_score = Window.partitionBy(by).orderBy(F.col("score").desc(), "vec_id")
+        once = found.groupBy("query", "query_id", "rid", "vec_id").agg(
             F.max("score").alias("score"))
         return once.withColumn("rank", F.row_number().over(by_score)) \
             .where(F.col("rank") <= k)
-    kth = ranked(near).where(F.col("rank") == k).select(
-        F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
-    known = queries.join(kth, "vec_id", "left").repartition("pivot", "ring") \
+    kth = ranked(near, "query").where(F.col("rank") == k).select(
+        F.col("query").alias("rid"), F.col("score").alias("kth"))
+    known = queries.join(kth, "rid", "left").repartition("pivot", "ring") \
         .sortWithinPartitions("pivot", "ring", "dist")
     far = _search(index, _chunks(known, index, False), k)
-    return ranked(far.unionByName(near)).select(
+    return ranked(far.unionByName(near), "query_id").select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

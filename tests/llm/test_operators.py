@@ -69,6 +69,23 @@ def test_top_k_small_cells(spark, monkeypatch):
         brute.top_k(v32, lambda q: q % 7 == 0)
 
 
+def test_top_k_repeated_ids(spark, arrow_rows):
+    """Every vector under a repeated id is a candidate, and a query."""
+    rng = random.Random(8)
+    data = [(i % 60, [rng.gauss(0, .2) for _ in range(4)]) for i in range(300)]
+    data += [(7, [rng.gauss(0, .2) for _ in range(4)]) for _ in range(100)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = topk_search.top_k(topk_search.build_index(df, pivots=5),
+                            F.col("vec_id") % 7 == 0)
+    v = [(i, [math.floor(1024 * c) for c in x]) for i, x in data]
+    want = []
+    for q in range(0, 60, 7):
+        s = sorted((-sum(a * b for a, b in zip(x, y)), j)
+                   for i, x in v if i == q for j, y in v if j != q)[:10]
+        want += [(q, r, j, -m) for r, (m, j) in enumerate(s, 1)]
+    assert rows(got, "query_id", "rank", "vec_id", "score") == want
+
+
 def test_top_k_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.top_k(topk_search.build_index(df),
