@@ -245,6 +245,19 @@ def test_url_training(spark):
     assert got.where("(verdict = 'block') <> (page_id = 1)").count() == 0
 
 
+def test_url_training_hosts(spark):
+    """No allowed host of the table occurs among the test pages."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+
+    def names(df):
+        host = F.regexp_replace(url_filter.url_parts(F.col("url"))[0],
+                                r"\.example\.\w+$", "")
+        name = F.element_at(F.split(host, r"\."), -1).alias("name")
+        return {r.name for r in df.select(name).distinct().collect()} - {""}
+    labelled = url_filter.labelled_table(spark)
+    assert not names(pages) & names(labelled.where("label = 0"))
+
+
 # ---------------------------------------------------------------- op 5
 
 def test_components(spark):
