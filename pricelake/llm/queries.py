@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import (decontamination, licenses, mixing, ngram_join, pii,
-                           suffix_dedup, topk_search, toxicity, url_filter, warc)
+from pricelake.llm import (decontamination, hnsw, lexical_search, licenses,
+                           mixing, ngram_join, pii, suffix_dedup,
+                           token_alignment, topk_search, toxicity, url_filter,
+                           warc)
 from pricelake.llm.common import table
 
 
@@ -57,10 +59,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(folder, manifest).drop("url")
 
 
+def op11_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = hnsw.build_index(table(spark, sf_dir, "embeddings"), k=10)
+    return hnsw.nearest(index, F.col("vec_id") % 100 == 0, k=10)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.token_alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_topk_search, op2_decontamination, op3_suffix_dedup, op4_url_filter, op5_ngram_jaccard,
     op6_source_mix, op7_license_scan, op8_pii,
-    op9_toxicity, op10_warc)}
+    op9_toxicity, op10_warc, op11_hnsw, op12_lexical_search,
+    op13_token_alignment)}
 
 OP1_SQL = """
 WITH vecs AS (
@@ -81,4 +98,5 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 ORACLE = {"op1_topk_search": OP1_SQL, "op2_decontamination": decontamination.SQL,
-          "op5_ngram_jaccard": ngram_join.SQL, "op6_source_mix": mixing.sql()}
+          "op5_ngram_jaccard": ngram_join.SQL, "op6_source_mix": mixing.sql(),
+          "op12_lexical_search": lexical_search.SQL}
