@@ -19,8 +19,8 @@ sequences into groups; every A and every B token of a group are linked.
    not per link) and adds them up per document.  No table of pairs is
    broadcast.
 
-Encoding is done once per distinct chunk of a segment, a chunk running up to a
-space that follows something else.  Neither tokenizer makes a token across such
+Each distinct chunk is encoded once as long as a worker remembers it, a chunk
+running up to a space that follows something else.  Neither tokenizer makes a token across such
 a place: A splits there before its merges, and no piece of B holds a space
 behind another character (checked when the model is read; if either is not so,
 texts are encoded whole).
@@ -60,8 +60,9 @@ SEGMENT = 1 << 20        # characters aligned at once
 PIECE = 1 << 15          # ends in a piece of the merge
 BLOCK_LINKS = 1 << 21    # distinct links of documents from which a block ends
 BLOCK_DOCS = 1 << 14     # ... or documents
-CACHE = 1 << 17          # encoded chunks that a worker keeps ...
-CACHE_CHARS = 32         # ... of at most this length
+CACHE = 1 << 19          # encoded chunks that a worker keeps ...
+CACHE_CHARS = 1 << 24    # ... and characters of them
+TOGETHER = 256           # chunks encoded in one call's text
 BIG_GROUP = 1 << 12      # links from which a group's ids are counted first
 
 CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
@@ -93,7 +94,7 @@ class Tokenizers:
         self.digits = Digits(max(len(self.a_bytes), self.n_b))
         # a lone space; B encodes an empty text without the space it adds
         self.b_space = self.b.encode("a ")[len(self.b.encode("a")):]
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.forget()
 
     def _a_bytes(self) -> list[bytes]:
         # byte-level alphabet: printable Latin-1 stands for itself, all other
@@ -116,28 +117,101 @@ class Tokenizers:
     def chunks(self, text: str) -> list[str]:
         return CHUNK.findall(text) if self.chunked else [text]
 
-    def encode(self, chunks: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Per chunk (which starts with a space): both id lists as int32, and
-        whether both give back its bytes."""
-        new = [c for c in chunks if c not in self.known]
-        own = {}
+    def forget(self) -> None:
+        """Start anew without encoded chunks."""
+        self.known, self.chars = Codes(), 0
+        # ids of all chunks one after another and how many each has, A and B
+        self.ids = [np.zeros(0, np.int32)] * 2
+        self.sizes = [np.zeros(0, np.int64)] * 2
+        self.ok = np.zeros(0, bool)
+
+    def codes(self, chunks: list[str]) -> np.ndarray:
+        """Numbers of the chunks (each starts with a space), encoding new ones."""
+        if len(self.known) > CACHE or self.chars > CACHE_CHARS:
+            self.forget()
+        code = np.fromiter(map(self.known.__getitem__, chunks), np.int64,
+                           len(chunks))
+        new, self.known.new = self.known.new, []
         if new:
-            batch = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-            a = [e.ids for e in batch(new, add_special_tokens=False)]
-            b = self.b.encode([c[1:] for c in new], num_threads=1)
-            for c, x, y in zip(new, a, b):
-                want, y = c.encode(), y if c != " " else self.b_space
-                ok = (b"".join([self.a_bytes[i] for i in x]) == want
-                      and b"".join([self.b_bytes[i] for i in y]) == want)
-                own[c] = (np.array(x, np.int32).tobytes(),
-                          np.array(y, np.int32).tobytes(), ok)
-            keep = {c: e for c, e in own.items() if len(c) <= CACHE_CHARS}
-            if len(self.known) + len(keep) > CACHE:
-                out = [own[c] if c in own else self.known[c] for c in chunks]
-                self.known = dict(list(keep.items())[:CACHE])
-                return out
-            self.known |= keep
-        return [own[c] if c in own else self.known[c] for c in chunks]
+            *sides, ok = (self._encode if self.chunked
+                          else self._encode_each)(new)
+            for side, (ids, sizes) in enumerate(sides):
+                self.ids[side] = np.concatenate([self.ids[side], ids])
+                self.sizes[side] = np.concatenate([self.sizes[side], sizes])
+            self.ok = np.concatenate([self.ok, ok])
+            self.chars += sum(map(len, new))
+        return code
+
+    def _encode(self, chunks: list[str]):
+        """((A ids, their number per chunk), (B ...), whether both give back
+        the chunk's bytes).  Chunks are encoded end to end, many in one text,
+        and cut apart at their ends; those that end in white space, or in a
+        text that does not come back, one by one."""
+        out, at = [], 0
+        runs = []                                   # (from, to, as one text)
+        for i, c in enumerate(chunks):
+            if c[-1].isspace():
+                if i > at:
+                    runs.append((at, i, True))
+                runs.append((i, i + 1, False))
+                at = i + 1
+            elif i - at == TOGETHER:
+                runs.append((at, i, True))
+                at = i
+        if at < len(chunks):
+            runs.append((at, len(chunks), True))
+        texts = ["".join(chunks[lo:hi]) for lo, hi, one in runs if one]
+        both = iter(zip(*self._both(texts))) if texts else iter(())
+        for lo, hi, one in runs:
+            part = None
+            if one:
+                ends = np.cumsum([len(c.encode()) for c in chunks[lo:hi]])
+                part = self._cut("".join(chunks[lo:hi]).encode(), ends, *next(both))
+            out.append(part or self._encode_each(chunks[lo:hi]))
+        return (*((np.concatenate([p[s][0] for p in out]),
+                   np.concatenate([p[s][1] for p in out])) for s in (0, 1)),
+                np.concatenate([p[2] for p in out]))
+
+    def _both(self, texts: list[str]) -> tuple[list, list]:
+        batch = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
+        return ([e.ids for e in batch(texts, add_special_tokens=False)],
+                [y if t != " " else self.b_space for t, y in zip(
+                    texts, self.b.encode([t[1:] for t in texts], num_threads=1))])
+
+    def _cut(self, want: bytes, ends: np.ndarray, a: list[int], b: list[int]):
+        out = []
+        for ids, names, size in ((a, self.a_bytes, self.a_len),
+                                 (b, self.b_bytes, self.b_len)):
+            if b"".join([names[i] for i in ids]) != want:
+                return None
+            ids = np.array(ids, np.int32)
+            at = np.cumsum(size[ids])
+            cut = np.searchsorted(at, ends)
+            if (at[cut] != ends).any():
+                return None
+            out.append((ids, np.diff(cut + 1, prepend=0)))
+        return (*out, np.ones(len(ends), bool))
+
+    def _encode_each(self, chunks: list[str]):
+        a, b = self._both(chunks)
+        ok = [b"".join([self.a_bytes[i] for i in x]) == c.encode()
+              == b"".join([self.b_bytes[i] for i in y])
+              for c, x, y in zip(chunks, a, b)]
+        return (*((np.array([i for x in side for i in x], np.int32),
+                   np.array([len(x) for x in side], np.int64))
+                  for side in (a, b)), np.array(ok, bool))
+
+
+class Codes(dict):
+    """Numbers in order of appearance, and the keys not yet seen to."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
 
 
 @functools.lru_cache(maxsize=2)
@@ -305,27 +379,23 @@ class Block:
         waiting, self.waiting, self.chars = self.waiting, [], 0
         if not waiting:
             return
-        codes: dict[str, int] = {}
-        rows, per = [], []
+        chunks, per = [], []
         for _, text in waiting:
-            found = [codes.setdefault(c, len(codes)) for c in self.tok.chunks(text)]
-            rows += found
+            found = self.tok.chunks(text)
+            chunks += found
             per.append(len(found))
         doc = np.repeat(np.array([d for d, _ in waiting], np.int64), per)
-        enc = self.tok.encode(list(codes))
-        ok = np.array([e[2] for e in enc], bool)
-        code = np.array(rows, np.int64)
-        self.bad.update(doc[~ok[code]].tolist())
-        keep = ok[code]
+        code = self.tok.codes(chunks)
+        keep = self.tok.ok[code]
+        self.bad.update(doc[~keep].tolist())
         doc, code = doc[keep], code[keep]
         if not len(code):
             return
         ids, owners, ends = [], [], []
         for side, size in ((0, self.tok.a_len), (1, self.tok.b_len)):
-            flat = np.frombuffer(b"".join([e[side] for e in enc]), np.int32)
-            lens = np.array([len(e[side]) >> 2 for e in enc], np.int64)
+            lens = self.tok.sizes[side]
             starts = np.cumsum(lens) - lens
-            x = flat[spread(starts[code], lens[code])]
+            x = self.tok.ids[side][spread(starts[code], lens[code])]
             ids.append(x)
             owners.append(np.repeat(doc, lens[code]))
             ends.append(np.cumsum(size[x]))

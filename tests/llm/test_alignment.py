@@ -78,13 +78,14 @@ def test_small_units(tok):
                         ("pairs", pa.list_(pa.int64())),
                         ("in_docs", pa.list_(pa.int32()))])
     out = []
-    old = ta.SEGMENT, ta.CACHE
-    for ta.SEGMENT, ta.CACHE in ((1 << 20, 1 << 17), (8, 20), (100, 2)):
+    old = ta.SEGMENT, ta.CACHE, ta.TOGETHER
+    for ta.SEGMENT, ta.CACHE, ta.TOGETHER in ((1 << 20, 1 << 17, 256), (8, 20, 3),
+                                              (100, 2, 1)):
         block = ta.Block(tok)
         for d, t in enumerate([text.replace("▁", ""), None, "a▁b", "plain words"]):
             block.add(d, t)
         out.append([r for b in block.rows(0, schema) for r in b.to_pylist()])
-    ta.SEGMENT, ta.CACHE = old
+    ta.SEGMENT, ta.CACHE, ta.TOGETHER = old
     assert out[0] == out[1] == out[2]
     assert out[0][2]["n_a"] == 0 and out[0][0]["n_groups"] > 100
 
