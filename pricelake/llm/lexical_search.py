@@ -15,14 +15,16 @@ lists.  A posting list is clustered by similarity: documents have a sketch (a
 random projection of their impacts), and each joins the nearest of a few
 documents of the list taken at even steps.  Each cluster is a block with its
 documents and a summary: per term the largest impact of any of them, for the
-terms that share an item with the list's term.  The index is stored.
+list's own term and the commoner terms that share an item with it.  The index is
+stored.
 
-*Search.*  A summary's sum over an item's terms bounds the score of every
-document of the block.  A first pass scores the documents of each shard's most
-promising block; the k-th best of all these is a floor for the item.  The second
-pass scores, best bounds first, whole vectors of the blocks whose bound reaches
-the floor and the k-th best found so far; only the others are skipped, so the
-result is exact.  The k best of each shard are merged.
+*Search.*  A document counts in the list of the rarest of the item's terms that
+it holds: there a summary's sum over the item's terms bounds its whole score, as
+it holds none of the rarer ones.  A first pass scores the documents of each
+shard's most promising block; the k-th best of all these is a floor for the
+item.  The second pass scores, best bounds first, whole vectors of the blocks
+whose bound reaches the floor and the k-th best found so far; only the others
+are skipped, so the result is exact.  The k best of each shard are merged.
 
 Results in odd cases: a null or empty text, or one without terms, is no document
 and no query.  Every row is an item or a document of its own, also where ids or
@@ -45,16 +47,16 @@ from pyspark.sql import functions as F
 from pricelake.llm.common import ALNUM_SEP, ascii_lower, stored
 
 QUERY_TERMS = 1 << 17    # terms (summed over the items) of a block of items
-SHARD = 1 << 14          # documents of a shard
-SHARD_ENTRIES = 1 << 22  # ... or entries of their vectors
-BLOCK = 256              # documents per block, on average, of a long list
+SHARD = 1 << 13          # documents of a shard
+SHARD_ENTRIES = 1 << 19  # ... or entries of their vectors
+BLOCK = 32               # documents per block, on average, of a long list
 SKETCH = 16              # numbers in a document's sketch
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
-ARRAYS = {"doc_ids": "long", "no_id": "boolean", "doc_ends": "int",
-          "doc_terms": "int", "doc_impacts": "long", "block_terms": "int",
-          "block_ends": "int", "members": "int", "top_ends": "long",
-          "top_terms": "int", "tops": "long"}
+# flat arrays of a shard, stored as bytes
+ARRAYS = {"doc_ids": "<i8", "no_id": "?", "doc_ends": "<i4", "doc_terms": "<i4",
+          "doc_impacts": "<i8", "block_terms": "<i4", "block_ends": "<i4",
+          "members": "<i4", "top_ends": "<i8", "top_terms": "<i4", "tops": "<i8"}
 
 
 @dataclass(frozen=True)
@@ -65,13 +67,16 @@ class Items:
     vocabulary: dict[bytes, int]
     terms: list[np.ndarray]
 
-    def partners(self) -> list[np.ndarray]:
-        """Per term, the terms that share an item with it."""
-        of: list[list] = [[] for _ in self.vocabulary]
-        for t in self.terms:
-            for x in t.tolist():
-                of[x].append(t)
-        return [np.unique(np.concatenate(x)) for x in of]
+
+def partners(terms: list[np.ndarray], n_terms: int) -> list[np.ndarray]:
+    """Per term, itself and the commoner terms that share an item with it.
+    Terms are numbered from the rarest."""
+    of: list[list] = [[] for _ in range(n_terms)]
+    for t in terms:
+        for i, x in enumerate(t.tolist()):
+            of[x].append(t[i:])
+    return [np.unique(np.concatenate(x)) if x else np.zeros(0, np.int32)
+            for x in of]
 
 
 def item_blocks(items: DataFrame, most: int = QUERY_TERMS):
@@ -153,28 +158,29 @@ def sketches(ends, terms, values, n_terms: int) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
-def build_shard(ids, no_id, ends, terms, values, partners, block=BLOCK) -> dict:
-    """Flat arrays of a shard: vectors, posting lists in blocks, summaries."""
-    n_terms = len(partners)
+def build_shard(ids, no_id, ends, terms, values, cols_of, block=BLOCK) -> dict:
+    """Flat arrays of a shard: vectors (terms ascending, so rarest first),
+    posting lists in blocks, summaries over the columns of each term."""
+    n_terms = len(cols_of)
     sketch = sketches(ends, terms, values, n_terms)
     doc = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
     order = np.argsort(terms, kind="stable")
     held, first = np.unique(terms[order], return_index=True)
-    lists = np.split(doc[order], first[1:])
     column = np.full(n_terms, -1, np.int64)
     out = {c: [] for c in ("block_terms", "sizes", "members", "top_sizes",
                            "top_terms", "tops")}
-    for t, docs in zip(held.tolist(), lists):
+    for t, starts in zip(held.tolist(), np.split(order, first[1:])):
+        docs = doc[starts]
         n_blocks = -(-len(docs) // block)
         of = np.zeros(len(docs), np.int64)
         if n_blocks > 1:
             centres = sketch[docs[np.arange(n_blocks) * len(docs) // n_blocks]]
             of = np.argmax(sketch[docs] @ centres.T, axis=1)
-        cols = partners[t]
+        cols = cols_of[t]
         column[cols] = np.arange(len(cols))
         top = np.zeros((n_blocks, len(cols)), np.int64)
-        # vectors of the list's documents, some at a time
-        starts, lens = ranges(ends, docs)
+        # of the list's documents the term and all commoner ones, some at a time
+        lens = ends[docs] - starts
         step = np.searchsorted(np.cumsum(lens), np.arange(
             1 << 20, lens.sum() + (1 << 20), 1 << 20)) + 1
         lo = 0
@@ -206,22 +212,31 @@ def build_shard(ids, no_id, ends, terms, values, partners, block=BLOCK) -> dict:
 
 
 def build_index(vectors: DataFrame, items: Items, df: np.ndarray, n_docs: int,
-                total: int, shard: int = SHARD) -> DataFrame:
-    """The stored index: a row of flat arrays per shard."""
-    partners, w = items.partners(), weights(df, n_docs)
+                total: int, shard: int = SHARD,
+                ) -> tuple[DataFrame, list[np.ndarray]]:
+    """The stored index, a row of flat arrays per shard, and the items' terms
+    by their numbers in it."""
+    # terms are numbered anew, from the rarest
+    rank = np.empty(len(df), np.int32)
+    rank[np.argsort(df, kind="stable")] = np.arange(len(df))
+    terms_of = [np.sort(rank[t]) for t in items.terms]
+    cols_of, w = partners(terms_of, len(df)), weights(np.sort(df), n_docs)
 
     def make(rows):
         ids = pa.concat_arrays([r[0] for r in rows])
         n, terms, tf = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
         size = np.concatenate([r[4] for r in rows])
-        ends = np.cumsum(size)
+        ends, terms = np.cumsum(size), rank[terms]
+        order = np.lexsort((terms, np.repeat(np.arange(len(size)), size)))
+        terms, tf = terms[order], tf[order]
         values = impacts(w[terms], tf.astype(np.int64), np.repeat(n, size),
                          n_docs, total)
         got = build_shard(ids.fill_null(0).to_numpy(zero_copy_only=False),
                           ids.is_null().to_numpy(zero_copy_only=False),
-                          ends, terms, values, partners)
+                          ends, terms, values, cols_of)
         return pa.RecordBatch.from_arrays(
-            [pa.array([got[c]]) for c in ARRAYS], names=list(ARRAYS))
+            [pa.array([got[c].astype(t).tobytes()], pa.binary())
+             for c, t in ARRAYS.items()], names=list(ARRAYS))
 
     def run(batches):
         rows, docs, entries = [], 0, 0
@@ -241,8 +256,8 @@ def build_index(vectors: DataFrame, items: Items, df: np.ndarray, n_docs: int,
         if rows:
             yield make(rows)
     return stored(vectors.where(F.size("terms") > 0).mapInArrow(
-        run, ", ".join(f"{c} array<{t}>" for c, t in ARRAYS.items())),
-        "lexical-index")
+        run, ", ".join(f"{c} binary" for c in ARRAYS)),
+        "lexical-index"), terms_of
 
 
 def best(score, ids, no_id, k):
@@ -299,7 +314,8 @@ def search_shard(s: dict, terms: np.ndarray, n_terms: int, k: int,
     return docs, scores, len(blocks), done
 
 
-def search(index: DataFrame, items: Items, id_type, k: int,
+def search(index: DataFrame, ids: list, terms_of: list[np.ndarray],
+           n_terms: int, id_type, k: int,
            floors: np.ndarray | None) -> DataFrame:
     """(item, item_id, doc_id, score): per item the ``k`` best of each shard
     (``floors`` given), or the scores of each shard's most promising block."""
@@ -308,17 +324,16 @@ def search(index: DataFrame, items: Items, id_type, k: int,
              "doc_id": pa.int64(), "score": pa.int64()}
 
     def run(batches):
-        n_terms = len(items.vocabulary)
         for batch in batches:
             for i in range(batch.num_rows):
-                s = {c: batch.column(c)[i].values.to_numpy(zero_copy_only=False)
-                     for c in ARRAYS}
+                s = {c: np.frombuffer(batch.column(c)[i].as_buffer(), t)
+                     for c, t in ARRAYS.items()}
                 rows = []
-                for q, terms in enumerate(items.terms):
+                for q, terms in enumerate(terms_of):
                     docs, scores, _, _ = search_shard(
                         s, terms, n_terms, k,
                         None if floors is None else int(floors[q]))
-                    rows += [(q, items.ids[q], None if s["no_id"][d]
+                    rows += [(q, ids[q], None if s["no_id"][d]
                               else int(s["doc_ids"][d]), int(x))
                              for d, x in zip(docs, scores)]
                 cols = list(zip(*rows)) or [()] * 4
@@ -359,9 +374,9 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = 10,
             df[t] = n
         if not df.any():
             continue
-        index = build_index(vectors, some, df, n_docs, total)
-        floors = floor_of(search(index, some, id_type, k, None), len(some.ids), k)
-        found = search(index, some, id_type, k, floors)
+        index, terms_of = build_index(vectors, some, df, n_docs, total)
+        ask = (index, some.ids, terms_of, len(df), id_type, k)
+        found = search(*ask, floor_of(search(*ask, None), len(some.ids), k))
         best_ = stored(found, "lexical-found").withColumn(
             "rank", F.row_number().over(order)).where(F.col("rank") <= k)
         out = out.unionByName(best_.select("item_id", "rank", "doc_id", "score"))
