@@ -28,7 +28,8 @@ from pricelake.operators.calendar import dim_date
 from pricelake.operators.fact import fact_prices
 from pricelake.operators.scd2 import scd2_merge
 from pricelake.params import RunParams
-from pricelake.schemas import BRONZE, DIM_STOCK, SILVER, SILVER_COLS
+from pricelake.schemas import (BRONZE, DIM_STOCK, SILVER, SILVER_COLS,
+                               STORED_SILVER)
 from pricelake.sources import sinks
 from pricelake.sources.landing import (NANOS_SETTING, bronze_metadata,
                                        landing_read)
@@ -103,7 +104,9 @@ def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
                reprocess_from: dt.date | None = None) -> int:
     """mark -> incremental load -> clean -> write -> audit.
 
-    Returns the rows written (0 when there was nothing new: no write).
+    Returns the rows written (0 when there was nothing new: no write).  Every
+    load writes a partition of its own, so a run time may be used again: its
+    second load takes what came in since and leaves the first one's rows.
     ``restate`` rebuilds the layer from every raw row with the newest copy
     of each (ticker, date) winning, so restated adjusted prices replace old
     ones.  ``reprocess_from`` does so for the days from that date on and keeps
@@ -126,12 +129,9 @@ def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
                              reference_order=reference_order)
     if per_ticker_mark and silver is not None:
         cleaned = inc.new_keys(cleaned, new, silver, sv.KEY)
-    sinks.silver_write(cleaned, paths.silver, params.run_date_iso,
-                       params.batch_id)
-    written = read_silver(spark, paths).where(
-        F.col("silver_batch_id") == params.batch_id)
-    stats = written.agg(F.count(F.lit(1)).alias("n"),
-                        F.max("trade_date").alias("m")).first()
+    attempt = sinks.new_version(params.run_ts)
+    sinks.silver_write(cleaned, paths.silver, params.run_date_iso, attempt)
+    stats = _loaded(spark, paths, params.run_date_iso, attempt)
     rows_in, dropped = _dropped(seen, stats["n"])
     sinks.watermark_commit(spark, paths.audit, params.batch_id, "silver",
                            stats["m"], rows_in, stats["n"], params.run_iso,
@@ -139,6 +139,16 @@ def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
     return stats["n"]
 
 
+def _loaded(spark: SparkSession, paths: LakePaths, processed_date: str,
+            run_id: str):
+    """Rows and newest date of one load: only its own partition is read."""
+    layer = sinks.read_if_exists(spark, sinks.layer_path(spark, paths.silver),
+                                 STORED_SILVER)
+    return layer.where((F.col("processed_date") == processed_date)
+                       & (F.col("run_id") == run_id)).agg(
+        F.count(F.lit(1)).alias("n"), F.max("trade_date").alias("m")).first()
+
+
 def _rebuild_silver(spark, bronze: DataFrame, holdings: DataFrame,
                     params: RunParams, paths: LakePaths,
                     since: dt.date | None) -> int:
@@ -154,11 +164,10 @@ def _rebuild_silver(spark, bronze: DataFrame, holdings: DataFrame,
             kept = old.where(F.col("trade_date") < F.lit(since)) \
                 .withColumn("processed_date", F.col("processed_date").cast("string"))
     cleaned, seen = _cleaned(bronze, holdings, params, keep="last")
+    attempt = sinks.new_version(params.run_ts)
     sinks.silver_replace(cleaned, paths.silver, params.run_ts,
-                         params.run_date_iso, params.batch_id, kept)
-    stats = read_silver(spark, paths).where(
-        F.col("silver_batch_id") == params.batch_id).agg(
-        F.count(F.lit(1)).alias("n"), F.max("trade_date").alias("m")).first()
+                         params.run_date_iso, attempt, kept)
+    stats = _loaded(spark, paths, params.run_date_iso, attempt)
     rows_in, dropped = _dropped(seen, stats["n"])
     sinks.watermark_commit(spark, paths.audit, params.batch_id, layer,
                            stats["m"], rows_in, stats["n"], params.run_iso,

@@ -46,6 +46,7 @@ SILVER_KEPT = [
 ]
 SILVER_COLS = SILVER_KEPT + ["processed_at", "silver_batch_id"]
 
+# Types of the cleaned layer.
 SILVER = T.StructType([
     T.StructField("trade_date", T.DateType()),
     T.StructField("close_price", T.DoubleType()),
@@ -63,12 +64,19 @@ SILVER = T.StructType([
     T.StructField("silver_batch_id", T.StringType()),
 ])
 
+# The cleaned layer as stored: one partition per load.
+STORED_SILVER = T.StructType(SILVER.fields + [
+    T.StructField("processed_date", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+])
+
 # Columns of the calendar dimension.
 DIM_DATE_COLS = [
     "full_date", "date_key", "year", "quarter", "month", "month_name",
     "day_of_week", "is_weekend", "is_market_holiday",
 ]
 
+# Attributes whose change makes a new version.
 TRACKED_FIELDS = ["fund_name", "sector", "instrument_type"]
 
 # Columns of the instrument dimension.

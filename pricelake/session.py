@@ -34,12 +34,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL: dict[str, str] = {}      # application id -> its folder (local master)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; sets a fresh local one only
-    when it is unset and the master is local (tests).  On a cluster each
-    machine would write to its own disk, so there it is an error.
+    Uses the cluster's ``spark.checkpoint.dir``; makes a fresh local one, once
+    per application, only when it is unset and the master is local (tests).  On
+    a cluster each machine would write to its own disk, so there it is an error.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -49,8 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver "
                              "and executors share")
-        path = tempfile.mkdtemp(prefix="pricelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="pricelake-ckpt-")
+        path = _LOCAL[app]
     spark.sparkContext.setCheckpointDir(path)
     return path
 

@@ -2,7 +2,8 @@
 
 * raw layer: append-only, one partition per ingest date, written at most once;
 * cleaned layer: partitioned by ``processed_date`` and ``run_id`` with dynamic
-  partition overwrite, so a rerun of one run replaces only itself.  Replacing
+  partition overwrite.  A batch load has a ``run_id`` of its own for every
+  attempt; a stream's batch keeps its one, so a replay replaces itself.  Replacing
   more than that (restating, reprocessing) writes a new version of the layer
   beside it and publishes that;
 * gold layer: every run writes a fresh version directory, checks it, and then

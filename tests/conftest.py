@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -23,9 +22,6 @@ def spark():
          .config("spark.sql.legacy.parquet.nanosAsLong", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir",
-                   tempfile.mkdtemp(prefix="pricelake-test-ckpt-"))
     yield s
 
 

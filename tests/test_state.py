@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pricelake.operators import marts
 from pricelake.params import RunParams
 from pricelake.plans import pipeline as pl
-from pricelake.schemas import BRONZE
+from pricelake.schemas import BRONZE, STORED_SILVER
 from pricelake.sources import sinks
 from pricelake.sources.landing import landing_read
 from pricelake.sources.tables import holdings_table
@@ -137,6 +137,31 @@ def test_rerun_of_a_run_replaces_itself(spark, loaded):
     assert len(silver(spark, paths)) == 3
 
 
+@pytest.mark.parametrize("per_ticker", [False, True])
+def test_a_run_time_used_again_keeps_its_rows(spark, loaded, per_ticker):
+    paths, hold = loaded
+    put(spark, paths, [("NVDA", 12, 120.0), ("VFIAX", 12, 51.0)], 13)
+    assert pl.run_silver(spark, hold, params(12), paths,
+                         per_ticker_mark=per_ticker) == 2
+    assert silver(spark, paths) == [
+        ("NVDA", 10, 100.0), ("NVDA", 11, 110.0), ("NVDA", 12, 120.0),
+        ("VFIAX", 10, 50.0), ("VFIAX", 12, 51.0)]
+    audit = spark.read.parquet(paths.audit).where("layer = 'silver'")
+    assert sorted(r.rows_out for r in audit.collect()) == [2, 3]
+
+
+def test_audit_reads_one_partition(spark, loaded):
+    paths, _ = loaded
+    layer = spark.read.schema(STORED_SILVER).parquet(paths.silver)
+    one = layer.select("processed_date", "run_id").first()
+    plan = layer.where((F.col("processed_date") == one[0])
+                       & (F.col("run_id") == one[1]))._jdf.queryExecution() \
+        .executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "processed_date" in filters and "run_id" in filters
+    assert pl._loaded(spark, paths, *one)["n"] == 3
+
+
 def test_padded_ticker_with_per_ticker_marks(spark, lake):
     paths, hold = pl.LakePaths(lake), holdings_table(spark, HOLD)
     put(spark, paths, [(" nvda\t", 10, 100.0), (" nvda\t", 11, 110.0)], 12)
