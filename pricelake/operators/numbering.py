@@ -10,11 +10,10 @@ when the order is a pair ``(coarse, fine)`` that is unique per row and
    ``row_number`` window inside a cell is bounded no matter how skewed the
    data is;
 2. cell sizes come from a map-side-combined ``count`` over the two key
-   columns only; a running sum over the cells in (coarse, block) order gives
-   each cell's offset.  That is the only unpartitioned window, and it runs
-   over one row per cell: at most (distinct coarse values) x (key range /
-   block) rows, independent of the number of data rows (for the price fact:
-   calendar days x stock-key blocks);
+   columns only.  Their prefix sums are taken on two levels: within each
+   coarse value over its blocks (partitioned), and over the coarse values'
+   totals.  The latter is the only unpartitioned window; it sees one row per
+   coarse value (for the price fact: at most one per calendar day);
 3. number = offset + row number inside the cell.
 
 The full rows cross the network once (for the in-cell window); the counts
@@ -29,6 +28,12 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 16384
 
 
+def _before(n: str, window) -> Column:
+    """Sum of ``n`` over the rows that come before."""
+    return F.coalesce(F.sum(n).over(window.rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
                    block: int = DEFAULT_BLOCK,
                    start: int | Column = 0) -> DataFrame:
@@ -45,15 +50,17 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
     in_cell = Window.partitionBy("__c", "__b").orderBy("__f")
     numbered = cells.withColumn("__rn", F.row_number().over(in_cell))
 
-    # Cell sizes from a partial count (combines map-side, tiny shuffle),
-    # then one running sum over the cells gives every cell's offset.
+    # Cell sizes from a partial count (combines map-side, tiny shuffle); one
+    # row per coarse value with its cells, whose offsets within it add to the
+    # running sum over the coarse values.
     counts = cells.groupBy("__c", "__b").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__c", "__b",
-        F.coalesce(F.sum("__n").over(
-            Window.orderBy("__c", "__b")
-            .rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("__off"))
+    inner = counts.withColumn("__in", _before("__n", Window.partitionBy("__c")
+                                              .orderBy("__b")))
+    outer = counts.groupBy("__c").agg(F.sum("__n").alias("__n"))
+    outer = outer.select("__c", _before("__n", Window.orderBy("__c"))
+                         .alias("__out"))
+    offsets = inner.join(outer, "__c").select(
+        "__c", "__b", (F.col("__in") + F.col("__out")).alias("__off"))
 
     start_col = start if isinstance(start, Column) else F.lit(start)
     # Every cell has exactly one offset row, so a left join equals the inner

@@ -7,7 +7,7 @@ import math
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,36 +71,45 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     return wide.unpivot([], df.columns, "column_name", "null_count")
 
 
-# Quartiles: accuracy of the first estimate, half width of the bracket around
-# it (several times the error bound), rows up to which all values are ranked,
-# and cells a bracket is cut into.
-ACCURACY = 10_000
-BRACKET = 0.0005
-FEW_ROWS = 10_000
+# Quartiles: first digit of the selection (cells per doubling of a value's
+# size), and cells that the values of one digit are cut into.
+DIGITS = 1024
 CELLS = 4096
 QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
 
 
+def _digit(x: Column) -> Column:
+    """A whole number that never falls as ``x`` grows: the sign and, on a scale
+    of ``DIGITS`` steps per power of two, the size (zero is 0; the logarithm is
+    monotone, so values are never put out of order)."""
+    size = F.floor(F.least(F.log2(F.abs(x)), F.lit(1099.0))
+                   * F.lit(float(DIGITS))) + F.lit(1100 * DIGITS)
+    return F.when(x == 0, F.lit(0)).when(x > 0, size).otherwise(-size) \
+        .cast("int")
+
+
 def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
     """count, mean, std, min, quartiles, max of every numeric column.
 
-    Exact at every size, with one method (nulls and NaN do not count):
+    Exact at every size, by radix selection in two scans (nulls and NaN do not
+    count):
 
-    1. One wide aggregate gives the moments and, per quartile, a bracket of two
-       values that is certain to hold its ranks: approximate percentiles a
-       little below and above, further apart than their error bound.  These few
-       numbers per column are read when the query is built, so that the next
-       pass compares with constants.
-    2. A second pass counts the rows below each bracket and, per distinct
-       value, the few rows inside it (a partial aggregate, so a value that
-       fills a third of the table is one row per task).
-    3. A bracket is cut into cells; the prefix sums of the cell counts name
-       the cell of each rank, and only that cell's values are ranked.
+    1. Every value is counted under its column and first digit (``_digit``), in
+       all columns at once, by a hash aggregate that combines in the map tasks;
+       per digit it also keeps mean, variance and the least and greatest value.
+       These few rows add up to the moments, and their running sums name the
+       digits that hold the wanted ranks.  The answers, a row per column and
+       quartile, are read when the query is built.
+    2. The second scan takes the values of those digits alone and counts them
+       per distinct value, so a value that fills a third of the table is one
+       row per task.  They are cut into cells between their least and greatest
+       value; only the cell of a rank is ranked value by value.
 
     Quartiles interpolate linearly between neighbours, as pandas ``describe``
     does.  ``digits`` rounds mean, std and quartiles, whose last bits depend
     on the order of summation.
     """
+    spark = df.sparkSession
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, NUMERIC)]
     r = (lambda v: round_half_away(v, digits)) if digits is not None \
@@ -109,85 +118,108 @@ def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
     def x(c):
         v = F.col(c).cast("double")
         return F.when(~F.isnan(v), v)
-    marks = [q + d for _, q in QUARTILES for d in (-BRACKET, BRACKET)]
-    stats = ("n", "mean", "std", "min", "max", "marks")
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [f(x(c)).alias(f"{name}{i}") for name, f in zip(stats, (
-            F.count, F.avg, F.stddev_samp, F.min, F.max,
-            lambda v: F.percentile_approx(v, marks, ACCURACY)))]
-    # one row of a few numbers per column
-    facts = df.agg(*aggs).first()
-    brackets = []
+
+    def upto(n, window):
+        return F.sum(n).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    names = [name for name, _ in QUARTILES]
+    stats = "column_name string, n double, mean double, std double, " \
+        "min double, max double"
+    if not cols:
+        return spark.createDataFrame([], f"column_name string, count double, "
+                                     "mean double, std double, min double, "
+                                     f"{', '.join(f'{n} double' for n in names)}"
+                                     ", max double")
+    # scan 1: a row per column and digit
+    by_digit = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), x(c).alias("x"))
+        for i, c in enumerate(cols)])).alias("v")).select("v.*") \
+        .where("x is not null").groupBy("i", _digit(F.col("x")).alias("d")).agg(
+            F.count(F.lit(1)).alias("c"), F.avg("x").alias("m"),
+            F.var_pop("x").alias("v"), F.min("x").alias("lo"),
+            F.max("x").alias("hi"))
+    whole = Window.partitionBy("i")
+    w = by_digit.withColumn("end", upto("c", whole.orderBy("d"))) \
+        .withColumn("n", F.sum("c").over(whole)) \
+        .withColumn("mean", F.sum(F.col("m") * F.col("c") / F.col("n")).over(whole))
+
+    def rank(q, up):
+        at = (F.col("n") - 1) * F.lit(q)
+        return (F.ceil(at) if up else F.floor(at)) + 1
+
+    def of_digit(q, up, col):
+        k = rank(q, up)
+        return F.max(F.when((F.col("end") >= k) & (F.col("end") - F.col("c") < k),
+                            F.col(col)))
+    # a row per column: its moments, and per quartile the digits of both ranks
+    gap = F.col("m") - F.col("mean")
+    facts = {f["i"]: f for f in w.groupBy("i").agg(
+        F.max("n").alias("n"), F.max("mean").alias("mean"),
+        F.sum((F.col("v") + gap * gap) * F.col("c")).alias("m2"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        *[f.alias(f"{a}_{name}") for name, q in QUARTILES for a, f in (
+            ("lo", of_digit(q, False, "lo")), ("hi", of_digit(q, True, "hi")),
+            ("end", of_digit(q, False, "end")),
+            ("c", of_digit(q, False, "c")))]).collect()}
+    rows, brackets = [], []
     for i, c in enumerate(cols):
-        n, low, high = (facts[f"{name}{i}"] for name in ("n", "min", "max"))
-        for j, (name, q) in enumerate(QUARTILES):
-            if n:
-                lo, hi = (low, high) if n <= FEW_ROWS else \
-                    facts[f"marks{i}"][2 * j:2 * j + 2]
-                brackets.append((c, name, q, n, float(lo), float(hi)))
-    rows = df.sparkSession.createDataFrame(
-        [(c, float(facts[f"n{i}"]), *[facts[f"{s}{i}"] for s in stats[1:5]])
-         for i, c in enumerate(cols)],
-        "column_name string, n double, mean double, std double, min double, "
-        "max double")
-    inside = F.array(*[F.when((x(c) >= lo) & (x(c) <= hi), F.struct(
-        F.lit(c).alias("column_name"), F.lit(name).alias("q"), x(c).alias("x")))
-        for c, name, _, _, lo, hi in brackets]) if brackets else F.array(
-        F.struct(F.lit("").alias("column_name"), F.lit("").alias("q"),
-                 F.lit(None).cast("double").alias("x")))
-    # most rows are in no bracket and drop out before the arrays are made
-    some = functools.reduce(operator.or_, [
-        (x(c) >= lo) & (x(c) <= hi) for c, _, _, _, lo, hi in brackets],
-        F.lit(False))
+        f = facts.get(i)
+        n = f["n"] if f else 0
+        std = None if n < 2 else \
+            (f["m2"] / (n - 1)) ** 0.5 if math.isfinite(f["m2"]) else math.nan
+        rows.append((c, float(n), *((f["mean"], std, f["lo"], f["hi"]) if f
+                                    else (None,) * 4)))
+        for name, q in QUARTILES if f else ():
+            at = (n - 1) * q
+            brackets.append((c, name, f[f"end_{name}"] - f[f"c_{name}"],
+                             f[f"lo_{name}"], f[f"hi_{name}"],
+                             math.floor(at) + 1, math.ceil(at) + 1,
+                             at - math.floor(at)))
+    rows = spark.createDataFrame(rows, stats)
+    # scan 2: the values between the ends of each bracket; most rows are in
+    # none and drop out before the arrays are made
+    inside = [(x(c) >= lo) & (x(c) <= hi) for c, _, _, lo, hi, *_ in brackets]
+    entries = F.array(*[F.when(hit, F.struct(
+        F.lit(b[0]).alias("column_name"), F.lit(b[1]).alias("q"),
+        x(b[0]).alias("x"))) for hit, b in zip(inside, brackets)]) \
+        if brackets else F.array(F.struct(
+            F.lit("").alias("column_name"), F.lit("").alias("q"),
+            F.lit(None).cast("double").alias("x")))
+    some = functools.reduce(operator.or_, inside, F.lit(False))
     values = (df.where(some)
-              .select(F.explode(F.array_compact(inside)).alias("v"))
+              .select(F.explode(F.array_compact(entries)).alias("v"))
               .select("v.*").groupBy("column_name", "q", "x")
               .agg(F.count(F.lit(1)).alias("c")))
     # one row per column and quartile: rows below the bracket, wanted ranks
-    below = [F.count_if(x(c) < lo).alias(f"b{i}")
-             for i, (c, _, _, _, lo, _) in enumerate(brackets)]
-    spots = df.agg(*below, F.lit(0).alias("none")).select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("q"),
-                 F.col(f"b{i}").alias("below"), F.lit(lo).alias("lo"),
-                 F.lit(hi).alias("hi"),
-                 F.lit(math.floor((n - 1) * q) + 1).alias("r1"),
-                 F.lit(math.ceil((n - 1) * q) + 1).alias("r2"),
-                 F.lit((n - 1) * q - math.floor((n - 1) * q)).alias("part"))
-        for i, (c, name, q, n, lo, hi) in enumerate(brackets)])).alias("s")) \
-        .select("s.*") if brackets else df.sparkSession.createDataFrame(
-            [], "column_name string, q string, below long, lo double, "
-            "hi double, r1 int, r2 int, part double")
-    spots = F.broadcast(spots)
+    spots = F.broadcast(spark.createDataFrame(
+        brackets, "column_name string, q string, below long, lo double, "
+        "hi double, r1 long, r2 long, part double"))
     width = F.col("hi") - F.col("lo")
-    cell = F.when(width > 0, F.least(F.lit(CELLS - 1), F.floor(
-        (F.col("x") - F.col("lo")) / width * CELLS))).otherwise(0)
+    cell = F.when((width > 0) & (width < float("inf")), F.least(
+        F.lit(CELLS - 1), F.floor((F.col("x") - F.col("lo")) / width * CELLS))) \
+        .otherwise(0)
     key = ["column_name", "q", "cell"]
     placed = values.join(spots, ["column_name", "q"]).withColumn("cell", cell)
-
-    def upto(window):
-        return F.sum("c").over(window.rowsBetween(Window.unboundedPreceding, 0))
     cells = placed.groupBy(*key, "below", "r1", "r2").agg(F.sum("c").alias("c"))
     by_cell = Window.partitionBy("column_name", "q").orderBy("cell")
-    cells = cells.withColumn("end", F.col("below") + upto(by_cell)) \
+    cells = cells.withColumn("end", F.col("below") + upto("c", by_cell)) \
         .withColumn("before", F.col("end") - F.col("c")) \
         .where("before < r2 and end >= r1").select(*key, "before")
     by_value = Window.partitionBy(*key).orderBy("x")
     ranked = placed.join(F.broadcast(cells), key) \
-        .withColumn("end", F.col("before") + upto(by_value)) \
+        .withColumn("end", F.col("before") + upto("c", by_value)) \
         .withColumn("start", F.col("end") - F.col("c"))
 
-    def value(rank):
-        return F.max(F.when((F.col("start") < F.col(rank))
-                            & (F.col("end") >= F.col(rank)), F.col("x")))
+    def value(rank_):
+        return F.max(F.when((F.col("start") < F.col(rank_))
+                            & (F.col("end") >= F.col(rank_)), F.col("x")))
+    between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
+        F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
     quartiles = (ranked.groupBy("column_name", "q")
                  .agg(value("r1").alias("a"), value("r2").alias("b"),
                       F.max("part").alias("part"))
                  .groupBy("column_name").agg(*[
-                     F.max(F.when(F.col("q") == name, F.col("a")
-                                  + (F.col("b") - F.col("a")) * F.col("part")))
-                     .alias(name) for name, _ in QUARTILES]))
-    names = [name for name, _ in QUARTILES]
+                     F.max(F.when(F.col("q") == name, between))
+                     .alias(name) for name in names]))
     return rows.join(F.broadcast(quartiles), "column_name", "left").select(
         "column_name", F.col("n").alias("count"),
         r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"), "min",

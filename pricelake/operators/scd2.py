@@ -2,7 +2,8 @@
 
 ``scd2_merge`` compares the current rows of the previous dimension with the
 incoming holdings in one full-outer join on ticker; a match puts out none, one
-or two rows (an exploded array), so the join is not repeated per outcome:
+or two rows (an exploded array), so the join is not repeated per outcome.  History
+takes no part in the join or the numbering:
 
 * history rows (not current) pass through unchanged;
 * unchanged (all tracked fields equal, null-safe): the current row is kept;
@@ -18,7 +19,7 @@ order (``ordinal``), numbered in parallel by ``sequential_ids``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,11 +58,8 @@ def scd2_parts(prev: DataFrame, holdings: DataFrame, params: RunParams,
     inc = incoming_rows(holdings).select(
         "ticker_symbol", "ordinal",
         *[F.col(c).alias(f"n_{c}") for c in TRACKED_FIELDS])
-    # history rows take part under a null ticker, so they match nothing
-    j = prev.select(*[c for c in DIM_STOCK_COLS if c != "ticker_symbol"],
-                    F.col("ticker_symbol").alias("p_ticker"),
-                    F.when(is_cur, F.col("ticker_symbol"))
-                    .alias("ticker_symbol"), is_cur.alias("cur")).join(
+    j = prev.where(is_cur).select(
+        *DIM_STOCK_COLS, F.col("ticker_symbol").alias("p_ticker")).join(
         inc, "ticker_symbol", "full_outer")
 
     same = F.lit(True)
@@ -91,21 +89,24 @@ def scd2_parts(prev: DataFrame, holdings: DataFrame, params: RunParams,
     removed = {"keep": F.array(before("kept")), "close": F.array(closed),
                "drop": F.lit(None)}[policy].cast(_row_type())
     out = (F.when(is_new, F.array(inserted))
-           .when(~F.col("cur"), F.array(before("history")))
            .when(gone, removed)
            .when(same, F.array(before("kept")))
            .otherwise(F.array(closed, inserted)))
     rows = j.select(F.explode(out.cast(_row_type())).alias("r")).select("r.*")
-    # the inserted rows come first in this numbering, in holdings order
+    # the inserted rows come first in this numbering, in holdings order; the
+    # others of the join keep the keys they have
     is_in = F.col("part") == "inserted"
     rows = sequential_ids(rows, F.when(is_in, 0).otherwise(1),
                           F.when(is_in, F.col("ordinal"))
                           .otherwise(F.col("stock_key")), "position",
                           start=F.coalesce(max_key, F.lit(0)))
-    return rows.withColumn("stock_key", F.when(is_in, F.col("position"))
-                           .otherwise(F.col("stock_key")).cast("int")) \
-        .select("part", *[F.col(f.name).cast(f.dataType).alias(f.name)
-                          for f in DIM_STOCK.fields])
+    names = ["part", *DIM_STOCK_COLS]
+    rows = rows.withColumn("stock_key", F.when(is_in, F.col("position"))
+                           .otherwise(F.col("stock_key")))
+    history = prev.where(~is_cur).withColumn("part", F.lit("history"))
+    types = {f.name: f.dataType for f in DIM_STOCK.fields}
+    return rows.select(*names).unionByName(history.select(*names)).select(
+        "part", *[F.col(c).cast(types[c]).alias(c) for c in DIM_STOCK_COLS])
 
 
 def _row_type() -> T.ArrayType:
@@ -122,22 +123,61 @@ def first_dimension(spark, holdings: DataFrame, params: RunParams) -> DataFrame:
     return scd2_merge(empty, holdings, params)
 
 
-def scd2_asof(facts: DataFrame, dim: DataFrame,
-              date_col: str = "trade_date") -> DataFrame:
-    """Attach the dimension version valid on each fact's date.
+# Days of a block of the as-of merge: what one task of a ticker covers.
+ASOF_BLOCK_DAYS = 1024
 
-    Equi-join on ticker with the half-open range ``[valid_from, valid_to)`` as
-    residual condition; Spark broadcasts a dimension below its size limit,
-    otherwise it is a shuffle join on ticker (AQE splits a hot ticker).
+
+def scd2_asof(facts: DataFrame, dim: DataFrame, date_col: str = "trade_date",
+              block_days: int = ASOF_BLOCK_DAYS) -> DataFrame:
+    """Attach the dimension version valid on each fact's date, by a merge.
+
+    Prices and versions are laid side by side, sorted by date within (ticker,
+    block of days), and each price takes the last version before it, if that
+    has not ended (``[valid_from, valid_to)``).  A version is put once into its
+    first block and, as a boundary row, into each later block that it reaches,
+    up to the newest price; so the rows sorted are the prices, the versions and
+    at most one boundary row per version and block, however many versions a
+    ticker has, and no price meets a version it does not belong to.  A long or
+    hot history is spread over its blocks.
+
+    Prices before the first version, in a gap or after a closing date have no
+    match and drop out, as have those without a ticker or date.  Versions of no
+    length (opened and closed on one day) hold for no date.  The versions of a
+    ticker must not overlap; where they do, the newest one counts.
     """
-    d = dim.select(*DIM_STOCK_COLS)
-    f = facts.alias("f")
-    cond = ((F.col("f.ticker_symbol") == F.col("d.ticker_symbol"))
-            & (F.col(f"f.{date_col}") >= F.col("d.valid_from"))
-            & (F.col(f"f.{date_col}") < F.col("d.valid_to")))
-    return f.join(d.alias("d"), cond, "inner").select(
-        "f.*", *[F.col(f"d.{c}").alias(c) for c in DIM_STOCK_COLS
-                 if c != "ticker_symbol"])
+    def block(day):
+        return F.floor(F.unix_date(day) / F.lit(block_days)).cast("int")
+    day = F.to_date(F.col(date_col))
+    newest = facts.agg(F.max(day)).scalar()
+    d = dim.select(*DIM_STOCK_COLS).where(
+        F.col("ticker_symbol").isNotNull()
+        & (F.col("valid_from") < F.col("valid_to"))
+        & (F.col("valid_from") <= newest))
+    last = F.least(F.date_sub("valid_to", 1), newest)
+    rest = [c for c in DIM_STOCK_COLS if c != "ticker_symbol"]
+    versions = d.select(
+        F.col("ticker_symbol").alias("__t"),
+        F.struct("valid_from", "stock_key", *[
+            c for c in rest if c not in ("valid_from", "stock_key")]).alias("__v"),
+        F.explode(F.sequence(block(F.col("valid_from")), block(last))).alias("__b"),
+        F.lit(None).cast(facts.schema).alias("__f"))
+    # a boundary row stands before every price of its block
+    first = F.date_from_unix_date(F.col("__b") * F.lit(block_days))
+    versions = versions.withColumn("__at", F.greatest(
+        first, F.col("__v.valid_from")))
+    prices = facts.where(F.col("ticker_symbol").isNotNull() & day.isNotNull()) \
+        .select(F.col("ticker_symbol").alias("__t"),
+                F.lit(None).cast(versions.schema["__v"].dataType).alias("__v"),
+                block(day).alias("__b"), F.struct(*facts.columns).alias("__f"),
+                day.alias("__at"))
+    merged = Window.partitionBy("__t", "__b").orderBy(
+        "__at", F.col("__f").isNotNull(), "__v") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = versions.unionByName(prices).select(
+        "__f", "__at", F.last("__v", ignorenulls=True).over(merged).alias("__v"))
+    return out.where(F.col("__f").isNotNull()
+                     & (F.col("__at") < F.col("__v.valid_to"))).select(
+        "__f.*", *[F.col(f"__v.{c}").alias(c) for c in rest])
 
 
 def scd2_counts(dim: DataFrame) -> DataFrame:

@@ -21,11 +21,11 @@ def test_describe_matches_pandas(spark):
             assert got[c][key] == pytest.approx(want[c][stat]), (c, stat)
 
 
-@pytest.mark.parametrize("few,cells", [(10_000, 4096), (20, 8), (20, 1)])
-def test_describe_is_exact_at_every_size(spark, monkeypatch, few, cells):
-    """Brackets and cells give what ranking all values gives."""
+@pytest.mark.parametrize("digits,cells", [(1024, 4096), (1, 8), (1, 1), (64, 1)])
+def test_describe_is_exact_at_every_size(spark, monkeypatch, digits, cells):
+    """Digits and cells give what ranking all values gives."""
     from pricelake.operators import quality
-    monkeypatch.setattr(quality, "FEW_ROWS", few)
+    monkeypatch.setattr(quality, "DIGITS", digits)
     monkeypatch.setattr(quality, "CELLS", cells)
     n = 20_011
     df = spark.range(n).selectExpr(
@@ -34,7 +34,9 @@ def test_describe_is_exact_at_every_size(spark, monkeypatch, few, cells):
         "case when id % 3 = 0 then 5 else pow(1.001, id % 9000) end as skewed",
         "case when id % 2 = 0 then null when id % 5 = 0 then double('nan') "
         "else -id / 7 end as holes",
-        "cast(null as double) as none")
+        "cast(null as double) as none",
+        "case id % 7 when 0 then double('1e300') when 1 then double('-4.9e-324') "
+        "when 2 then 0.0D when 3 then -0.0D else -id * 1e-5D end as wide")
     want = df.toPandas().describe()
     got = {r.column_name: r for r in profile_describe(df).collect()}
     for c in df.columns:
@@ -47,6 +49,29 @@ def test_describe_is_exact_at_every_size(spark, monkeypatch, few, cells):
                 assert got[c][key] == pytest.approx(want[c][stat]), (c, stat)
 
 
+def test_describe_infinite_and_no_columns(spark):
+    from pyspark.sql import functions as F
+    inf = float("inf")
+    df = spark.createDataFrame([(v, "s") for v in (-inf, -1.0, 2.0, inf, inf)],
+                               "x double, s string")
+    got = profile_describe(df).first()
+    assert (got["count"], got.min, got.p25, got.p50, got.p75, got.max) == \
+        (5.0, -inf, -1.0, 2.0, inf, inf)
+    assert profile_describe(df.select("s")).count() == 0
+    empty = profile_describe(df.where(F.lit(False))).first()
+    assert empty["count"] == 0 and empty.p50 is None
+
+
+def test_describe_scans_twice(spark):
+    """One scan is run when the query is built, one when it is run."""
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plan = profile_describe(df)._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    # the same scan and aggregate feed the cells and the ranked values
+    assert len({line.split("FileScan", 1)[1] .split("PushedFilters")[0]
+                .split("[", 1)[0] for line in reads}) == 1
+
+
 def test_profile_nulls(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "x int, y string")
     got = {r.column_name: r.null_count for r in profile_nulls(df).collect()}

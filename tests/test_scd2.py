@@ -1,6 +1,7 @@
 """SCD2 merge and as-of lookup (FIXTURES 3.3)."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,60 @@ def test_no_overlapping_versions(prev, incoming):
         spans.sort()
         for (a, b), (c, d) in zip(spans, spans[1:]):
             assert b <= c
+
+
+def versions_of(spark, rows):
+    """Dimension rows from (key, ticker, from, to) with days of 2025 from 0."""
+    day = lambda n: n if isinstance(n, D) else D(2025, 1, 1) + dt.timedelta(n)
+    return spark.createDataFrame(
+        [(k, t, f"f{k}", "s", "stock", day(a), day(z), day(z) == SENT)
+         for k, t, a, z in rows], DIM_STOCK)
+
+
+@pytest.mark.parametrize("block", [1, 7, 1024])
+def test_asof_merge_equals_range_join(spark, block):
+    """Gaps, backdated and zero-length versions, many versions, null tickers."""
+    rng = random.Random(2)
+    rows, key = [], 0
+    for t in ("A", "B", "C", "D"):
+        at = rng.randint(0, 40)
+        for _ in range(50):
+            end = at + rng.choice([0, 1, 3, 9])
+            key += 1
+            rows.append((key, t, at, end))
+            at = end + rng.choice([0, 0, 0, 4])          # a gap now and then
+        rows.append((key + 1000, t, at, SENT))
+    rows.append((5000, None, 0, SENT))
+    dim = versions_of(spark, rows)
+    prices = spark.createDataFrame(
+        [(rng.choice(["A", "B", "C", "D", "E", None]),
+          D(2025, 1, 1) + dt.timedelta(rng.randint(0, 400)), float(i))
+         for i in range(2000)] + [("A", None, -1.0)],
+        "ticker_symbol string, trade_date date, close_price double")
+    got = scd2_asof(prices, dim, block_days=block)
+    want = prices.alias("p").join(dim.alias("d"), F.expr(
+        "p.ticker_symbol = d.ticker_symbol and trade_date >= valid_from "
+        "and trade_date < valid_to")).select("p.*", *[
+            f"d.{c}" for c in dim.columns if c != "ticker_symbol"])
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == \
+        sorted(map(tuple, want.collect()), key=str)
+
+
+def test_asof_is_a_merge_not_a_join(spark, prev):
+    prices = spark.createDataFrame([("NVDA", D(2025, 5, 1))],
+                                   "ticker_symbol string, trade_date date")
+    plan = scd2_asof(prices, prev)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+    assert scd2_asof(prices.limit(0), prev).count() == 0
+    assert scd2_asof(prices, prev.limit(0)).count() == 0
+
+
+def test_history_takes_no_part_in_the_join(spark, prev, incoming):
+    old = prev.withColumn("is_current", F.lit(False)) \
+        .withColumn("stock_key", F.col("stock_key") + 100)
+    with_history = scd2_merge(prev.unionByName(old), incoming, PARAMS)
+    got = {r.stock_key for r in with_history.where("not is_current").collect()}
+    assert {101, 102, 103} <= got
+    plan = with_history._jdf.queryExecution().analyzed().toString()
+    assert "FullOuter" in plan and "Union" in plan
