@@ -8,6 +8,12 @@ decimals), so results do not depend on row arrival order.
 
 Scalar facts that a mart needs (latest date, totals) are attached as
 scalar subqueries, not by joining or collecting.
+
+Marts per ticker, fund or date over the whole fact need no star: they aggregate
+the fact by its own keys first (``stock_parts``, ``date_parts``) and join one row
+per key to the dimensions, where the sums, counts and extremes are merged
+(``fact_tickers``).  The fact's keys are taken as keys of the dimensions, which
+the gold job ensures; rows of closed versions are left out as in the star.
 """
 
 from __future__ import annotations
@@ -64,8 +70,19 @@ def fact_between(fact: DataFrame, start: dt.date | None = None,
 
 def latest_fact(fact: DataFrame) -> DataFrame:
     """Fact rows of the newest date (one column decides it)."""
-    return fact.where(F.col("date_key")
-                      == fact.agg(F.max("date_key")).scalar())
+    return newest_fact(fact, 1)
+
+
+def newest_fact(fact: DataFrame, n: int) -> DataFrame:
+    """Fact rows of the newest ``n`` dates.  One column names them: counted per
+    date in the map tasks, their least becomes a bound on ``date_key`` and on
+    the partition column ``month_key``, so other months are not read."""
+    days = fact.groupBy("date_key").agg(F.lit(1).alias("one")) \
+        .orderBy(F.desc("date_key")).limit(n) if n > 1 else fact
+    bound = days.agg((F.min if n > 1 else F.max)("date_key")).scalar()
+    if "month_key" in fact.columns:
+        fact = fact.where(F.col("month_key") >= F.floor(bound / F.lit(100)))
+    return fact.where(F.col("date_key") >= bound)
 
 
 def fact_date_join(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -141,6 +158,68 @@ def ticker_history(star: DataFrame, ticker: str | None = None) -> DataFrame:
 
 # -- aggregates ---------------------------------------------------------------
 
+def stock_parts(fact: DataFrame) -> DataFrame:
+    """One mergeable row per ``stock_key``: a hash aggregate of the fact alone."""
+    ret = F.col("daily_return_pct")
+    return fact.groupBy("stock_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(ret).alias("n_ret"),
+        F.sum(ret.cast("decimal(28,4)")).alias("sum_ret"),
+        F.max(ret).alias("best"), F.min(ret).alias("worst"),
+        F.min("close_price").alias("low"), F.max("close_price").alias("high"),
+        F.min("date_key").alias("first_key"), F.max("date_key").alias("last_key"),
+        F.min_by("close_price", "date_key").alias("first_close"),
+        F.max_by("close_price", "date_key").alias("last_close"))
+
+
+def merged_parts(parts: DataFrame, *keys: str) -> DataFrame:
+    """``stock_parts`` rows with attributes, merged per ``keys``."""
+    return parts.groupBy(*keys).agg(
+        F.sum("n").alias("n"),
+        F.try_divide(F.sum("sum_ret").cast("double"),
+                     F.sum("n_ret").cast("double")).alias("avg_ret"),
+        F.max("best").alias("best"), F.min("worst").alias("worst"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min_by("first_close", "first_key").alias("first_close"),
+        F.max_by("last_close", "last_key").alias("last_close"))
+
+
+def current_parts(fact: DataFrame, dim_stock: DataFrame) -> DataFrame:
+    """``stock_parts`` of the current versions, with ticker and type."""
+    cur = dim_stock.where(F.col("is_current")).select(
+        "stock_key", "ticker_symbol", "instrument_type")
+    return stock_parts(fact).join(cur, "stock_key")
+
+
+def fact_tickers(fact: DataFrame, dim_stock: DataFrame) -> DataFrame:
+    """One row per ticker, as ``star_tickers`` gives it, from the fact."""
+    return merged_parts(current_parts(fact, dim_stock), "ticker_symbol")
+
+
+def star_tickers(star: DataFrame) -> DataFrame:
+    """One row per ticker of a (filtered) star: rows, mean, best and worst
+    return, first and last close."""
+    return star.groupBy("ticker_symbol").agg(
+        F.count(F.lit(1)).alias("n"),
+        exact_avg("daily_return_pct", 4).alias("avg_ret"),
+        F.max("daily_return_pct").alias("best"),
+        F.min("daily_return_pct").alias("worst"),
+        F.min_by("close_price", "trade_date").alias("first_close"),
+        F.max_by("close_price", "trade_date").alias("last_close"))
+
+
+def date_parts(fact: DataFrame, dim_date: DataFrame,
+               dim_stock: DataFrame) -> DataFrame:
+    """``portfolio_by_date`` from the fact: rows of current versions (a semi
+    join on one column) are added up per ``date_key``, and one row per date
+    meets the calendar."""
+    cur = dim_stock.where(F.col("is_current")).select("stock_key")
+    sums = fact.join(cur, "stock_key", "left_semi").groupBy("date_key").agg(
+        exact_sum("portfolio_value", 2).alias("portfolio_value"))
+    return sums.join(dim_date.select("date_key", "full_date"), "date_key").select(
+        F.col("full_date").alias("trade_date"), "portfolio_value")
+
+
 def portfolio_by_date(star: DataFrame) -> DataFrame:
     """Total portfolio value per date (no forward fill, as the reference)."""
     return star.groupBy("trade_date").agg(
@@ -177,10 +256,12 @@ def return_sign(x) -> F.Column:
 def ticker_total_return(star: DataFrame) -> DataFrame:
     """First and last close per ticker, percent change (2 dp, half-even),
     ascending."""
-    d = star.where(F.col("close_price").isNotNull())
-    out = d.groupBy("ticker_symbol").agg(
-        F.min_by("close_price", "trade_date").alias("first_close"),
-        F.max_by("close_price", "trade_date").alias("last_close"))
+    return total_return(star_tickers(star.where(F.col("close_price").isNotNull())))
+
+
+def total_return(tickers: DataFrame) -> DataFrame:
+    """``ticker_total_return`` from one row per ticker."""
+    out = tickers.select("ticker_symbol", "first_close", "last_close")
     ret = round_half_even(pct_change("last_close", "first_close"), 2)
     return (out.withColumn("total_return_pct", ret)
             .withColumn("direction", return_sign("total_return_pct"))
@@ -189,8 +270,12 @@ def ticker_total_return(star: DataFrame) -> DataFrame:
 
 def ticker_avg_return(star: DataFrame) -> DataFrame:
     """Mean daily return per ticker, best first."""
-    out = star.groupBy("ticker_symbol").agg(
-        exact_avg("daily_return_pct", 4).alias("avg_daily_return"))
+    return avg_return(star_tickers(star))
+
+
+def avg_return(tickers: DataFrame) -> DataFrame:
+    """``ticker_avg_return`` from one row per ticker."""
+    out = tickers.select("ticker_symbol", F.col("avg_ret").alias("avg_daily_return"))
     return (out.withColumn("direction", return_sign("avg_daily_return"))
             .orderBy(F.desc_nulls_last("avg_daily_return"), "ticker_symbol"))
 
@@ -205,8 +290,14 @@ def kpi_period_return(star: DataFrame) -> DataFrame:
 
 
 def kpi_day_change(star: DataFrame) -> DataFrame:
-    """Latest total minus the previous date's total; 0 without a previous date."""
-    top2 = portfolio_by_date(star).orderBy(F.desc("trade_date")).limit(2)
+    """Latest total minus the previous date's total; 0 without a previous date.
+    Over the whole star, a star of ``newest_fact(fact, 2)`` is enough."""
+    return day_change(portfolio_by_date(star))
+
+
+def day_change(by_date: DataFrame) -> DataFrame:
+    """``kpi_day_change`` from the totals per date."""
+    top2 = by_date.orderBy(F.desc("trade_date")).limit(2)
     out = top2.agg(
         F.max("trade_date").alias("latest_date"),
         F.max_by("portfolio_value", "trade_date").alias("latest_total"),
@@ -227,9 +318,14 @@ def kpi_avg_return(star: DataFrame) -> DataFrame:
 def kpi_instruments(star: DataFrame) -> DataFrame:
     """Distinct tickers, by type, and the row count, all exact: rows are
     counted per (ticker, type) first, so no row is expanded per distinct."""
+    return instruments(star.groupBy("ticker_symbol", "instrument_type").agg(
+        F.count(F.lit(1)).alias("n")))
+
+
+def instruments(parts: DataFrame) -> DataFrame:
+    """``kpi_instruments`` from row counts ``n`` per ticker and type."""
     t, typ = F.col("ticker_symbol"), F.col("instrument_type")
-    per = star.groupBy(t, typ).agg(F.count(F.lit(1)).alias("n"))
-    per = per.groupBy(t).agg(
+    per = parts.groupBy(t).agg(
         F.sum("n").alias("n"),
         F.max(F.when(typ == MUTUAL_FUND, 1)).alias("fund"),
         F.max(F.when(typ == STOCK, 1)).alias("stock"))
@@ -242,12 +338,14 @@ def kpi_instruments(star: DataFrame) -> DataFrame:
 
 
 def freshness(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Latest trade date and last processed time of the fact."""
-    j = fact.join(dim_date.select("date_key", "full_date"), "date_key")
-    return j.agg(F.max("full_date").alias("latest_trade"),
-                 F.max("processed_at").alias("last_processed")
-                 ).withColumn("last_processed_display",
-                              first_chars("last_processed", 19))
+    """Latest trade date and last processed time of the fact: two maxima of the
+    fact alone, one row of which meets the calendar."""
+    newest = fact.agg(F.max("date_key").alias("date_key"),
+                      F.max("processed_at").alias("last_processed"))
+    return newest.join(dim_date.select("date_key", "full_date"), "date_key",
+                       "left").select(
+        F.col("full_date").alias("latest_trade"), "last_processed",
+        first_chars("last_processed", 19).alias("last_processed_display"))
 
 
 def staleness_class(fresh: DataFrame, as_of: dt.date) -> DataFrame:
@@ -311,15 +409,14 @@ def return_histogram(star: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
 
 def ticker_summary(star: DataFrame) -> DataFrame:
     """Seven summary numbers per ticker as (ticker, metric, value) rows."""
-    g = star.groupBy("ticker_symbol").agg(
-        F.min_by("close_price", "trade_date").alias("first_close"),
-        F.max_by("close_price", "trade_date").alias("latest_close"),
-        exact_avg("daily_return_pct", 4).alias("avg_ret"),
-        F.max("daily_return_pct").alias("best"),
-        F.min("daily_return_pct").alias("worst"),
-        F.count(F.lit(1)).cast("double").alias("days"))
-    g = g.withColumn("total_ret", pct_change("latest_close", "first_close"))
-    cols = ["first_close", "latest_close", "total_ret", "avg_ret", "best",
+    return summary(star_tickers(star))
+
+
+def summary(tickers: DataFrame) -> DataFrame:
+    """``ticker_summary`` from one row per ticker."""
+    g = tickers.withColumn("total_ret", pct_change("last_close", "first_close")) \
+        .withColumn("days", F.col("n").cast("double"))
+    cols = ["first_close", "last_close", "total_ret", "avg_ret", "best",
             "worst", "days"]
     g = g.select("ticker_symbol",
                  *[F.col(c).alias(m) for c, m in zip(cols, SUMMARY_METRICS)])
@@ -331,24 +428,28 @@ def ticker_summary(star: DataFrame) -> DataFrame:
 def daily_summary(fact: DataFrame, dim_date: DataFrame,
                   n: int = 10) -> DataFrame:
     """Per date and quarter: total value (2 dp) and mean return (4 dp),
-    the newest ``n`` dates."""
-    j = fact_date_join(fact, dim_date)
-    g = j.groupBy("full_date", "quarter").agg(
+    the newest ``n`` dates.  Only those dates are read, and one row per date
+    meets the calendar."""
+    g = newest_fact(fact, n).groupBy("date_key").agg(
         round_half_away(exact_sum("portfolio_value", 2), 2)
         .alias("total_portfolio_value"),
         round_half_away(exact_avg("daily_return_pct", 4), 4)
         .alias("avg_daily_return_pct"))
-    return g.orderBy(F.desc("full_date")).limit(n)
+    return (fact_date_join(g, dim_date)
+            .select("full_date", "quarter", "total_portfolio_value",
+                    "avg_daily_return_pct")
+            .orderBy(F.desc("full_date")).limit(n))
 
 
 def fund_ranking(fact: DataFrame, dim_stock: DataFrame) -> DataFrame:
     """Per fund: mean return (4 dp), max and min price (2 dp), best first."""
-    j = fact_stock_join(fact, dim_stock)
-    g = j.groupBy("ticker_symbol", "fund_name", "sector").agg(
-        round_half_away(exact_avg("daily_return_pct", 4), 4)
-        .alias("avg_daily_return"),
-        round_half_away(F.max("close_price"), 2).alias("max_price"),
-        round_half_away(F.min("close_price"), 2).alias("min_price"))
+    names = ("ticker_symbol", "fund_name", "sector")
+    parts = stock_parts(fact).join(dim_stock.select("stock_key", *names),
+                                   "stock_key")
+    g = merged_parts(parts, *names).select(
+        *names, round_half_away("avg_ret", 4).alias("avg_daily_return"),
+        round_half_away("high", 2).alias("max_price"),
+        round_half_away("low", 2).alias("min_price"))
     return g.orderBy(F.desc_nulls_last("avg_daily_return"), "ticker_symbol")
 
 

@@ -51,16 +51,21 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
     numbered = cells.withColumn("__rn", F.row_number().over(in_cell))
 
     # Cell sizes from a partial count (combines map-side, tiny shuffle); one
-    # row per coarse value with its cells, whose offsets within it add to the
-    # running sum over the coarse values.
+    # row per coarse value holds its cells with their offsets within it, and
+    # the running sum over the coarse values adds the rows before it.
     counts = cells.groupBy("__c", "__b").agg(F.count(F.lit(1)).alias("__n"))
-    inner = counts.withColumn("__in", _before("__n", Window.partitionBy("__c")
-                                              .orderBy("__b")))
-    outer = counts.groupBy("__c").agg(F.sum("__n").alias("__n"))
-    outer = outer.select("__c", _before("__n", Window.orderBy("__c"))
-                         .alias("__out"))
-    offsets = inner.join(outer, "__c").select(
-        "__c", "__b", (F.col("__in") + F.col("__out")).alias("__off"))
+    within = Window.partitionBy("__c")
+    inner = counts.select(
+        "__c", "__b", F.sum("__n").over(within).alias("__all"),
+        _before("__n", within.orderBy("__b")).alias("__in"))
+    outer = inner.groupBy("__c").agg(
+        F.max("__all").alias("__n"),
+        F.collect_list(F.struct("__b", "__in")).alias("__cells"))
+    offsets = outer.select(
+        "__c", _before("__n", Window.orderBy("__c")).alias("__out"), "__cells") \
+        .select("__c", "__out", F.explode("__cells").alias("__x")).select(
+        "__c", F.col("__x.__b").alias("__b"),
+        (F.col("__out") + F.col("__x.__in")).alias("__off"))
 
     start_col = start if isinstance(start, Column) else F.lit(start)
     # Every cell has exactly one offset row, so a left join equals the inner

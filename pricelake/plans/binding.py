@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pricelake.operators import silver as sv
 from pricelake.operators.calendar import dim_date
 from pricelake.operators.fact import fact_prices
-from pricelake.operators.marts import fact_between, latest_fact, star_join
+from pricelake.operators.marts import (fact_between, fact_tickers, newest_fact,
+                                       star_join)
 from pricelake.operators.scd2 import scd2_merge
 from pricelake.plans.pipeline import LakePaths, fact_layout, run_all
 from pricelake.schemas import SILVER_COLS
@@ -133,13 +134,14 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_table(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
-               end: dt.date | None = None) -> DataFrame:
+               end: dt.date | None = None, months: bool = False) -> DataFrame:
     """The stored fact, in the layout of the gold job, from ``start`` to
-    ``end``."""
+    ``end``; with its partition column if ``months``."""
     stored = spark.read.parquet(_path(
         spark, sf_dir, "fact", lambda path: fact_layout(fact(spark, sf_dir))
         .write.partitionBy("month_key").parquet(path)))
-    return fact_between(stored, start, end).drop("month_key")
+    rows = fact_between(stored, start, end)
+    return rows if months else rows.drop("month_key")
 
 
 def star(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
@@ -151,8 +153,18 @@ def star(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
 
 def latest_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The analyst dataset of the newest date."""
-    return star_join(latest_fact(fact_table(spark, sf_dir)), calendar(spark),
-                     dim_stock_table(spark, sf_dir))
+    return newest_star(spark, sf_dir, 1)
+
+
+def newest_star(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The analyst dataset of the newest ``n`` dates."""
+    rows = newest_fact(fact_table(spark, sf_dir, months=True), n)
+    return star_join(rows, calendar(spark), dim_stock_table(spark, sf_dir))
+
+
+def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per ticker, aggregated below the joins."""
+    return fact_tickers(fact_table(spark, sf_dir), dim_stock_table(spark, sf_dir))
 
 
 # -- the jobs, over the drops of the test tables ---------------------------------

@@ -475,7 +475,8 @@ def q_duplicate_audit(spark, sf):
 
 @register("portfolio_by_date", "SELECT * FROM portfolio_by_date")
 def q_portfolio_by_date(spark, sf):
-    return marts.portfolio_by_date(b.star(spark, sf))
+    return marts.date_parts(b.fact_table(spark, sf), b.calendar(spark),
+                            b.dim_stock_table(spark, sf))
 
 
 @register("daily_summary", f"""
@@ -487,7 +488,8 @@ FROM (SELECT trade_date, {xsum('portfolio_value', 2)} AS v,
       FROM priced GROUP BY trade_date)
 WHERE place <= 10""")
 def q_daily_summary(spark, sf):
-    return marts.daily_summary(b.fact_table(spark, sf), b.calendar(spark))
+    return marts.daily_summary(b.fact_table(spark, sf, months=True),
+                               b.calendar(spark))
 
 
 @register("fund_ranking", f"""
@@ -537,7 +539,7 @@ SELECT *, {_SIGN.format(x='total_return_pct')} AS direction FROM (
                arg_max(close_price, trade_date) AS last_close
         FROM star WHERE close_price IS NOT NULL GROUP BY ticker_symbol))""")
 def q_ticker_total_return(spark, sf):
-    return marts.ticker_total_return(b.star(spark, sf))
+    return marts.total_return(b.tickers(spark, sf))
 
 
 @register("return_sign", f"""
@@ -557,7 +559,7 @@ SELECT *, {_SIGN.format(x='avg_daily_return')} AS direction FROM (
 
 @register("ticker_avg_return", _AVG_RET)
 def q_ticker_avg_return(spark, sf):
-    return marts.ticker_avg_return(b.star(spark, sf))
+    return marts.avg_return(b.tickers(spark, sf))
 
 
 @register("sort_mart_rows",
@@ -592,7 +594,7 @@ FROM (SELECT max(trade_date) AS latest_date,
              END AS prev_total
       FROM (SELECT * FROM portfolio_by_date ORDER BY trade_date DESC LIMIT 2))""")
 def q_kpi_day_change(spark, sf):
-    return marts.kpi_day_change(b.star(spark, sf))
+    return marts.kpi_day_change(b.newest_star(spark, sf, 2))
 
 
 @register("kpi_avg_return",
@@ -610,7 +612,9 @@ SELECT count(DISTINCT ticker_symbol) AS n_tickers,
        count(*) AS n_rows
 FROM star""")
 def q_kpi_instruments(spark, sf):
-    return marts.kpi_instruments(b.star(spark, sf))
+    return marts.instruments(marts.current_parts(
+        b.fact_table(spark, sf), b.dim_stock_table(spark, sf)).select(
+            "ticker_symbol", "instrument_type", "n"))
 
 
 _FRESH = """
@@ -689,7 +693,7 @@ FROM star GROUP BY ticker_symbol"""
 
 @register("ticker_summary", _summary_sql())
 def q_ticker_summary(spark, sf):
-    return marts.ticker_summary(b.star(spark, sf))
+    return marts.summary(b.tickers(spark, sf))
 
 
 @register("scd2_counts", """

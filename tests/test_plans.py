@@ -121,3 +121,64 @@ def test_building_queries_takes_no_action(spark, monkeypatch):
         if name not in ("bronze_append", "silver_write", "dim_snapshot_read",
                         "gold_write", "run_all", "watermark_commit"):
             QUERIES[name](spark, SF)
+
+
+@pytest.mark.parametrize("name", ["fund_ranking", "ticker_total_return",
+                                  "ticker_avg_return", "ticker_summary",
+                                  "kpi_instruments"])
+def test_joins_see_one_row_per_stock(spark, name):
+    """The fact is aggregated by stock_key below every join."""
+    from pricelake.plans.catalog import QUERIES
+    fact_path = plan(QUERIES[name](spark, SF)).splitlines()
+    at = next(i for i, line in enumerate(fact_path)
+              if "FileScan parquet" in line and "/fact-" in line)
+    depth = len(re.match(r"[ :+-]*", fact_path[at]).group())
+    above = []
+    for line in reversed(fact_path[:at]):
+        d = len(re.match(r"[ :+-]*", line).group())
+        if d < depth:
+            depth = d
+            above.append(line)
+    joins = [i for i, line in enumerate(above) if "Join" in line]
+    aggs = [i for i, line in enumerate(above)
+            if "Aggregate(keys=[stock_key" in line]
+    assert joins and aggs and max(aggs[:2]) < joins[0], above
+
+
+def test_totals_per_date_meet_the_calendar_once_per_date(spark):
+    from pricelake.plans.catalog import QUERIES
+    p = plan(QUERIES["portfolio_by_date"](spark, SF))
+    assert "LeftSemi" in p
+    top = p.index("Join")
+    assert "keys=[date_key" in p[top:] and p.count("Aggregate(keys=[date_key") == 2
+
+
+@pytest.mark.parametrize("name", ["daily_summary", "kpi_day_change",
+                                  "latest_slice", "sector_share"])
+def test_newest_dates_prune_months(spark, name):
+    """Of the fact's rows only the newest months' files are read."""
+    from pricelake.plans.catalog import QUERIES
+    df = QUERIES[name](spark, SF)
+    rows = [s for s in scans(df, "fact") if "portfolio_value" in
+            s.split("ReadSchema: ")[1]]
+    assert rows
+    for s in rows:
+        assert "month_key" in s.split("PartitionFilters: [")[1].split("]")[0], s
+    jdf = df._jdf.queryExecution()
+    df.collect()
+    nodes = jdf.executedPlan().toString()
+    assert nodes
+    months = b.fact_table(spark, SF, months=True).select("month_key") \
+        .distinct().count()
+    from pricelake.operators import marts
+    newest = marts.newest_fact(b.fact_table(spark, SF, months=True), 10)
+    assert newest.select("month_key").distinct().count() <= 2 < months
+    assert newest.select("date_key").distinct().count() == 10
+
+
+def test_freshness_joins_one_row(spark):
+    from pricelake.plans.catalog import QUERIES
+    p = plan(QUERIES["freshness"](spark, SF))
+    join = next(i for i, line in enumerate(p.splitlines()) if "Join" in line)
+    below = "\n".join(p.splitlines()[join:])
+    assert "max(date_key" in below and "FileScan" in below
