@@ -91,11 +91,19 @@ def portfolio_value(close: str = "close_price",
     return value_from(close, first_close(close), baseline)
 
 
-def with_measures(keyed: DataFrame) -> DataFrame:
+def with_measures(keyed: DataFrame, carried: bool = False) -> DataFrame:
     """Daily return and portfolio value with each window function computed
-    once (one exchange on stock_key, one sort, two window functions)."""
-    w = keyed.select("*", previous_close().alias("__prev"),
-                     first_close().alias("__first"))
+    once (one exchange on stock_key, one sort, two window functions).
+
+    ``carried``: the rows continue a fact whose last and first close per stock
+    come with them (``last_close``, ``opening_close``; null for a stock without
+    prices so far).
+    """
+    prev, first = previous_close(), first_close()
+    if carried:
+        prev = F.coalesce(prev, F.col("last_close"))
+        first = F.coalesce(F.col("opening_close"), first)
+    w = keyed.select("*", prev.alias("__prev"), first.alias("__first"))
     return w.select(
         "date_key", "stock_key", "trade_date", "close_price",
         return_from("close_price", "__prev").alias("daily_return_pct"),
@@ -125,13 +133,74 @@ def fact_prices(silver: DataFrame, dim_stock: DataFrame, dim_date: DataFrame,
                 holdings: DataFrame, params: RunParams) -> DataFrame:
     """The whole price fact (8 columns), unordered."""
     keyed = keyed_prices(silver, dim_stock, dim_date, holdings, params)
-    return price_key(with_measures(keyed)).select(
+    return _fact_columns(price_key(with_measures(keyed)))
+
+
+def _fact_columns(fact: DataFrame) -> DataFrame:
+    return fact.select(
         F.col("price_key").cast("long").alias("price_key"),
         F.col("date_key").cast("int").alias("date_key"),
         F.col("stock_key").cast("int").alias("stock_key"),
         *FACT_COLS[3:])
 
 
+# -- incremental refresh ---------------------------------------------------------
+
+def carry_basis(dim_stock: DataFrame, holdings: DataFrame) -> DataFrame:
+    """What a fact row takes from its instrument: one row per current version
+    with a baseline value."""
+    cur = current_versions(dim_stock).select("ticker_symbol", "stock_key")
+    return cur.join(holdings.select("ticker_symbol", "baseline_value_usd"),
+                    "ticker_symbol").select(
+        F.col("stock_key").cast("int").alias("stock_key"), "ticker_symbol",
+        "baseline_value_usd")
+
+
+def fact_carry(basis: DataFrame, fact: DataFrame,
+               before: DataFrame | None = None) -> DataFrame:
+    """The carry table: per row of ``basis`` the last and the opening close,
+    from the rows of ``fact`` and, for what came earlier, ``before``."""
+    own = fact.groupBy("stock_key").agg(
+        F.max_by("close_price", "date_key").alias("__last"),
+        F.min_by("close_price", "date_key").alias("__first"))
+    out = basis.join(own, "stock_key", "left")
+    if before is None:
+        return out.select(*basis.columns, F.col("__last").alias("last_close"),
+                          F.col("__first").alias("opening_close"))
+    old = before.select("stock_key", "last_close", "opening_close")
+    return out.join(old, "stock_key", "left").select(
+        *basis.columns, F.coalesce("__last", "last_close").alias("last_close"),
+        F.coalesce("opening_close", "__first").alias("opening_close"))
+
+
+def same_basis(basis: DataFrame, carry: DataFrame) -> bool:
+    """Whether both hold the same instruments with the same keys and baseline
+    values (a join of dimension size)."""
+    a = basis.select(*[F.col(c).alias(f"a_{c}") for c in basis.columns])
+    differs = ~(F.col("a_ticker_symbol").eqNullSafe(F.col("ticker_symbol"))
+                & F.col("a_baseline_value_usd").eqNullSafe(
+                    F.col("baseline_value_usd")))
+    return a.join(carry.select(*basis.columns),
+                  F.col("a_stock_key") == F.col("stock_key"), "full_outer") \
+        .where(F.col("a_stock_key").isNull() | F.col("stock_key").isNull()
+               | differs).isEmpty()
+
+
+def fact_increment(new: DataFrame, carry: DataFrame, dim_stock: DataFrame,
+                   dim_date: DataFrame, holdings: DataFrame, params: RunParams,
+                   last_key: int) -> DataFrame:
+    """Fact rows of cleaned prices that are all newer than the fact: the same
+    rows that a full refresh would give them.  Only the new days are windowed;
+    the price before them and the opening price come from the carry table, and
+    keys go on from ``last_key``, as newer days come last in key order."""
+    keyed = keyed_prices(new, dim_stock, dim_date, holdings, params).join(
+        carry.select("stock_key", "last_close", "opening_close"), "stock_key",
+        "left")
+    return _fact_columns(sequential_ids(
+        with_measures(keyed, carried=True), F.col("date_key"),
+        F.col("stock_key"), "price_key", start=last_key))
+
+
 def sorted_fact(fact: DataFrame) -> DataFrame:
     """The fact in the reference's output order (a range-partitioned sort)."""
     return fact.orderBy("date_key", "stock_key")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -169,6 +170,21 @@ def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- the jobs, over the drops of the test tables ---------------------------------
 
+def daily_lake(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """A lake loaded twice: the bars up to ``TEST_MARK``, then all newer ones,
+    with which the second gold run continues the fact."""
+    def write(path):
+        paths, cfg = LakePaths(path), td.holdings_config(spark, sf_dir)
+        raw = spark.read.parquet(*drops(spark, sf_dir).values())
+        late = F.to_date("Date") > F.lit(td.TEST_MARK)
+        for i, rows in enumerate((raw.where(~late), raw.where(late))):
+            p = replace(td.GOLD_PARAMS, as_of_date=td.GOLD_PARAMS.today,
+                        run_ts=td.GOLD_PARAMS.run_ts + dt.timedelta(i))
+            rows.write.parquet(f"{path}/drop{i}")
+            run_all(spark, {"all": f"{path}/drop{i}"}, cfg, p, paths)
+    return LakePaths(_path(spark, sf_dir, "daily-lake", write))
+
+
 def lake(spark: SparkSession, sf_dir: str) -> LakePaths:
     """All three jobs run once over the stored drops into a fresh lake, whose
     holdings come through ``holdings_table``."""

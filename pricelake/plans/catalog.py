@@ -174,6 +174,36 @@ def q_gold_write(spark, sf):
         "price_key", "date_key", "stock_key", "month_key")
 
 
+@register("fact_incremental", f"""
+SELECT rank() OVER (ORDER BY trade_date, stock_key) AS price_key,
+       CAST(strftime(trade_date, '%Y%m%d') AS INTEGER) AS date_key, stock_key,
+       close_price, {rnd('(close_price - ago) / NULLIF(ago, 0) * 100.0', 4)}
+         AS daily_return_pct,
+       {rnd('baseline_value_usd * (close_price / NULLIF(opening, 0))', 2)}
+         AS portfolio_value
+FROM (SELECT trade_date, CAST(ordinal + 1 AS INTEGER) AS stock_key, close_price,
+             baseline_value_usd,
+             lag(close_price) OVER days AS ago,
+             first_value(close_price) OVER days AS opening
+      FROM (SELECT *, row_number() OVER (
+                PARTITION BY ticker_symbol, trade_date
+                ORDER BY open_price NULLS FIRST, high_price NULLS FIRST,
+                         low_price NULLS FIRST, close_price, volume NULLS FIRST)
+                AS copy FROM valid_rows)
+      JOIN holdings USING (ticker_symbol)
+      WHERE copy = 1
+      WINDOW days AS (PARTITION BY ordinal ORDER BY trade_date))""")
+def q_fact_incremental(spark, sf):
+    lake = b.daily_lake(spark, sf)
+    state = sinks.fact_state(spark, lake.gold,
+                             sinks.current_version(spark, lake.gold))
+    if len(state["segments"]) != 2:
+        raise RuntimeError("the second run did not continue the fact")
+    return sinks.gold_table(spark, lake.gold, sinks.FACT).select(
+        "price_key", "date_key", "stock_key", "close_price",
+        "daily_return_pct", "portfolio_value")
+
+
 @register("run_all", f"""
 SELECT trade_date, count(*) AS instruments,
        count(*) FILTER (WHERE instrument_type = 'stock') AS stocks

@@ -25,7 +25,8 @@ from pricelake.operators import incremental as inc
 from pricelake.operators import marts
 from pricelake.operators import silver as sv
 from pricelake.operators.calendar import dim_date
-from pricelake.operators.fact import fact_prices
+from pricelake.operators.fact import (carry_basis, fact_carry,
+                                      fact_increment, fact_prices, same_basis)
 from pricelake.operators.scd2 import scd2_merge
 from pricelake.params import RunParams
 from pricelake.schemas import (BRONZE, DIM_STOCK, SILVER, SILVER_COLS,
@@ -184,13 +185,71 @@ def fact_layout(fact: DataFrame) -> DataFrame:
             .sortWithinPartitions("date_key", "stock_key"))
 
 
+def _new_prices(spark: SparkSession, paths: LakePaths, layer: str,
+                names: list[str], state, carry: DataFrame, basis: DataFrame,
+                params: RunParams) -> DataFrame | None:
+    """Cleaned rows that the fact lacks, if it can be continued with them: the
+    layer has only grown, by days newer than the fact's, and no instrument has
+    another key or baseline value or is new.  Else ``None``."""
+    if (state["layer"], state["calendar_start"], state["calendar_end"]) != (
+            layer, params.calendar_start, params.calendar_end):
+        return None
+    fresh = sorted(set(names) - set(state["loads"]))
+    if set(state["loads"]) - set(names) or not same_basis(basis, carry):
+        return None
+    new = sinks.of_loads(spark.read.schema(STORED_SILVER).parquet(layer), fresh)
+    first = new.agg(F.min("trade_date")).first()[0]
+    if first is not None and state["last_date_key"] is not None \
+            and int(f"{first:%Y%m%d}") <= state["last_date_key"]:
+        return None
+    return new.select(*SILVER_COLS)
+
+
+def refresh_fact(spark: SparkSession, holdings: DataFrame, params: RunParams,
+                 paths: LakePaths, version: str, dim: DataFrame, cal: DataFrame,
+                 since: str | None = None) -> int:
+    """Write the fact of ``version``: a new segment of new days that continues
+    the fact of version ``since``, or of everything.  With it go the carry
+    table and the state that the next refresh starts from.  Returns the rows."""
+    layer = sinks.layer_path(spark, paths.silver)
+    names = sinks.loads(spark, layer)
+    basis = carry_basis(dim, holdings)
+    state = carry = new = None
+    if since is not None:
+        state = sinks.fact_state(spark, paths.gold, since)
+        carry = spark.read.parquet(sinks.gold_path(paths.gold, since, "fact_carry"))
+        new = _new_prices(spark, paths, layer, names, state, carry, basis, params)
+    if new is None:
+        state = carry = None
+        fact = fact_prices(read_silver(spark, paths), dim, cal, holdings, params)
+    else:
+        fact = fact_increment(new, carry, dim, cal, holdings, params,
+                              state["last_key"])
+    at = sinks.segment_path(paths.gold, version)
+    n = sinks.write_checked(fact_layout(fact), at, ["month_key"])
+    rows = sinks.fact_segments(spark, paths.gold, [version])
+    last = rows.agg(F.max("date_key")).first()[0] if n else None
+    before = state["rows"] if state else 0
+    sinks.gold_write({
+        "fact_carry": fact_carry(basis, rows, carry),
+        "fact_state": spark.createDataFrame([(
+            [*(state["segments"] if state else ()), *([version] if n else ())],
+            before + n, before + n,
+            last if n or not state else state["last_date_key"], layer, names,
+            params.calendar_start, params.calendar_end)],
+            sinks.FACT_STATE).coalesce(1)}, paths.gold, version)
+    return before + n
+
+
 def run_gold(spark: SparkSession, holdings: DataFrame, params: RunParams,
-             paths: LakePaths) -> dict[str, int]:
+             paths: LakePaths, full: bool = False) -> dict[str, int]:
     """Dimensions before facts; every table is checked against the rows that
     were written, and the new version is published last.
 
     The dimension is written first and the fact is built from the stored
-    dimension, so the fact's keys are exactly the published keys.  A run
+    dimension, so the fact's keys are exactly the published keys.  Where only
+    newer days came in, the fact is continued with them alone; otherwise, or
+    if ``full``, it is built anew (``refresh_fact``); the rows are the same.  A run
     dated before the published one is refused: it would write history that
     ends before it begins.
     """
@@ -208,10 +267,9 @@ def run_gold(spark: SparkSession, holdings: DataFrame, params: RunParams,
                                "dim_date": cal}, paths.gold, version)
     dim = spark.read.schema(DIM_STOCK).parquet(
         sinks.gold_path(paths.gold, version, "dim_stock"))
-    fact = fact_layout(fact_prices(silver, dim, cal, holdings, params))
-    counts |= sinks.gold_write(
-        {"fact_stock_prices": fact}, paths.gold, version,
-        {"fact_stock_prices": ["month_key"]})
+    counts["fact_stock_prices"] = refresh_fact(
+        spark, holdings, params, paths, version, dim, cal,
+        None if full or last is None else last["version"])
     sinks.publish(spark, paths.gold, version, params.run_iso)
     sinks.watermark_commit(spark, paths.audit, params.batch_id, "gold", None,
                            None, counts["fact_stock_prices"], params.run_iso,

@@ -93,10 +93,23 @@ DIM_STOCK = T.StructType([
 DIM_STOCK_COLS = [f.name for f in DIM_STOCK.fields]
 
 # Columns of the price fact.
-FACT_COLS = [
-    "price_key", "date_key", "stock_key", "close_price", "daily_return_pct",
-    "portfolio_value", "ingested_at", "processed_at",
-]
+FACT = T.StructType([
+    T.StructField("price_key", T.LongType()),
+    T.StructField("date_key", T.IntegerType()),
+    T.StructField("stock_key", T.IntegerType()),
+    T.StructField("close_price", T.DoubleType()),
+    T.StructField("daily_return_pct", T.DoubleType()),
+    T.StructField("portfolio_value", T.DoubleType()),
+    T.StructField("ingested_at", T.StringType()),
+    T.StructField("processed_at", T.StringType()),
+])
+FACT_COLS = [f.name for f in FACT.fields]
+
+# The fact as stored.
+STORED_FACT = T.StructType(FACT.fields + [
+    T.StructField("segment", T.StringType()),
+    T.StructField("month_key", T.IntegerType()),
+])
 
 # The analyst dataset (fact joined to both dimensions).
 STAR_COLS = [

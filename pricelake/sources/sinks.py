@@ -7,7 +7,8 @@
   more than that (restating, reprocessing) writes a new version of the layer
   beside it and publishes that;
 * gold layer: every run writes a fresh version directory, checks it, and then
-  publishes it.
+  publishes it.  The fact is kept in segments beside them, of which a version
+  lists its own.
 
 A version name is unique to its attempt and its directory is never
 overwritten, so what readers see stays whole whatever fails.  Publishing
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.schemas import DIM_STOCK
+from pricelake.schemas import DIM_STOCK, STORED_FACT
 
 AUDIT = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -117,7 +118,7 @@ def write_checked(df: DataFrame, path: str, partition_by: list[str] = (),
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return write_verify(df.sparkSession, path, seen.get["n"])
+    return write_verify(df.sparkSession, path, seen.get["n"], df.schema)
 
 
 # -- raw layer -----------------------------------------------------------------
@@ -207,10 +208,62 @@ def gold_write(tables: dict[str, DataFrame], gold_root: str, version: str,
             for name, df in tables.items()}
 
 
+# The fact lies outside the versions, in segments: a full refresh writes one, an
+# incremental one adds one.  A version's state names its segments and what they
+# were built from.
+FACT = "fact_stock_prices"
+FACT_STATE = T.StructType([
+    T.StructField("segments", T.ArrayType(T.StringType())),
+    T.StructField("rows", T.LongType()),
+    T.StructField("last_key", T.LongType()),
+    T.StructField("last_date_key", T.IntegerType()),
+    T.StructField("layer", T.StringType()),
+    T.StructField("loads", T.ArrayType(T.StringType())),
+    T.StructField("calendar_start", T.DateType()),
+    T.StructField("calendar_end", T.DateType()),
+])
+
+
+def segment_path(gold_root: str, segment: str) -> str:
+    return f"{gold_root.rstrip('/')}/{FACT}/segment={segment}"
+
+
+def fact_segments(spark: SparkSession, gold_root: str,
+                  segments: list[str]) -> DataFrame:
+    """The rows of some segments: one scan, pruned by partition."""
+    fact = spark.read.schema(STORED_FACT).parquet(
+        f"{gold_root.rstrip('/')}/{FACT}")
+    return fact.where(F.col("segment").isin(segments)).drop("segment")
+
+
+def fact_state(spark: SparkSession, gold_root: str, version: str) -> Row:
+    return spark.read.schema(FACT_STATE).parquet(
+        gold_path(gold_root, version, "fact_state")).first()
+
+
+def loads(spark: SparkSession, layer: str) -> list[str]:
+    """The loads (``processed_date/run_id``) of a cleaned layer, by listing its
+    partition folders."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{layer.rstrip('/')}/processed_date=*/run_id=*")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted("/".join(str(x.getPath()).split("/")[-2:])
+                  .replace("processed_date=", "").replace("run_id=", "")
+                  for x in found or ())
+
+
+def of_loads(layer: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of some loads; only their partitions are read."""
+    return layer.where(F.concat_ws("/", "processed_date", "run_id").isin(names))
+
+
 def write_verify(spark: SparkSession, path: str,
-                 expected: int | None = None) -> int:
-    """Row count of a written table, re-read from storage."""
-    n = spark.read.parquet(path).count()
+                 expected: int | None = None,
+                 schema: T.StructType | None = None) -> int:
+    """Row count of a written table, re-read from storage (with ``schema``, as a
+    table without rows may have no file to take it from)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    n = reader.parquet(path).count()
     if expected is not None and n != expected:
         raise RuntimeError(f"{path}: wrote {n} rows, expected {expected}")
     return n
@@ -219,6 +272,9 @@ def write_verify(spark: SparkSession, path: str,
 def gold_table(spark: SparkSession, gold_root: str, table: str) -> DataFrame:
     """A table of the newest published gold version (the marts' entry)."""
     version = mart_guard(spark, gold_root)
+    if table == FACT:
+        return fact_segments(spark, gold_root, fact_state(
+            spark, gold_root, version)["segments"])
     return spark.read.parquet(gold_path(gold_root, version, table))
 
 

@@ -65,8 +65,8 @@ def test_gold_rerun_with_one_run_time(spark, loaded):
     dim = sinks.gold_table(spark, paths.gold, "dim_stock")
     assert dim.count() == 2 and dim.where("is_current").count() == 2
     # the earlier version is still whole
-    assert spark.read.parquet(sinks.gold_path(
-        paths.gold, old, "fact_stock_prices")).count() == 3
+    state = sinks.fact_state(spark, paths.gold, old)
+    assert sinks.fact_segments(spark, paths.gold, state["segments"]).count() == 3
 
 
 def test_publish_order_decides_not_the_run_time(spark, lake):
