@@ -93,7 +93,7 @@ def test_failing_gold_run_publishes_nothing(spark, loaded, monkeypatch):
         raise RuntimeError("disk full")
     monkeypatch.setattr(pl, "fact_prices", fail)
     with pytest.raises(RuntimeError):
-        pl.run_gold(spark, hold, params(14), paths)
+        pl.run_gold(spark, hold, params(14), paths, full=True)
     assert sinks.current_version(spark, paths.gold) == old
     assert sinks.gold_table(spark, paths.gold, "dim_stock").count() == 2
 
