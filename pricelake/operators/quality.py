@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -73,7 +71,7 @@ def profile_nulls(df: DataFrame) -> DataFrame:
 
 # Quartiles: first digit of the selection (cells per doubling of a value's
 # size), and cells that the values of one digit are cut into.
-DIGITS = 1024
+DIGITS = 128
 CELLS = 4096
 QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
 
@@ -129,11 +127,12 @@ def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
                                      "mean double, std double, min double, "
                                      f"{', '.join(f'{n} double' for n in names)}"
                                      ", max double")
-    # scan 1: a row per column and digit
-    by_digit = df.select(F.explode(F.array(*[
+    each = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), x(c).alias("x"))
         for i, c in enumerate(cols)])).alias("v")).select("v.*") \
-        .where("x is not null").groupBy("i", _digit(F.col("x")).alias("d")).agg(
+        .where("x is not null")
+    # scan 1: a row per column and digit
+    by_digit = each.groupBy("i", _digit(F.col("x")).alias("d")).agg(
             F.count(F.lit(1)).alias("c"), F.avg("x").alias("m"),
             F.var_pop("x").alias("v"), F.min("x").alias("lo"),
             F.max("x").alias("hi"))
@@ -175,30 +174,22 @@ def profile_describe(df: DataFrame, digits: int | None = None) -> DataFrame:
                              math.floor(at) + 1, math.ceil(at) + 1,
                              at - math.floor(at)))
     rows = spark.createDataFrame(rows, stats)
-    # scan 2: the values between the ends of each bracket; most rows are in
-    # none and drop out before the arrays are made
-    inside = [(x(c) >= lo) & (x(c) <= hi) for c, _, _, lo, hi, *_ in brackets]
-    entries = F.array(*[F.when(hit, F.struct(
-        F.lit(b[0]).alias("column_name"), F.lit(b[1]).alias("q"),
-        x(b[0]).alias("x"))) for hit, b in zip(inside, brackets)]) \
-        if brackets else F.array(F.struct(
-            F.lit("").alias("column_name"), F.lit("").alias("q"),
-            F.lit(None).cast("double").alias("x")))
-    some = functools.reduce(operator.or_, inside, F.lit(False))
-    values = (df.where(some)
-              .select(F.explode(F.array_compact(entries)).alias("v"))
-              .select("v.*").groupBy("column_name", "q", "x")
-              .agg(F.count(F.lit(1)).alias("c")))
-    # one row per column and quartile: rows below the bracket, wanted ranks
+    # scan 2: the values between the ends of each bracket, by a join with one
+    # row per column and quartile (rows below the bracket, wanted ranks): many
+    # conditions in a row would make code that the JVM does not compile
     spots = F.broadcast(spark.createDataFrame(
-        brackets, "column_name string, q string, below long, lo double, "
+        [(cols.index(b[0]), *b) for b in brackets],
+        "i int, column_name string, q string, below long, lo double, "
         "hi double, r1 long, r2 long, part double"))
+    values = each.join(spots.select("i", "q", "lo", "hi"), "i") \
+        .where("x >= lo and x <= hi").groupBy("i", "q", "x") \
+        .agg(F.count(F.lit(1)).alias("c"))
     width = F.col("hi") - F.col("lo")
     cell = F.when((width > 0) & (width < float("inf")), F.least(
         F.lit(CELLS - 1), F.floor((F.col("x") - F.col("lo")) / width * CELLS))) \
         .otherwise(0)
     key = ["column_name", "q", "cell"]
-    placed = values.join(spots, ["column_name", "q"]).withColumn("cell", cell)
+    placed = values.join(spots, ["i", "q"]).withColumn("cell", cell)
     cells = placed.groupBy(*key, "below", "r1", "r2").agg(F.sum("c").alias("c"))
     by_cell = Window.partitionBy("column_name", "q").orderBy("cell")
     cells = cells.withColumn("end", F.col("below") + upto("c", by_cell)) \
