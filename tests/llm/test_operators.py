@@ -380,19 +380,25 @@ def test_pii_base():
 
 def test_pii(spark, arrow_rows):
     docs = [(1, None), (2, ""), (3, "mail é a.b@c.de, 1.2.3.4 or 1.2.3.400"),
-            (4, "4111 1111 1111 1111 and +49 (30) 123-4567"), (4, "x" * 100_000),
+            (4, "4111 1111 1111 1111 and +49 (30) 123-4567"), (8, "x" * 100_000),
             (5, "IBAN: DE89 3704 0044 0532 0130 00; account number 12-3456"),
             (6, "ftp://bob:secret@host.example/x"), (7, "1" * 6000 + ".1.1.1")]
     df = doc_frame(spark, docs)
     got = {r.doc_id: r for r in pii.pii_spans(df).collect()}
+    kinds = ("email", "ip", "card", "phone")
     for i, t in docs:
+        # too slow on the long run of digits, which holds no base span
         want = brute.base_pii(t or "") if i != 7 else []
-        if i != 4 or t[0] == "4":
-            r = got[i]
+        r = got[i]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == \
+            [sum(x[0] == k for x in want) for k in kinds], i
+        text = ",".join(f"{k}:{a}:{z}" for k, a, z in sorted(
+            want, key=lambda x: (kinds.index(x[0]), x[1])))
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest(), i
     assert got[3].spans == "email:7:15,ip:17:24"
     assert got[3].base_sha256 == hashlib.sha256(b"email:7:15,ip:17:24").hexdigest()
     assert got[5].n_added == 2 and "iban:6:33" in got[5].spans
-    assert got[6].spans == "email:10:29,login_url:0:29" or "login_url:0:" in got[6].spans
+    assert "login_url:0:" in got[6].spans
     assert (got[1].n_email, got[1].spans) == (0, "")
     clean = {(r.doc_id, r.n_chars): r.text
              for r in pii.redact_documents(df).collect()}
