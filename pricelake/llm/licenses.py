@@ -9,11 +9,14 @@ most e edits holds one seed unchanged.  One Aho-Corasick pass finds the seeds,
 each seed gives a window where its notice could lie, and the bounded-error
 matching of the ``regex`` library verifies the window and reports span and
 edits; the rest of the window, on both sides of its best match, is searched
-again.  ``score`` is 1 for a base phrase, else 1 - edits / length of the best
-fuzzy match, else 0.
-
-Null and empty texts have no words, no labels and score 0.  One map over the
-rows, no shuffle; repeated rows each get their own result.
+again.  Windows of neighbouring seeds are searched one by one, so the time is
+proportional to the text and its seeds, however often a notice repeats.
+``score`` is 1 for a base phrase, else 1 - edits / length of the best fuzzy
+match, else 0.
+
+Null and empty texts have no words, no labels and score 0.  Very long texts
+are searched whole, within one task.  One map over the rows, no shuffle;
+repeated rows each get their own result.
 """
 
 from __future__ import annotations
@@ -87,29 +90,23 @@ class NoticeSearch:
         """(label, start, end, edits) of the notices in a lower-cased text, by
         start; of overlapping matches the one with the fewest edits (then the
         longest, the first) stays."""
-        windows: dict[int, list[list[int]]] = {}
+        windows = set()
         for last, (size, uses) in self.automaton.iter(low):
             for k, shift in uses:
                 notice, _, edits, _ = self.items[k]
                 start = last + 1 - size - shift
-                lo = max(0, start - edits)
-                hi = min(len(low), start + len(notice) + edits)
-                own = windows.setdefault(k, [])
-                if own and lo <= own[-1][1]:
-                    own[-1][0] = min(own[-1][0], lo)
-                    own[-1][1] = max(own[-1][1], hi)
-                else:
-                    own.append([lo, hi])
-        found = []
-        for k in sorted(windows):
+                windows.add((k, max(0, start - edits),
+                             min(len(low), start + len(notice) + edits)))
+        found = set()
+        for k, lo, hi in windows:
             notice, label, edits, pattern = self.items[k]
-            for lo, hi in windows[k]:
-                for m in _matches(pattern, low, lo, hi, len(notice) - edits):
-                    found.append((label, m.start(), m.end(),
-                                  sum(m.fuzzy_counts)))
+            for m in _matches(pattern, low, lo, hi, len(notice) - edits):
+                found.add((label, m.start(), m.end(), sum(m.fuzzy_counts)))
         kept: list[tuple[str, int, int, int]] = []
+        taken = bytearray(len(low)) if found else b""
         for x in sorted(found, key=lambda x: (x[3], x[1] - x[2], x[1], x[0])):
-            if all(x[2] <= y[1] or y[2] <= x[1] for y in kept):
+            if taken.find(1, x[1], x[2]) < 0:
+                taken[x[1]:x[2]] = b"\1" * (x[2] - x[1])
                 kept.append(x)
         return sorted(kept, key=lambda x: x[1:3])
 

@@ -22,10 +22,10 @@ gets the sample, the pivots and one row per ring, all of bounded size.
 
 Defined cases: null ids, null vectors and vectors with a null or non-finite
 component take no part; vectors of different length are compared on their
-common components; different vectors under one vec_id are rows of their own,
-as queries (ranked together, by query_id) and as candidates of other ids; a row
-repeated with id and vector counts once; fewer than k candidates give fewer
-rows; ties go to the smaller vec_id.
+common components; rows that share a vec_id, with other vectors or the same
+one, are rows of their own, as queries (ranked together, by query_id) and as
+candidates of other ids; fewer than k candidates give fewer rows; ties go to
+the smaller vec_id.
 Scores are 64-bit integers; larger inner products are not supported.
 """
 
@@ -53,28 +53,22 @@ SLACK = 1e-6         # relative; covers the rounding of distances
 
 def scaled(vectors: DataFrame, id_col: str = "vec_id",
            vec_col: str = "embedding") -> DataFrame:
-    """vec_id, v (array of bigint): valid rows, once per id and vector."""
+    """vec_id, v (array of bigint): the valid rows."""
     x = F.transform(F.col(vec_col), lambda c: c.cast("double"))
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c)
                     & (F.abs(c) < F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()
                          & F.coalesce(fine, F.lit(False)))
     return (rows.select(F.col(id_col).cast("bigint").alias("vec_id"),
-                        x.alias("x")).distinct()
+                        x.alias("x"))
             .select("vec_id", F.transform("x", lambda c: F.floor(c * SCALE)
                                           .cast("bigint")).alias("v")))
 
 
 def _numbered(vectors: DataFrame) -> DataFrame:
-    """rid (unique, in the order of vec_id; the vec_id where that is unique),
-    vec_id, v."""
-    base = stored(vectors, "topk-vectors")
-    if base.groupBy("vec_id").count().where("count > 1").isEmpty():
-        return base.select(F.col("vec_id").alias("rid"), "vec_id", "v")
-    # rows in global order get increasing numbers
-    return stored(base.sort("vec_id", F.xxhash64("v"))
-                  .select(F.monotonically_increasing_id().alias("rid"),
-                          "vec_id", "v"), "topk-numbered")
+    """rid (a number of its own for every row), vec_id, v."""
+    return stored(vectors.select(F.monotonically_increasing_id().alias("rid"),
+                                 "vec_id", "v"), "topk-vectors")
 
 
 def _matrix(col, dim: int) -> np.ndarray:
@@ -271,7 +265,7 @@ class _Chunk:
                 continue
             row = np.concatenate([self.score[i], row])
             own = np.concatenate([self.name[i], own], axis=1)
-            top = np.lexsort((own[0], -row))[:k]
+            top = np.lexsort((*own, -row))[:k]
             self.score[i], self.name[i] = row[top], own[:, top]
             if len(top) == k:
                 self.reach[i] = min(self.reach[i],

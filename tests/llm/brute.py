@@ -19,17 +19,16 @@ def sha(text):
 
 
 def top_k(vectors, is_query, k=10):
-    """[(query_id, rank, vec_id, score)] of {vec_id: [float]}."""
+    """[(query_id, rank, vec_id, score)] of rows (vec_id, [float])."""
     import math
-    v = {i: [math.floor(1024 * x) for x in xs] for i, xs in vectors.items()
+    v = [(i, [math.floor(1024 * x) for x in xs]) for i, xs in vectors
          if i is not None and xs is not None
-         and all(x is not None and math.isfinite(x) for x in xs)}
+         and all(x is not None and math.isfinite(x) for x in xs)]
     out = []
-    for q in sorted(v):
-        if is_query(q):
-            s = sorted((-sum(a * b for a, b in zip(v[q], x)), i)
-                       for i, x in v.items() if i != q)[:k]
-            out += [(q, r, i, -m) for r, (m, i) in enumerate(s, 1)]
+    for q in sorted({i for i, _ in v if is_query(i)}):
+        s = sorted((-sum(a * b for a, b in zip(x, y)), j)
+                   for i, x in v if i == q for j, y in v if j != q)[:k]
+        out += [(q, r, i, -m) for r, (m, i) in enumerate(s, 1)]
     return out
 
 

@@ -4,6 +4,7 @@ empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -55,7 +56,7 @@ def test_top_k(spark, arrow_rows, n, dim, ties):
     index = topk_search.build_index(df, pivots=5)
     got = topk_search.top_k(index, F.col("vec_id") % 10 == 0)
     assert rows(got, "query_id", "rank", "vec_id", "score") == \
-        brute.top_k(v, lambda q: q % 10 == 0)
+        brute.top_k(data, lambda q: q % 10 == 0)
 
 
 def test_top_k_small_cells(spark, monkeypatch):
@@ -66,7 +67,7 @@ def test_top_k_small_cells(spark, monkeypatch):
            for i, x in v.items()}
     got = topk_search.top_k(topk_search.build_index(df), F.col("vec_id") % 7 == 0)
     assert rows(got, "query_id", "rank", "vec_id", "score") == \
-        brute.top_k(v32, lambda q: q % 7 == 0)
+        brute.top_k(v32.items(), lambda q: q % 7 == 0)
 
 
 def test_top_k_repeated_ids(spark, arrow_rows):
@@ -77,13 +78,26 @@ def test_top_k_repeated_ids(spark, arrow_rows):
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
     got = topk_search.top_k(topk_search.build_index(df, pivots=5),
                             F.col("vec_id") % 7 == 0)
-    v = [(i, [math.floor(1024 * c) for c in x]) for i, x in data]
-    want = []
-    for q in range(0, 60, 7):
-        s = sorted((-sum(a * b for a, b in zip(x, y)), j)
-                   for i, x in v if i == q for j, y in v if j != q)[:10]
-        want += [(q, r, j, -m) for r, (m, j) in enumerate(s, 1)]
-    assert rows(got, "query_id", "rank", "vec_id", "score") == want
+    assert rows(got, "query_id", "rank", "vec_id", "score") == \
+        brute.top_k(data, lambda q: q % 7 == 0)
+
+
+def test_top_k_repeated_rows(spark):
+    """Equal rows count as often as they occur, as the SQL counts them."""
+    import duckdb
+    import pandas as pd
+
+    from pricelake.llm.queries import OP1_SQL
+    data = [(100, [1.0, .5]), (100, [1.0, .5]), (4, [.5, .5]), (4, [.5, .5]),
+            (4, [.5, .5]), (5, [-1.0, 0.0]), (200, [.25, .75])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = topk_search.top_k(topk_search.build_index(df), F.col("vec_id") % 100 == 0)
+    cols = ("query_id", "rank", "vec_id", "score")
+    con = duckdb.connect()
+    con.register("embeddings", pd.DataFrame(data, columns=["vec_id", "embedding"]))
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({OP1_SQL})").fetchall()
+    assert rows(got, *cols) == ordered(want) == \
+        brute.top_k(data, lambda q: q % 100 == 0)
 
 
 def test_top_k_empty(spark):
@@ -367,6 +381,18 @@ def test_notices_beside_a_better_copy():
     assert [x[3] for x in search.find(text)] == [1, 1, 1, 0] * 5
 
 
+def test_notice_time_grows_with_the_text():
+    """Windows stay short however many notices follow each other."""
+    search, spent = licenses.NoticeSearch(), []
+    for n in (250, 4000):
+        text = "all rihts reserved\nreleased undr the mit license\n" * n
+        start = time.perf_counter()
+        found = search.find(text)
+        spent.append(time.perf_counter() - start)
+        assert [x[0] for x in found] == ["all-rights-reserved", "mit"] * n
+    assert spent[1] < 6 * 16 * spent[0]
+
+
 # ---------------------------------------------------------------- op 8
 
 def test_pii_base():
