@@ -53,14 +53,46 @@ def silver_null_audit(silver: DataFrame) -> DataFrame:
         F.count_if(F.col("close_price") <= 0).alias("invalid_price"))
 
 
+BUCKETS = 1 << 16    # hash buckets of the duplicate audit: one small table
+
+
+def repeat_candidates(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """The keys of the rows among which the ``n`` most repeated keys are.
+
+    Rows are counted per hash bucket of the key, which combines in the map tasks
+    to ``BUCKETS`` rows.  No key has more rows than its bucket, so the n-th
+    largest exact count of the ``n`` fullest buckets' keys (2, if there are
+    fewer) rules out every bucket with less.  Where keys repeat evenly and no
+    bucket falls short, all rows stay.
+    """
+    rows = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+                     .alias("__bucket"))
+    sizes = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__rows")) \
+        .where(F.col("__rows") > 1)
+
+    def within(buckets: DataFrame) -> DataFrame:
+        # at most BUCKETS longs, whatever the rows
+        return rows.join(F.broadcast(buckets.select("__bucket")), "__bucket",
+                         "left_semi").select(*keys)
+    fullest = sizes.orderBy(F.desc("__rows"), "__bucket").limit(n)
+    least = (_repeats(within(fullest), keys).orderBy(F.desc("occurrences"))
+             .limit(n).agg(F.when(F.count(F.lit(1)) == n, F.min("occurrences"))
+                           .otherwise(2)).scalar())
+    return within(sizes.where(F.col("__rows") >= least))
+
+
+def _repeats(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")) \
+        .where(F.col("occurrences") > 1)
+
+
 def duplicate_audit(df: DataFrame, keys: Sequence[str] = ("ticker_symbol",
                                                           "trade_date"),
                     n: int = 10) -> DataFrame:
     """Keys with more than one row, the ``n`` most repeated (ties by key)."""
     keys = list(keys)
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
-            .where(F.col("occurrences") > 1)
-            .orderBy(F.desc("occurrences"), *keys).limit(n))
+    return _repeats(repeat_candidates(df, keys, n), keys) \
+        .orderBy(F.desc("occurrences"), *keys).limit(n)
 
 
 def profile_nulls(df: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 import pandas as pd
 import pytest
 
-from pricelake.operators.quality import profile_describe, profile_nulls
+from pricelake.operators import quality
+from pricelake.operators.quality import (duplicate_audit, profile_describe,
+                                         profile_nulls, repeat_candidates)
 
 
 def test_describe_matches_pandas(spark):
@@ -75,3 +77,36 @@ def test_profile_nulls(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "x int, y string")
     got = {r.column_name: r.null_count for r in profile_nulls(df).collect()}
     assert got == {"x": 1, "y": 2}
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 16])
+@pytest.mark.parametrize("case", ["hot", "ties", "few", "none", "empty"])
+def test_duplicate_audit_is_exact(spark, monkeypatch, buckets, case):
+    """However many keys share a bucket, the answer is that of counting all."""
+    monkeypatch.setattr(quality, "BUCKETS", buckets)
+    key = {"hot": "case when id % 3 = 0 then 1 else id div 2 end",
+           "ties": "id div 2", "few": "case when id < 9 then id div 3 else id end",
+           "none": "id", "empty": "id"}[case]
+    n = 0 if case == "empty" else 3000
+    df = spark.range(n).selectExpr(
+        f"cast({key} as string) as k",
+        "case when id % 3 = 0 then null else 1 end as j", "id as x")
+    want = (df.groupBy("k", "j").count().where("count > 1")
+            .selectExpr("k", "j", "count as occurrences")
+            .orderBy("occurrences", "k", "j", ascending=[False, True, True])
+            .limit(10).collect())
+    assert duplicate_audit(df, ("k", "j")).collect() == want
+
+
+def test_duplicate_audit_rules_out_unique_keys(spark):
+    """Beside frequent keys, hardly a unique one is counted by key."""
+    df = spark.range(200_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id < 900 then 'warm' "
+        "|| cast(id % 12 as string) else cast(id as string) end as k")
+    left = repeat_candidates(df, ["k"], 9)
+    single = left.where("k <> 'hot' and k not like 'warm%'").count()
+    assert 0 <= single < 200
+    assert left.where("k = 'hot'").count() == 66_667
+    got = duplicate_audit(df, ["k"], 9).collect()
+    assert (got[0]["k"], got[0]["occurrences"]) == ("hot", 66_667)
+    assert [r["occurrences"] for r in got[1:]] == [75] * 8
