@@ -1,9 +1,13 @@
-"""High-water-mark incremental load of the raw layer.
+"""Incremental load of the raw layer, by high-water mark or by ledger.
 
 The mark is ``MAX(trade_date)`` of the cleaned layer.  ``mark_value`` fetches
 it as one scalar (like the reference) so the load filter becomes a literal
 that Parquet min/max statistics can skip row groups with; ``incremental_load``
 also accepts a column (scalar subquery) to stay fully lazy.
+
+A mark loses rows that arrive late, dated before it.  ``ledger_load`` goes by
+what was loaded instead: the ingest partitions that no earlier load has read, as
+a partition filter, of whose rows those with a new key are kept (``new_keys``).
 """
 
 from __future__ import annotations
@@ -58,6 +62,17 @@ def incremental_load_per_ticker(bronze: DataFrame, silver: DataFrame,
         .drop("__ticker", "__mark")
 
 
+def unloaded(present: dict[str, tuple], ledger: dict[str, set]) -> list[str]:
+    """Ingest dates whose partition no load has read in its present form."""
+    return sorted(d for d, form in present.items()
+                  if form not in ledger.get(d, ()))
+
+
+def ledger_load(bronze: DataFrame, dates: list[str]) -> DataFrame:
+    """Raw rows of some ingest dates: only their partitions are read."""
+    return bronze.where(F.col("ingested_date").isin(dates))
+
+
 def new_keys(cleaned: DataFrame, raw: DataFrame, silver: DataFrame,
              keys: list[str], date_col: str = "Date") -> DataFrame:
     """Cleaned rows whose key the cleaned layer does not hold yet.  The layer

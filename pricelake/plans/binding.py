@@ -26,8 +26,9 @@ from pricelake.operators.fact import fact_prices
 from pricelake.operators.marts import (fact_between, fact_tickers, newest_fact,
                                        star_join)
 from pricelake.operators.scd2 import scd2_merge
-from pricelake.plans.pipeline import LakePaths, fact_layout, run_all
-from pricelake.schemas import SILVER_COLS
+from pricelake.plans.pipeline import (LakePaths, fact_layout, run_all,
+                                      run_silver)
+from pricelake.schemas import BRONZE, SILVER_COLS
 from pricelake.session import scratch_path
 from pricelake.sources import testdata as td
 from pricelake.streaming.incremental import run_stream
@@ -170,6 +171,20 @@ def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- the jobs, over the drops of the test tables ---------------------------------
 
+def ledger_lake(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """A lake whose landing runs, each with days of the whole period, come in
+    one after the other and are loaded by ledger; most rows are late."""
+    def write(path):
+        paths, raw = LakePaths(path), bronze_table(spark, sf_dir)
+        for i in range(len(td.LANDING_FLAGS)):
+            p = replace(td.landing_params(i), as_of_date=td.GOLD_PARAMS.today)
+            raw.where(F.col("batch_id") == p.batch_id).select(*BRONZE.names) \
+                .write.mode("append").partitionBy("ingested_date") \
+                .parquet(paths.bronze)
+            run_silver(spark, td.holdings(spark, sf_dir), p, paths, by_ledger=True)
+    return LakePaths(_path(spark, sf_dir, "ledger-lake", write))
+
+
 def daily_lake(spark: SparkSession, sf_dir: str) -> LakePaths:
     """A lake loaded twice: the bars up to ``TEST_MARK``, then all newer ones,
     with which the second gold run continues the fact."""

@@ -124,6 +124,22 @@ def q_incremental_load(spark, sf):
                                 inc.mark_value(loaded))
 
 
+@register("incremental_ledger", """
+SELECT ticker_symbol, trade_date, close_price, high_price, low_price, open_price,
+       volume, instrument_type, ingested_at, batch_id AS silver_batch_id
+FROM (SELECT *, row_number() OVER (
+          PARTITION BY ticker_symbol, trade_date
+          ORDER BY ingested_date, open_price NULLS FIRST, high_price NULLS FIRST,
+                   low_price NULLS FIRST, close_price, volume NULLS FIRST) AS copy
+      FROM valid_rows)
+WHERE copy = 1""")
+def q_incremental_ledger(spark, sf):
+    return jobs.read_silver(spark, b.ledger_lake(spark, sf)).select(
+        "ticker_symbol", "trade_date", "close_price", "high_price", "low_price",
+        "open_price", "volume", "instrument_type", "ingested_at",
+        "silver_batch_id")
+
+
 # the jobs, run over the stored drops (one raw load, dated like the gold run)
 
 @register("bronze_append", f"""
@@ -138,13 +154,23 @@ def q_bronze_append(spark, sf):
         "ingested_date", F.col("ingested_date").cast("string"))
 
 
+# the copy of a bar that is kept where all runs are stamped alike
+_FIRST_COPY = """
+SELECT *, row_number() OVER (
+    PARTITION BY ticker_symbol, trade_date
+    ORDER BY open_price NULLS FIRST, high_price NULLS FIRST,
+             low_price NULLS FIRST, close_price, volume NULLS FIRST) AS copy
+FROM valid_rows"""
+
+
 @register("silver_write", f"""
-SELECT ticker_symbol, trade_date, max(instrument_type) AS instrument_type,
-       '{td.GOLD_PARAMS.batch_id}' AS silver_batch_id
-FROM valid_rows GROUP BY ticker_symbol, trade_date""")
+SELECT ticker_symbol, trade_date, close_price, high_price, low_price, open_price,
+       volume, instrument_type, '{td.GOLD_PARAMS.batch_id}' AS silver_batch_id
+FROM ({_FIRST_COPY}) WHERE copy = 1""")
 def q_silver_write(spark, sf):
     return jobs.read_silver(spark, b.lake(spark, sf)).select(
-        "ticker_symbol", "trade_date", "instrument_type", "silver_batch_id")
+        "ticker_symbol", "trade_date", "close_price", "high_price", "low_price",
+        "open_price", "volume", "instrument_type", "silver_batch_id")
 
 
 @register("dim_snapshot_read", f"""
@@ -166,12 +192,13 @@ FROM valid_rows JOIN holdings USING (ticker_symbol)"""
 SELECT rank() OVER (ORDER BY trade_date, stock_key) AS price_key,
        CAST(strftime(trade_date, '%Y%m%d') AS INTEGER) AS date_key,
        CAST(stock_key AS INTEGER) AS stock_key,
-       CAST(strftime(trade_date, '%Y%m') AS INTEGER) AS month_key
-FROM ({_LAKE_ROWS})""")
+       CAST(strftime(trade_date, '%Y%m') AS INTEGER) AS month_key, close_price
+FROM (SELECT *, ordinal + 1 AS stock_key
+      FROM ({_FIRST_COPY}) JOIN holdings USING (ticker_symbol) WHERE copy = 1)""")
 def q_gold_write(spark, sf):
     return sinks.gold_table(spark, b.lake(spark, sf).gold,
                             "fact_stock_prices").select(
-        "price_key", "date_key", "stock_key", "month_key")
+        "price_key", "date_key", "stock_key", "month_key", "close_price")
 
 
 @register("fact_incremental", f"""
@@ -185,11 +212,7 @@ FROM (SELECT trade_date, CAST(ordinal + 1 AS INTEGER) AS stock_key, close_price,
              baseline_value_usd,
              lag(close_price) OVER days AS ago,
              first_value(close_price) OVER days AS opening
-      FROM (SELECT *, row_number() OVER (
-                PARTITION BY ticker_symbol, trade_date
-                ORDER BY open_price NULLS FIRST, high_price NULLS FIRST,
-                         low_price NULLS FIRST, close_price, volume NULLS FIRST)
-                AS copy FROM valid_rows)
+      FROM ({_FIRST_COPY})
       JOIN holdings USING (ticker_symbol)
       WHERE copy = 1
       WINDOW days AS (PARTITION BY ordinal ORDER BY trade_date))""")

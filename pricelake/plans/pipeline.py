@@ -57,6 +57,10 @@ class LakePaths:
     def audit(self) -> str:
         return f"{self.root.rstrip('/')}/_audit"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root.rstrip('/')}/_ledger"
+
 
 def read_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
     return sinks.read_if_exists(spark, paths.bronze, BRONZE)
@@ -102,7 +106,8 @@ def _dropped(seen: Observation, rows_out: int) -> tuple[int, dict[str, int]]:
 def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
                paths: LakePaths, per_ticker_mark: bool = False,
                reference_order: bool = False, restate: bool = False,
-               reprocess_from: dt.date | None = None) -> int:
+               reprocess_from: dt.date | None = None,
+               by_ledger: bool = False) -> int:
     """mark -> incremental load -> clean -> write -> audit.
 
     Returns the rows written (0 when there was nothing new: no write).  Every
@@ -112,23 +117,35 @@ def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
     of each (ticker, date) winning, so restated adjusted prices replace old
     ones.  ``reprocess_from`` does so for the days from that date on and keeps
     the earlier rows as they are.  Both publish a new version of the layer.
+    ``by_ledger`` loads the raw partitions that no load by ledger (or
+    ``restate``) has read, whatever their trade dates, and adds the rows whose
+    key is new: late rows come in, and the mark is not used.
     """
     bronze = read_bronze(spark, paths)
     if bronze is None:
         raise FileNotFoundError(f"no raw layer at {paths.bronze}")
+    present = sinks.ingests(spark, paths.bronze) if restate or by_ledger else {}
     if restate or reprocess_from is not None:
-        return _rebuild_silver(spark, bronze, holdings, params, paths,
-                               None if restate else reprocess_from)
+        n = _rebuild_silver(spark, bronze, holdings, params, paths,
+                            None if restate else reprocess_from)
+        if restate:
+            _record(spark, paths, present, params)
+        return n
     silver = read_silver(spark, paths)
-    if per_ticker_mark and silver is not None:
+    if by_ledger:
+        dates = inc.unloaded(present, sinks.ledger_read(spark, paths.ledger))
+        present = {d: present[d] for d in dates}
+        new = inc.ledger_load(bronze, dates)
+    elif per_ticker_mark and silver is not None:
         new = inc.incremental_load_per_ticker(bronze, silver)
     else:
         new = inc.incremental_load(bronze, inc.mark_value(silver))
     if not inc.has_rows(new):
+        _record(spark, paths, present, params)
         return 0
     cleaned, seen = _cleaned(new, holdings, params,
                              reference_order=reference_order)
-    if per_ticker_mark and silver is not None:
+    if (per_ticker_mark or by_ledger) and silver is not None:
         cleaned = inc.new_keys(cleaned, new, silver, sv.KEY)
     attempt = sinks.new_version(params.run_ts)
     sinks.silver_write(cleaned, paths.silver, params.run_date_iso, attempt)
@@ -137,9 +154,17 @@ def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
     sinks.watermark_commit(spark, paths.audit, params.batch_id, "silver",
                            stats["m"], rows_in, stats["n"], params.run_iso,
                            dropped)
+    _record(spark, paths, present, params)
     return stats["n"]
 
 
+def _record(spark: SparkSession, paths: LakePaths, loaded: dict,
+            params: RunParams) -> None:
+    if loaded:
+        sinks.ledger_commit(spark, paths.ledger, loaded, params.batch_id,
+                            params.run_iso)
+
+
 def _loaded(spark: SparkSession, paths: LakePaths, processed_date: str,
             run_id: str):
     """Rows and newest date of one load: only its own partition is read."""

@@ -17,7 +17,8 @@ current, whatever its run time.  One writer per layer is assumed, as with the
 single scheduled job of the lake.
 
 An audit table records each load (run id, mark, rows in and out, rows dropped
-and why, instruments skipped).
+and why, instruments skipped).  A ledger names the raw partitions that a load
+by ledger has read.
 
 All writes go through Spark's file commit protocol: a failed task is retried
 and a failed job leaves no committed partial output.
@@ -27,8 +28,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,17 +110,25 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return None if row is None else row["version"]
 
 
+def content_digest(columns: list[str]) -> list[Column]:
+    """Aggregates that name a table's content whatever the order of its rows:
+    their number and the sum of their hashes, as a decimal (exact)."""
+    return [F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("digest")]
+
+
 def write_checked(df: DataFrame, path: str, partition_by: list[str] = (),
                   ) -> int:
-    """Write ``df`` to a new ``path`` and hold the stored row count against
-    the rows that the writing plan produced.  Returns the count."""
+    """Write ``df`` to a new ``path`` and hold the stored content against the
+    rows that the writing plan produced.  Returns the row count."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n")) \
+    writer = df.observe(seen, *content_digest(df.columns)) \
         .write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return write_verify(df.sparkSession, path, seen.get["n"], df.schema)
+    return write_verify(df.sparkSession, path, seen.get["n"], df.schema,
+                        seen.get["digest"])
 
 
 # -- raw layer -----------------------------------------------------------------
@@ -136,6 +146,51 @@ def bronze_append(df: DataFrame, bronze_path: str, ingested_date: str) -> bool:
     return True
 
 
+# Ingest partitions that the cleaned layer was loaded from, and their form then.
+LEDGER = T.StructType([
+    T.StructField("ingested_date", T.StringType()),
+    T.StructField("files", T.LongType()),
+    T.StructField("bytes", T.LongType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("recorded_at", T.StringType()),
+])
+
+
+def ingests(spark: SparkSession, bronze_path: str) -> dict[str, tuple[int, int]]:
+    """Ingest date -> (files, bytes) of the raw layer's partitions, by listing
+    its folders; a partition that grows changes its form."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{bronze_path.rstrip('/')}/ingested_date=*")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for x in fs.globStatus(at) or ():
+        size = fs.getContentSummary(x.getPath())
+        found[x.getPath().getName().split("=", 1)[1]] = (
+            size.getFileCount(), size.getLength())
+    return found
+
+
+def ledger_read(spark: SparkSession, ledger_path: str) -> dict[str, set]:
+    """Ingest date -> every form in which a load has read it: a few rows per
+    load, as many as there were raw runs."""
+    rows = read_if_exists(spark, ledger_path, LEDGER)
+    found: dict[str, set] = {}
+    for r in rows.select("ingested_date", "files", "bytes").distinct() \
+            .toLocalIterator() if rows is not None else ():
+        found.setdefault(r[0], set()).add((r[1], r[2]))
+    return found
+
+
+def ledger_commit(spark: SparkSession, ledger_path: str,
+                  loaded: dict[str, tuple[int, int]], run_id: str,
+                  recorded_at: str) -> None:
+    """Record the partitions of a load, after its rows are written.  A load that
+    fails before is repeated and adds only the keys that are missing."""
+    spark.createDataFrame([(d, *form, run_id, recorded_at)
+                           for d, form in sorted(loaded.items())], LEDGER) \
+        .coalesce(1).write.mode("append").parquet(ledger_path)
+
+
 # -- cleaned layer --------------------------------------------------------------
 
 def layer_path(spark: SparkSession, root: str) -> str:
@@ -259,13 +314,23 @@ def of_loads(layer: DataFrame, names: list[str]) -> DataFrame:
 
 def write_verify(spark: SparkSession, path: str,
                  expected: int | None = None,
-                 schema: T.StructType | None = None) -> int:
+                 schema: T.StructType | None = None,
+                 digest: Decimal | None = None) -> int:
     """Row count of a written table, re-read from storage (with ``schema``, as a
-    table without rows may have no file to take it from)."""
+    table without rows may have no file to take it from).  With a ``digest``
+    (``content_digest`` of the rows written), changed values are an error too."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    n = reader.parquet(path).count()
+    stored = reader.parquet(path)
+    if digest is None:
+        n, found = stored.count(), None
+    else:
+        n, found = stored.agg(*content_digest(
+            (schema or stored.schema).names)).first()
     if expected is not None and n != expected:
         raise RuntimeError(f"{path}: wrote {n} rows, expected {expected}")
+    if found != digest:
+        raise RuntimeError(f"{path}: the {n} stored rows differ in content from "
+                           "the rows written")
     return n
 
 

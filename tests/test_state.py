@@ -1,6 +1,7 @@
 """The layers' state survives reruns, failures and odd inputs."""
 
 import datetime as dt
+import itertools
 
 import pandas as pd
 import pyarrow as pa
@@ -8,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from pricelake.operators import incremental as inc
 from pricelake.operators import marts
 from pricelake.params import RunParams
 from pricelake.plans import pipeline as pl
@@ -243,6 +245,94 @@ def test_count_check_before_publishing(spark, lake):
         sinks.write_verify(spark, path, 6)
 
 
+def test_changed_value_stops_the_publish(spark, lake):
+    """Equal counts are not enough: the content is held against what was written."""
+    df = spark.createDataFrame(
+        [(1, 1.5, None, [1, 2], "a"), (2, float("nan"), D(2025, 1, 1), None, "b")],
+        "i int, x double, d date, a array<int>, p string")
+    assert sinks.write_checked(df, f"{lake}/t", ["p"]) == 2
+    n, digest = df.agg(*sinks.content_digest(df.columns)).first()
+    assert sinks.write_verify(spark, f"{lake}/t", n, df.schema, digest) == 2
+    for i, change in enumerate(("x + 1e-9 as x", "cast(null as double) as x")):
+        rest = [c for c in df.columns if c != "x"]
+        df.selectExpr(*rest, change).select(*df.columns) \
+            .write.parquet(f"{lake}/t{i}")
+        with pytest.raises(RuntimeError, match="content"):
+            sinks.write_verify(spark, f"{lake}/t{i}", n, df.schema, digest)
+    none = df.limit(0)
+    assert sinks.write_checked(none, f"{lake}/none") == 0
+
+
+def test_a_failed_check_publishes_nothing(spark, loaded, monkeypatch):
+    paths, hold = loaded
+    calls = itertools.count(1)          # as if other values were read back
+    monkeypatch.setattr(sinks, "content_digest", lambda columns: [
+        F.count(F.lit(1)).alias("n"), F.sum(F.lit(next(calls))).cast(
+            "decimal(20,0)").alias("digest")])
+    with pytest.raises(RuntimeError, match="content"):
+        pl.run_gold(spark, hold, params(13), paths)
+    assert sinks.current_version(spark, paths.gold) is None
+
+
+def test_ledger_brings_in_late_rows(spark, lake):
+    paths, hold = pl.LakePaths(lake), holdings_table(spark, HOLD)
+
+    def load(day):
+        return pl.run_silver(spark, hold, params(day), paths, by_ledger=True)
+    put(spark, paths, [("NVDA", 11, 1.0), ("VFIAX", 12, 2.0)], 12)
+    assert load(12) == 2 and load(12) == 0
+    # late rows: one of a new key, one of a known key with another price
+    put(spark, paths, [("NVDA", 10, 3.0), ("NVDA", 11, 9.0)], 13)
+    assert pl.run_silver(spark, hold, params(13), paths) == 0      # by mark
+    assert load(13) == 1
+    assert silver(spark, paths) == [("NVDA", 10, 3.0), ("NVDA", 11, 1.0),
+                                    ("VFIAX", 12, 2.0)]
+    # a partition that grows after its load is read again, others are not
+    put(spark, paths, [("VFIAX", 9, 4.0)], 13)
+    assert inc.unloaded(sinks.ingests(spark, paths.bronze), sinks.ledger_read(
+        spark, paths.ledger)) == ["2025-03-13"]
+    assert load(14) == 1 and load(14) == 0
+    # rows that are all dropped still count as loaded
+    put(spark, paths, [("NVDA", 8, -1.0)], 15)
+    assert load(15) == 0
+    assert inc.unloaded(sinks.ingests(spark, paths.bronze), sinks.ledger_read(
+        spark, paths.ledger)) == []
+
+
+def test_load_that_failed_before_the_ledger_is_repeated(spark, lake, monkeypatch):
+    paths, hold = pl.LakePaths(lake), holdings_table(spark, HOLD)
+    put(spark, paths, [("NVDA", 11, 1.0)], 12)
+
+    def fail(*a):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "ledger_commit", fail)
+        with pytest.raises(OSError):
+            pl.run_silver(spark, hold, params(12), paths, by_ledger=True)
+    assert pl.run_silver(spark, hold, params(12), paths, by_ledger=True) == 0
+    assert silver(spark, paths) == [("NVDA", 11, 1.0)]
+
+
+def test_restating_fills_the_ledger(spark, lake):
+    paths, hold = pl.LakePaths(lake), holdings_table(spark, HOLD)
+    put(spark, paths, [("NVDA", 11, 1.0)], 12)
+    put(spark, paths, [("NVDA", 10, 2.0)], 13)
+    assert pl.run_silver(spark, hold, params(13), paths, restate=True) == 2
+    assert pl.run_silver(spark, hold, params(13), paths, by_ledger=True) == 0
+
+
+def test_ledger_load_prunes_partitions(spark, lake):
+    paths = pl.LakePaths(lake)
+    for day in (12, 13, 14):
+        put(spark, paths, [("NVDA", day, 1.0)], day)
+    new = inc.ledger_load(pl.read_bronze(spark, paths), ["2025-03-13"])
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "ingested_date" in \
+        plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [f.split("ingested_date=")[1][:10] for f in new.inputFiles()] == \
+        ["2025-03-13"] or new.count() == 1
+
+
 def test_marts_read_the_published_gold(spark, loaded):
     paths, hold = loaded
     pl.run_gold(spark, hold, params(13), paths)
