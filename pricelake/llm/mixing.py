@@ -16,7 +16,9 @@ at the cut gives just the words that are missing, so a source gives exactly
 floor(target) words.  Budgets above the source's words repeat whole epochs.
 
 Cells are small at every size (also those of a source with a third of all
-rows), nothing but the cell and source tables is windowed, and per-source
+rows).  Rows that share an id share a key, hence a cell; those alike in id and
+size are ordered as one row with a count, so a null or repeated id of many rows
+costs as many rows as it has sizes.  Nothing but the cutting cells and the cell and source tables is windowed, and per-source
 values reach the rows through a join that Spark broadcasts only below its own
 size threshold.  The source table itself (one row per distinct source) is
 ordered in one task.
@@ -38,6 +40,7 @@ SHARE = 1.5
 CAP = 2
 KEY_BITS = 60
 ROWS_PER_CELL = 8192
+COPIES_PER_BLOCK = 4096   # rows of one id and size that one task row stands for
 
 
 def _key():
@@ -121,12 +124,24 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id",
                .otherwise(F.when(F.col("cut_cell").isNull(), F.least(
                    F.col("size"), F.col("rest"))).otherwise(0)))
         .cast("bigint").alias("taken"))
+    # rows that share id and size are alike: one row with their number is summed,
+    # and they are written out again in blocks
+    alike = full.where("cell = cut_cell").groupBy(
+        *out, "key", "cell", "epochs", "rest", "cut_before").agg(
+        F.count("*").alias("copies"))
     w = Window.partitionBy(source_col, "cell").orderBy(
         "key", id_col, "size").rowsBetween(Window.unboundedPreceding, -1)
-    left = (F.col("rest") - F.col("cut_before")
-            - F.coalesce(F.sum("size").over(w), F.lit(0)))
-    at_cut = full.where("cell = cut_cell").select(
-        *out, (whole + F.greatest(F.lit(0), F.least(F.col("size"), left)))
+    before = F.coalesce(F.sum(F.col("size") * F.col("copies")).over(w), F.lit(0))
+    blocks = alike.withColumn("left", F.col("rest") - F.col("cut_before") - before) \
+        .withColumn("block", F.explode(F.sequence(
+            F.lit(0).cast("bigint"),
+            F.floor((F.col("copies") - 1) / COPIES_PER_BLOCK)))) \
+        .repartition("key", "size", "block")
+    first = F.col("block") * COPIES_PER_BLOCK
+    at_cut = blocks.withColumn("copy", F.explode(F.sequence(
+        first, F.least(F.col("copies"), first + COPIES_PER_BLOCK) - 1))).select(
+        *out, (whole + F.greatest(F.lit(0), F.least(
+            F.col("size"), F.col("left") - F.col("copy") * F.col("size"))))
         .cast("bigint").alias("taken"))
     return easy.unionByName(at_cut)
 

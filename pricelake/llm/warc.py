@@ -10,7 +10,12 @@ manifest (a table that Spark commits) names the files that count: readers see
 nothing else.
 
 Shards are cut by the prefix sums of payload bytes over at most ``BUCKETS``
-equal ranges of page_id, so they do not depend on Spark's sampling.  Pages
+equal ranges of page_id, so they do not depend on Spark's sampling.  A range of
+more than ``shard_bytes`` is cut again: into equal ranges between its own
+smallest and largest id or, where these are uneven too (an id of very many
+rows, null ids, outliers on several scales), by a hash of payload and url; a
+shard's records are in order of page_id either way.  Only rows alike in id, url
+and payload stay together.  Pages
 with equal payloads (SHA-1 and length) of at least ``min_bytes`` bytes: that
 with the largest page_id is the ``response``, the others are ``revisit``
 records that refer to it.  The largest ids come from a partial aggregate, so
@@ -135,11 +140,28 @@ class _Roller:
         self.records += 1
         return self.close() if self.size >= self.roll else None
 
+    def _rename(self):
+        """A complete file of that name, left by another attempt, holds the same
+        bytes and stays (some file systems refuse to replace it)."""
+        from pyarrow.fs import FileType
+        final = f"{self.root}/{self.name}"
+
+        def there():
+            return self.fs.get_file_info(final).type == FileType.File
+        if not there():
+            try:
+                self.fs.move(self.tmp, final)
+                return
+            except OSError:
+                if not there():
+                    raise
+        self.fs.delete_file(self.tmp)
+
     def close(self):
         if self.out is None:
             return None
         self.out.close()
-        self.fs.move(self.tmp, f"{self.root}/{self.name}")
+        self._rename()
         self.out = None
         row = (self.name, self.shard, self.seq, self.records, self.size,
                self.sha.hexdigest())
@@ -214,13 +236,33 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     upto = F.sum("bytes").over(Window.orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1))
     # at most BUCKETS + 1 rows, whatever the input: windowed and broadcast
-    cuts = (keys.groupBy(at.alias("bucket")).agg(F.sum("n").alias("bytes"))
-            .select("bucket", F.floor(F.coalesce(upto, F.lit(0)) / shard_bytes)
-                    .cast("int").alias("shard")))
+    cuts = stored(
+        keys.groupBy(at.alias("bucket")).agg(
+            F.sum("n").alias("bytes"), F.min("page_id").alias("least"),
+            F.max("page_id").alias("most"))
+        .select("bucket", "least", "most",
+                F.floor(F.coalesce(upto, F.lit(0)) / shard_bytes).cast("int")
+                .alias("first"),
+                F.greatest(F.lit(1), F.ceil(F.col("bytes") / shard_bytes))
+                .cast("int").alias("parts")), "warc-cuts")
+    by_id = F.coalesce(F.least(F.col("parts") - 1, F.floor(
+        (F.col("page_id") - F.col("least")).cast("double") * F.col("parts")
+        / (F.col("most") - F.col("least") + 1.0)).cast("int")), F.lit(0))
+    uneven = (keys.withColumn("bucket", at)
+              .join(F.broadcast(cuts.where("parts > 1")), "bucket")
+              .groupBy("bucket", by_id.alias("part"))
+              .agg(F.sum("n").alias("bytes"))
+              .groupBy("bucket").agg(F.max("bytes").alias("bytes"))
+              .where(F.col("bytes") > 2 * shard_bytes)
+              .select("bucket", F.lit(True).alias("uneven")))
+    cuts = cuts.join(uneven, "bucket", "left")
+    by_hash = F.pmod(F.xxhash64("sha", "url"), F.col("parts")).cast("int")
     shards = total // shard_bytes + 1
 
     full = (rows.withColumn("bucket", at)
             .join(F.broadcast(cuts), "bucket")
+            .withColumn("shard", F.col("first") + F.when(
+                F.col("uneven"), by_hash).otherwise(by_id))
             .join(same, ["sha", "n"], "left")
             .withColumn("revisit", F.col("response").isNotNull()
                         & ~F.col("page_id").eqNullSafe(F.col("response"))))

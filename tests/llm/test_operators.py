@@ -337,6 +337,27 @@ def test_mix_empty(spark):
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 
+def test_mix_of_one_id(spark, monkeypatch):
+    """Rows of one id or without one are as good as others: the source gives
+    exactly its budget, and the SQL agrees."""
+    import duckdb
+    import pandas as pd
+    monkeypatch.setattr(mixing, "COPIES_PER_BLOCK", 7)
+    rng = random.Random(3)
+    docs = [(None if i % 2 else 5, rng.choice("ab"), "w " * rng.randint(0, 6))
+            for i in range(400)] + [(i, "b", "x y z") for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    cols = ("doc_id", "source", "size", "source_size", "target", "taken")
+    frame = pd.DataFrame(docs, columns=["doc_id", "source", "text"])
+    frame["doc_id"] = frame["doc_id"].astype("Int64")
+    con = duckdb.connect()
+    con.register("documents", frame)
+    got = rows(mixing.mix_sources(df), *cols)
+    assert got == ordered(con.execute(
+        f"SELECT {', '.join(cols)} FROM ({mixing.sql()})").fetchall())
+    assert len(got) == len(docs)
+
+
 # ---------------------------------------------------------------- op 7
 
 def test_licenses(spark, arrow_rows, texts):
@@ -504,6 +525,50 @@ def test_warc(spark, arrow_rows):
     assert rows(manifest, *manifest.columns) == rows(again, *manifest.columns)
 
 
+@pytest.mark.parametrize("ids", ["dense", "outlier", "outliers", "hot", "null"])
+def test_warc_shards_are_even(spark, ids):
+    """No distribution of ids puts most bytes in one shard."""
+    n = 1000
+    page = {"dense": range(n), "outlier": [*range(n - 1), 1 << 62],
+            "outliers": [*range(n - 2), 1 << 40, 1 << 62],
+            "hot": [7 if i % 3 else i for i in range(n)], "null": [None] * n}[ids]
+    df = spark.createDataFrame(
+        [(p, f"http://h/{i}", f"{i:5d}" * 20) for i, p in enumerate(page)],
+        "page_id long, url string, html string").repartition(4)
+    folder, manifest = warc.write_warc(df, shard_bytes=10_000)
+    size = {r[0]: r[1] for r in manifest.groupBy("shard").sum("records").collect()}
+    assert len(size) >= 8 and max(size.values()) <= 350, size
+    got = warc.read_warc(folder, manifest)
+    assert ordered((r.page_id, r.payload_bytes) for r in got.collect()) == \
+        ordered((p, 100) for p in page)
+    if ids in ("dense", "outlier"):      # shards follow each other by id
+        seen = [r.page_id for r in got.orderBy("page_id").collect()]
+        assert max(size.values()) <= 210 and seen == sorted(page)
+
+
+def test_warc_writer_runs_twice(spark):
+    """A second attempt of a task leaves the same files and no other."""
+    import pyarrow as pa
+    from pyarrow.fs import FileSelector
+
+    from pricelake.session import scratch_path
+    folder = scratch_path(spark, "warc-twice")
+    fs, root = warc._filesystem(folder)
+    fs.create_dir(root, recursive=True)
+    batch = pa.RecordBatch.from_pydict({
+        "shard": pa.array([0] * 50, pa.int32()), "page": list(range(50)),
+        "url": [f"u{i}" for i in range(50)],
+        "payload": [random.Random(i).randbytes(400) for i in range(50)],
+        "response": pa.array([None] * 50, pa.int64()), "revisit": [False] * 50})
+
+    def run():
+        out = [b.to_pydict() for b in warc._writer(folder, 5000)(iter([batch]))]
+        files = fs.get_file_info(FileSelector(root))
+        return out, sorted((f.base_name, f.size) for f in files)
+    first = run()
+    assert len(first[1]) > 2 and run() == first
+
+
 def test_warc_min_bytes_and_empty(spark):
     df = spark.createDataFrame([(1, "a", "xx"), (2, "b", "xx"), (3, "c", "yyyy"),
                                 (4, "d", "yyyy")], "page_id long, url string, html string")
