@@ -14,21 +14,24 @@ hash of the set, so copies never meet as pairs.
    construction.  (Any fixed order is right; this one keeps prefixes rare.)
 2. A second pass emits each set's prefix: sets that link share at least m
    shingles in the first ``n - ceil(0.85 n) + m`` of the global order, for m of
-   5 % of the set (1 at least).  Prefix rows meet by shingle; a frequent
+   2.5 % of the set (1 at least).  Prefix rows meet by shingle; a frequent
    shingle's rows are dealt over ``SALT`` tasks.
 3. Each node is held against one centre, the least node it meets most often.
    The order is cut into ``FRAGMENTS`` ranges; overlaps are counted range by
    range and summed per pair.  Links found are contracted to components; for
    members with ``NEAR`` % or more in common with their centre the symmetric
    difference to it is kept.
-4. Pairs in different components are left.  Members of one centre cannot link
-   unless their *differences* have so many shingles in common that the rarest
-   few of the smaller one meet the rarest of the larger (a prefix filter on
-   the differences).  So a large group of near copies that are too far apart
-   makes few pairs, though its members share almost every shingle.  All other
-   pairs come from common prefix shingles: m of them, bounded by sizes and
-   positions.
-   What is left is counted as in 3.
+4. Members of one centre: ``|x ^ y| = |dx| + |dy| - 2 |dx & dy|`` for their
+   differences dx, dy to it.  A link needs so many common elements that the
+   rarest few of the smaller difference meet the rarest of the larger (a prefix
+   filter).  Members are first held against a few leaders each and linked ones
+   contracted, in ``ROUNDS``; then all pairs still in different components are
+   made and counted.  So a large group of copies that are too far from their
+   centre, but link among themselves, is not expanded into pairs, and no set is
+   read again.
+5. All other pairs in different components come from common prefix shingles: m
+   of them, in prefixes cut to the pair's two sizes, bounded by places; shingles
+   with the same nodes count as one bundle.  What is left is counted as in 3.
 
 No link that could join components is missed, and copies and near copies are
 not expanded into all pairs.  Before sets travel, parity bitmaps rule pairs out
@@ -63,9 +66,11 @@ PERCENT = 85
 HOT = 32              # documents from which on a shingle counts as frequent
 HOT_ROWS = 1 << 20    # most frequent shingles that are kept
 SALT = 64
-SHARE = 20            # one shingle in so many of a set must meet in the prefix
+SHARE = 40            # one shingle in so many of a set must meet in the prefix
 FRAGMENTS = 8
 NEAR = 60             # per cent: members whose difference to the centre is kept
+LEADERS = 3           # leaders that a member is held against in a round
+ROUNDS = 2            # of leader pairs, before all pairs that are left
 MEMBERS = 4096        # sets that one copy of a centre is held against
 PARITY_BITS = 512
 NEED_BITS = 1 << 23   # size of the hashed set of documents read again
@@ -412,16 +417,17 @@ def _linked(met: DataFrame) -> Column:
     return F.col("both") >= _need(F.col("na") + F.col("nb"), PERCENT)
 
 
-def _difference_pairs(met: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of one centre, not both linked to it, whose
-    differences to it may have enough in common.
+def _difference_rows(met: DataFrame) -> DataFrame:
+    """c, e, node, n, d, linked, pos, most: the rarest elements e of the
+    differences of members to their centre c, where not all are linked to it.
 
-    With differences of dx <= dy elements, a link needs
-    ``t = (dx + dy - H) / 2`` common ones, H being the most that linked sets
-    differ in; t >= 1 unless both are linked to the centre.  So the first
-    ``dx - t + 1`` elements of the smaller one must meet the first
-    ``dy - t + 1`` of the larger one, in any common order; rare ones are
-    first.  Partners are at most n / 0.85 large, which bounds H.
+    Two members differ in ``dx + dy - 2 * common`` elements, so with
+    differences of dx <= dy elements a link needs ``t = (dx + dy - H) / 2``
+    common ones, H being the most that linked sets differ in; t >= 1 unless
+    both are linked to the centre.  So the first ``dx - t + 1`` elements of the
+    smaller one must meet the first ``dy - t + 1`` of the larger one, in any
+    common order; rare ones are first.  Partners are at most n / 0.85 large,
+    which bounds H (``most``).
     """
     members = met.select(F.col("b").alias("c"), F.col("a").alias("node"),
                          F.col("na").alias("n"), F.size("diff").alias("d"),
@@ -439,8 +445,39 @@ def _difference_pairs(met: DataFrame) -> DataFrame:
     rows = rows.join(often, ["c", "e"]) \
         .withColumn("pos", F.row_number().over(by_rarity)) \
         .withColumn("most", most).where(F.col("pos") <= F.col("most") + 1)
-    rows = stored(rows.select("c", "e", "node", "n", "d", "linked", "pos", "most"),
-                  "ngram-differing")
+    return stored(rows.select("c", "e", "node", "n", "d", "linked", "pos",
+                              "most"), "ngram-differing")
+
+
+def _grouped(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows with their component so far (g), where those of one (c, e) lie
+    in several."""
+    rows = rows.join(label, "node", "left") \
+        .withColumn("g", F.coalesce("component", "node")).drop("component")
+    several = rows.groupBy("c", "e").agg(F.min("g").alias("lo"),
+                                         F.max("g").alias("hi")) \
+        .where("lo <> hi").select("c", "e")
+    return rows.join(several, ["c", "e"], "left_semi")
+
+
+def _leader_pairs(rows: DataFrame) -> DataFrame:
+    """c, a, b: each member with the ``LEADERS`` leaders of another component
+    that it meets most often.  An element's leader is its member least by the
+    hash of component and node, so few nodes lead, of few components."""
+    lead = rows.groupBy("c", "e").agg(F.min_by(
+        F.struct(F.col("node").alias("b"), F.col("g").alias("gb")),
+        F.struct(F.xxhash64("g"), F.xxhash64("node"))).alias("lead"))
+    met = rows.join(lead, ["c", "e"]).where(F.col("g") != F.col("lead.gb")) \
+        .groupBy("c", F.col("node").alias("a"), F.col("lead.b").alias("b")) \
+        .count()
+    often = Window.partitionBy("c", "a").orderBy(F.desc("count"), "b")
+    return met.withColumn("place", F.row_number().over(often)) \
+        .where(F.col("place") <= LEADERS).select("c", "a", "b")
+
+
+def _difference_pairs(rows: DataFrame) -> DataFrame:
+    """c, a, b: all pairs of members of one centre, in different components,
+    that the bounds of ``_difference_rows`` leave."""
     # against a member that is not linked, a linked one needs about half of
     # its difference (sizes differ by d at most)
     half = F.least(F.floor(F.col("most") / 2) + 1, F.when(
@@ -460,10 +497,47 @@ def _difference_pairs(met: DataFrame) -> DataFrame:
         (col("x", "d") == col("y", "d")) & (col("x", "node") < col("y", "node")))
     return x.join(y, (col("x", "c") == col("y", "c"))
                   & (col("x", "e") == col("y", "e")) & ordered
-                  & ~(col("x", "linked") & col("y", "linked"))
+                  & (col("x", "g") != col("y", "g"))
                   & (2 * common >= twice) & (2 * ahead("x") >= twice)
                   & (2 * ahead("y") >= twice)) \
-        .select(col("x", "node").alias("a"), col("y", "node").alias("b"))
+        .select(col("x", "c").alias("c"), col("x", "node").alias("a"),
+                col("y", "node").alias("b")).distinct()
+
+
+def _by_differences(pairs: DataFrame, met: DataFrame) -> DataFrame:
+    """The links (a, b) among pairs of members of one centre c, counted from
+    their stored differences: no set travels again."""
+    side = lambda s: met.select(
+        F.col("b").alias("c"), F.col("a").alias(s), F.col("na").alias(f"n{s}"),
+        F.col("diff").alias(f"diff{s}"))
+    both = pairs.join(side("a"), ["c", "a"]).join(side("b"), ["c", "b"])
+    differ = F.size("diffa") + F.size("diffb") \
+        - 2 * F.size(F.array_intersect("diffa", "diffb"))
+    total = F.col("na") + F.col("nb")
+    return both.where(differ <= total - 2 * _need(total, PERCENT)) \
+        .select("a", "b")
+
+
+def _member_links(met: DataFrame, near: DataFrame,
+                  ) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that connect all members of a centre that any chain of
+    links within the centre connects, and the components known on the way.
+
+    Rounds of leader pairs, as many as members, contract most of a group;
+    only pairs of members still in different components are then all made.
+    """
+    rows = _difference_rows(met)
+    links, label = near, stored(components(near), "ngram-labels")
+    for _ in range(ROUNDS):
+        led = stored(_by_differences(_leader_pairs(_grouped(rows, label)), met),
+                     "ngram-led")
+        if led.isEmpty():
+            break
+        links = links.unionByName(led)
+        label = stored(components(links), "ngram-labels")
+    rest = stored(_by_differences(_difference_pairs(_grouped(rows, label)), met),
+                  "ngram-members")
+    return links.unionByName(rest), label
 
 
 def _possible(x: str, y: str) -> Column:
@@ -477,6 +551,52 @@ def _possible(x: str, y: str) -> Column:
         >= F.greatest(n(x, "n"), n(y, "n")) * PERCENT)
 
 
+def _prefix_pairs(known: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components and of different centres that
+    share m shingles in the prefixes that their two sizes ask for.
+
+    Linked sets share ``need`` shingles, so their first m common ones lie in
+    the first ``n - need + m`` of each.  Shingles that the same nodes hold are
+    one bundle, named by hashes of its nodes, with the places of its first
+    one; a pair meets once a bundle.
+    """
+    shared = known.groupBy("k").agg(
+        F.min("c").alias("c1"), F.max("c").alias("c2"),
+        F.min("centre").alias("m1"), F.max("centre").alias("m2")) \
+        .where("c1 <> c2 and m1 <> m2").select("k")
+    rows = known.join(shared, "k", "left_semi")
+    # m for the smallest partner of a node
+    enough = rows.groupBy("node").agg(F.count("*").alias("met"),
+                                      F.max("n").alias("n")) \
+        .where(F.col("met") >= _least_met(F.ceil(F.col("n") * PERCENT / 100))) \
+        .select("node")
+    rows = stored(rows.join(enough, "node", "left_semi"), "ngram-shared")
+    name = rows.groupBy("k").agg(
+        F.bit_xor(F.xxhash64("node")).alias("s1"), F.min("node").alias("s2"),
+        F.count("*").alias("s3")).where("s3 > 1")
+    bundle = ["s1", "s2", "s3"]
+    rows = rows.join(name, "k").groupBy(*bundle, "node", "n", "c", "centre") \
+        .agg(F.count("*").alias("w"), F.min("pos").alias("pos"))
+    rows = stored(rows, "ngram-bundles")
+    x, y = rows.alias("x"), rows.alias("y")
+    col = lambda s, c: F.col(f"{s}.{c}")
+    same = col("x", "s1") == col("y", "s1")
+    for c in bundle[1:]:
+        same &= col("x", c) == col("y", c)
+    need = _need(col("x", "n") + col("y", "n"), PERCENT)
+    m = _least_met(F.least(col("x", "n"), col("y", "n")))
+    ahead = lambda s: col(s, "pos") < col(s, "n") - need + m
+    return x.join(y, same & (col("x", "c") < col("y", "c"))
+                  & (col("x", "centre") != col("y", "centre"))
+                  & (col("x", "centre") != col("y", "node"))
+                  & (col("x", "node") != col("y", "centre"))
+                  & ahead("x") & ahead("y") & _possible("x", "y")) \
+        .groupBy(col("x", "node").alias("a"), col("y", "node").alias("b")) \
+        .agg(F.sum("x.w").alias("met"),
+             F.min(F.least("x.n", "y.n")).alias("n")) \
+        .where(F.col("met") >= _least_met(F.col("n"))).select("a", "b")
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document."""
@@ -504,33 +624,16 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id",
             .select(F.col("node").alias("a"), "b"))
     met = _overlaps(docs, id_col, text_col, best, nodes, NEAR, differences=True)
     near = met.where(_linked(met)).select("a", "b")
-    label = stored(components(near), "ngram-labels")
+    near, label = _member_links(met, near)
     centre = met.select(F.col("a").alias("node"), F.col("b").alias("centre"))
-
     known = rows.join(label, "node", "left").join(centre, "node", "left").select(
         "k", "node", "n", "pos", F.coalesce("component", "node").alias("c"),
         F.coalesce("centre", "node").alias("centre"))
     known = stored(known, "ngram-known")
     discard(spark, rows_path)
-    mixed = known.groupBy("k").agg(
-        F.min("c").alias("c1"), F.max("c").alias("c2"),
-        F.min("centre").alias("m1"), F.max("centre").alias("m2")) \
-        .where("c1 <> c2 and m1 <> m2").select("k")
-    known = known.join(mixed, "k", "left_semi")
-    x, y = known.alias("x"), known.alias("y")
-    cross = x.join(y, (F.col("x.k") == F.col("y.k"))
-                   & (F.col("x.c") < F.col("y.c"))
-                   & (F.col("x.centre") != F.col("y.centre"))
-                   & (F.col("x.centre") != F.col("y.node"))
-                   & (F.col("x.node") != F.col("y.centre"))
-                   & _possible("x", "y")) \
-        .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")) \
-        .agg(F.count("*").alias("met"), F.min(F.least("x.n", "y.n")).alias("n")) \
-        .where(F.col("met") >= _least_met(F.col("n"))).select("a", "b")
-    inner = _difference_pairs(met)
-    far = _overlaps(docs, id_col, text_col,
-                    stored(cross.unionByName(inner).distinct(), "ngram-cross"),
-                    nodes, PERCENT).select("a", "b")
+    cross = stored(_prefix_pairs(known), "ngram-cross")
+    far = _overlaps(docs, id_col, text_col, cross, nodes, PERCENT) \
+        .select("a", "b")
     label = stored(components(near.unionByName(far)), "ngram-labels")
 
     named = sets.select("doc_id", "n", "node").join(label, "node", "left")
