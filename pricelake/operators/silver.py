@@ -24,6 +24,10 @@ from pricelake.schemas import FUND_NULLED, RENAMES, SILVER_COLS, SILVER_KEPT
 
 
 KEY = ["ticker_symbol", "trade_date"]
+# Rows of a bucket of keys from which on its copies combine before the shuffle.
+HEAVY_ROWS = 1 << 20
+KEY_BUCKETS = 1 << 16
+HEAVY_BUCKETS = 1 << 10
 DEFAULT_ORDER = ["ingested_at", "batch_id"]
 
 
@@ -119,25 +123,46 @@ def _rule_counts(as_of: dt.date) -> tuple[list[Column], Column]:
 
 def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
                 order: Sequence[str] = tuple(DEFAULT_ORDER),
-                keep: str = "first") -> DataFrame:
+                keep: str = "first", counted: DataFrame | None = None,
+                heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """One row per key: the first by ``order`` (nulls first), ties by payload;
     ``keep="last"`` keeps the last instead (restated prices: newest wins).
 
-    Written as ``min(struct(order..., payload...))`` per key rather than a
-    ``row_number`` window: ``min`` combines map-side, so a key with millions
-    of copies is reduced inside each map task before the shuffle and never
-    lands whole in one task.  The survivor is deterministic, unlike
-    ``dropDuplicates``.
+    Written as ``min(struct(order..., payload...))`` per key.  Most keys have one
+    row, so sorting every map task's rows to combine them gains nothing: rows
+    are shuffled by key and reduced there.  Only keys in buckets of more than
+    ``heavy_rows`` rows (counted per hash bucket first; the fullest
+    ``HEAVY_BUCKETS``) are reduced inside each map task before the shuffle, so a
+    key with millions of copies never lands whole in one task.  Both ways give
+    the same row.  The survivor is deterministic, unlike ``dropDuplicates``.
+
+    ``counted``: a cheaper frame with the keys of the same rows (others may come
+    along), which the buckets are counted from.
     """
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
-    order_fields = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+    source = df if counted is None else counted
+    heavy = (source.groupBy(bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+             .where(F.col("__n") > heavy_rows)
+             .orderBy(F.desc("__n"), "__b").limit(HEAVY_BUCKETS).select("__b"))
+    is_heavy = F.array_contains(heavy.agg(F.collect_list("__b")).scalar(), bucket)
+    light = _first_copies(df.where(~is_heavy).repartition(*keys), keys, order, keep)
+    # the join changes no row: while it finds no heavy bucket, AQE drops its side
+    held = df.where(is_heavy).withColumn("__b", bucket) \
+        .join(F.broadcast(heavy), "__b", "left_semi").drop("__b")
+    return light.unionByName(_first_copies(held, keys, order, keep))
+
+
+def _first_copies(df: DataFrame, keys: list[str], order: Sequence[str],
+                  keep: str) -> DataFrame:
+    fields = [c for c in dict.fromkeys([*order, *df.columns]) if c not in keys]
     pick = F.max if keep == "last" else F.min
-    first = pick(F.struct(*order_fields, *[F.col(c) for c in payload]))
-    out = df.groupBy(*keys).agg(first.alias("__first"))
-    return out.select(*[F.col(k) for k in keys],
-                      *[F.col(f"__first.{c}").alias(c) for c in payload]
-                      ).select(*df.columns)
+    # a hash of the key goes first: it alone decides nearly all comparisons of
+    # the sort below the aggregate
+    out = df.groupBy(F.xxhash64(*keys).alias("__h"), *keys).agg(
+        pick(F.struct(*[F.col(c) for c in fields])).alias("__first"))
+    return out.select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c)
+                        for c in df.columns])
 
 
 def silver_metadata(df: DataFrame, params: RunParams) -> DataFrame:
@@ -167,10 +192,11 @@ def clean(bronze: DataFrame, holdings: DataFrame, params: RunParams,
     first: the restate mode, for sources that restate adjusted prices.
     """
     df = prepare(bronze, holdings)
+    keys = cast_types(rename_columns(bronze)).select(*KEY)
     if seen is not None:
         df = df.observe(seen, *_rule_counts(params.today)[0])
     if reference_order:
-        df = validate(dedup_first(df, KEY, order, keep), params.today)
+        df = validate(dedup_first(df, KEY, order, keep, keys), params.today)
     else:
-        df = dedup_first(validate(df, params.today), KEY, order, keep)
+        df = dedup_first(validate(df, params.today), KEY, order, keep, keys)
     return silver_metadata(project_contract(df), params).select(*SILVER_COLS)

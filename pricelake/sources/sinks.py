@@ -27,6 +27,7 @@ and a failed job leaves no committed partial output.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from decimal import Decimal
 
@@ -209,8 +210,14 @@ def _stamped(df: DataFrame, processed_date: str, run_id: str) -> DataFrame:
 def silver_write(df: DataFrame, silver_path: str, processed_date: str,
                  run_id: str) -> None:
     """Write the run under (processed_date, run_id) of the current layer,
-    replacing only that run."""
+    replacing only that run.  A run that is not there yet is written straight
+    into its partition, which spares the sort of a partitioned write."""
     path = layer_path(df.sparkSession, silver_path)
+    part = f"{path}/processed_date={processed_date}/run_id={run_id}"
+    if re.fullmatch(r"[\w.-]+", processed_date + run_id) \
+            and not _exists(df.sparkSession, part):
+        df.write.parquet(part)
+        return
     (_stamped(df, processed_date, run_id).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("processed_date", "run_id").parquet(path))

@@ -116,3 +116,26 @@ def test_dedup_skewed_key_is_deterministic(spark):
                          ["batch_id", "seq"])
     got = {r.ticker_symbol: (r.batch_id, r.seq) for r in out.collect()}
     assert got == {"HOT": ("b0", 0), "COLD": ("b0", 0)}
+
+
+def test_dedup_heavy_and_light_keys_agree(spark):
+    """Light keys are not sorted before their shuffle; heavy ones combine in the
+    map tasks; both give the same rows, and equal columns travel once."""
+    rows = [(f"T{i % 11 if i % 3 else 0}", D(2025, 1, 1 + i % 2), float(i % 13),
+             f"b{i % 5}", i) for i in range(4000)]
+    df = spark.createDataFrame(
+        rows, "ticker_symbol string, trade_date date, close_price double, "
+              "batch_id string, seq int").repartition(6)
+    want = {}
+    for t, d, c, bt, q in rows:
+        want[t, d] = min(want.get((t, d), (bt, c, q)), (bt, c, q))
+    for heavy in (1 << 20, 500, 0):
+        out = sv.dedup_first(df, sv.KEY, ["batch_id"], heavy_rows=heavy)
+        got = {(r.ticker_symbol, r.trade_date): (r.batch_id, r.close_price, r.seq)
+               for r in out.collect()}
+        assert got == want and out.count() == len(want)
+    p = sv.dedup_first(df, sv.KEY, ["batch_id"])._jdf.queryExecution() \
+        .executedPlan().toString()
+    light = p[p.index("SortAggregate"):]
+    assert light.index("partial_min") < light.index("REPARTITION_BY_COL")
+    assert "__o0" not in p
