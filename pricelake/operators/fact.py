@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pricelake.functions.numeric import round_half_away
 from pricelake.operators.calendar import dim_date_rows
 from pricelake.operators.joins import broadcast_known
-from pricelake.operators.numbering import sequential_ids
+from pricelake.operators.numbering import laid_out_ids, sequential_ids
 from pricelake.operators.scd2 import current_versions
 from pricelake.params import RunParams
 from pricelake.schemas import FACT_COLS
@@ -130,18 +130,30 @@ def keyed_prices(silver: DataFrame, dim_stock: DataFrame, dim_date: DataFrame,
 
 
 def fact_prices(silver: DataFrame, dim_stock: DataFrame, dim_date: DataFrame,
-                holdings: DataFrame, params: RunParams) -> DataFrame:
-    """The whole price fact (8 columns), unordered."""
+                holdings: DataFrame, params: RunParams,
+                stored_form: bool = False) -> DataFrame:
+    """The whole price fact (8 columns), unordered; or in its ``stored_form``."""
     keyed = keyed_prices(silver, dim_stock, dim_date, holdings, params)
-    return _fact_columns(price_key(with_measures(keyed)))
+    rows = with_measures(keyed)
+    return stored_fact(rows) if stored_form else _fact_columns(price_key(rows))
 
 
-def _fact_columns(fact: DataFrame) -> DataFrame:
+def stored_fact(measured: DataFrame, last_key: int = 0) -> DataFrame:
+    """The stored form of the fact: numbered after ``last_key``, with a month
+    partition column, rows clustered by (date_key, stock_key) within it."""
+    rows = measured.withColumn("month_key", F.floor(F.col("date_key") / 100)
+                               .cast("int"))
+    return _fact_columns(laid_out_ids(
+        rows, "month_key", F.col("date_key"), F.col("stock_key"), "price_key",
+        start=last_key), "month_key")
+
+
+def _fact_columns(fact: DataFrame, *more: str) -> DataFrame:
     return fact.select(
         F.col("price_key").cast("long").alias("price_key"),
         F.col("date_key").cast("int").alias("date_key"),
         F.col("stock_key").cast("int").alias("stock_key"),
-        *FACT_COLS[3:])
+        *FACT_COLS[3:], *more)
 
 
 # -- incremental refresh ---------------------------------------------------------
@@ -188,7 +200,7 @@ def same_basis(basis: DataFrame, carry: DataFrame) -> bool:
 
 def fact_increment(new: DataFrame, carry: DataFrame, dim_stock: DataFrame,
                    dim_date: DataFrame, holdings: DataFrame, params: RunParams,
-                   last_key: int) -> DataFrame:
+                   last_key: int, stored_form: bool = False) -> DataFrame:
     """Fact rows of cleaned prices that are all newer than the fact: the same
     rows that a full refresh would give them.  Only the new days are windowed;
     the price before them and the opening price come from the carry table, and
@@ -196,9 +208,10 @@ def fact_increment(new: DataFrame, carry: DataFrame, dim_stock: DataFrame,
     keyed = keyed_prices(new, dim_stock, dim_date, holdings, params).join(
         carry.select("stock_key", "last_close", "opening_close"), "stock_key",
         "left")
-    return _fact_columns(sequential_ids(
-        with_measures(keyed, carried=True), F.col("date_key"),
-        F.col("stock_key"), "price_key", start=last_key))
+    rows = with_measures(keyed, carried=True)
+    return stored_fact(rows, last_key) if stored_form else _fact_columns(
+        sequential_ids(rows, F.col("date_key"), F.col("stock_key"), "price_key",
+                       start=last_key))
 
 
 def sorted_fact(fact: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 16384
+LAYOUT_BLOCK = 1 << 17
 
 
 def _before(n: str, window) -> Column:
@@ -34,6 +35,28 @@ def _before(n: str, window) -> Column:
         Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def _offsets(cells: DataFrame, *names: str) -> DataFrame:
+    """__c, __b, ``names`` (given by __c), __off: the rows before each cell.
+
+    Cell sizes come from a partial count (combines map-side, tiny shuffle); one
+    row per coarse value holds its cells with their offsets within it, and the
+    running sum over the coarse values adds the rows before it."""
+    counts = cells.groupBy("__c", "__b", *names).agg(F.count(F.lit(1)).alias("__n"))
+    within = Window.partitionBy("__c")
+    inner = counts.select(
+        "__c", "__b", *names, F.sum("__n").over(within).alias("__all"),
+        _before("__n", within.orderBy("__b")).alias("__in"))
+    outer = inner.groupBy("__c").agg(
+        F.max("__all").alias("__n"),
+        F.collect_list(F.struct("__b", *names, "__in")).alias("__cells"))
+    return outer.select(
+        "__c", _before("__n", Window.orderBy("__c")).alias("__out"), "__cells") \
+        .select("__c", "__out", F.explode("__cells").alias("__x")).select(
+        "__c", F.col("__x.__b").alias("__b"),
+        *[F.col(f"__x.{n}").alias(n) for n in names],
+        (F.col("__out") + F.col("__x.__in")).alias("__off"))
+
+
 def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
                    block: int = DEFAULT_BLOCK,
                    start: int | Column = 0) -> DataFrame:
@@ -50,23 +73,7 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
     in_cell = Window.partitionBy("__c", "__b").orderBy("__f")
     numbered = cells.withColumn("__rn", F.row_number().over(in_cell))
 
-    # Cell sizes from a partial count (combines map-side, tiny shuffle); one
-    # row per coarse value holds its cells with their offsets within it, and
-    # the running sum over the coarse values adds the rows before it.
-    counts = cells.groupBy("__c", "__b").agg(F.count(F.lit(1)).alias("__n"))
-    within = Window.partitionBy("__c")
-    inner = counts.select(
-        "__c", "__b", F.sum("__n").over(within).alias("__all"),
-        _before("__n", within.orderBy("__b")).alias("__in"))
-    outer = inner.groupBy("__c").agg(
-        F.max("__all").alias("__n"),
-        F.collect_list(F.struct("__b", "__in")).alias("__cells"))
-    offsets = outer.select(
-        "__c", _before("__n", Window.orderBy("__c")).alias("__out"), "__cells") \
-        .select("__c", "__out", F.explode("__cells").alias("__x")).select(
-        "__c", F.col("__x.__b").alias("__b"),
-        (F.col("__out") + F.col("__x.__in")).alias("__off"))
-
+    offsets = _offsets(cells)
     start_col = start if isinstance(start, Column) else F.lit(start)
     # Every cell has exactly one offset row, so a left join equals the inner
     # join; it lets the optimizer drop the numbering when the id is unused.
@@ -74,3 +81,32 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
         *cols,
         (start_col.cast("long") + F.col("__off").cast("long")
          + F.col("__rn").cast("long")).alias(name))
+
+
+def laid_out_ids(df: DataFrame, part: str, coarse: Column, fine: Column,
+                 name: str, block: int = LAYOUT_BLOCK,
+                 start: int | Column = 0) -> DataFrame:
+    """The numbers of ``sequential_ids``, with the rows in the layout of a table
+    that is partitioned by ``part``: a column of ``df`` that follows from
+    ``coarse``, of bounded length in coarse values (a month of days).
+
+    Rows cross the network once, by (part, fine div block), and are sorted once,
+    by (part, coarse, fine) within a task, both for the numbers and for the
+    files; writing them needs no sampling, further exchange or sort.  A cell's
+    offset is looked up in one row per (part, block).
+    """
+    cols = df.columns
+    cells = df.withColumns({
+        "__c": coarse,
+        "__f": fine.cast("long"),
+    }).withColumn("__b", F.floor(F.col("__f") / F.lit(block)).cast("long"))
+    offsets = _offsets(cells, part).groupBy(part, "__b").agg(F.map_from_entries(
+        F.collect_list(F.struct("__c", "__off"))).alias("__offs"))
+    in_cell = Window.partitionBy(part, "__c", "__b").orderBy("__f")
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    return (cells.repartition(part, "__b").join(offsets, [part, "__b"], "left")
+            .select(*cols, "__c", "__b", "__f",
+                    F.col("__offs")[F.col("__c")].alias("__off"))
+            .withColumn("__rn", F.row_number().over(in_cell))
+            .select(*cols, (start_col.cast("long") + F.col("__off").cast("long")
+                            + F.col("__rn").cast("long")).alias(name)))

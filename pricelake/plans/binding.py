@@ -26,10 +26,10 @@ from pricelake.operators.fact import fact_prices
 from pricelake.operators.marts import (fact_between, fact_tickers, newest_fact,
                                        star_join)
 from pricelake.operators.scd2 import scd2_merge
-from pricelake.plans.pipeline import (LakePaths, fact_layout, run_all,
-                                      run_silver)
+from pricelake.plans.pipeline import LakePaths, run_all, run_silver
 from pricelake.schemas import BRONZE, SILVER_COLS
 from pricelake.session import scratch_path
+from pricelake.sources import sinks
 from pricelake.sources import testdata as td
 from pricelake.streaming.incremental import run_stream
 
@@ -37,6 +37,7 @@ SILVER_ORDER = list(sv.DEFAULT_ORDER) + td.TIE_BREAK + ["close_price"]
 
 _LOCK = threading.RLock()
 _TABLES: dict[tuple, str] = {}
+_SEGMENTS: dict[str, list[str]] = {}     # of a gold layer that is complete
 
 
 def _path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
@@ -128,11 +129,11 @@ def dim_stock_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "dim_stock", lambda: dim_stock(spark, sf_dir))
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, stored_form: bool = False) -> DataFrame:
     """The fact transformation over the stored cleaned layer and dimensions."""
     return fact_prices(silver_table(spark, sf_dir),
                        dim_stock_table(spark, sf_dir), calendar(spark),
-                       td.holdings(spark, sf_dir), td.GOLD_PARAMS)
+                       td.holdings(spark, sf_dir), td.GOLD_PARAMS, stored_form)
 
 
 def fact_table(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
@@ -140,7 +141,7 @@ def fact_table(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
     """The stored fact, in the layout of the gold job, from ``start`` to
     ``end``; with its partition column if ``months``."""
     stored = spark.read.parquet(_path(
-        spark, sf_dir, "fact", lambda path: fact_layout(fact(spark, sf_dir))
+        spark, sf_dir, "fact", lambda path: fact(spark, sf_dir, stored_form=True)
         .write.partitionBy("month_key").parquet(path)))
     rows = fact_between(stored, start, end)
     return rows if months else rows.drop("month_key")
@@ -200,6 +201,20 @@ def daily_lake(spark: SparkSession, sf_dir: str) -> LakePaths:
     return LakePaths(_path(spark, sf_dir, "daily-lake", write))
 
 
+def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact of ``daily_lake``; its state is read once per
+    application."""
+    gold = daily_lake(spark, sf_dir).gold
+    with _LOCK:
+        segments = _SEGMENTS.get(gold)
+        if segments is None:
+            segments = _SEGMENTS[gold] = sinks.fact_state(
+                spark, gold, sinks.mart_guard(spark, gold))["segments"]
+    if len(segments) != 2:
+        raise RuntimeError("the second run did not continue the fact")
+    return sinks.fact_segments(spark, gold, segments)
+
+
 def lake(spark: SparkSession, sf_dir: str) -> LakePaths:
     """All three jobs run once over the stored drops into a fresh lake, whose
     holdings come through ``holdings_table``."""

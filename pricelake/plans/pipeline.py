@@ -201,15 +201,6 @@ def _rebuild_silver(spark, bronze: DataFrame, holdings: DataFrame,
     return stats["n"]
 
 
-def fact_layout(fact: DataFrame) -> DataFrame:
-    """The stored form of the fact: a month partition column, rows clustered
-    by (date_key, stock_key) within it."""
-    return (fact.withColumn("month_key", F.floor(F.col("date_key") / 100)
-                            .cast("int"))
-            .repartitionByRange("date_key", "stock_key")
-            .sortWithinPartitions("date_key", "stock_key"))
-
-
 def _new_prices(spark: SparkSession, paths: LakePaths, layer: str,
                 names: list[str], state, carry: DataFrame, basis: DataFrame,
                 params: RunParams) -> DataFrame | None:
@@ -246,12 +237,13 @@ def refresh_fact(spark: SparkSession, holdings: DataFrame, params: RunParams,
         new = _new_prices(spark, paths, layer, names, state, carry, basis, params)
     if new is None:
         state = carry = None
-        fact = fact_prices(read_silver(spark, paths), dim, cal, holdings, params)
+        fact = fact_prices(read_silver(spark, paths), dim, cal, holdings, params,
+                           stored_form=True)
     else:
         fact = fact_increment(new, carry, dim, cal, holdings, params,
-                              state["last_key"])
+                              state["last_key"], stored_form=True)
     at = sinks.segment_path(paths.gold, version)
-    n = sinks.write_checked(fact_layout(fact), at, ["month_key"])
+    n = sinks.write_checked(fact, at, ["month_key"])
     rows = sinks.fact_segments(spark, paths.gold, [version])
     last = rows.agg(F.max("date_key")).first()[0] if n else None
     before = state["rows"] if state else 0

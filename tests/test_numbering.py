@@ -35,3 +35,21 @@ def test_no_unpartitioned_window_over_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the only single-partition exchange feeds the per-coarse-value totals
     assert plan.count("SinglePartition") <= 1
+
+
+def test_laid_out_ids_number_and_cluster_rows(spark):
+    """The numbers of ``sequential_ids``; written by part without another sort or
+    exchange, each task's rows in order."""
+    from pricelake.operators.numbering import laid_out_ids
+    rows = [(c // 10, c, f) for c in range(40) for f in range(c % 7, 300, 1 + c % 5)]
+    df = spark.createDataFrame(rows, "part int, c int, f int").repartition(7)
+    out = laid_out_ids(df, "part", F.col("c"), F.col("f"), "id", block=64, start=5)
+    want = {k[1:]: 6 + i for i, k in enumerate(sorted(rows))}
+    by_task = out.withColumn("t", F.spark_partition_id()).collect()
+    assert {(r.c, r.f): r.id for r in by_task} == want
+    for t in {r.t for r in by_task}:
+        own = [(r.part, r.c, r.f) for r in by_task if r.t == t]
+        assert [x[:2] for x in own] == sorted(x[:2] for x in own)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in p
+    assert p.count("REPARTITION_BY_COL") == 1
