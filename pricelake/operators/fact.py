@@ -6,7 +6,8 @@ while Spark finds those sides below its size limit, so the price rows are not
 shuffled for them.  One
 exchange on ``stock_key`` feeds both ``lag`` and ``first`` (same window
 spec, one sort).  The price key is numbered by ``sequential_ids`` over
-(trade date, stock key) instead of a global ``ROW_NUMBER``.
+(trade date, stock key) instead of a global ``ROW_NUMBER``; in the stored form
+by ``laid_out_ids``, whose exchange and sort are those of the written files.
 
 Window size bound: after de-duplication a stock has at most one row per
 calendar day, so one ``stock_key`` partition holds at most
