@@ -492,6 +492,31 @@ def test_toxicity(spark):
     assert toxicity.toxicity_scores(df.limit(0), model).count() == 0
 
 
+def test_toxicity_learns_from_every_row(spark):
+    """More rows of a class than any bounded sample held, in many shards."""
+    docs = [(i, f"plain w{i % 50} t{i}" if i % 6 else f"grim w{i % 50} t{i}")
+            for i in range(9000)]
+    df = doc_frame(spark, docs + docs[:40])          # repeated rows count once
+    lab = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in docs],
+                                "doc_id long, toxic int")
+    rows = toxicity.training_rows(df, lab, shard_rows=500)
+    learned = lab.where(~toxicity.held_out()).count()
+    assert learned > 2 * 2000 and rows.count() == learned
+    assert rows.select("shard").distinct().count() > 10
+    plain = lab.where(~toxicity.held_out()).where("toxic = 0").count()
+    slot = toxicity.tk.hash_of("plain") >> (64 - toxicity.BITS)
+    assert toxicity.word_documents(rows)[int(slot)] >= plain
+    got = toxicity.toxicity_scores(df, toxicity.fit(rows)).join(lab, "doc_id")
+    assert got.where("predicted <> toxic").count() == 0
+
+
+def test_toxicity_threshold_counts_every_row():
+    at, n, hit = np.array([9, 5, -3, 5]), np.array([4, 1, 90, 2]), \
+        np.array([4, 1, 0, 1])
+    # 9 and 5 are taken: the middle of the gap between 5 and the end of -3
+    assert toxicity._threshold(at, n, hit) == (5 - 2) / 2 / toxicity.GRID
+
+
 # ---------------------------------------------------------------- op 10
 
 def test_warc(spark, arrow_rows):
