@@ -48,6 +48,8 @@ if there is no other).  Ids must be integers.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -280,6 +282,19 @@ def _need(total: Column, percent: int) -> Column:
     return F.ceil(total * percent / (100 + percent)).cast("long")
 
 
+def _parity_words(bits: str) -> list[Column]:
+    """A parity bitmap as longs."""
+    return [F.conv(F.hex(F.substring(bits, 8 * i + 1, 8)), 16, -10).cast("long")
+            for i in range(PARITY_BITS // 64)]
+
+
+def _differing(x: list[Column], y: list[Column]) -> Column:
+    """Bits in which two parity bitmaps differ: two sets differ in as many
+    elements or more."""
+    return functools.reduce(operator.add, (
+        F.bit_count(a.bitwiseXOR(b)) for a, b in zip(x, y)))
+
+
 def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that sizes and parity bitmaps do not rule out, and their
     set sizes (na, nb)."""
@@ -289,14 +304,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     total = F.col("na") + F.col("nb")
     need = _need(total, percent)
-    words = PARITY_BITS // 64
-
-    def word(col, i):
-        return F.conv(F.hex(F.substring(col, 8 * i + 1, 8)), 16, -10) \
-            .cast("long")
-    differ = sum((F.bit_count(word("bitsa", i).bitwiseXOR(word("bitsb", i)))
-                  for i in range(1, words)),
-                 F.bit_count(word("bitsa", 0).bitwiseXOR(word("bitsb", 0))))
+    differ = _differing(_parity_words("bitsa"), _parity_words("bitsb"))
     return (both.withColumn("need", need)
             .where(F.least("na", "nb") >= F.col("need"))
             .where(differ <= total - 2 * F.col("need"))
@@ -551,14 +559,15 @@ def _possible(x: str, y: str) -> Column:
         >= F.greatest(n(x, "n"), n(y, "n")) * PERCENT)
 
 
-def _prefix_pairs(known: DataFrame) -> DataFrame:
+def _prefix_pairs(known: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) in different components and of different centres that
     share m shingles in the prefixes that their two sizes ask for.
 
     Linked sets share ``need`` shingles, so their first m common ones lie in
     the first ``n - need + m`` of each.  Shingles that the same nodes hold are
     one bundle, named by hashes of its nodes, with the places of its first
-    one; a pair meets once a bundle.
+    one; a pair meets once a bundle.  The nodes' parity bitmaps rule out pairs as
+    they meet, such as those of texts that only share a passage.
     """
     shared = known.groupBy("k").agg(
         F.min("c").alias("c1"), F.max("c").alias("c2"),
@@ -577,20 +586,26 @@ def _prefix_pairs(known: DataFrame) -> DataFrame:
     bundle = ["s1", "s2", "s3"]
     rows = rows.join(name, "k").groupBy(*bundle, "node", "n", "c", "centre") \
         .agg(F.count("*").alias("w"), F.min("pos").alias("pos"))
-    rows = stored(rows, "ngram-bundles")
+    bits = [f"bits{i}" for i in range(PARITY_BITS // 64)]
+    rows = stored(rows.join(nodes.select("node", *[
+        word.alias(c) for c, word in zip(bits, _parity_words("bits"))]), "node"),
+        "ngram-bundles")
     x, y = rows.alias("x"), rows.alias("y")
     col = lambda s, c: F.col(f"{s}.{c}")
     same = col("x", "s1") == col("y", "s1")
     for c in bundle[1:]:
         same &= col("x", c) == col("y", c)
-    need = _need(col("x", "n") + col("y", "n"), PERCENT)
+    total = col("x", "n") + col("y", "n")
+    need = _need(total, PERCENT)
+    differ = _differing([col("x", c) for c in bits], [col("y", c) for c in bits])
     m = _least_met(F.least(col("x", "n"), col("y", "n")))
     ahead = lambda s: col(s, "pos") < col(s, "n") - need + m
     return x.join(y, same & (col("x", "c") < col("y", "c"))
                   & (col("x", "centre") != col("y", "centre"))
                   & (col("x", "centre") != col("y", "node"))
                   & (col("x", "node") != col("y", "centre"))
-                  & ahead("x") & ahead("y") & _possible("x", "y")) \
+                  & ahead("x") & ahead("y") & _possible("x", "y")
+                  & (differ <= total - 2 * need)) \
         .groupBy(col("x", "node").alias("a"), col("y", "node").alias("b")) \
         .agg(F.sum("x.w").alias("met"),
              F.min(F.least("x.n", "y.n")).alias("n")) \
@@ -631,7 +646,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id",
         F.coalesce("centre", "node").alias("centre"))
     known = stored(known, "ngram-known")
     discard(spark, rows_path)
-    cross = stored(_prefix_pairs(known), "ngram-cross")
+    cross = stored(_prefix_pairs(known, nodes), "ngram-cross")
     far = _overlaps(docs, id_col, text_col, cross, nodes, PERCENT) \
         .select("a", "b")
     label = stored(components(near.unionByName(far)), "ngram-labels")

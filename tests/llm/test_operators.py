@@ -311,6 +311,21 @@ def test_ngram_threshold(spark):
     assert ngram_join.ngram_components(doc_frame(spark, docs).limit(0)).count() == 0
 
 
+def test_ngram_pairs_that_only_share_a_passage_never_meet(spark):
+    """Sets with a long passage in common but differing bitmaps are ruled out in
+    the join itself; equal bitmaps are not."""
+    known = spark.createDataFrame(
+        [(k, node, 400, k, node, node) for node in range(12) for k in range(30)],
+        "k long, node long, n int, pos int, c long, centre long")
+    rng = np.random.default_rng(3)
+    own = [rng.bytes(ngram_join.PARITY_BITS // 8) for _ in range(11)]
+    nodes = spark.createDataFrame(
+        [(i, 400, bytearray(b)) for i, b in enumerate([*own, own[0]])],
+        "node long, n long, bits binary")
+    got = ngram_join._prefix_pairs(known, nodes)
+    assert rows(got, "a", "b") == [(0, 11)]
+
+
 # ---------------------------------------------------------------- op 6
 
 @pytest.mark.parametrize("per_cell", [8192, 4])
