@@ -28,7 +28,7 @@ from pricelake.operators.marts import (fact_between, fact_tickers, newest_fact,
 from pricelake.operators.scd2 import scd2_merge
 from pricelake.plans.pipeline import LakePaths, run_all, run_silver
 from pricelake.schemas import BRONZE, SILVER_COLS
-from pricelake.session import scratch_path
+from pricelake.session import layer_settings, scratch_path
 from pricelake.sources import sinks
 from pricelake.sources import testdata as td
 from pricelake.streaming.incremental import run_stream
@@ -47,7 +47,8 @@ def _path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
         path = _TABLES.get(key)
         if path is None:
             path = scratch_path(spark, name)
-            write(path)
+            with layer_settings(spark):
+                write(path)
             _TABLES[key] = path
     return path
 
@@ -103,9 +104,10 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "silver-stream")
 
     def load(checkpoint):
-        run_stream(spark, f"{out}/raw", f"{out}/table", f"{out}/{checkpoint}",
-                   td.holdings(spark, sf_dir), td.SILVER_PARAMS,
-                   schema=raw.schema, order=SILVER_ORDER)
+        with layer_settings(spark):
+            run_stream(spark, f"{out}/raw", f"{out}/table", f"{out}/{checkpoint}",
+                       td.holdings(spark, sf_dir), td.SILVER_PARAMS,
+                       schema=raw.schema, order=SILVER_ORDER)
     for i in range(len(td.LANDING_FLAGS)):
         raw.where(F.col("batch_id") == td.landing_params(i).batch_id) \
             .write.mode("append").parquet(f"{out}/raw")

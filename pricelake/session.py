@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+# While a layer is written: shuffles begin with that many partitions at least,
+# which AQE joins up to its advisory size, so what a task sorts grows later with
+# the input (200 are the most that map tasks write without holding rows); and
+# joins whose smaller side is small in every partition need no sort.
+LAYER_PARTITIONS = 200
+LAYER_HASH_JOIN = "64m"
+
+
+@contextmanager
+def layer_settings(spark: SparkSession) -> Iterator[None]:
+    """The session's settings, but for those of AQE that suit a large write;
+    what the session sets itself is kept (if it is no fewer partitions)."""
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    local = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    old = {name: spark.conf.get(name, None) for name in (first, local)}
+    n = int(old[first] or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(first, str(max(n, LAYER_PARTITIONS)))
+    if old[local] in (None, "0", "0b"):
+        spark.conf.set(local, LAYER_HASH_JOIN)
+    try:
+        yield
+    finally:
+        for name, value in old.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
