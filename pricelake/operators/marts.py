@@ -144,8 +144,12 @@ def drop_null_returns(star: DataFrame) -> DataFrame:
 
 def ticker_history(star: DataFrame, ticker: str | None = None) -> DataFrame:
     """Price history per ticker in date order, with the ticker's metadata
-    taken from its first row (fund, sector, readable type label)."""
+    taken from its first row (fund, sector, readable type label).
+
+    Rows are dealt by ranges of tickers before the window, so one exchange and
+    one sort serve both the window and the order of the result."""
     df = star if ticker is None else star.where(F.col("ticker_symbol") == ticker)
+    df = df.repartitionByRange("ticker_symbol")
     w = Window.partitionBy("ticker_symbol").orderBy("trade_date")
     meta = {c: F.first(c).over(w) for c in ("fund_name", "sector",
                                             "instrument_type")}
