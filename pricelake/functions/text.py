@@ -18,9 +18,15 @@ def py_strip(x) -> Column:
     """Strip leading and trailing whitespace the way ``str.strip()`` does.
 
     ``trim(str, chars)`` treats ``chars`` as a set, so this is a plain scan
-    from both ends (no regular expression).
+    from both ends (no regular expression).  It still costs several times a
+    comparison, so a text that begins and ends with a visible ASCII character
+    is passed as it is.
     """
-    return F.trim(_c(x), F.lit(PY_WHITESPACE))
+    x = _c(x)
+    ends = (x, F.substring(x, -1, 1))
+    bare = [(c >= F.lit("!")) & (c < F.lit("\x7f")) for c in ends]
+    return F.when(bare[0] & bare[1], x).otherwise(
+        F.trim(x, F.lit(PY_WHITESPACE)))
 
 
 def clean_ticker(x) -> Column:

@@ -145,7 +145,9 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
     heavy = (source.groupBy(bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > heavy_rows)
              .orderBy(F.desc("__n"), "__b").limit(HEAVY_BUCKETS).select("__b"))
-    is_heavy = F.array_contains(heavy.agg(F.collect_list("__b")).scalar(), bucket)
+    found = heavy.agg(F.collect_list("__b")).scalar()
+    # no row is hashed for it where no bucket is heavy
+    is_heavy = (F.size(found) > 0) & F.array_contains(found, bucket)
     light = _first_copies(df.where(~is_heavy).repartition(*keys), keys, order, keep)
     # the join changes no row: while it finds no heavy bucket, AQE drops its side
     held = df.where(is_heavy).withColumn("__b", bucket) \
