@@ -31,7 +31,8 @@ hash of the set, so copies never meet as pairs.
    read again.
 5. All other pairs in different components come from common prefix shingles: m
    of them, in prefixes cut to the pair's two sizes, bounded by places; shingles
-   with the same nodes count as one bundle.  What is left is counted as in 3.
+   with the same nodes count as one bundle, and a pair is made at the first
+   bundle it shares.  What is left is counted as in 3.
 
 No link that could join components is missed, and copies and near copies are
 not expanded into all pairs.  Before sets travel, parity bitmaps rule pairs out
@@ -74,6 +75,7 @@ NEAR = 60             # per cent: members whose difference to the centre is kept
 LEADERS = 3           # leaders that a member is held against in a round
 ROUNDS = 2            # of leader pairs, before all pairs that are left
 MEMBERS = 4096        # sets that one copy of a centre is held against
+FIRST = 32            # bundles of a node that its later ones know
 PARITY_BITS = 512
 NEED_BITS = 1 << 23   # size of the hashed set of documents read again
 
@@ -97,6 +99,11 @@ def _least_met(n: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(n / SHARE))
 
 
+def _least_for(n: Column) -> Column:
+    """Prefix shingles that a set of n shares with the smallest it links to."""
+    return _least_met(F.ceil(n * PERCENT / 100))
+
+
 def doc_sets(data, off) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every document of a chunk."""
     starts, ends, doc = tk.words(data, off, tk.NONSPACE)
@@ -559,57 +566,111 @@ def _possible(x: str, y: str) -> Column:
         >= F.greatest(n(x, "n"), n(y, "n")) * PERCENT)
 
 
+def _bundles(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """k, node, n, c, centre, pos, left, before and the words of the parity
+    bitmap: one row for each node of a bundle, the shingles that the same nodes
+    hold.  A bundle is named by its first shingle k, at place pos; ``left``
+    shingles of the node's rows are not before it, and ``before`` are those of
+    the node's first ``FIRST`` bundles that are."""
+    name = rows.groupBy("k").agg(
+        F.bit_xor(F.xxhash64("node")).alias("s1"), F.min("node").alias("s2"),
+        F.count("*").alias("s3")).where("s3 > 1")
+    bundles = rows.join(name, "k") \
+        .groupBy("s1", "s2", "s3", "node", "n", "c", "centre") \
+        .agg(F.count("*").alias("w"), F.min_by("k", "pos").alias("k"),
+             F.min("pos").alias("pos"))
+    ordered = Window.partitionBy("node").orderBy("pos")
+    whole = ordered.rowsBetween(Window.unboundedPreceding,
+                                Window.unboundedFollowing)
+    passed = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.col("place")
+    bundles = bundles.withColumn("place", F.row_number().over(ordered)) \
+        .withColumn("left", F.sum("w").over(whole) - F.sum("w").over(passed)
+                    + F.col("w")) \
+        .withColumn("first", F.collect_list(
+            F.when(place <= FIRST, F.col("k"))).over(whole)) \
+        .where(F.col("left") >= _least_for(F.col("n"))) \
+        .select("k", "node", "n", "c", "centre", "pos", "left", F.slice(
+            "first", F.lit(1), F.least(place - 1, F.lit(FIRST))).alias("before"))
+    return bundles.join(nodes.select("node", *[
+        word.alias(f"bits{i}") for i, word in enumerate(_parity_words("bits"))]),
+        "node")
+
+
+def _meeting(bundles: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components and of different centres, with
+    their sizes (na, nb), at the first bundle they share.
+
+    If any common bundle lies in both prefixes that the two sizes ask for, the
+    first one does, with m shingles left from it on.  Where two rows know a
+    common bundle before them, the pair met there.  The parity bitmaps rule out
+    pairs as they meet, such as those of texts that only share a passage.
+    """
+    x, y = bundles.alias("x"), bundles.alias("y")
+    col = lambda s, c: F.col(f"{s}.{c}")
+    bits = [f"bits{i}" for i in range(PARITY_BITS // 64)]
+    total = col("x", "n") + col("y", "n")
+    need = _need(total, PERCENT)
+    differ = _differing([col("x", c) for c in bits], [col("y", c) for c in bits])
+    m = _least_met(F.least(col("x", "n"), col("y", "n")))
+    ahead = lambda s: (
+        col(s, "pos") < col(s, "n") - need + m) & (col(s, "left") >= m)
+    return x.join(y, (col("x", "k") == col("y", "k"))
+                  & (col("x", "c") < col("y", "c"))
+                  & (col("x", "centre") != col("y", "centre"))
+                  & (col("x", "centre") != col("y", "node"))
+                  & (col("x", "node") != col("y", "centre"))
+                  & ahead("x") & ahead("y") & _possible("x", "y")
+                  & (differ <= total - 2 * need)
+                  & ~F.arrays_overlap("x.before", "y.before")) \
+        .select(col("x", "node").alias("a"), col("y", "node").alias("b"),
+                col("x", "n").alias("na"), col("y", "n").alias("nb"))
+
+
+def _meeting_often(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share m of the rows' shingles in the prefixes that
+    their two sizes (na, nb) ask for."""
+    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = stored(
+        rows.join(used, "node", "left_semi").groupBy("node").agg(
+            F.sort_array(F.collect_list(F.struct("pos", "k"))).alias("r"))
+        .select("node", F.col("r.k").alias("ks"), F.col("r.pos").alias("places")),
+        "ngram-held")
+    side = lambda s: held.select(
+        F.col("node").alias(s), F.col("ks").alias(f"ks{s}"),
+        F.col("places").alias(f"places{s}"))
+    need = _need(F.col("na") + F.col("nb"), PERCENT)
+    m = _least_met(F.least("na", "nb"))
+
+    def ahead(s: str) -> Column:
+        end = F.col(f"n{s}") - need + m
+        return F.slice(f"ks{s}", F.lit(1), F.size(
+            F.filter(f"places{s}", lambda pos: pos < end)))
+    return pairs.join(side("a"), "a").join(side("b"), "b") \
+        .where(F.size(F.array_intersect(ahead("a"), ahead("b"))) >= m) \
+        .select("a", "b")
+
+
 def _prefix_pairs(known: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) in different components and of different centres that
     share m shingles in the prefixes that their two sizes ask for.
 
     Linked sets share ``need`` shingles, so their first m common ones lie in
-    the first ``n - need + m`` of each.  Shingles that the same nodes hold are
-    one bundle, named by hashes of its nodes, with the places of its first
-    one; a pair meets once a bundle.  The nodes' parity bitmaps rule out pairs as
-    they meet, such as those of texts that only share a passage.
+    the first ``n - need + m`` of each.  Pairs are made once, at the first
+    bundle of shingles they share; what they share is counted afterwards.
     """
     shared = known.groupBy("k").agg(
         F.min("c").alias("c1"), F.max("c").alias("c2"),
         F.min("centre").alias("m1"), F.max("centre").alias("m2")) \
         .where("c1 <> c2 and m1 <> m2").select("k")
     rows = known.join(shared, "k", "left_semi")
-    # m for the smallest partner of a node
     enough = rows.groupBy("node").agg(F.count("*").alias("met"),
                                       F.max("n").alias("n")) \
-        .where(F.col("met") >= _least_met(F.ceil(F.col("n") * PERCENT / 100))) \
-        .select("node")
+        .where(F.col("met") >= _least_for(F.col("n"))).select("node")
     rows = stored(rows.join(enough, "node", "left_semi"), "ngram-shared")
-    name = rows.groupBy("k").agg(
-        F.bit_xor(F.xxhash64("node")).alias("s1"), F.min("node").alias("s2"),
-        F.count("*").alias("s3")).where("s3 > 1")
-    bundle = ["s1", "s2", "s3"]
-    rows = rows.join(name, "k").groupBy(*bundle, "node", "n", "c", "centre") \
-        .agg(F.count("*").alias("w"), F.min("pos").alias("pos"))
-    bits = [f"bits{i}" for i in range(PARITY_BITS // 64)]
-    rows = stored(rows.join(nodes.select("node", *[
-        word.alias(c) for c, word in zip(bits, _parity_words("bits"))]), "node"),
-        "ngram-bundles")
-    x, y = rows.alias("x"), rows.alias("y")
-    col = lambda s, c: F.col(f"{s}.{c}")
-    same = col("x", "s1") == col("y", "s1")
-    for c in bundle[1:]:
-        same &= col("x", c) == col("y", c)
-    total = col("x", "n") + col("y", "n")
-    need = _need(total, PERCENT)
-    differ = _differing([col("x", c) for c in bits], [col("y", c) for c in bits])
-    m = _least_met(F.least(col("x", "n"), col("y", "n")))
-    ahead = lambda s: col(s, "pos") < col(s, "n") - need + m
-    return x.join(y, same & (col("x", "c") < col("y", "c"))
-                  & (col("x", "centre") != col("y", "centre"))
-                  & (col("x", "centre") != col("y", "node"))
-                  & (col("x", "node") != col("y", "centre"))
-                  & ahead("x") & ahead("y") & _possible("x", "y")
-                  & (differ <= total - 2 * need)) \
-        .groupBy(col("x", "node").alias("a"), col("y", "node").alias("b")) \
-        .agg(F.sum("x.w").alias("met"),
-             F.min(F.least("x.n", "y.n")).alias("n")) \
-        .where(F.col("met") >= _least_met(F.col("n"))).select("a", "b")
+    bundles = stored(_bundles(rows, nodes), "ngram-bundles")
+    pairs = stored(_meeting(bundles).distinct(), "ngram-meeting")
+    return _meeting_often(pairs, rows)
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id",

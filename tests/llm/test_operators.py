@@ -326,6 +326,60 @@ def test_ngram_pairs_that_only_share_a_passage_never_meet(spark):
     assert rows(got, "a", "b") == [(0, 11)]
 
 
+def family_prefixes(seed=4):
+    """Sets of three families, most pairs of which share many shingles, each in
+    a bundle of its own, and the prefix rows of all of them."""
+    rng = random.Random(seed)
+    sets = []
+    for family in range(3):
+        base = rng.sample(range(family * 1000, family * 1000 + 1000), 200)
+        sets += [set(rng.sample(base, 200 - off)) | set(rng.sample(range(3000), off))
+                 for off in (3, 5, 8, 8, 12, 12, 15, 20, 25, 30)]
+    prefixes = []
+    for node, x in enumerate(sets):
+        n = len(x)
+        first = n - ngram_join.least_overlap(n) + ngram_join.least_met(n)
+        prefixes += [(k, node, n, pos, node, node)
+                     for pos, k in enumerate(sorted(x)[:first])]
+    return sets, prefixes
+
+
+@pytest.mark.parametrize("first", [1, 4, 32])
+def test_ngram_pairs_are_made_once(spark, first, monkeypatch):
+    """The join of bundles makes a pair about once, however many bundles it
+    shares, and loses no link."""
+    from pyspark.sql import Column
+    monkeypatch.setattr(ngram_join, "FIRST", first, raising=False)
+    sets, prefixes = family_prefixes()
+    known = spark.createDataFrame(
+        prefixes, "k long, node long, n int, pos int, c long, centre long")
+    nodes = spark.createDataFrame(
+        [(i, len(x), bytearray(ngram_join.PARITY_BITS // 8))
+         for i, x in enumerate(sets)], "node long, n long, bits binary")
+    made, join = [], type(known).join
+
+    def counted(self, other, on=None, how=None):
+        got = join(self, other, on, how)
+        if isinstance(on, Column):
+            made.append(got.count())
+        return got
+    monkeypatch.setattr(type(known), "join", counted)
+    got = set(rows(ngram_join._prefix_pairs(known, nodes), "a", "b"))
+
+    links, often = set(), set()
+    for b, y in enumerate(sets):
+        for a, x in enumerate(sets[:b]):
+            both = len(x & y)
+            if 100 * both >= 85 * (len(x) + len(y) - both):
+                links.add((a, b))
+            if both >= ngram_join.least_met(min(len(x), len(y))):
+                often.add((a, b))
+    assert len(links) > 20 and links <= got <= often
+    assert len(made) == 1
+    if first == 32:
+        assert made[0] <= 1.1 * len(often)
+
+
 # ---------------------------------------------------------------- op 6
 
 @pytest.mark.parametrize("per_cell", [8192, 4])
