@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,23 +40,38 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     Parquet's snappy keeps direct buffers until a full collection, which adds
     up over many small files.
     """
+    path = scratch_path(df.sparkSession, name)
+    return _append(df, path), path
+
+
+def _append(df: DataFrame, path: str) -> DataFrame:
+    """Add ``df`` to the scratch table at ``path`` and return the table."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
     old = {name: spark.conf.get(name) for name in WRITE_SETTINGS}
     for name, value in WRITE_SETTINGS.items():
         spark.conf.set(name, value)
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
     finally:
         for name, value in old.items():
             spark.conf.set(name, value)
-    return spark.read.schema(df.schema).parquet(path), path
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     return stored_at(df, name)[0]
 
 
+def stored_parts(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """One scratch table of all ``parts`` (at least one, of one schema), written
+    one after the other."""
+    path = None
+    for df in parts:
+        path = path or scratch_path(df.sparkSession, name)
+        rows = _append(df, path)
+    return rows
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -12,8 +12,9 @@ links are then made mutual and thinned again.  The candidates are the
 ``WIDTH`` nearest of all earlier nodes of the shard, found exactly in blocks of
 distances, where the usual construction finds them by a search.
 
-*Search.*  Queries, in chunks of bounded size, visit every shard.  All queries
-of a chunk go down the levels together, with one candidate each, and at the
+*Search.*  Queries, in chunks of bounded size, visit every shard; the chunks are
+sent to the shards in blocks of ``SENT_BYTES``, one after the other, so neither the
+driver's share nor a shuffle grows with queries times shards.  All queries of a chunk go down the levels together, with one candidate each, and at the
 bottom keep the ``ef`` best, expanding the nearest one not yet expanded until
 none is left.  Distances are then taken again in double precision on the
 original vectors, each node is expanded to its ids, and the k nearest of each
@@ -43,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import stored
+from pricelake.llm.common import stored, stored_parts
 
 SHARD = 8192        # rows of a shard
 LINKS = 16          # neighbours kept per node above the bottom level
@@ -51,6 +52,7 @@ WIDTH = 64          # candidates a node's neighbours are chosen from
 EF = 96             # candidates a search keeps at the bottom level
 CHUNK = 512         # queries of a chunk
 BLOCK = 512         # rows of a block of distances
+SENT_BYTES = 1 << 23    # vectors of the queries that are broadcast at once
 
 
 @dataclass(frozen=True)
@@ -321,19 +323,25 @@ def nearest(index: Index, is_query: Column, k: int = 10, ef: int = EF) -> DataFr
     if k > index.k:
         raise ValueError(f"the index keeps neighbours for k up to {index.k}")
     q = index.vectors.where(is_query)
+    n, n_bytes = q.agg(F.count(F.lit(1)), F.sum(8 * F.size("v"))).first()
     # chunks of queries of one length, of about CHUNK rows each
-    chunk = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-q.count() // CHUNK))))
-    chunks = q.select("row", "vec_id", "v", F.size("v").alias("dim"),
-                      chunk.alias("chunk")).groupBy("dim", "chunk").agg(
+    n_chunks = max(1, -(-n // CHUNK))
+    chunk = F.pmod(F.xxhash64("row"), F.lit(n_chunks))
+    chunks = stored(q.select("row", "vec_id", "v", F.size("v").alias("dim"),
+                             chunk.alias("chunk")).groupBy("dim", "chunk").agg(
         F.collect_list(F.struct("row", "vec_id", "v")).alias("c")).select(
-        "dim", F.col("c.row").alias("q_rows"), F.col("c.vec_id").alias("q_ids"),
-        F.flatten("c.v").alias("q"))
-    # a chunk visits every shard: one row per shard, dealt by it
-    visits = stored(chunks, "ann-queries").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(index.n_shards - 1))))
-    found = stored(index.shards.join(visits, ["shard", "dim"]).mapInArrow(
-        _search(k, ef), "row long, query_id long, vec_id long, score double, "
-        "self boolean"), "ann-found")
+        "dim", "chunk", F.col("c.row").alias("q_rows"),
+        F.col("c.vec_id").alias("q_ids"), F.flatten("c.v").alias("q")),
+        "ann-queries")
+    # every chunk visits every shard: the shards stay where they are read, some
+    # chunks at a time go to all of them
+    step = max(1, n_chunks * SENT_BYTES // max(1, n_bytes or 0))
+    found = stored_parts((
+        index.shards.join(F.broadcast(chunks.where(
+            (F.col("chunk") >= lo) & (F.col("chunk") < lo + step))
+            .drop("chunk")), "dim").mapInArrow(
+            _search(k, ef), "row long, query_id long, vec_id long, score double, "
+            "self boolean") for lo in range(0, n_chunks, step)), "ann-found")
     # the query's own row goes (once, where rows repeat)
     nearest_first = Window.partitionBy("row").orderBy("score", "vec_id")
     selves = F.sum(F.col("self").cast("int")).over(nearest_first.rowsBetween(

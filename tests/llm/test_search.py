@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricelake.llm import hnsw, lexical_search as lex
+from pricelake.llm import common, hnsw, lexical_search as lex
 from pricelake.llm.queries import op11_hnsw
 from tests.llm import brute_search as brute
 from tests.llm.conftest import clash, doc_frame
@@ -76,6 +76,29 @@ def test_nearest_repeated_rows(spark):
         hnsw.nearest(hnsw.build_index(df, k=3), F.lit(True), k=4)
 
 
+def test_queries_are_sent_in_bounded_blocks(spark, monkeypatch):
+    """No more than a block of queries is broadcast at once, whatever the number
+    of shards, and the results do not depend on the blocks."""
+    rng = random.Random(9)
+    df = spark.createDataFrame(list(enumerate(gauss(rng, 600, 8))),
+                               "vec_id long, embedding array<double>")
+    index = hnsw.build_index(df, shard=60)
+    monkeypatch.setattr(hnsw, "CHUNK", 20)
+    whole = run(index, 2)
+    plans = []
+    append = common._append
+
+    def seen(df, path):
+        if "ann-found" in path:
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return append(df, path)
+    monkeypatch.setattr(common, "_append", seen)
+    monkeypatch.setattr(hnsw, "SENT_BYTES", 20 * 8 * 8 * 4)
+    assert run(index, 2) == whole and len(whole) == 300
+    assert len(plans) == 4          # 15 chunks, at most 4 at once
+    assert all("Generate" not in p for p in plans)
+
+
 def test_graph_levels_and_links():
     x = np.random.default_rng(0).normal(size=(1500, 12)).astype(np.float32)
     g = hnsw.build_graph(x)
