@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pricelake.functions.numeric import round_half_away
 from pricelake.operators.calendar import dim_date_rows
 from pricelake.operators.joins import broadcast_known
-from pricelake.operators.numbering import laid_out_ids, sequential_ids
+from pricelake.operators.numbering import (laid_out_ids, layout_offsets,
+                                           sequential_ids)
 from pricelake.operators.scd2 import current_versions
 from pricelake.params import RunParams
 from pricelake.schemas import FACT_COLS
@@ -139,14 +140,24 @@ def fact_prices(silver: DataFrame, dim_stock: DataFrame, dim_date: DataFrame,
     return stored_fact(rows) if stored_form else _fact_columns(price_key(rows))
 
 
-def stored_fact(measured: DataFrame, last_key: int = 0) -> DataFrame:
-    """The stored form of the fact: numbered after ``last_key``, with a month
-    partition column, rows clustered by (date_key, stock_key) within it."""
-    rows = measured.withColumn("month_key", F.floor(F.col("date_key") / 100)
+def with_month(measured: DataFrame) -> DataFrame:
+    return measured.withColumn("month_key", F.floor(F.col("date_key") / 100)
                                .cast("int"))
+
+
+def stored_fact(measured: DataFrame, last_key: int = 0,
+                offsets: DataFrame | None = None) -> DataFrame:
+    """The stored form of the fact: numbered after ``last_key``, with a month
+    partition column, rows clustered by (date_key, stock_key) within it.  With the
+    ``fact_offsets`` of a whole fact, ``measured`` may be some months of it."""
     return _fact_columns(laid_out_ids(
-        rows, "month_key", F.col("date_key"), F.col("stock_key"), "price_key",
-        start=last_key), "month_key")
+        with_month(measured), "month_key", F.col("date_key"), F.col("stock_key"),
+        "price_key", start=last_key, offsets=offsets), "month_key")
+
+
+def fact_offsets(measured: DataFrame) -> DataFrame:
+    return layout_offsets(with_month(measured), "month_key", F.col("date_key"),
+                          F.col("stock_key"))
 
 
 def _fact_columns(fact: DataFrame, *more: str) -> DataFrame:

@@ -83,9 +83,25 @@ def sequential_ids(df: DataFrame, coarse: Column, fine: Column, name: str,
          + F.col("__rn").cast("long")).alias(name))
 
 
+def _cells(df: DataFrame, coarse: Column, fine: Column, block: int) -> DataFrame:
+    return df.withColumns({
+        "__c": coarse,
+        "__f": fine.cast("long"),
+    }).withColumn("__b", F.floor(F.col("__f") / F.lit(block)).cast("long"))
+
+
+def layout_offsets(df: DataFrame, part: str, coarse: Column, fine: Column,
+                   block: int = LAYOUT_BLOCK) -> DataFrame:
+    """The rows before each cell of ``df``: one row per (part, block)."""
+    return _offsets(_cells(df, coarse, fine, block), part).groupBy(
+        part, "__b").agg(F.map_from_entries(
+            F.collect_list(F.struct("__c", "__off"))).alias("__offs"))
+
+
 def laid_out_ids(df: DataFrame, part: str, coarse: Column, fine: Column,
                  name: str, block: int = LAYOUT_BLOCK,
-                 start: int | Column = 0) -> DataFrame:
+                 start: int | Column = 0,
+                 offsets: DataFrame | None = None) -> DataFrame:
     """The numbers of ``sequential_ids``, with the rows in the layout of a table
     that is partitioned by ``part``: a column of ``df`` that follows from
     ``coarse``, of bounded length in coarse values (a month of days).
@@ -94,14 +110,14 @@ def laid_out_ids(df: DataFrame, part: str, coarse: Column, fine: Column,
     by (part, coarse, fine) within a task, both for the numbers and for the
     files; writing them needs no sampling, further exchange or sort.  A cell's
     offset is looked up in one row per (part, block).
+
+    ``offsets``: the ``layout_offsets`` of a table of which ``df`` holds some parts
+    whole; its rows get the numbers that they have in that table.
     """
     cols = df.columns
-    cells = df.withColumns({
-        "__c": coarse,
-        "__f": fine.cast("long"),
-    }).withColumn("__b", F.floor(F.col("__f") / F.lit(block)).cast("long"))
-    offsets = _offsets(cells, part).groupBy(part, "__b").agg(F.map_from_entries(
-        F.collect_list(F.struct("__c", "__off"))).alias("__offs"))
+    cells = _cells(df, coarse, fine, block)
+    if offsets is None:
+        offsets = layout_offsets(df, part, coarse, fine, block)
     in_cell = Window.partitionBy(part, "__c", "__b").orderBy("__f")
     start_col = start if isinstance(start, Column) else F.lit(start)
     return (cells.repartition(part, "__b").join(offsets, [part, "__b"], "left")

@@ -29,6 +29,24 @@ HEAVY_ROWS = 1 << 20
 KEY_BUCKETS = 1 << 16
 HEAVY_BUCKETS = 1 << 10
 DEFAULT_ORDER = ["ingested_at", "batch_id"]
+# A large load is worked off in slices of its tickers, of about as many rows, so that
+# shuffle files of one slice lie on disk at a time; at most so many slices (of more
+# rows then), as each reads the input again.
+SLICE_ROWS = 1 << 25
+MAX_SLICES = 4
+
+
+def slice_count(df: DataFrame) -> int:
+    return max(1, min(MAX_SLICES, -(-df.count() // SLICE_ROWS)))
+
+
+def slices(df: DataFrame, n: int, raw: bool = False) -> list[DataFrame]:
+    """``df`` in ``n`` parts, all rows of a ticker (cleaned first if ``raw``) in one."""
+    if n == 1:
+        return [df]
+    ticker = clean_ticker("ticker_symbol") if raw else F.col("ticker_symbol")
+    part = F.pmod(F.xxhash64(ticker), F.lit(n))
+    return [df.where(part == i) for i in range(n)]
 
 
 def rename_columns(df: DataFrame) -> DataFrame:
@@ -121,10 +139,17 @@ def _rule_counts(as_of: dt.date) -> tuple[list[Column], Column]:
             F.count_if(ok).alias("rows_valid")], ok
 
 
+def rule_counts(bronze: DataFrame, holdings: DataFrame,
+                params: RunParams) -> DataFrame:
+    """One row: what ``clean`` observes of these raw rows."""
+    return prepare(bronze, holdings).agg(*_rule_counts(params.today)[0])
+
+
 def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
                 order: Sequence[str] = tuple(DEFAULT_ORDER),
                 keep: str = "first", counted: DataFrame | None = None,
-                heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                heavy_rows: int = HEAVY_ROWS,
+                heavy: DataFrame | None = None) -> DataFrame:
     """One row per key: the first by ``order`` (nulls first), ties by payload;
     ``keep="last"`` keeps the last instead (restated prices: newest wins).
 
@@ -137,14 +162,13 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
     the same row.  The survivor is deterministic, unlike ``dropDuplicates``.
 
     ``counted``: a cheaper frame with the keys of the same rows (others may come
-    along), which the buckets are counted from.
+    along), which the buckets are counted from.  ``heavy``: the ``heavy_buckets``,
+    where they are known.
     """
     keys = list(keys)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
-    source = df if counted is None else counted
-    heavy = (source.groupBy(bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > heavy_rows)
-             .orderBy(F.desc("__n"), "__b").limit(HEAVY_BUCKETS).select("__b"))
+    bucket = _bucket(keys)
+    if heavy is None:
+        heavy = heavy_buckets(df if counted is None else counted, keys, heavy_rows)
     found = heavy.agg(F.collect_list("__b")).scalar()
     # no row is hashed for it where no bucket is heavy
     is_heavy = (F.size(found) > 0) & F.array_contains(found, bucket)
@@ -155,6 +179,18 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = tuple(KEY),
     return light.unionByName(_first_copies(held, keys, order, keep))
 
 
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def heavy_buckets(df: DataFrame, keys: Sequence[str] = tuple(KEY),
+                  heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """The fullest hash buckets of keys with more than ``heavy_rows`` rows."""
+    return (df.groupBy(_bucket(keys).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > heavy_rows)
+            .orderBy(F.desc("__n"), "__b").limit(HEAVY_BUCKETS).select("__b"))
+
+
 def _first_copies(df: DataFrame, keys: list[str], order: Sequence[str],
                   keep: str) -> DataFrame:
     fields = [c for c in dict.fromkeys([*order, *df.columns]) if c not in keys]
@@ -184,7 +220,8 @@ def prepare(bronze: DataFrame, holdings: DataFrame) -> DataFrame:
 def clean(bronze: DataFrame, holdings: DataFrame, params: RunParams,
           order: Sequence[str] = tuple(DEFAULT_ORDER),
           reference_order: bool = False, keep: str = "first",
-          seen: Observation | None = None) -> DataFrame:
+          seen: Observation | None = None,
+          heavy: DataFrame | None = None) -> DataFrame:
     """The full raw -> cleaned transformation (no I/O).
 
     ``seen`` gets the row counts of ``validate_counts`` (but the distinct
@@ -198,7 +235,22 @@ def clean(bronze: DataFrame, holdings: DataFrame, params: RunParams,
     if seen is not None:
         df = df.observe(seen, *_rule_counts(params.today)[0])
     if reference_order:
-        df = validate(dedup_first(df, KEY, order, keep, keys), params.today)
+        df = validate(dedup_first(df, KEY, order, keep, keys, heavy=heavy),
+                      params.today)
     else:
-        df = dedup_first(validate(df, params.today), KEY, order, keep, keys)
+        df = dedup_first(validate(df, params.today), KEY, order, keep, keys,
+                         heavy=heavy)
     return silver_metadata(project_contract(df), params).select(*SILVER_COLS)
+
+
+def clean_slices(bronze: DataFrame, holdings: DataFrame, params: RunParams, n: int,
+                 seen: Sequence[Observation | None] | None = None,
+                 **options) -> list[DataFrame]:
+    """``clean`` in ``n`` slices of tickers, to be written one after the other; the
+    buckets are counted once (at most ``HEAVY_BUCKETS`` numbers).  ``seen``: one for
+    each."""
+    if n > 1:
+        found = heavy_buckets(cast_types(rename_columns(bronze))).collect()
+        options["heavy"] = bronze.sparkSession.createDataFrame(found, "__b int")
+    return [clean(rows, holdings, params, seen=s, **options)
+            for rows, s in zip(slices(bronze, n, raw=True), seen or [None] * n)]

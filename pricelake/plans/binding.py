@@ -27,7 +27,7 @@ from pricelake.operators.marts import (fact_between, fact_tickers, newest_fact,
                                        star_join)
 from pricelake.operators.scd2 import scd2_merge
 from pricelake.plans.pipeline import LakePaths, run_all, run_silver
-from pricelake.schemas import BRONZE, SILVER_COLS
+from pricelake.schemas import BRONZE, LANDING, SILVER_COLS
 from pricelake.session import layer_settings, scratch_path
 from pricelake.sources import sinks
 from pricelake.sources import testdata as td
@@ -219,9 +219,14 @@ def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake(spark: SparkSession, sf_dir: str) -> LakePaths:
     """All three jobs run once over the stored drops into a fresh lake, whose
-    holdings come through ``holdings_table``."""
+    holdings come through ``holdings_table``.  The lake has a landing zone of its
+    own, with the provider's columns, which is emptied once its rows are in the raw
+    layer."""
     def write(path):
-        paths = LakePaths(path)
-        run_all(spark, drops(spark, sf_dir), td.holdings_config(spark, sf_dir),
-                td.GOLD_PARAMS, paths)
+        zone = f"{path}/landing"
+        for flag, df in zip(td.LANDING_FLAGS, landing_runs(spark, sf_dir)):
+            df.select(*LANDING.names).write.parquet(f"{zone}/{flag}")
+        run_all(spark, {flag: f"{zone}/{flag}" for flag in td.LANDING_FLAGS},
+                td.holdings_config(spark, sf_dir), td.GOLD_PARAMS, LakePaths(path),
+                landed=lambda: sinks.remove(spark, zone))
     return LakePaths(_path(spark, sf_dir, "lake", write))

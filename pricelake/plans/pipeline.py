@@ -16,8 +16,10 @@ import datetime as dt
 import json
 import os
 import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,9 @@ from pricelake.operators import marts
 from pricelake.operators import silver as sv
 from pricelake.operators.calendar import dim_date
 from pricelake.operators.fact import (carry_basis, fact_carry,
-                                      fact_increment, fact_prices, same_basis)
+                                      fact_increment, fact_offsets, fact_prices,
+                                      keyed_prices, same_basis, stored_fact,
+                                      with_measures)
 from pricelake.operators.scd2 import scd2_merge
 from pricelake.params import RunParams
 from pricelake.schemas import (BRONZE, DIM_STOCK, SILVER, SILVER_COLS,
@@ -88,15 +92,18 @@ def run_bronze(spark: SparkSession, drops: dict[str, str], params: RunParams,
     return wrote
 
 
-def _cleaned(new: DataFrame, holdings: DataFrame, params: RunParams,
-             **options) -> tuple[DataFrame, Observation]:
-    """Cleaned rows, and what the write will see: rows in, rows dropped."""
-    seen = Observation()
-    return sv.clean(new, holdings, params, seen=seen, **options), seen
-
-
-def _dropped(seen: Observation, rows_out: int) -> tuple[int, dict[str, int]]:
-    got = seen.get
+def _dropped(seen: list[Observation], raw: list[DataFrame], holdings: DataFrame,
+             params: RunParams, rows_out: int) -> tuple[int, dict[str, int]]:
+    """What the writes saw of the ``raw`` rows: rows in, rows dropped.  Where no row
+    was left, AQE may have dropped the observation with the plan below; then the
+    rows are counted here."""
+    parts = []
+    for s, rows in zip(seen, raw):
+        try:
+            parts.append(s.get)
+        except Py4JJavaError:
+            parts.append(sv.rule_counts(rows, holdings, params).first().asDict())
+    got = {k: sum(p[k] for p in parts) for k in parts[0]}
     return got["rows_in"], {
         **{k: got[k] for k in ("invalid_price", "future_date",
                                "invalid_ticker")},
@@ -143,14 +150,18 @@ def run_silver(spark: SparkSession, holdings: DataFrame, params: RunParams,
     if not inc.has_rows(new):
         _record(spark, paths, present, params)
         return 0
-    cleaned, seen = _cleaned(new, holdings, params,
+    n = sv.slice_count(new)
+    seen = [Observation() for _ in range(n)]
+    frames = sv.clean_slices(new, holdings, params, n, seen,
                              reference_order=reference_order)
     if (per_ticker_mark or by_ledger) and silver is not None:
-        cleaned = inc.new_keys(cleaned, new, silver, sv.KEY)
+        frames = [inc.new_keys(cleaned, new, known, sv.KEY)
+                  for cleaned, known in zip(frames, sv.slices(silver, n))]
     attempt = sinks.new_version(params.run_ts)
-    sinks.silver_write(cleaned, paths.silver, params.run_date_iso, attempt)
+    sinks.silver_write(frames, paths.silver, params.run_date_iso, attempt)
     stats = _loaded(spark, paths, params.run_date_iso, attempt)
-    rows_in, dropped = _dropped(seen, stats["n"])
+    rows_in, dropped = _dropped(seen, sv.slices(new, n, raw=True), holdings, params,
+                                stats["n"])
     sinks.watermark_commit(spark, paths.audit, params.batch_id, "silver",
                            stats["m"], rows_in, stats["n"], params.run_iso,
                            dropped)
@@ -189,12 +200,13 @@ def _rebuild_silver(spark, bronze: DataFrame, holdings: DataFrame,
         if old is not None:
             kept = old.where(F.col("trade_date") < F.lit(since)) \
                 .withColumn("processed_date", F.col("processed_date").cast("string"))
-    cleaned, seen = _cleaned(bronze, holdings, params, keep="last")
+    seen = Observation()
+    cleaned = sv.clean(bronze, holdings, params, keep="last", seen=seen)
     attempt = sinks.new_version(params.run_ts)
     sinks.silver_replace(cleaned, paths.silver, params.run_ts,
                          params.run_date_iso, attempt, kept)
     stats = _loaded(spark, paths, params.run_date_iso, attempt)
-    rows_in, dropped = _dropped(seen, stats["n"])
+    rows_in, dropped = _dropped([seen], [bronze], holdings, params, stats["n"])
     sinks.watermark_commit(spark, paths.audit, params.batch_id, layer,
                            stats["m"], rows_in, stats["n"], params.run_iso,
                            dropped)
@@ -221,6 +233,38 @@ def _new_prices(spark: SparkSession, paths: LakePaths, layer: str,
     return new.select(*SILVER_COLS)
 
 
+def fact_frames(silver: DataFrame, dim: DataFrame, cal: DataFrame,
+                holdings: DataFrame, params: RunParams, scratch: str,
+                ) -> Iterator[DataFrame]:
+    """The whole fact in its stored form, in frames to be written one after the
+    other.  A large one has its measures taken slice by slice of the tickers, into
+    ``scratch``, and is numbered and laid out from there, some months at a time: at
+    no time do shuffle files of all rows lie on disk.  The rows are the same."""
+    spark, n = silver.sparkSession, sv.slice_count(silver)
+    if n == 1:
+        yield fact_prices(silver, dim, cal, holdings, params, stored_form=True)
+        return
+    for part in sv.slices(silver, n):
+        with_measures(keyed_prices(part, dim, cal, holdings, params)) \
+            .drop("trade_date").write.mode("append").parquet(f"{scratch}/rows")
+    rows = spark.read.parquet(f"{scratch}/rows")
+    fact_offsets(rows).write.parquet(f"{scratch}/offsets")
+    offsets = spark.read.parquet(f"{scratch}/offsets")
+    month = F.floor(F.col("date_key") / 100)
+    sizes = rows.groupBy(month.alias("m")).count().orderBy("m").collect()
+    groups, room = [], 0                    # a row per month: bounded
+    for m, size in sizes:
+        if room < size:
+            groups.append([])
+            room = max(size, -(-sum(s for _, s in sizes) // n))
+        groups[-1].append(m)
+        room -= size
+    for months in groups or [[]]:
+        some = rows.where(month.between(months[0], months[-1])) if months else rows
+        yield stored_fact(some, offsets=offsets)
+    sinks.remove(spark, scratch)
+
+
 def refresh_fact(spark: SparkSession, holdings: DataFrame, params: RunParams,
                  paths: LakePaths, version: str, dim: DataFrame, cal: DataFrame,
                  since: str | None = None) -> int:
@@ -237,8 +281,8 @@ def refresh_fact(spark: SparkSession, holdings: DataFrame, params: RunParams,
         new = _new_prices(spark, paths, layer, names, state, carry, basis, params)
     if new is None:
         state = carry = None
-        fact = fact_prices(read_silver(spark, paths), dim, cal, holdings, params,
-                           stored_form=True)
+        fact = fact_frames(read_silver(spark, paths), dim, cal, holdings, params,
+                           f"{paths.gold}/_rows-{version}")
     else:
         fact = fact_increment(new, carry, dim, cal, holdings, params,
                               state["last_key"], stored_form=True)
@@ -321,9 +365,13 @@ def load_freshness(spark: SparkSession, paths: LakePaths,
 
 def run_all(spark: SparkSession, drops: dict[str, str], holdings: DataFrame,
             params: RunParams, paths: LakePaths,
-            start_date: dt.date | None = None) -> dict:
-    """bronze >> silver >> gold; the first failure stops the run."""
+            start_date: dt.date | None = None,
+            landed: Callable[[], None] | None = None) -> dict:
+    """bronze >> silver >> gold; the first failure stops the run.  ``landed`` is
+    called when the raw layer holds the drops (to empty the landing zone)."""
     wrote = run_bronze(spark, drops, params, paths, start_date)
+    if landed is not None and wrote:
+        landed()
     rows = run_silver(spark, holdings, params, paths)
     counts = run_gold(spark, holdings, params, paths)
     return {"bronze_written": wrote, "silver_rows": rows, "gold": counts}

@@ -74,19 +74,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 # joins whose smaller side is small in every partition need no sort.
 LAYER_PARTITIONS = 200
 LAYER_HASH_JOIN = "64m"
+# Shuffle files go with the query that made them, not when the driver next collects
+# garbage, and layers are stored smaller.
+LAYER_DISK = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+              "spark.sql.parquet.compression.codec": "zstd"}
 
 
 @contextmanager
 def layer_settings(spark: SparkSession) -> Iterator[None]:
-    """The session's settings, but for those of AQE that suit a large write;
-    what the session sets itself is kept (if it is no fewer partitions)."""
+    """The session's settings, but for those of AQE and of disk that suit a large
+    write; what the session sets itself is kept (if it is no fewer partitions)."""
     first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     local = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-    old = {name: spark.conf.get(name, None) for name in (first, local)}
+    old = {name: spark.conf.get(name, None) for name in (first, local, *LAYER_DISK)}
     n = int(old[first] or spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set(first, str(max(n, LAYER_PARTITIONS)))
     if old[local] in (None, "0", "0b"):
         spark.conf.set(local, LAYER_HASH_JOIN)
+    for name, value in LAYER_DISK.items():
+        if old[name] is None:
+            spark.conf.set(name, value)
     try:
         yield
     finally:

@@ -27,9 +27,10 @@ and a failed job leaves no committed partial output.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import re
 import uuid
-from decimal import Decimal
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def _move(spark: SparkSession, path: str, to: str) -> None:
+    at, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_if_exists(spark: SparkSession, path: str,
                    schema: T.StructType | None = None) -> DataFrame | None:
     """The Parquet table at ``path``, or ``None`` when the path is absent.
@@ -118,18 +133,23 @@ def content_digest(columns: list[str]) -> list[Column]:
             F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("digest")]
 
 
-def write_checked(df: DataFrame, path: str, partition_by: list[str] = (),
-                  ) -> int:
-    """Write ``df`` to a new ``path`` and hold the stored content against the
-    rows that the writing plan produced.  Returns the row count."""
-    seen = Observation()
-    writer = df.observe(seen, *content_digest(df.columns)) \
-        .write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return write_verify(df.sparkSession, path, seen.get["n"], df.schema,
-                        seen.get["digest"])
+def write_checked(df: DataFrame | Iterable[DataFrame], path: str,
+                  partition_by: list[str] = ()) -> int:
+    """Write ``df`` (or several frames of one schema, one after the other) to a new
+    ``path`` and hold the stored content against the rows that the writing plans
+    produced.  Returns the row count."""
+    n, digests, mode = 0, [], "errorifexists"
+    for df in [df] if isinstance(df, DataFrame) else df:
+        seen = Observation()
+        writer = df.observe(seen, *content_digest(df.columns)).write.mode(mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+        n, mode = n + seen.get["n"], "append"
+        if seen.get["digest"] is not None:
+            digests.append(int(seen.get["digest"]))     # exact at any length
+    return write_verify(df.sparkSession, path, n, df.schema,
+                        sum(digests) if digests else None)
 
 
 # -- raw layer -----------------------------------------------------------------
@@ -207,17 +227,28 @@ def _stamped(df: DataFrame, processed_date: str, run_id: str) -> DataFrame:
         .withColumn("run_id", F.lit(run_id))
 
 
-def silver_write(df: DataFrame, silver_path: str, processed_date: str,
-                 run_id: str) -> None:
+def silver_write(df: DataFrame | list[DataFrame], silver_path: str,
+                 processed_date: str, run_id: str) -> None:
     """Write the run under (processed_date, run_id) of the current layer,
     replacing only that run.  A run that is not there yet is written straight
-    into its partition, which spares the sort of a partitioned write."""
-    path = layer_path(df.sparkSession, silver_path)
+    into its partition, which spares the sort of a partitioned write.  A run in
+    several frames is written one after the other into a folder that no reader
+    sees and gets its place when it is whole."""
+    frames = [df] if isinstance(df, DataFrame) else df
+    spark = frames[0].sparkSession
+    path = layer_path(spark, silver_path)
     part = f"{path}/processed_date={processed_date}/run_id={run_id}"
     if re.fullmatch(r"[\w.-]+", processed_date + run_id) \
-            and not _exists(df.sparkSession, part):
-        df.write.parquet(part)
+            and not _exists(spark, part):
+        if len(frames) == 1:
+            frames[0].write.parquet(part)
+            return
+        hidden = f"{path}/_{uuid.uuid4().hex}"
+        for frame in frames:
+            frame.write.mode("append").parquet(hidden)
+        _move(spark, hidden, part)
         return
+    df = functools.reduce(DataFrame.unionByName, frames)
     (_stamped(df, processed_date, run_id).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("processed_date", "run_id").parquet(path))
@@ -322,7 +353,7 @@ def of_loads(layer: DataFrame, names: list[str]) -> DataFrame:
 def write_verify(spark: SparkSession, path: str,
                  expected: int | None = None,
                  schema: T.StructType | None = None,
-                 digest: Decimal | None = None) -> int:
+                 digest: int | None = None) -> int:
     """Row count of a written table, re-read from storage (with ``schema``, as a
     table without rows may have no file to take it from).  With a ``digest``
     (``content_digest`` of the rows written), changed values are an error too."""
