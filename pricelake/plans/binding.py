@@ -99,8 +99,9 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned layer produced by the streaming load: each landing run
     arrives, is loaded by the next batch of one query, and at the end a query
-    with a new checkpoint reads everything again and must add nothing."""
-    raw = bronze_table(spark, sf_dir)
+    with a new checkpoint reads everything again and must add nothing.  The runs
+    are stored once, in the folder that the stream reads."""
+    raw = bronze(spark, sf_dir)
     out = scratch_path(spark, "silver-stream")
 
     def load(checkpoint):
@@ -109,8 +110,9 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                        td.holdings(spark, sf_dir), td.SILVER_PARAMS,
                        schema=raw.schema, order=SILVER_ORDER)
     for i in range(len(td.LANDING_FLAGS)):
-        raw.where(F.col("batch_id") == td.landing_params(i).batch_id) \
-            .write.mode("append").parquet(f"{out}/raw")
+        with layer_settings(spark):
+            raw.where(F.col("batch_id") == td.landing_params(i).batch_id) \
+                .write.mode("append").parquet(f"{out}/raw")
         load("_checkpoint1")
     load("_checkpoint2")
     return spark.read.parquet(f"{out}/table").select(*SILVER_COLS)

@@ -38,15 +38,17 @@ from pricelake.sources import sinks
 
 def clean_new_keys(batch: DataFrame, holdings: DataFrame, params: RunParams,
                    silver_path: str,
-                   order: Sequence[str] = tuple(sv.DEFAULT_ORDER)) -> DataFrame:
-    """Cleaned rows of one micro-batch whose key is not yet in silver."""
-    spark = batch.sparkSession
-    cleaned = sv.clean(batch, holdings, params, order=order)
+                   order: Sequence[str] = tuple(sv.DEFAULT_ORDER)) -> list[DataFrame]:
+    """Cleaned rows of one micro-batch whose key is not yet in silver, in slices of
+    tickers where the batch is large."""
+    spark, n = batch.sparkSession, sv.slice_count(batch)
+    cleaned = sv.clean_slices(batch, holdings, params, n, order=order)
     existing = sinks.read_if_exists(
         spark, sinks.layer_path(spark, silver_path), SILVER)
     if existing is None:
         return cleaned
-    return inc.new_keys(cleaned, batch, existing, sv.KEY)
+    return [inc.new_keys(rows, batch, known, sv.KEY)
+            for rows, known in zip(cleaned, sv.slices(existing, n))]
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -70,8 +72,8 @@ def incremental_stream(spark: SparkSession, bronze_path: str, silver_path: str,
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = clean_new_keys(batch, holdings, params, silver_path, order)
         run = f"stream-{query_id(batch.sparkSession, checkpoint)}-{batch_id:06d}"
-        sinks.silver_write(out.select(*SILVER_COLS), silver_path,
-                           params.run_date_iso, run)
+        sinks.silver_write([rows.select(*SILVER_COLS) for rows in out],
+                           silver_path, params.run_date_iso, run)
 
     return (source.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint)
