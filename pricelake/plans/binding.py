@@ -26,7 +26,8 @@ from pricelake.operators.fact import fact_prices
 from pricelake.operators.marts import (fact_between, fact_tickers, newest_fact,
                                        star_join)
 from pricelake.operators.scd2 import scd2_merge
-from pricelake.plans.pipeline import LakePaths, run_all, run_silver
+from pricelake.plans.pipeline import (LakePaths, fact_frames, run_all,
+                                      run_silver)
 from pricelake.schemas import BRONZE, LANDING, SILVER_COLS
 from pricelake.session import layer_settings, scratch_path
 from pricelake.sources import sinks
@@ -93,7 +94,12 @@ def silver(spark: SparkSession, sf_dir: str,
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored cleaned layer."""
-    return _stored(spark, sf_dir, "silver", lambda: silver(spark, sf_dir))
+    def write(path):
+        raw = bronze_table(spark, sf_dir)
+        for rows in sv.clean_slices(raw, td.holdings(spark, sf_dir), td.SILVER_PARAMS,
+                                    sv.slice_count(raw), order=SILVER_ORDER):
+            rows.write.mode("append").parquet(path)
+    return spark.read.parquet(_path(spark, sf_dir, "silver", write))
 
 
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,9 +150,13 @@ def fact_table(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
                end: dt.date | None = None, months: bool = False) -> DataFrame:
     """The stored fact, in the layout of the gold job, from ``start`` to
     ``end``; with its partition column if ``months``."""
-    stored = spark.read.parquet(_path(
-        spark, sf_dir, "fact", lambda path: fact(spark, sf_dir, stored_form=True)
-        .write.partitionBy("month_key").parquet(path)))
+    def write(path):
+        for rows in fact_frames(
+                silver_table(spark, sf_dir), dim_stock_table(spark, sf_dir),
+                calendar(spark), td.holdings(spark, sf_dir), td.GOLD_PARAMS,
+                f"{path}-rows"):
+            rows.write.mode("append").partitionBy("month_key").parquet(path)
+    stored = spark.read.parquet(_path(spark, sf_dir, "fact", write))
     rows = fact_between(stored, start, end)
     return rows if months else rows.drop("month_key")
 
